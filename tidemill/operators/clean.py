@@ -18,9 +18,9 @@ from tidemill.schemas import DOCUMENT, DOCUMENT_WITH_CORRUPT
 _COMMAS_ONLY = r"^[\x00-\x20]*,+[\x00-\x20]*$"
 
 
-def message_text(messages: DataFrame) -> DataFrame:
-    """The message value as a string column ``value``."""
-    return messages.select(F.col("value").cast("string").alias("value"))
+def message_text(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The message value as a string column ``value`` (plus any ``keep`` columns)."""
+    return messages.select(*keep, F.col("value").cast("string").alias("value"))
 
 
 def drop_junk(df: DataFrame, column: str = "value") -> DataFrame:
@@ -48,11 +48,12 @@ def parse_raw_order(df: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def parse_report_input(df: DataFrame, column: str = "value") -> DataFrame:
+def parse_report_input(df: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """(order_date, order_timestamp, money decimal(10,2), province, city)."""
     v = F.col(column)
     time_text = json_field(v, "orderTime")
     return df.select(
+        *keep,
         to_date_lenient(time_text).alias("order_date"),
         to_timestamp_lenient(time_text).alias("order_timestamp"),
         to_decimal_money(json_field(v, "orderMoney")).alias("money"),

@@ -36,9 +36,9 @@ WATERMARK_DELAY = "10 minutes"
 ALLOW_LIST_MAX_ROWS = 100_000
 
 
-def report_input(messages: DataFrame) -> DataFrame:
-    """P1 -> W2 -> P3: enriched messages to report rows."""
-    return parse_report_input(drop_empty(message_text(messages)))
+def report_input(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """P1 -> W2 -> P3: enriched messages to report rows (plus any ``keep`` columns)."""
+    return parse_report_input(drop_empty(message_text(messages, keep)), keep=keep)
 
 
 def _watermarked(orders: DataFrame, watermark: str | None) -> DataFrame:
