@@ -126,3 +126,16 @@ def test_time_text_and_ids(spark):
     assert row["record"] == "2024-01-02 03:04:05.678"
     assert row["oid"] == "20240102030405678000007"
     assert row["uid"] == "300000123"
+
+
+def test_json_fields_equal_path_reader(spark):
+    from tidemill.functions.json import json_fields
+
+    texts = ['{"a":1,"b":"x"}', '{"a":1,"a":2,"b":"y"}', '{"a":"\\u0041","b":1.50}', '{"\\u0061":5,"a":6}',
+             '{"a":1, bad', "[1]", "", None, '{"b":{"a":1}}', '{"a":"has \\"a\\" inside","b":null}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    fast = {r["i"]: (r["a"], r["b"]) for r in json_fields(df, "v", ["a", "b"], keep=("i",)).collect()}
+    exact = {r["i"]: (r["a"], r["b"]) for r in
+             df.select("i", json_field("v", "a").alias("a"), json_field("v", "b").alias("b")).collect()}
+    assert fast == exact
+    assert fast[1] == ("1", "y") and fast[3] == ("5", None)

@@ -12,7 +12,7 @@ Two readers with different rules are both needed:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,32 @@ def json_field(c: Column | str, name: str) -> Column:
     return F.get_json_object(_col(c), f"$.{name}")
 
 
+def json_fields(df: DataFrame, column: str, names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """F1 for several top-level fields at once: ``keep`` columns plus one text column per name.
+
+    Results equal ``get_json_object(column, '$.name')`` per field, with one
+    parse per row instead of one per field: ``json_tuple`` reads all fields
+    in a single pass and agrees with the path reader except when a key occurs
+    twice (it keeps the last, the path reader the first). A row is therefore
+    read with the path reader for a field whose quoted name occurs more than
+    once in the text, or when the text has a ``\\u`` escape (the only way to
+    spell a key's letters differently). Both checks are plain substring
+    searches; such rows are rare and pay the slower path only for themselves.
+    """
+    v = F.col("_json_text")
+    tmp = [f"_jt{i}" for i in range(len(names))]
+    parsed = df.select(
+        *keep, F.col(column).alias("_json_text"), F.json_tuple(F.col(column), *names).alias(*tmp)
+    )
+    escaped = F.instr(v, "\\u") > 0
+    out = []
+    for name, t in zip(names, tmp):
+        key = '"' + name + '"'
+        twice = F.expr(f"locate('{key}', _json_text, instr(_json_text, '{key}') + 1) > 0")
+        out.append(F.when(escaped | twice, F.get_json_object(v, f"$.{name}")).otherwise(F.col(t)).alias(name))
+    return parsed.select(*keep, *out)
+
+
 def parse_json_struct(c: Column | str, schema: T.StructType, corrupt_column: str | None = None) -> Column:
     """parse JSON text into ``schema`` in one pass.
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown"
 
-# JVM String.trim strips every char <= U+0020 at both ends; Spark's trim only
-# strips spaces, so the JVM rule is spelled out as a pattern.
-_JVM_EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# JVM String.trim strips every char <= U+0020 at both ends; Spark's one-argument
+# trim only strips spaces, so the JVM set is passed as the trim set.
+_JVM_BLANKS = "".join(chr(i) for i in range(0x21))
 
 
 def _col(c: Column | str) -> Column:
@@ -18,7 +18,7 @@ def _col(c: Column | str) -> Column:
 
 def jvm_trim(c: Column | str) -> Column:
     """trim like ``String.trim`` (all control chars and space)."""
-    return F.regexp_replace(_col(c), _JVM_EDGE_BLANKS, "")
+    return F.trim(_col(c), F.lit(_JVM_BLANKS))
 
 
 def blank_to_null(c: Column | str) -> Column:

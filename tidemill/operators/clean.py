@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.casts import lenient_int, to_date_lenient, to_decimal_money, to_timestamp_lenient
-from tidemill.functions.json import json_field, parse_json_struct
+from tidemill.functions.json import json_fields, parse_json_struct
 from tidemill.schemas import DOCUMENT, DOCUMENT_WITH_CORRUPT
 
 # A record is junk when, trimmed like String.trim, it is one or more commas and
@@ -35,30 +35,25 @@ def drop_empty(df: DataFrame, column: str = "value") -> DataFrame:
     return df.filter(c.isNotNull() & (c != ""))
 
 
+_RAW_FIELDS = ["orderId", "userId", "orderTime", "ip", "orderMoney", "orderStatus"]
+
+
 def parse_raw_order(df: DataFrame, column: str = "value") -> DataFrame:
-    """Six order fields by JSON path; the status through the lenient int cast."""
-    v = F.col(column)
-    return df.select(
-        json_field(v, "orderId").alias("orderId"),
-        json_field(v, "userId").alias("userId"),
-        json_field(v, "orderTime").alias("orderTime"),
-        json_field(v, "ip").alias("ip"),
-        json_field(v, "orderMoney").alias("orderMoney"),
-        lenient_int(json_field(v, "orderStatus")).alias("orderStatus"),
-    )
+    """Six order fields by JSON path (one parse per row); the status through the lenient int cast."""
+    fields = json_fields(df, column, _RAW_FIELDS)
+    return fields.select(*_RAW_FIELDS[:-1], lenient_int("orderStatus").alias("orderStatus"))
 
 
 def parse_report_input(df: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """(order_date, order_timestamp, money decimal(10,2), province, city)."""
-    v = F.col(column)
-    time_text = json_field(v, "orderTime")
-    return df.select(
+    fields = json_fields(df, column, ["orderTime", "orderMoney", "province", "city"], keep)
+    return fields.select(
         *keep,
-        to_date_lenient(time_text).alias("order_date"),
-        to_timestamp_lenient(time_text).alias("order_timestamp"),
-        to_decimal_money(json_field(v, "orderMoney")).alias("money"),
-        json_field(v, "province").alias("province"),
-        json_field(v, "city").alias("city"),
+        to_date_lenient("orderTime").alias("order_date"),
+        to_timestamp_lenient("orderTime").alias("order_timestamp"),
+        to_decimal_money("orderMoney").alias("money"),
+        "province",
+        "city",
     )
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.ip import ip_to_long
-from tidemill.functions.text import region_city, region_province
+from tidemill.functions.text import UNKNOWN, region_city, region_province
 
 BUCKET_BITS = 16
 # Dictionaries up to this many ranges may use the nested-loop form.
@@ -50,29 +50,35 @@ def guarded_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
     return F.broadcast(df) if row_bound_holds(df, max_rows) else None
 
 
-def bucket_table(ip_dim: DataFrame) -> DataFrame:
-    """One row per (range, /16 bucket the range touches)."""
+def _dim_cols(ip_dim: DataFrame) -> DataFrame:
+    # F11 runs once per dictionary range here, not once per order after the join.
     return ip_dim.select(
-        F.explode(
-            F.sequence(F.shiftright("ip_lo", BUCKET_BITS), F.shiftright("ip_hi", BUCKET_BITS))
-        ).alias("_d_bucket"),
         F.col("ip_lo").alias("_d_lo"),
         F.col("ip_hi").alias("_d_hi"),
-        F.col("region").alias("_d_region"),
+        region_province("region").alias("_d_province"),
+        region_city("region").alias("_d_city"),
     )
 
 
-def _dim_cols(ip_dim: DataFrame) -> DataFrame:
-    return ip_dim.select(
-        F.col("ip_lo").alias("_d_lo"), F.col("ip_hi").alias("_d_hi"), F.col("region").alias("_d_region")
+def bucket_table(ip_dim: DataFrame) -> DataFrame:
+    """One row per (range, /16 bucket the range touches), region already split."""
+    return _dim_cols(ip_dim).select(
+        F.explode(
+            F.sequence(F.shiftright("_d_lo", BUCKET_BITS), F.shiftright("_d_hi", BUCKET_BITS))
+        ).alias("_d_bucket"),
+        "_d_lo",
+        "_d_hi",
+        "_d_province",
+        "_d_city",
     )
 
 
 def _finish(joined: DataFrame, columns: list[str]) -> DataFrame:
+    # No match (NULL, malformed or unknown address) -> Unknown, like a region with too few parts.
     return joined.select(
         *[F.col(c) for c in columns],
-        region_province("_d_region").alias("province"),
-        region_city("_d_region").alias("city"),
+        F.coalesce("_d_province", F.lit(UNKNOWN)).alias("province"),
+        F.coalesce("_d_city", F.lit(UNKNOWN)).alias("city"),
     )
 
 

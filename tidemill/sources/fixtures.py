@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.json import record_json
-from tidemill.sources.tables import load_table
+from tidemill.sources.tables import load_table, spread
 
 # Junk message texts, chosen per junk slot in this order.
 JUNK_TEXTS = [None, ",", " ,, ", "\t,\n", ", ,", ""]
@@ -37,8 +37,10 @@ CITIES = ["NATION_0", "NATION_1", "NATION_2", "NATION_3", "NATION_4", "NATION_5"
 
 def raw_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orderId, userId, orderTime, ip, orderMoney (text) and orderStatus (int), plus the source key."""
-    orders = load_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
+    orders = spread(
+        load_table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
+        )
     )
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     k = F.col("o_orderkey")
