@@ -25,6 +25,7 @@ from tidemill.operators.upsert import latest_by_key, merge_by_key, numeric_text_
 from tidemill.plans import scenarios as X
 from tidemill.schemas import ORDER_FIELDS
 from tidemill.session import scratch_path
+from tidemill.sinks.files import read_report_csv, read_report_json, write_report_csv, write_report_json
 from tidemill.sources.fixtures import CITIES, raw_messages
 from tidemill.sources.tables import load_table
 from tidemill.sources.topics import read_topic
@@ -114,6 +115,22 @@ def report_series(spark, sf_dir):
     return R.report_series(R.report_document(X.sets(spark, sf_dir)))
 
 
+def report_json_file(spark, sf_dir):
+    """K5: the daily documents written as JSON and read back (lists spelled out)."""
+    X.start(spark)
+    path = scratch_path(spark, "report-json")
+    write_report_json(R.report_document(X.sets(spark, sf_dir)), path)
+    return R.flatten_document(read_report_json(spark, path))
+
+
+def report_csv_file(spark, sf_dir):
+    """K6: the long report written as CSV with a header and read back."""
+    X.start(spark)
+    path = scratch_path(spark, "report-csv")
+    write_report_csv(R.report_long(X.sets(spark, sf_dir)), path)
+    return read_report_csv(spark, path)
+
+
 # ---------------------------------------------------------------- stores in batch
 def store_kv_latest(spark, sf_dir):
     """The hash store after three micro-batches of running totals."""
@@ -346,6 +363,8 @@ QUERIES: dict[str, Query] = {
     "report_long": report_long,
     "report_document": report_document,
     "report_series": report_series,
+    "report_json_file": report_json_file,
+    "report_csv_file": report_csv_file,
     "store_kv_latest": store_kv_latest,
     "store_kv_get": store_kv_get,
     "store_kv_getall": store_kv_getall,

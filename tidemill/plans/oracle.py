@@ -182,6 +182,8 @@ SELECT d AS date, 0 AS ordinal, 'Total' AS label, amt AS value FROM sets WHERE g
 UNION ALL
 SELECT d, CAST(row_number() OVER (PARTITION BY d ORDER BY category, amt) AS INTEGER), category, amt
 FROM sets WHERE grain = 'province'""",
+    "report_json_file": None,
+    "report_csv_file": None,
     "store_kv_latest": f"""{_BASE},{_KV}
 SELECT key, field, value FROM kv""",
     "store_kv_get": f"""{_BASE},{_KV},
@@ -242,3 +244,6 @@ merged AS (
 )
 SELECT topic, partition, max(from_offset) AS from_offset FROM merged GROUP BY topic, partition""",
 }
+
+ORACLE["report_json_file"] = ORACLE["report_document"]
+ORACLE["report_csv_file"] = ORACLE["report_long"]

@@ -20,14 +20,19 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The parity report form keeps every day's state forever (as the reference
+    # does); RocksDB keeps large state off the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 def _is_set(spark: SparkSession, key: str) -> bool:
+    """Whether the session carries an explicit value (a built-in default does not count)."""
     try:
-        return spark.conf.get(key, None) is not None
-    except Exception:  # pragma: no cover - conf lookup never fails in practice
-        return False
+        return spark.conf.get(key, None) is not None and spark._jsparkSession.conf().contains(key)
+    except Exception:  # no JVM handle (e.g. a remote session): treat as set, change nothing
+        return True
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
