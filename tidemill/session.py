@@ -20,11 +20,11 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The parity report form keeps every day's state forever (as the reference
-    # does); RocksDB keeps large state off the JVM heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
+# The state store is left to the session: report state is one row per (day, province)
+# or (day, city), a few thousand rows whatever the order volume, which the default
+# in-memory provider holds cheaply. A deployment keeping years of days may pick
+# RocksDB with spark.sql.streaming.stateStore.providerClass.
 
 
 def _is_set(spark: SparkSession, key: str) -> bool:
