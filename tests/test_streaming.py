@@ -80,21 +80,21 @@ def test_compaction_keeps_results(spark, scratch):
 
 
 def test_stream_etl_equals_batch(spark, scratch):
-    source = X.raw_topic(spark, SF_SMALL)
+    source, files = X.raw_topic(spark, SF_SMALL)
     out = scratch("etl")
-    P.run([P.start_etl(spark, source, out, scratch("ckpt"), ip_dim(spark, SF_SMALL), 1)])
+    P.run([P.start_etl(spark, source, out, scratch("ckpt"), ip_dim(spark, SF_SMALL), files)])
     streamed = sorted(read_topic(spark, out).collect())
     batch = sorted(X.etl_messages(spark, SF_SMALL).collect())
     assert streamed == batch and len(batch) > 0
 
 
 def test_restart_equals_one_pass(spark, scratch):
-    source = X.raw_topic(spark, SF_SMALL, only=[0])
+    source, files = X.raw_topic(spark, SF_SMALL, only=[0])
     etl, store, ckpt = scratch("etl"), scratch("kv"), scratch("ckpt")
 
     def both_hops():
-        P.run([P.start_etl(spark, source, etl, f"{ckpt}/etl", ip_dim(spark, SF_SMALL), 1)])
-        P.run(P.start_reports(spark, etl, store, f"{ckpt}/rep", CITIES, 1, query_suffix="-restart"))
+        P.run([P.start_etl(spark, source, etl, f"{ckpt}/etl", ip_dim(spark, SF_SMALL), files)])
+        P.run(P.start_reports(spark, etl, store, f"{ckpt}/rep", CITIES, files, query_suffix="-restart"))
 
     both_hops()
     X.raw_topic(spark, SF_SMALL, only=[1, 2], path=source)
@@ -137,3 +137,12 @@ def test_processing_time_trigger_builds(spark):
     df = spark.readStream.format("rate").load().select(F.col("value"))
     writer = trig.apply(df.writeStream.format("noop"))
     assert writer is not None
+
+
+def test_one_pass_report_stream_equals_batch_sets(spark, scratch):
+    topic, files = X.etl_topic(spark, SF_SMALL)
+    store = scratch("cells")
+    P.run([P.start_reports_one_pass(spark, topic, store, scratch("ckpt"), CITIES, files)])
+    got = sorted(tuple(r) for r in P.cell_table(spark, store).read().select("grain", "key", "field", "value").collect())
+    want = sorted(tuple(r) for r in R.sets_to_cells(X.sets(spark, SF_SMALL)).collect())
+    assert got == want and len(want) > 0

@@ -19,24 +19,37 @@ from pyspark.sql import functions as F
 from tidemill.operators.geo import guarded_broadcast
 from tidemill.operators.upsert import latest_by_key
 
-# Chunks the id range is cut into; the base table has partitions x chunks rows at most.
-TARGET_CHUNKS = 4096
+# Records per chunk on average: bounds each rank window's group. The base table has
+# partitions x chunks rows; it is broadcast below this bound and shuffled above it.
+ROWS_PER_CHUNK = 1_000_000
+MIN_CHUNKS = 64
 BASE_MAX_ROWS = 4_000_000
 
 
+def _has_rows(bounds) -> bool:
+    return bounds is not None and bounds["lo"] is not None
+
+
 def number_log(records: DataFrame, topic: str, partition: str, order_col: str) -> DataFrame:
     """Add ``topic`` and ``offset`` (0-based, by ``order_col`` within ``partition``).
 
     ``order_col`` must be an integer id, unique within a partition.
     """
-    bounds = records.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    lo, hi = (bounds["lo"], bounds["hi"]) if bounds and bounds["lo"] is not None else (0, 0)
-    width = max(1, -(-(hi - lo + 1) // TARGET_CHUNKS))
+    bounds = records.agg(
+        F.min(order_col).alias("lo"),
+        F.max(order_col).alias("hi"),
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct(partition).alias("parts"),
+    ).first()
+    lo, hi, n, parts = (bounds["lo"], bounds["hi"], bounds["n"], bounds["parts"]) if _has_rows(bounds) else (0, 0, 0, 0)
+    chunks = max(MIN_CHUNKS, -(-n // ROWS_PER_CHUNK))
+    width = max(1, -(-(hi - lo + 1) // chunks))
     keyed = records.withColumn("_chunk", F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width)))
     counts = keyed.groupBy(partition, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(partition).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(partition, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    small = guarded_broadcast(base, BASE_MAX_ROWS)
+    # The base table has at most parts x chunks rows: a bound known without another pass.
+    small = F.broadcast(base) if parts * chunks <= BASE_MAX_ROWS else None
     within = Window.partitionBy(partition, "_chunk").orderBy(order_col)
     numbered = keyed.join(small if small is not None else base, [partition, "_chunk"], "inner")
     return numbered.select(

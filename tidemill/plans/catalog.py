@@ -188,20 +188,20 @@ def store_documents_merged(spark, sf_dir):
 def stream_etl(spark, sf_dir):
     """Hop 1 as a stream; the enriched topic parsed back."""
     X.start(spark)
-    source = X.raw_topic(spark, sf_dir)
+    source, files = X.raw_topic(spark, sf_dir)
     out = scratch_path(spark, "topic-etl")
-    P.run([P.start_etl(spark, source, out, scratch_path(spark, "ckpt-etl"), X.ip_dim(spark, sf_dir), 1)])
+    P.run([P.start_etl(spark, source, out, scratch_path(spark, "ckpt-etl"), X.ip_dim(spark, sf_dir), files)])
     return _parse_back(read_topic(spark, out))
 
 
 def _stream_report(name):
     def query(spark, sf_dir):
         X.start(spark)
-        topic = X.etl_topic(spark, sf_dir)
+        topic, files = X.etl_topic(spark, sf_dir)
         store = scratch_path(spark, "store-kv")
         P.run(
             P.start_reports(
-                spark, topic, store, scratch_path(spark, "ckpt-report"), CITIES, 1, which=(name,),
+                spark, topic, store, scratch_path(spark, "ckpt-report"), CITIES, files, which=(name,),
                 query_suffix=f"-{store.rsplit('-', 1)[-1]}",
             )
         )
@@ -211,48 +211,57 @@ def _stream_report(name):
     return query
 
 
-def _two_hop(spark, sf_dir, source, etl, store, ckpt):
-    P.run([P.start_etl(spark, source, etl, f"{ckpt}/etl", X.ip_dim(spark, sf_dir), 1)])
+def _two_hop(spark, sf_dir, source, etl, store, ckpt, files):
+    P.run([P.start_etl(spark, source, etl, f"{ckpt}/etl", X.ip_dim(spark, sf_dir), files)])
     suffix = f"-{store.rsplit('-', 1)[-1]}"
-    P.run(P.start_reports(spark, etl, store, f"{ckpt}/reports", CITIES, 1, query_suffix=suffix))
+    P.run(P.start_reports(spark, etl, store, f"{ckpt}/reports", CITIES, files, query_suffix=suffix))
 
 
 def stream_two_hop(spark, sf_dir):
     """Raw topic -> ETL stream -> enriched topic -> three report streams; the province hash."""
     X.start(spark)
-    source = X.raw_topic(spark, sf_dir)
+    source, files = X.raw_topic(spark, sf_dir)
     etl, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-kv", "ckpt"))
-    _two_hop(spark, sf_dir, source, etl, store, ckpt)
+    _two_hop(spark, sf_dir, source, etl, store, ckpt, files)
     return P.report_tables(spark, store)["province"].read()
 
 
 def stream_restart(spark, sf_dir):
     """Run both hops, add input, run again from the same checkpoints; equals one pass over all."""
     X.start(spark)
-    source = X.raw_topic(spark, sf_dir, only=[0, 1])
+    source, files = X.raw_topic(spark, sf_dir, only=[0, 1])
     etl, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-kv", "ckpt"))
-    _two_hop(spark, sf_dir, source, etl, store, ckpt)
+    _two_hop(spark, sf_dir, source, etl, store, ckpt, files)
     X.raw_topic(spark, sf_dir, only=[2], path=source)
-    _two_hop(spark, sf_dir, source, etl, store, ckpt)
+    _two_hop(spark, sf_dir, source, etl, store, ckpt, files)
     return P.report_tables(spark, store)["province"].read()
 
 
+def stream_sets(spark, sf_dir):
+    """The three reports as ONE update-mode stream (one read, one state, consistent cells)."""
+    X.start(spark)
+    topic, files = X.etl_topic(spark, sf_dir)
+    store = scratch_path(spark, "store-cells")
+    P.run([P.start_reports_one_pass(spark, topic, store, scratch_path(spark, "ckpt-sets"), CITIES, files)])
+    return P.cell_table(spark, store).read()
+
+
 def stream_wide(spark, sf_dir):
     """Wide rows upserted per micro-batch."""
     X.start(spark)
-    topic = X.etl_topic(spark, sf_dir)
+    topic, files = X.etl_topic(spark, sf_dir)
     store = scratch_path(spark, "store-wide")
-    P.run([P.start_wide_rows(spark, topic, store, scratch_path(spark, "ckpt-wide"), 1)])
+    P.run([P.start_wide_rows(spark, topic, store, scratch_path(spark, "ckpt-wide"), files)])
     return P.wide_row_table(spark, store).read()
 
 
 def stream_documents(spark, sf_dir):
     """Documents merged per micro-batch (several versions per id)."""
     X.start(spark)
-    topic = X.etl_topic(spark, sf_dir)
+    topic, files = X.etl_topic(spark, sf_dir)
     store = scratch_path(spark, "store-docs")
     P.run(
-        [P.start_documents(spark, topic, store, scratch_path(spark, "ckpt-docs"), 1, rekey=X.rekey_documents,
+        [P.start_documents(spark, topic, store, scratch_path(spark, "ckpt-docs"), files, rekey=X.rekey_documents,
                            key="doc_id")]
     )
     return P.document_table(spark, store, "doc_id").read()
@@ -261,9 +270,9 @@ def stream_documents(spark, sf_dir):
 def stream_daily_bounded(spark, sf_dir):
     """T4 T5: daily totals on an event-time window with a watermark, over purchase events."""
     X.start(spark)
-    topic = X.event_topic(spark, sf_dir)
+    topic, files = X.event_topic(spark, sf_dir)
     store = scratch_path(spark, "store-bounded")
-    query, table = P.start_bounded_daily(spark, topic, store, scratch_path(spark, "ckpt-bounded"), 1)
+    query, table = P.start_bounded_daily(spark, topic, store, scratch_path(spark, "ckpt-bounded"), files)
     P.run([query])
     return table.read().select("order_date", F.col("total_amt").cast("decimal(20,2)").alias("total_amt"))
 
@@ -378,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "stream_city": _stream_report("city"),
     "stream_two_hop": stream_two_hop,
     "stream_restart": stream_restart,
+    "stream_sets": stream_sets,
     "stream_wide": stream_wide,
     "stream_documents": stream_documents,
     "stream_daily_bounded": stream_daily_bounded,

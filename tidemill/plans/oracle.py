@@ -29,7 +29,7 @@ junk AS (
   SELECT o_orderkey,
          CASE (o_orderkey // 101) % 6 WHEN 0 THEN NULL WHEN 1 THEN ',' WHEN 2 THEN ' ,, '
               WHEN 3 THEN concat(chr(9), ',', chr(10)) WHEN 4 THEN ', ,' ELSE '' END AS txt
-  FROM orders WHERE o_orderkey % 101 = 0
+  FROM raw WHERE o_orderkey % 101 = 0
 ),
 kept_junk AS (SELECT txt FROM junk WHERE (o_orderkey // 101) % 6 IN (4, 5))"""
 
@@ -247,3 +247,4 @@ SELECT topic, partition, max(from_offset) AS from_offset FROM merged GROUP BY to
 
 ORACLE["report_json_file"] = ORACLE["report_document"]
 ORACLE["report_csv_file"] = ORACLE["report_long"]
+ORACLE["stream_sets"] = ORACLE["report_sets"]

@@ -118,15 +118,18 @@ def write_topic_batches(
     batches: int = MICRO_BATCHES,
     by_range: bool = False,
     only: list[int] | None = None,
-    files_per_batch: int = 1,
-) -> None:
-    """Write a topic as ``batches`` separate appends (one per micro-batch when read
-    with ``maxFilesPerTrigger = files_per_batch``).
+    files_per_batch: int | None = None,
+) -> int:
+    """Write a topic as ``batches`` separate appends, each of ``files_per_batch`` files
+    (default: one per core), so that reading with ``maxFilesPerTrigger`` equal to the
+    returned file count gives one micro-batch per append. Each append is written by
+    all cores in parallel.
 
     Rows are dealt by ``position`` modulo ``batches``, or, with ``by_range``,
     cut into consecutive position ranges (keeps event time increasing across
     batches). Every row lands in exactly one batch.
     """
+    files = files_per_batch or messages.sparkSession.sparkContext.defaultParallelism
     pos = F.col(position)
     if by_range:
         b = messages.agg(F.min(position).alias("lo"), F.max(position).alias("hi")).first()
@@ -137,24 +140,27 @@ def write_topic_batches(
         slot = F.pmod(pos, F.lit(batches))
     for i in only if only is not None else range(batches):
         chunk = messages.filter(slot == i).drop(position)
-        write_topic(chunk.coalesce(files_per_batch), path)
+        write_topic(chunk, path, files=files)
+    return files
 
 
-def raw_topic(spark: SparkSession, sf_dir: str, only: list[int] | None = None, path: str | None = None) -> str:
+def raw_topic(
+    spark: SparkSession, sf_dir: str, only: list[int] | None = None, path: str | None = None
+) -> tuple[str, int]:
+    """Raw order topic in three micro-batches: (path, files per micro-batch)."""
     path = path or scratch_path(spark, "topic-orders")
-    write_topic_batches(raw_messages(spark, sf_dir, with_position=True), path, "o_orderkey", only=only)
-    return path
+    files = write_topic_batches(raw_messages(spark, sf_dir, with_position=True), path, "o_orderkey", only=only)
+    return path, files
 
 
-def etl_topic(spark: SparkSession, sf_dir: str) -> str:
-    """Hop-1 output written in batch as a topic of three micro-batches."""
+def etl_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """Hop-1 output written in batch as a topic of three micro-batches: (path, files per micro-batch)."""
     path = scratch_path(spark, "topic-etl")
     msgs = etl_messages(spark, sf_dir).withColumn("_pos", F.col("key").cast("bigint"))
-    write_topic_batches(msgs, path, "_pos")
-    return path
+    return path, write_topic_batches(msgs, path, "_pos")
 
 
-def event_topic(spark: SparkSession, sf_dir: str) -> str:
+def event_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     """Purchase events as enriched order messages, in three time-ordered micro-batches."""
     events = load_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
     msgs = events.select(
@@ -171,5 +177,4 @@ def event_topic(spark: SparkSession, sf_dir: str) -> str:
         ).alias("value"),
     )
     path = scratch_path(spark, "topic-events")
-    write_topic_batches(msgs, path, "event_id", by_range=True)
-    return path
+    return path, write_topic_batches(msgs, path, "event_id", by_range=True)

@@ -75,29 +75,20 @@ def raw_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON message per order: (o_orderkey, key NULL, value)."""
-    r = raw_order(spark, sf_dir)
-    return r.select(
-        "o_orderkey",
-        F.lit(None).cast("string").alias("key"),
-        record_json("orderId", "userId", "orderTime", "ip", "orderMoney", "orderStatus").alias("value"),
-    )
-
-
-def junk_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Junk lines interleaved with the orders: (o_orderkey, key NULL, value)."""
-    orders = load_table(spark, sf_dir, "orders").select("o_orderkey")
-    slot = F.pmod(F.floor(F.col("o_orderkey") / JUNK_EVERY), F.lit(len(JUNK_TEXTS)))
-    text = F.element_at(F.array(*[F.lit(t).cast("string") for t in JUNK_TEXTS]), (slot + 1).cast("int"))
-    return orders.filter(F.col("o_orderkey") % JUNK_EVERY == 0).select(
-        "o_orderkey", F.lit(None).cast("string").alias("key"), text.alias("value")
-    )
-
-
 def raw_messages(spark: SparkSession, sf_dir: str, with_position: bool = False) -> DataFrame:
-    """The source topic: order JSON plus junk. ``with_position`` keeps ``o_orderkey`` for splitting into batches."""
-    msgs = order_messages(spark, sf_dir).unionByName(junk_messages(spark, sf_dir))
+    """The source topic: one JSON message per order, and a junk line after every ``JUNK_EVERY``-th.
+
+    Both come from one scan of the orders (an ``explode`` of one or two
+    messages per order). ``with_position`` keeps ``o_orderkey`` for dealing
+    messages into micro-batches.
+    """
+    r = raw_order(spark, sf_dir)
+    k = F.col("o_orderkey")
+    text = record_json("orderId", "userId", "orderTime", "ip", "orderMoney", "orderStatus")
+    slot = F.pmod(F.floor(k / JUNK_EVERY), F.lit(len(JUNK_TEXTS)))
+    junk = F.element_at(F.array(*[F.lit(t).cast("string") for t in JUNK_TEXTS]), (slot + 1).cast("int"))
+    values = F.when(k % JUNK_EVERY == 0, F.array(text, junk)).otherwise(F.array(text))
+    msgs = r.select("o_orderkey", F.lit(None).cast("string").alias("key"), F.explode(values).alias("value"))
     return msgs if with_position else msgs.drop("o_orderkey")
 
 
