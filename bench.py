@@ -8,8 +8,10 @@ them. Timed, median of 3 after one warm-up unless noted:
 * flagship_tables the registered flagship query, message generation included
 * ip_{range,prefix}_{26,102k}  IP lookup with each join form, 26 and 102,400 ranges
 * report_sets     the three reports in one grouping-sets pass from the enriched topic
-* stream_reports  three update-mode report streams over the enriched topic (availableNow, once)
-* upsert_batch    one keyed upsert micro-batch (mean of 100), upsert_read the read after 100 batches
+* stream_reports  three update-mode report streams over the enriched topic (availableNow, once);
+                  stream_reports_one_pass the same cells from one grouping-sets stream
+* upsert_batch    one keyed upsert micro-batch (mean of 100), upsert_read the read after 100 batches,
+                  upsert_compact folding them into a snapshot, upsert_read_compacted the read after that
 """
 
 from __future__ import annotations
@@ -112,6 +114,9 @@ def main() -> None:
     q["stream_reports"] = round(time.perf_counter() - t0, 3)
     n_etl = etl.count()
     q["stream_reports_rows_per_sec"] = round(n_etl / q["stream_reports"], 1)
+    t0 = time.perf_counter()
+    P.run([P.start_reports_one_pass(spark, etl_topic_path, f"{scratch}/cells", f"{scratch}/ckpt-one", CITIES)])
+    q["stream_reports_one_pass"] = round(time.perf_counter() - t0, 3)
 
     # Keyed upsert: 100 micro-batches of province cells (running totals), then one read.
     cells = R.daily_by_province(R.report_input(etl)).cache()
@@ -125,6 +130,10 @@ def main() -> None:
         batch_times.append(time.perf_counter() - t0)
     q["upsert_batch"] = round(statistics.mean(batch_times), 3)
     q["upsert_read"] = timed(lambda: run(table.read()))
+    t0 = time.perf_counter()
+    table.compact()
+    q["upsert_compact"] = round(time.perf_counter() - t0, 3)
+    q["upsert_read_compacted"] = timed(lambda: run(table.read()))
 
     headline = q["flagship"]
     print(

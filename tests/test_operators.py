@@ -200,3 +200,11 @@ def test_offsets_numbering_matches_brute_force(spark):
     assert pending.count() == len(recs) - 100
     new = {r["partition"]: r["from_offset"] for r in save_offsets(ledger, pending).collect()}
     assert new == {p: n for p, n in counters.items()}
+
+
+def test_kv_get_cell_default(spark):
+    from tidemill.operators.stores import kv_get_cell
+
+    kv = spark.createDataFrame([("a", "global", "5.00")], "key string, field string, value string")
+    assert kv_get_cell(kv, "a", "global").collect()[0]["value"] == "5.00"
+    assert kv_get_cell(kv, "b", "global").collect()[0]["value"] == "0"

@@ -29,6 +29,15 @@ def writable_cells(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("key").isNotNull() & F.col("field").isNotNull() & F.col("value").isNotNull())
 
 
+def kv_get_cell(kv: DataFrame, key: str, field: str, default: str = DEFAULT_COUNT) -> DataFrame:
+    """One cell as a one-row DataFrame ``value``; an absent cell reads ``default``.
+
+    An aggregate without grouping always yields exactly one row.
+    """
+    hit = kv.filter((F.col("key") == key) & (F.col("field") == field))
+    return hit.agg(F.coalesce(F.max("value"), F.lit(default)).alias("value"))
+
+
 def kv_get(kv: DataFrame, requests: DataFrame, default: str = DEFAULT_COUNT) -> DataFrame:
     """Point reads ``requests(key, field)`` -> (key, field, value); a missing cell reads ``default``.
 
