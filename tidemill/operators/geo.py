@@ -20,8 +20,11 @@ UDF. Here the lookup is a real join against the dictionary table
   addresses) is spread over ``salts`` tasks instead of one. AQE's skew-join
   split applies on top.
 
-``auto`` picks by a proven row bound: ``limit(n + 1).count()`` reads at most
-n + 1 rows of the dictionary, so the check itself is bounded.
+``auto`` uses the broadcast bucket join when the bucket table is proven
+small (``limit(n + 1).count()`` reads at most n + 1 of its rows, so the
+check itself is bounded) and the salted shuffle join otherwise. The nested
+loop is never chosen automatically: even at 26 ranges it was no faster than
+the hash join, and its cost grows with the number of ranges.
 """
 
 from __future__ import annotations
@@ -33,8 +36,6 @@ from tidemill.functions.ip import ip_to_long
 from tidemill.functions.text import UNKNOWN, region_city, region_province
 
 BUCKET_BITS = 16
-# Dictionaries up to this many ranges may use the nested-loop form.
-NESTED_LOOP_MAX_RANGES = 256
 # Bucket rows (about 40 bytes each) up to this bound are broadcast: ~80 MB.
 BROADCAST_MAX_ROWS = 2_000_000
 DEFAULT_SALTS = 16
@@ -46,10 +47,29 @@ def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
 
 
 def guarded_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``F.broadcast(df)`` when its row count is proven <= ``max_rows``, else None."""
+    """``F.broadcast(df)`` when its row count is proven <= ``max_rows``, else None.
+
+    For a side that is cheap to read (a table). A side derived by an
+    expensive plan should go through ``bounded_side`` so it is computed once.
+    """
     return F.broadcast(df) if row_bound_holds(df, max_rows) else None
 
 
+def bounded_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """A derived join side, computed once, broadcast only if proven small.
+
+    The side is materialized with ``checkpoint()`` in the session's shared
+    checkpoint folder (which also cuts its lineage), so counting it and then
+    joining it does not run its plan twice; it is broadcast when its row count
+    is <= ``max_rows``, and joined by shuffle otherwise.
+    """
+    from tidemill.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)  # make sure a checkpoint folder is registered
+    saved = df.checkpoint(eager=True)
+    return F.broadcast(saved) if saved.count() <= max_rows else saved
+
+
 def _dim_cols(ip_dim: DataFrame) -> DataFrame:
     # F11 runs once per dictionary range here, not once per order after the join.
     return ip_dim.select(
@@ -143,8 +163,6 @@ def locate(
         return locate_shuffle(df, ip_dim, ip_col, salts)
     if strategy != "auto":
         raise ValueError(f"unknown strategy {strategy!r}")
-    if row_bound_holds(ip_dim, NESTED_LOOP_MAX_RANGES):
-        return locate_range(df, ip_dim, ip_col)
     buckets = bucket_table(ip_dim)
     if row_bound_holds(buckets, broadcast_max_rows):
         return locate_prefix(df, ip_dim, ip_col, buckets)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.geo import guarded_broadcast
+from tidemill.operators.geo import bounded_side
 from tidemill.operators.upsert import latest_by_key
 
 # Records per chunk on average: bounds each rank window's group. The base table has
@@ -73,7 +73,6 @@ def save_offsets(ledger: DataFrame, consumed: DataFrame) -> DataFrame:
 
 def resume(log: DataFrame, ledger: DataFrame) -> DataFrame:
     """Records at or after each partition's resume point; a partition without one starts at 0."""
-    points = ledger.select("topic", "partition", "from_offset")
-    small = guarded_broadcast(points, BASE_MAX_ROWS)
-    joined = log.join(small if small is not None else points, ["topic", "partition"], "left")
+    points = bounded_side(ledger.select("topic", "partition", "from_offset"), BASE_MAX_ROWS)
+    joined = log.join(points, ["topic", "partition"], "left")
     return joined.filter(F.col("offset") >= F.coalesce(F.col("from_offset"), F.lit(0))).drop("from_offset")

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidemill.functions.json import parse_json_struct
 from tidemill.functions.text import default_to, reverse_text
 from tidemill.operators.clean import drop_empty, message_text, parse_document
-from tidemill.operators.geo import guarded_broadcast
+from tidemill.operators.geo import bounded_side
 from tidemill.schemas import ORDER_FIELDS
 
 # The wide-row key parts used when a field is missing.
@@ -41,13 +41,13 @@ def kv_get_cell(kv: DataFrame, key: str, field: str, default: str = DEFAULT_COUN
 def kv_get(kv: DataFrame, requests: DataFrame, default: str = DEFAULT_COUNT) -> DataFrame:
     """Point reads ``requests(key, field)`` -> (key, field, value); a missing cell reads ``default``.
 
-    The request list is broadcast when proven small and the store is streamed
-    past it (right outer join); otherwise both sides shuffle on (key, field).
+    The request list is computed once; it is broadcast when proven small and
+    the store is streamed past it (right outer join), otherwise both sides
+    shuffle on (key, field).
     """
-    req = requests.select("key", "field")
-    small = guarded_broadcast(req, REQUESTS_MAX_ROWS)
+    req = bounded_side(requests.select("key", "field"), REQUESTS_MAX_ROWS)
     cells = kv.select("key", "field", "value")
-    joined = cells.join(small if small is not None else req, ["key", "field"], "right")
+    joined = cells.join(req, ["key", "field"], "right")
     return joined.select("key", "field", default_to("value", default).alias("value"))
 
 

@@ -18,7 +18,7 @@ from tidemill.operators.report import (
     report_input,
 )
 from tidemill.operators.upsert import latest_by_key
-from tidemill.session import prepare_session, scratch_path
+from tidemill.session import checkpoint_root, prepare_session, scratch_path
 from tidemill.sources.fixtures import CITIES, ip_dim, raw_messages
 from tidemill.sources.tables import load_table
 from tidemill.sources.topics import write_topic
@@ -29,7 +29,10 @@ DOCUMENT_IDS = 997
 
 
 def start(spark: SparkSession) -> SparkSession:
-    return prepare_session(spark)
+    """Session settings the queries rely on, and a registered checkpoint folder."""
+    prepare_session(spark)
+    checkpoint_root(spark)
+    return spark
 
 
 # ---------------------------------------------------------------- batch pipeline stages
