@@ -20,7 +20,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tidemill import prepare_session  # noqa: E402
+from tidemill import prepare_session, scratch_path  # noqa: E402
 from tidemill.operators import report as R  # noqa: E402
 from tidemill.operators.etl import enriched_orders, etl_transform  # noqa: E402
 from tidemill.plans.catalog import QUERIES  # noqa: E402
@@ -71,7 +70,6 @@ def fine_dim(spark, sf_dir):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    scratch = tempfile.mkdtemp(prefix="tidemill-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tidemill-bench")
@@ -79,11 +77,12 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "6g"))
-        .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     prepare_session(spark)
+    # Scratch data goes under the session's checkpoint folder (a private one only if none is set).
+    scratch = scratch_path(spark, "bench")
 
     # Untimed setup: topics as a message bus would hold them.
     raw_topic, etl_topic_path = f"{scratch}/topic-orders", f"{scratch}/topic-etl"

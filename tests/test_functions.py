@@ -139,3 +139,36 @@ def test_json_fields_equal_path_reader(spark):
              df.select("i", json_field("v", "a").alias("a"), json_field("v", "b").alias("b")).collect()}
     assert fast == exact
     assert fast[1] == ("1", "y") and fast[3] == ("5", None)
+
+
+def test_json_fields_property(spark):
+    """Random objects with repeated, escaped and missing keys: one-parse reader == path reader."""
+    import json as _json
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from tidemill.functions.json import json_fields
+
+    names = ["a", "b", "ab"]
+    value = st.one_of(st.integers(-5, 5), st.text("x\\\"0 ,", max_size=4), st.none(), st.booleans(),
+                      st.floats(allow_nan=False, allow_infinity=False, width=16))
+    member = st.tuples(st.sampled_from(names + ["c"]), value, st.booleans())
+
+    def render(members):
+        parts = []
+        for k, v, escape in members:
+            key = "".join(f"\\u{ord(ch):04x}" for ch in k) if escape else k
+            parts.append(f'"{key}":{_json.dumps(v)}')
+        return "{" + ",".join(parts) + "}"
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.lists(member, max_size=4), min_size=5, max_size=25))
+    def check(objects):
+        texts = [render(m) for m in objects]
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+        fast = sorted(tuple(r) for r in json_fields(df, "v", names, keep=("i",)).collect())
+        exact = sorted(tuple(r) for r in df.select("i", *[json_field("v", n).alias(n) for n in names]).collect())
+        assert fast == exact
+
+    check()
