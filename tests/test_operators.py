@@ -208,3 +208,13 @@ def test_kv_get_cell_default(spark):
     kv = spark.createDataFrame([("a", "global", "5.00")], "key string, field string, value string")
     assert kv_get_cell(kv, "a", "global").collect()[0]["value"] == "5.00"
     assert kv_get_cell(kv, "b", "global").collect()[0]["value"] == "0"
+
+
+def test_named_strategies_check_their_bound(spark, crafted_dim):
+    dim, ranges = crafted_dim
+    orders = spark.createDataFrame([("1", "11.0.0.1"), ("2", "10.0.0.9")], "orderId string, ip string")
+    for strategy in ("range", "prefix"):
+        df = geo.locate(orders, dim, strategy=strategy, broadcast_max_rows=2)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan, strategy  # over the bound: shuffled, not broadcast
+        assert {r["orderId"]: r["province"] for r in df.collect()} == {"1": "P3", "2": "P0"}

@@ -107,7 +107,8 @@ def _in_range():
 
 
 def locate_range(df: DataFrame, ip_dim: DataFrame, ip_col: str = "ip") -> DataFrame:
-    """Broadcast nested-loop range join (tiny dictionaries)."""
+    """Broadcast nested-loop range join. Broadcasts ``ip_dim`` as is: call through
+    ``locate``, which checks its size first."""
     columns = df.columns
     probe = df.withColumn("_ip_num", ip_to_long(ip_col))
     joined = probe.join(F.broadcast(_dim_cols(ip_dim)), _in_range(), "left")
@@ -115,7 +116,8 @@ def locate_range(df: DataFrame, ip_dim: DataFrame, ip_col: str = "ip") -> DataFr
 
 
 def locate_prefix(df: DataFrame, ip_dim: DataFrame, ip_col: str = "ip", buckets: DataFrame | None = None) -> DataFrame:
-    """/16-bucket equi-join with the bucket table broadcast."""
+    """/16-bucket equi-join with the bucket table broadcast. Call through ``locate``,
+    which checks the bucket table's size first."""
     columns = df.columns
     table = F.broadcast(buckets if buckets is not None else bucket_table(ip_dim))
     probe = df.withColumn("_ip_num", ip_to_long(ip_col)).withColumn(
@@ -155,14 +157,16 @@ def locate(
     fewer than four parts, give ("Unknown", "Unknown"). Every input row is
     kept exactly once (ranges are disjoint).
     """
-    if strategy == "range":
-        return locate_range(df, ip_dim, ip_col)
-    if strategy == "prefix":
-        return locate_prefix(df, ip_dim, ip_col)
+    if strategy not in ("auto", "range", "prefix", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     if strategy == "shuffle":
         return locate_shuffle(df, ip_dim, ip_col, salts)
-    if strategy != "auto":
-        raise ValueError(f"unknown strategy {strategy!r}")
+    # Every broadcast form is behind a proven bound; beyond it, the salted shuffle join
+    # gives the same rows.
+    if strategy == "range":
+        if row_bound_holds(ip_dim, broadcast_max_rows):
+            return locate_range(df, ip_dim, ip_col)
+        return locate_shuffle(df, ip_dim, ip_col, salts)
     buckets = bucket_table(ip_dim)
     if row_bound_holds(buckets, broadcast_max_rows):
         return locate_prefix(df, ip_dim, ip_col, buckets)
