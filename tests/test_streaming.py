@@ -146,3 +146,25 @@ def test_one_pass_report_stream_equals_batch_sets(spark, scratch):
     got = sorted(tuple(r) for r in P.cell_table(spark, store).read().select("grain", "key", "field", "value").collect())
     want = sorted(tuple(r) for r in R.sets_to_cells(X.sets(spark, SF_SMALL)).collect())
     assert got == want and len(want) > 0
+
+
+def test_automatic_compaction_and_replay_after_it(spark, scratch):
+    schema = "key string, field string, value string"
+    table = KeyedTable(spark, scratch("kv"), ["key", "field"], compact_every=2)
+    batches = [[("k", "f", "1")], [("k", "g", "2")], [("k", "f", "3")]]
+    for i, rows in enumerate(batches):
+        table.apply_batch(spark.createDataFrame(rows, schema), i)
+    _, snapshots = table._entries()
+    assert snapshots == [1]
+    table.apply_batch(spark.createDataFrame(batches[1], schema), 1)  # replay of a compacted batch
+    assert sorted(table.read().collect()) == [("k", "f", "3"), ("k", "g", "2")]
+
+
+def test_replay_of_the_last_compacted_batch(spark, scratch):
+    schema = "key string, field string, value string"
+    table = KeyedTable(spark, scratch("kv"), ["key", "field"], compact_every=2)
+    table.apply_batch(spark.createDataFrame([("k", "f", "1")], schema), 0)
+    table.apply_batch(spark.createDataFrame([("k", "f", "2")], schema), 1)  # compacts up to 1
+    table.apply_batch(spark.createDataFrame([("k", "f", "2")], schema), 1)  # replay: nothing to fold
+    assert table._entries() == ([], [1])
+    assert table.read().collect() == [("k", "f", "2")]

@@ -48,6 +48,7 @@ class KeyedTable:
     order: list = field(default_factory=list)
     mode: str = "replace"
     prepare: object = None  # optional DataFrame -> DataFrame applied to each batch
+    compact_every: int | None = None  # fold into a snapshot after every N-th batch id
 
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         if self.prepare is not None:
@@ -56,6 +57,10 @@ class KeyedTable:
         if batch.isEmpty():
             return
         batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
+        # A replay of a batch already folded into a snapshot is ignored by reads
+        # (they take batches after the snapshot only), and the snapshot holds its rows.
+        if self.compact_every and (int(batch_id) + 1) % self.compact_every == 0:
+            self.compact()
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.apply_batch(batch, batch_id)
@@ -128,9 +133,14 @@ class KeyedTable:
         if not batches:
             return
         upto = batches[-1]
+        jvm, fs, root = self._fs()
+        if snapshots and upto <= snapshots[-1]:
+            # Only replays of batches the newest snapshot already holds: drop them.
+            for b in batches:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"batch_id={b}"), True)
+            return
         current = self.read()
         current.write.mode("overwrite").parquet(f"{self.path}/{SNAPSHOT_PREFIX}{upto}")
-        jvm, fs, root = self._fs()
         for b in batches:
             if b <= upto:
                 fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"batch_id={b}"), True)
