@@ -47,9 +47,10 @@ def _watermarked(orders: DataFrame, watermark: str | None) -> DataFrame:
     return orders.withWatermark("order_timestamp", watermark) if watermark else orders
 
 
-def _cells(agg: DataFrame, prefix: str, field) -> DataFrame:
+def to_cells(agg: DataFrame, prefix: str, field, keep: tuple[str, ...] = ()) -> DataFrame:
     """key = prefix:yyyy-MM-dd (a NULL date leaves the bare prefix), value = sum as text."""
     return agg.select(
+        *keep,
         F.concat_ws(":", F.lit(prefix), F.col("order_date").cast("string")).alias("key"),
         field.alias("field"),
         F.col("total_amt").cast("string").alias("value"),
@@ -74,7 +75,7 @@ def allow_cities_semi(orders: DataFrame, city_table: DataFrame) -> DataFrame:
 def daily_total(orders: DataFrame, watermark: str | None = None) -> DataFrame:
     """A1: cells ``orders:money:total:<date>`` / ``global``."""
     agg = _watermarked(orders, watermark).groupBy("order_date").agg(F.sum("money").alias("total_amt"))
-    return _cells(agg, PREFIX_TOTAL, F.lit(FIELD_GLOBAL))
+    return to_cells(agg, PREFIX_TOTAL, F.lit(FIELD_GLOBAL))
 
 
 def daily_by_province(orders: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -84,7 +85,7 @@ def daily_by_province(orders: DataFrame, watermark: str | None = None) -> DataFr
         .groupBy("order_date", "province")
         .agg(F.sum("money").alias("total_amt"))
     )
-    return _cells(agg, PREFIX_PROVINCE, F.col("province"))
+    return to_cells(agg, PREFIX_PROVINCE, F.col("province"))
 
 
 def daily_by_city(
@@ -96,23 +97,28 @@ def daily_by_city(
     """A3: cells ``orders:money:city:<date>`` / city, allow-listed by list (W4) or table."""
     kept = allow_cities_semi(orders, city_table) if city_table is not None else allow_cities(orders, cities)
     agg = _watermarked(kept, watermark).groupBy("order_date", "city").agg(F.sum("money").alias("total_amt"))
-    return _cells(agg, PREFIX_CITY, F.col("city"))
+    return to_cells(agg, PREFIX_CITY, F.col("city"))
 
 
-def daily_sets(orders: DataFrame, cities: list[str]) -> DataFrame:
+def daily_sets(orders: DataFrame, cities: list[str], by: tuple[str, ...] = ()) -> DataFrame:
     """A4: the three reports in one pass with GROUPING SETS, so all three agree.
 
-    Returns ``grain`` ('total' | 'province' | 'city'), ``order_date``,
-    ``category`` and ``total_amt`` (decimal(20,2)). The allow-list applies to
-    the city set only.
+    Returns ``grain`` ('total' | 'province' | 'city'), the ``by`` columns,
+    ``order_date``, ``category`` and ``total_amt`` (decimal(20,2)). The
+    allow-list applies to the city set only. ``by`` columns (e.g. a
+    micro-batch id) are added to every grouping set.
     """
     df = orders.select(
-        "order_date", "province", F.when(F.col("city").isin(cities), F.col("city")).alias("_city"), "money"
+        *by, "order_date", "province", F.when(F.col("city").isin(cities), F.col("city")).alias("_city"), "money"
     )
+    keys = [*by, "order_date"]
     agg = df.groupingSets(
-        [["order_date"], ["order_date", "province"], ["order_date", "_city"]], "order_date", "province", "_city"
-    ).agg(F.sum("money").alias("total_amt"), F.grouping_id().alias("_gid"))
-    # grouping_id bits (order_date, province, _city): 3 = total, 1 = by province, 2 = by city.
+        [keys, [*keys, "province"], [*keys, "_city"]], *keys, "province", "_city"
+    ).agg(
+        F.sum("money").alias("total_amt"),
+        (F.grouping("province") * 2 + F.grouping("_city")).alias("_gid"),
+    )
+    # grouping bits (province, _city): 3 = total, 1 = by province, 2 = by city.
     grain = F.when(F.col("_gid") == 3, "total").when(F.col("_gid") == 1, "province").otherwise("city")
     category = (
         F.when(F.col("_gid") == 3, F.lit(FIELD_GLOBAL))
@@ -120,18 +126,19 @@ def daily_sets(orders: DataFrame, cities: list[str]) -> DataFrame:
         .otherwise(F.col("_city"))
     )
     return agg.filter(~((F.col("_gid") == 2) & F.col("_city").isNull())).select(
-        grain.alias("grain"), "order_date", category.alias("category"), sales("total_amt").alias("total_amt")
+        grain.alias("grain"), *by, "order_date", category.alias("category"), sales("total_amt").alias("total_amt")
     )
 
 
-def sets_to_cells(sets: DataFrame) -> DataFrame:
-    """A4 as hash cells: (grain, key, field, value)."""
+def sets_to_cells(sets: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A4 as hash cells: (grain, key, field, value), plus any ``keep`` columns."""
     prefix = (
         F.when(F.col("grain") == "total", F.lit(PREFIX_TOTAL))
         .when(F.col("grain") == "province", F.lit(PREFIX_PROVINCE))
         .otherwise(F.lit(PREFIX_CITY))
     )
     return sets.select(
+        *keep,
         "grain",
         F.concat_ws(":", prefix, F.col("order_date").cast("string")).alias("key"),
         F.col("category").alias("field"),

@@ -16,6 +16,7 @@ from tidemill.operators.report import (
     daily_sets,
     daily_total,
     report_input,
+    sets_to_cells,
 )
 from tidemill.operators.upsert import latest_by_key
 from tidemill.session import checkpoint_root, prepare_session, scratch_path
@@ -71,27 +72,18 @@ def update_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``(batch_id, key, field, value)`` for all three reports.
     """
     msgs = etl_messages(spark, sf_dir)
-    batch = F.pmod(F.col("key").cast("bigint"), F.lit(MICRO_BATCHES)).cast("int")
-    with_batch = report_input(msgs.withColumn("batch_id", batch), keep=("batch_id",))
-    parts = []
-    for grain, group, field in (
-        ("total", ["order_date"], F.lit("global")),
-        ("province", ["order_date", "province"], F.col("province")),
-        ("city", ["order_date", "city"], F.col("city")),
-    ):
-        src = with_batch if grain != "city" else with_batch.filter(F.col("city").isin(CITIES))
-        per_batch = src.groupBy("batch_id", *group).agg(F.sum("money").alias("amt"))
-        running = Window.partitionBy(*group).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-        prefix = f"orders:money:{grain}"
-        parts.append(
-            per_batch.select(
-                "batch_id",
-                F.concat_ws(":", F.lit(prefix), F.col("order_date").cast("string")).alias("key"),
-                field.alias("field"),
-                F.sum("amt").over(running).cast("string").alias("value"),
-            )
-        )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    batch = F.pmod(F.col("key").try_cast("bigint"), F.lit(MICRO_BATCHES)).cast("int")
+    rows = report_input(msgs.withColumn("batch_id", batch), keep=("batch_id",))
+    # One pass: per (batch, cell) sums for all three reports, then the running total
+    # per cell over the micro-batches (a cell's window holds one row per batch).
+    per_batch = daily_sets(rows, CITIES, by=("batch_id",))
+    running = (
+        Window.partitionBy("grain", "order_date", "category")
+        .orderBy("batch_id")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    totals = per_batch.withColumn("total_amt", F.sum("total_amt").over(running))
+    return sets_to_cells(totals, keep=("batch_id",)).drop("grain")
 
 
 def kv_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,7 +101,7 @@ def date_spine(rows: DataFrame) -> DataFrame:
 def rekey_documents(docs: DataFrame) -> DataFrame:
     """Fixture: deal documents onto ``DOCUMENT_IDS`` ids so each id has several versions."""
     return docs.withColumn(
-        "doc_id", F.pmod(F.col("orderId").cast("bigint"), F.lit(DOCUMENT_IDS)).cast("string")
+        "doc_id", F.pmod(F.col("orderId").try_cast("bigint"), F.lit(DOCUMENT_IDS)).cast("string")
     ).select("doc_id", *docs.columns)
 
 
@@ -159,7 +151,7 @@ def raw_topic(
 def etl_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     """Hop-1 output written in batch as a topic of three micro-batches: (path, files per micro-batch)."""
     path = scratch_path(spark, "topic-etl")
-    msgs = etl_messages(spark, sf_dir).withColumn("_pos", F.col("key").cast("bigint"))
+    msgs = etl_messages(spark, sf_dir).withColumn("_pos", F.col("key").try_cast("bigint"))
     return path, write_topic_batches(msgs, path, "_pos")
 
 
