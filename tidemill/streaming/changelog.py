@@ -53,10 +53,16 @@ class KeyedTable:
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         if self.prepare is not None:
             batch = self.prepare(batch)
-        # Skip an empty micro-batch; the query's checkpoint still records its id.
-        if batch.isEmpty():
-            return
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
+        # Two actions follow (the emptiness test and the write): keep the batch so its
+        # plan, stateful operators included, runs once. Spills to disk if large.
+        batch.persist()
+        try:
+            # Skip an empty micro-batch; the query's checkpoint still records its id.
+            if batch.isEmpty():
+                return
+            batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
+        finally:
+            batch.unpersist()
         # A replay of a batch already folded into a snapshot is ignored by reads
         # (they take batches after the snapshot only), and the snapshot holds its rows.
         if self.compact_every and (int(batch_id) + 1) % self.compact_every == 0:
