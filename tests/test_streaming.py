@@ -80,25 +80,25 @@ def test_compaction_keeps_results(spark, scratch):
 
 
 def test_stream_etl_equals_batch(spark, scratch):
-    source, files = X.raw_topic(spark, SF_SMALL)
-    out = scratch("etl")
-    P.run([P.start_etl(spark, source, out, scratch("ckpt"), ip_dim(spark, SF_SMALL), files)])
+    source, out, ckpt = scratch("raw"), scratch("etl"), scratch("ckpt")
+    dim = ip_dim(spark, SF_SMALL)
+    X.feed(source, X.raw_arrivals(spark, SF_SMALL), lambda: P.run([P.start_etl(spark, source, out, ckpt, dim, 1)]))
     streamed = sorted(read_topic(spark, out).collect())
     batch = sorted(X.etl_messages(spark, SF_SMALL).collect())
     assert streamed == batch and len(batch) > 0
 
 
 def test_restart_equals_one_pass(spark, scratch):
-    source, files = X.raw_topic(spark, SF_SMALL, only=[0])
-    etl, store, ckpt = scratch("etl"), scratch("kv"), scratch("ckpt")
+    source, etl, store, ckpt = scratch("raw"), scratch("etl"), scratch("kv"), scratch("ckpt")
 
     def both_hops():
-        P.run([P.start_etl(spark, source, etl, f"{ckpt}/etl", ip_dim(spark, SF_SMALL), files)])
-        P.run(P.start_reports(spark, etl, store, f"{ckpt}/rep", CITIES, files, query_suffix="-restart"))
+        P.run([P.start_etl(spark, source, etl, f"{ckpt}/etl", ip_dim(spark, SF_SMALL), 1)])
+        P.run(P.start_reports(spark, etl, store, f"{ckpt}/rep", CITIES, 1, query_suffix="-restart"))
 
-    both_hops()
-    X.raw_topic(spark, SF_SMALL, only=[1, 2], path=source)
-    both_hops()
+    arrivals = X.raw_arrivals(spark, SF_SMALL)
+    X.feed(source, arrivals, both_hops, only=[0])
+    X.feed(source, arrivals, lambda: None, only=[1])
+    X.feed(source, arrivals, both_hops, only=[2])
     both_hops()  # nothing new: no change
     got = sorted(P.report_tables(spark, store)["province"].read().collect())
     want = sorted(R.daily_by_province(X.report_rows(spark, SF_SMALL)).collect())
@@ -140,9 +140,9 @@ def test_processing_time_trigger_builds(spark):
 
 
 def test_one_pass_report_stream_equals_batch_sets(spark, scratch):
-    topic, files = X.etl_topic(spark, SF_SMALL)
-    store = scratch("cells")
-    P.run([P.start_reports_one_pass(spark, topic, store, scratch("ckpt"), CITIES, files)])
+    topic, store, ckpt = scratch("etl"), scratch("cells"), scratch("ckpt")
+    X.feed(topic, X.etl_arrivals(spark, SF_SMALL),
+           lambda: P.run([P.start_reports_one_pass(spark, topic, store, ckpt, CITIES)]))
     got = sorted(tuple(r) for r in P.cell_table(spark, store).read().select("grain", "key", "field", "value").collect())
     want = sorted(tuple(r) for r in R.sets_to_cells(X.sets(spark, SF_SMALL)).collect())
     assert got == want and len(want) > 0

@@ -185,95 +185,105 @@ def store_documents_merged(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
+# Each streaming query is fed its input in three arrivals; after each arrival the
+# query runs once with availableNow from its checkpoint (so every run is a restart).
+
+
 def stream_etl(spark, sf_dir):
-    """Hop 1 as a stream; the enriched topic parsed back."""
+    """Hop 1 as a stream; the enriched topic parsed back."""
     X.start(spark)
-    source, files = X.raw_topic(spark, sf_dir)
-    out = scratch_path(spark, "topic-etl")
-    P.run([P.start_etl(spark, source, out, scratch_path(spark, "ckpt-etl"), X.ip_dim(spark, sf_dir), files)])
+    source, out, ckpt = (scratch_path(spark, n) for n in ("topic-orders", "topic-etl", "ckpt-etl"))
+    dim = X.ip_dim(spark, sf_dir)
+    X.feed(source, X.raw_arrivals(spark, sf_dir), lambda: P.run([P.start_etl(spark, source, out, ckpt, dim)]))
     return _parse_back(read_topic(spark, out))
 
 
+def _suffix(path: str) -> str:
+    return "-" + path.rsplit("-", 1)[-1]
+
+
 def _stream_report(name):
     def query(spark, sf_dir):
         X.start(spark)
-        topic, files = X.etl_topic(spark, sf_dir)
-        store = scratch_path(spark, "store-kv")
-        P.run(
-            P.start_reports(
-                spark, topic, store, scratch_path(spark, "ckpt-report"), CITIES, files, which=(name,),
-                query_suffix=f"-{store.rsplit('-', 1)[-1]}",
-            )
-        )
+        topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-kv", "ckpt-report"))
+
+        def run_once():
+            P.run(P.start_reports(spark, topic, store, ckpt, CITIES, which=(name,), query_suffix=_suffix(store)))
+
+        X.feed(topic, X.etl_arrivals(spark, sf_dir), run_once)
         return P.report_tables(spark, store)[name].read()
 
     query.__doc__ = f"S2 T2 T3 T6 U3: the {name} report as an update-mode stream into the hash store."
     return query
 
 
-def _two_hop(spark, sf_dir, source, etl, store, ckpt, files):
-    P.run([P.start_etl(spark, source, etl, f"{ckpt}/etl", X.ip_dim(spark, sf_dir), files)])
-    suffix = f"-{store.rsplit('-', 1)[-1]}"
-    P.run(P.start_reports(spark, etl, store, f"{ckpt}/reports", CITIES, files, query_suffix=suffix))
+def _both_hops(spark, sf_dir, source, etl, store, ckpt):
+    dim = X.ip_dim(spark, sf_dir)
+
+    def run_once():
+        P.run([P.start_etl(spark, source, etl, f"{ckpt}/etl", dim)])
+        P.run(P.start_reports(spark, etl, store, f"{ckpt}/reports", CITIES, query_suffix=_suffix(store)))
+
+    return run_once
 
 
 def stream_two_hop(spark, sf_dir):
     """Raw topic -> ETL stream -> enriched topic -> three report streams; the province hash."""
     X.start(spark)
-    source, files = X.raw_topic(spark, sf_dir)
-    etl, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-kv", "ckpt"))
-    _two_hop(spark, sf_dir, source, etl, store, ckpt, files)
+    source, etl, store, ckpt = (scratch_path(spark, n) for n in ("topic-orders", "topic-etl", "store-kv", "ckpt"))
+    X.feed(source, X.raw_arrivals(spark, sf_dir), _both_hops(spark, sf_dir, source, etl, store, ckpt))
     return P.report_tables(spark, store)["province"].read()
 
 
 def stream_restart(spark, sf_dir):
-    """Run both hops, add input, run again from the same checkpoints; equals one pass over all."""
+    """Both hops run over two arrivals at once, again after the third, and once more with
+    nothing new; equals one pass over everything."""
     X.start(spark)
-    source, files = X.raw_topic(spark, sf_dir, only=[0, 1])
-    etl, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-kv", "ckpt"))
-    _two_hop(spark, sf_dir, source, etl, store, ckpt, files)
-    X.raw_topic(spark, sf_dir, only=[2], path=source)
-    _two_hop(spark, sf_dir, source, etl, store, ckpt, files)
+    source, etl, store, ckpt = (scratch_path(spark, n) for n in ("topic-orders", "topic-etl", "store-kv", "ckpt"))
+    run_once = _both_hops(spark, sf_dir, source, etl, store, ckpt)
+    arrivals = X.raw_arrivals(spark, sf_dir)
+    X.feed(source, arrivals, lambda: None, only=[0])
+    X.feed(source, arrivals, run_once, only=[1])
+    X.feed(source, arrivals, run_once, only=[2])
+    run_once()
     return P.report_tables(spark, store)["province"].read()
 
 
 def stream_sets(spark, sf_dir):
     """The three reports as ONE update-mode stream (one read, one state, consistent cells)."""
     X.start(spark)
-    topic, files = X.etl_topic(spark, sf_dir)
-    store = scratch_path(spark, "store-cells")
-    P.run([P.start_reports_one_pass(spark, topic, store, scratch_path(spark, "ckpt-sets"), CITIES, files)])
+    topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-cells", "ckpt-sets"))
+    X.feed(topic, X.etl_arrivals(spark, sf_dir),
+           lambda: P.run([P.start_reports_one_pass(spark, topic, store, ckpt, CITIES)]))
     return P.cell_table(spark, store).read()
 
 
 def stream_wide(spark, sf_dir):
     """Wide rows upserted per micro-batch."""
     X.start(spark)
-    topic, files = X.etl_topic(spark, sf_dir)
-    store = scratch_path(spark, "store-wide")
-    P.run([P.start_wide_rows(spark, topic, store, scratch_path(spark, "ckpt-wide"), files)])
+    topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-wide", "ckpt-wide"))
+    X.feed(topic, X.etl_arrivals(spark, sf_dir), lambda: P.run([P.start_wide_rows(spark, topic, store, ckpt)]))
     return P.wide_row_table(spark, store).read()
 
 
 def stream_documents(spark, sf_dir):
     """Documents merged per micro-batch (several versions per id)."""
     X.start(spark)
-    topic, files = X.etl_topic(spark, sf_dir)
-    store = scratch_path(spark, "store-docs")
-    P.run(
-        [P.start_documents(spark, topic, store, scratch_path(spark, "ckpt-docs"), files, rekey=X.rekey_documents,
-                           key="doc_id")]
-    )
+    topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-docs", "ckpt-docs"))
+
+    def run_once():
+        P.run([P.start_documents(spark, topic, store, ckpt, rekey=X.rekey_documents, key="doc_id")])
+
+    X.feed(topic, X.etl_arrivals(spark, sf_dir), run_once)
     return P.document_table(spark, store, "doc_id").read()
 
 
 def stream_daily_bounded(spark, sf_dir):
     """T4 T5: daily totals on an event-time window with a watermark, over purchase events."""
     X.start(spark)
-    topic, files = X.event_topic(spark, sf_dir)
-    store = scratch_path(spark, "store-bounded")
-    query, table = P.start_bounded_daily(spark, topic, store, scratch_path(spark, "ckpt-bounded"), files)
-    P.run([query])
+    topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-events", "store-bounded", "ckpt-bounded"))
+    X.feed(topic, X.event_arrivals(spark, sf_dir), lambda: P.run([P.start_bounded_daily(spark, topic, store, ckpt)[0]]))
+    table = P.bounded_table(spark, store)
     return table.read().select("order_date", F.col("total_amt").cast("decimal(20,2)").alias("total_amt"))
 
 

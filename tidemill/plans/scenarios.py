@@ -106,57 +106,49 @@ def rekey_documents(docs: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- streaming scenarios
-def write_topic_batches(
-    messages: DataFrame,
-    path: str,
-    position: str,
-    batches: int = MICRO_BATCHES,
-    by_range: bool = False,
-    only: list[int] | None = None,
-    files_per_batch: int | None = None,
-) -> int:
-    """Write a topic as ``batches`` separate appends, each of ``files_per_batch`` files
-    (default: one per core), so that reading with ``maxFilesPerTrigger`` equal to the
-    returned file count gives one micro-batch per append. Each append is written by
-    all cores in parallel.
-
-    Rows are dealt by ``position`` modulo ``batches``, or, with ``by_range``,
-    cut into consecutive position ranges (keeps event time increasing across
-    batches). Every row lands in exactly one batch.
-    """
-    files = files_per_batch or messages.sparkSession.sparkContext.defaultParallelism
+def chunks(messages: DataFrame, position: str, batches: int = MICRO_BATCHES, by_range: bool = False) -> list[DataFrame]:
+    """Split messages into ``batches`` arrivals: dealt by ``position`` modulo ``batches``, or,
+    with ``by_range``, cut into consecutive position ranges (event time then increases
+    from one arrival to the next). Every row lands in exactly one arrival."""
     pos = F.col(position)
     if by_range:
         b = messages.agg(F.min(position).alias("lo"), F.max(position).alias("hi")).first()
-        lo, hi = int(b["lo"]), int(b["hi"])
+        lo, hi = (int(b["lo"]), int(b["hi"])) if b["lo"] is not None else (0, 0)
         width = max(1, -(-(hi - lo + 1) // batches))
         slot = F.floor((pos - F.lit(lo)) / F.lit(width))
     else:
         slot = F.pmod(pos, F.lit(batches))
-    for i in only if only is not None else range(batches):
-        chunk = messages.filter(slot == i).drop(position)
-        write_topic(chunk, path, files=files)
-    return files
+    return [messages.filter(slot == i).drop(position) for i in range(batches)]
+
+
+def feed(topic: str, arrivals: list[DataFrame], run_once, only: list[int] | None = None) -> None:
+    """Append each arrival to the topic and run the stream once (``availableNow``) before the next.
+
+    Each run restarts the query from its checkpoint and processes exactly the
+    arrival just appended as one micro-batch, so micro-batch boundaries do
+    not depend on file counts or modification times. Arrivals are written by
+    all cores in parallel.
+    """
+    for i, arrival in enumerate(arrivals):
+        if only is not None and i not in only:
+            continue
+        write_topic(arrival, topic, files=arrival.sparkSession.sparkContext.defaultParallelism)
+        run_once()
 
 
-def raw_topic(
-    spark: SparkSession, sf_dir: str, only: list[int] | None = None, path: str | None = None
-) -> tuple[str, int]:
-    """Raw order topic in three micro-batches: (path, files per micro-batch)."""
-    path = path or scratch_path(spark, "topic-orders")
-    files = write_topic_batches(raw_messages(spark, sf_dir, with_position=True), path, "o_orderkey", only=only)
-    return path, files
+def raw_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The raw order topic's messages in three arrivals (dealt by order key)."""
+    return chunks(raw_messages(spark, sf_dir, with_position=True), "o_orderkey")
 
 
-def etl_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """Hop-1 output written in batch as a topic of three micro-batches: (path, files per micro-batch)."""
-    path = scratch_path(spark, "topic-etl")
+def etl_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Hop-1 output computed in batch, in three arrivals (dealt by order key)."""
     msgs = etl_messages(spark, sf_dir).withColumn("_pos", F.col("key").try_cast("bigint"))
-    return path, write_topic_batches(msgs, path, "_pos")
+    return chunks(msgs, "_pos")
 
 
-def event_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """Purchase events as enriched order messages, in three time-ordered micro-batches."""
+def event_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Purchase events as enriched order messages, in three time-ordered arrivals."""
     events = load_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
     msgs = events.select(
         F.col("event_id"),
@@ -171,5 +163,4 @@ def event_topic(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
             )
         ).alias("value"),
     )
-    path = scratch_path(spark, "topic-events")
-    return path, write_topic_batches(msgs, path, "event_id", by_range=True)
+    return chunks(msgs, "event_id", by_range=True)

@@ -230,6 +230,11 @@ def bounded_daily_total(orders: DataFrame, delay: str = WATERMARK_DELAY) -> Data
     )
 
 
+def bounded_table(spark: SparkSession, store: str) -> KeyedTable:
+    """Daily totals of the bounded form, replaced per day."""
+    return KeyedTable(spark, store, ["order_date"], mode="replace")
+
+
 def start_bounded_daily(
     spark: SparkSession,
     etl_topic: str,
@@ -239,7 +244,7 @@ def start_bounded_daily(
     trigger: Trigger = AVAILABLE_NOW,
 ) -> tuple[StreamingQuery, KeyedTable]:
     orders = report_input(read_topic(spark, etl_topic, streaming=True, max_per_trigger=max_per_trigger))
-    table = KeyedTable(spark, store, ["order_date"], mode="replace")
+    table = bounded_table(spark, store)
     writer = (
         bounded_daily_total(orders)
         .writeStream.outputMode("update")
