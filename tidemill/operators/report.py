@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.casts import sales
+from tidemill.schemas import SALES
 from tidemill.operators.clean import drop_empty, message_text, parse_report_input
 from tidemill.operators.geo import guarded_broadcast
 
@@ -146,6 +147,26 @@ def sets_to_cells(sets: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def cells_to_sets(cells: DataFrame) -> DataFrame:
+    """Hash cells (key, field, value) back to report rows (grain, order_date, category, total_amt).
+
+    This is how the exports read the live store: the grain comes from the key
+    prefix, the day from the key suffix. Cells of other prefixes are ignored.
+    """
+    grain = (
+        F.when(F.col("key").startswith(PREFIX_TOTAL + ":"), F.lit("total"))
+        .when(F.col("key").startswith(PREFIX_PROVINCE + ":"), F.lit("province"))
+        .when(F.col("key").startswith(PREFIX_CITY + ":"), F.lit("city"))
+    )
+    day = F.substring_index(F.col("key"), ":", -1).try_cast("date")
+    return cells.select(
+        grain.alias("grain"),
+        day.alias("order_date"),
+        F.col("field").alias("category"),
+        F.col("value").try_cast(SALES).alias("total_amt"),
+    ).filter(F.col("grain").isNotNull())
+
+
 def report_long(sets: DataFrame) -> DataFrame:
     """A5: (date, dimension, category, sales), the long table of the CSV report."""
     dimension = (

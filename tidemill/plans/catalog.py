@@ -158,6 +158,12 @@ def store_kv_getall(spark, sf_dir):
     return hashes.select("key", F.size("fields").alias("n_fields"), F.array_join(entries, ";").alias("entries"))
 
 
+def report_from_store(spark, sf_dir):
+    """The daily documents rebuilt from the hash store's cells, as the export reads them."""
+    X.start(spark)
+    return R.flatten_document(R.report_document(R.cells_to_sets(X.kv_store(spark, sf_dir))))
+
+
 def store_wide_rows(spark, sf_dir):
     """Wide rows of every enriched message."""
     X.start(spark)
@@ -387,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "store_kv_latest": store_kv_latest,
     "store_kv_get": store_kv_get,
     "store_kv_getall": store_kv_getall,
+    "report_from_store": report_from_store,
     "store_wide_rows": store_wide_rows,
     "store_wide_latest": store_wide_latest,
     "store_documents": store_documents,

@@ -248,3 +248,4 @@ SELECT topic, partition, max(from_offset) AS from_offset FROM merged GROUP BY to
 ORACLE["report_json_file"] = ORACLE["report_document"]
 ORACLE["report_csv_file"] = ORACLE["report_long"]
 ORACLE["stream_sets"] = ORACLE["report_sets"]
+ORACLE["report_from_store"] = ORACLE["report_document"]
