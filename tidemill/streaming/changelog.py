@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tidemill.operators.upsert import latest_by_key, merge_by_key
 
 SNAPSHOT_PREFIX = "_snapshot_upto="
+ROWS_PER_FILE = 1_000_000
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -53,14 +54,19 @@ class KeyedTable:
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         if self.prepare is not None:
             batch = self.prepare(batch)
-        # Two actions follow (the emptiness test and the write): keep the batch so its
+        # Two actions follow (the row count and the write): keep the batch so its
         # plan, stateful operators included, runs once. Spills to disk if large.
         batch.persist()
         try:
+            rows = batch.count()
             # Skip an empty micro-batch; the query's checkpoint still records its id.
-            if batch.isEmpty():
+            if rows == 0:
                 return
-            batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
+            # One file per ROWS_PER_FILE rows: a batch of a few changed cells is one file, not
+            # one per shuffle partition; a large batch is still written by many tasks.
+            files = max(1, -(-rows // ROWS_PER_FILE))
+            out = batch.coalesce(files) if files < batch.rdd.getNumPartitions() else batch
+            out.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
         finally:
             batch.unpersist()
         # A replay of a batch already folded into a snapshot is ignored by reads
