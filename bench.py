@@ -123,7 +123,7 @@ def main() -> None:
     table = KeyedTable(spark, f"{scratch}/upsert", ["key", "field"])
     batch_times = []
     for b in range(100):
-        slice_ = cells.filter(F.abs(F.xxhash64("key", "field")) % 100 == b)
+        slice_ = cells.filter(F.pmod(F.xxhash64("key", "field"), F.lit(100)) == b)
         t0 = time.perf_counter()
         table.apply_batch(slice_, b)
         batch_times.append(time.perf_counter() - t0)
