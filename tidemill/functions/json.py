@@ -30,25 +30,31 @@ def json_fields(df: DataFrame, column: str, names: list[str], keep: tuple[str, .
     """F1 for several top-level fields at once: ``keep`` columns plus one text column per name.
 
     Results equal ``get_json_object(column, '$.name')`` per field, with one
-    parse per row instead of one per field: ``json_tuple`` reads all fields
-    in a single pass and agrees with the path reader except when a key occurs
-    twice (it keeps the last, the path reader the first). A row is therefore
-    read with the path reader for a field whose quoted name occurs more than
-    once in the text, or when the text has a ``\\u`` escape (the only way to
-    spell a key's letters differently). Both checks are plain substring
-    searches; such rows are rare and pay the slower path only for themselves.
+    parse per row instead of one per field. ``json_tuple`` reads all fields in
+    a single pass and agrees with the path reader except when a key occurs
+    twice (it keeps the last, the path reader the first).
+
+    One check per row decides whether the fast values can be used: the
+    number of times any quoted field name occurs in the text must equal the
+    number of fields ``json_tuple`` found non-NULL, and the text must have no
+    ``\\u`` escape (the only way to spell a key's letters differently). A
+    found field's name occurs at least once, so equality means each found
+    name occurs exactly once and no other listed name occurs at all: no
+    duplicate keys. Any other row (a duplicate, a key with a JSON null value,
+    a name inside a string, invalid text) is read with the path reader.
     """
     v = F.col("_json_text")
     tmp = [f"_jt{i}" for i in range(len(names))]
     parsed = df.select(
         *keep, F.col(column).alias("_json_text"), F.json_tuple(F.col(column), *names).alias(*tmp)
     )
-    escaped = F.instr(v, "\\u") > 0
-    out = []
-    for name, t in zip(names, tmp):
-        key = '"' + name + '"'
-        twice = F.expr(f"locate('{key}', _json_text, instr(_json_text, '{key}') + 1) > 0")
-        out.append(F.when(escaped | twice, F.get_json_object(v, f"$.{name}")).otherwise(F.col(t)).alias(name))
+    quoted_names = '"(?:' + "|".join(r"\Q" + n + r"\E" for n in names) + ')"'
+    found = sum((F.col(t).isNotNull().cast("int") for t in tmp), F.lit(0))
+    fast = (F.regexp_count(v, F.lit(quoted_names)) == found) & ~v.contains("\\u")
+    out = [
+        F.when(fast, F.col(t)).otherwise(F.get_json_object(v, f"$.{name}")).alias(name)
+        for name, t in zip(names, tmp)
+    ]
     return parsed.select(*keep, *out)
 
 
