@@ -51,11 +51,15 @@ def json_fields(df: DataFrame, column: str, names: list[str], keep: tuple[str, .
     quoted_names = '"(?:' + "|".join(r"\Q" + n + r"\E" for n in names) + ')"'
     found = sum((F.col(t).isNotNull().cast("int") for t in tmp), F.lit(0))
     fast = (F.regexp_count(v, F.lit(quoted_names)) == found) & ~v.contains("\\u")
+    # The flag is a generator output (one row in, one row out): a later filter on a
+    # parsed field, which Catalyst pushes down and inlines, then reads the flag instead
+    # of running the check a second time.
+    checked = parsed.select("*", F.explode(F.array(fast)).alias("_json_fast"))
     out = [
-        F.when(fast, F.col(t)).otherwise(F.get_json_object(v, f"$.{name}")).alias(name)
+        F.when(F.col("_json_fast"), F.col(t)).otherwise(F.get_json_object(v, f"$.{name}")).alias(name)
         for name, t in zip(names, tmp)
     ]
-    return parsed.select(*keep, *out)
+    return checked.select(*keep, *out)
 
 
 def parse_json_struct(c: Column | str, schema: T.StructType, corrupt_column: str | None = None) -> Column:
