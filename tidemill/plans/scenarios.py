@@ -109,7 +109,12 @@ def rekey_documents(docs: DataFrame) -> DataFrame:
 def chunks(messages: DataFrame, position: str, batches: int = MICRO_BATCHES, by_range: bool = False) -> list[DataFrame]:
     """Split messages into ``batches`` arrivals: dealt by ``position`` modulo ``batches``, or,
     with ``by_range``, cut into consecutive position ranges (event time then increases
-    from one arrival to the next). Every row lands in exactly one arrival."""
+    from one arrival to the next). Every row lands in exactly one arrival.
+
+    The messages are computed once and staged under the shared checkpoint folder,
+    partitioned by arrival; each arrival then reads only its own partition.
+    """
+    spark = messages.sparkSession
     pos = F.col(position)
     if by_range:
         b = messages.agg(F.min(position).alias("lo"), F.max(position).alias("hi")).first()
@@ -118,7 +123,11 @@ def chunks(messages: DataFrame, position: str, batches: int = MICRO_BATCHES, by_
         slot = F.floor((pos - F.lit(lo)) / F.lit(width))
     else:
         slot = F.pmod(pos, F.lit(batches))
-    return [messages.filter(slot == i).drop(position) for i in range(batches)]
+    staged = scratch_path(spark, "arrivals")
+    slotted = messages.withColumn("_slot", slot.cast("int")).drop(position)
+    slotted.write.partitionBy("_slot").parquet(staged)
+    reader = spark.read.schema(slotted.schema)
+    return [reader.parquet(staged).filter(F.col("_slot") == i).drop("_slot") for i in range(batches)]
 
 
 def feed(topic: str, arrivals: list[DataFrame], run_once, only: list[int] | None = None) -> None:
