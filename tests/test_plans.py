@@ -1,0 +1,67 @@
+"""Plan shapes the scale design relies on (checked on the executed physical plan)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from tidemill.operators import geo
+from tidemill.operators import report as R
+from tidemill.operators.etl import etl_transform
+from tidemill.sources.fixtures import ip_dim, raw_messages
+from tidemill.sources.tables import load_table, spread
+from tidemill.sources.topics import read_topic, write_topic
+
+
+def executed(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def topic(spark, scratch):
+    path = scratch("plan-topic")
+    write_topic(raw_messages(spark, SF_SMALL), path, files=4)
+    return read_topic(spark, path)
+
+
+def test_etl_is_map_only_and_prunes_the_scan(spark, scratch):
+    raw = topic(spark, scratch)
+    etl = etl_transform(raw, ip_dim(spark, SF_SMALL))
+    plan = etl._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+    # Orders are never shuffled: the only exchanges build the small broadcast side.
+    scan_side = etl._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in scan_side
+    formatted = etl._jdf.queryExecution().explainString(
+        etl.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "ReadSchema: struct<value:string>" in formatted
+    assert "PushedFilters: [IsNotNull(value)]" in formatted
+
+
+def test_flagship_has_one_shuffle_after_a_partial_aggregate(spark, scratch):
+    raw = topic(spark, scratch)
+    df = R.daily_by_province(R.report_input(etl_transform(raw, ip_dim(spark, SF_SMALL))))
+    plan = executed(df)
+    # One hash exchange for the aggregate; the rest are broadcasts of the dictionary side.
+    shuffles = plan.count("Exchange hashpartitioning")
+    assert shuffles == 1, plan
+    assert "partial_sum" in plan
+
+
+def test_spread_only_when_splits_are_fewer_than_cores(spark):
+    orders = load_table(spark, SF_SMALL, "orders")
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(orders).rdd.getNumPartitions() == max(cores, orders.rdd.getNumPartitions())
+    wide = spark.range(0, 1000, 1, cores * 2)
+    assert spread(wide) is wide
+
+
+def test_bounded_side_shuffles_beyond_its_bound(spark):
+    side = spark.range(10).select(F.col("id").alias("k"))
+    small = geo.bounded_side(side, 100)
+    large = geo.bounded_side(side, 5)
+    probe = spark.range(1000).select((F.col("id") % 10).alias("k"))
+    assert "BroadcastHashJoin" in executed(probe.join(small, "k"))
+    with_large = probe.join(large, "k")
+    assert with_large.count() == 1000
