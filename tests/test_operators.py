@@ -218,3 +218,26 @@ def test_named_strategies_check_their_bound(spark, crafted_dim):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Broadcast" not in plan, strategy  # over the bound: shuffled, not broadcast
         assert {r["orderId"]: r["province"] for r in df.collect()} == {"1": "P3", "2": "P0"}
+
+
+def test_range_join_property(spark):
+    """Random disjoint dictionaries (wide, narrow, unaligned) and addresses: all strategies = brute force."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    bounds = st.lists(st.integers(0, 2**32 - 1), min_size=2, max_size=16, unique=True).map(sorted)
+    regions = st.sampled_from(["c|r|P1|C1|i", "c|r|P2|C2", "c|r|P3||", "short", "a||P4||e"])
+
+    @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(bounds, st.lists(regions, min_size=8, max_size=8), st.lists(st.integers(0, 2**32 - 1), max_size=40))
+    def check(cuts, names, extra):
+        ranges = [(cuts[i], cuts[i + 1] - 1, names[i % len(names)]) for i in range(0, len(cuts) - 1, 2)]
+        ips = [ip_text(n) for lo, hi, _ in ranges for n in (lo, hi, (lo + hi) // 2)] + [ip_text(n) for n in extra]
+        dim = spark.createDataFrame(ranges, "ip_lo bigint, ip_hi bigint, region string")
+        orders = spark.createDataFrame([(str(i), ip) for i, ip in enumerate(ips)], "orderId string, ip string")
+        want = {str(i): expected_location(ip, ranges) for i, ip in enumerate(ips)}
+        for strategy in ("range", "prefix", "shuffle"):
+            got = geo.locate(orders, dim, strategy=strategy).collect()
+            assert {r["orderId"]: (r["province"], r["city"]) for r in got} == want, strategy
+
+    check()
