@@ -2,7 +2,7 @@
 
 from tidemill.functions.casts import lenient_int, to_date_lenient, to_decimal_money, to_text, to_timestamp_lenient
 from tidemill.functions.ip import int_to_ip, ip_to_long
-from tidemill.functions.json import json_field, parse_json_struct, record_json
+from tidemill.functions.json import json_field, json_fields, parse_json_struct, record_json
 from tidemill.functions.text import (
     blank_to_null,
     default_to,
@@ -19,6 +19,7 @@ __all__ = [
     "int_to_ip",
     "ip_to_long",
     "json_field",
+    "json_fields",
     "jvm_trim",
     "lenient_int",
     "millis_to_text",
