@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tidemill.llm.language import op6_language
 from tidemill.llm.mixing import op9_mix_sources
 from tidemill.llm.oracle import ORACLE
 
 QUERIES = {
+    "op6_language": op6_language,
     "op9_mix_sources": op9_mix_sources,
 }
 

@@ -12,12 +12,15 @@ from tidemill.session import prepare_session, scratch_path
 from tidemill.sources.tables import load_table
 
 #: A run of characters that are not ASCII white space is a word.
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
 def open_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a supplied table; the session is prepared (UTC, AQE where unset)."""
     prepare_session(spark)
+    if spark.conf.get(BATCH_KEY) == "10000":  # the built-in default, meant for narrow rows
+        spark.conf.set(BATCH_KEY, "1000")
     return load_table(spark, sf_dir, name).select(*columns)
 
 
