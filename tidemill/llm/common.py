@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from tidemill.session import prepare_session, scratch_path
 from tidemill.sources.tables import load_table
 
+#: Rows and bytes of an Arrow batch handed to Python, set where the session has the built-in row default.
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+BATCH_BYTES_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
 #: A run of characters that are not ASCII white space is a word.
-BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -20,7 +22,8 @@ def open_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     """The named columns of a supplied table; the session is prepared (UTC, AQE where unset)."""
     prepare_session(spark)
     if spark.conf.get(BATCH_KEY) == "10000":  # the built-in default, meant for narrow rows
-        spark.conf.set(BATCH_KEY, "1000")
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+        spark.conf.set(BATCH_BYTES_KEY, BATCH_BYTES)
     return load_table(spark, sf_dir, name).select(*columns)
 
 
