@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemill.llm.bpe import op2_bpe
 from tidemill.llm.language import op6_language
 from tidemill.llm.mixing import op9_mix_sources
 from tidemill.llm.oracle import ORACLE
@@ -9,6 +10,7 @@ from tidemill.llm.quality import op7_quality
 from tidemill.llm.urls import op4_urls
 
 QUERIES = {
+    "op2_bpe": op2_bpe,
     "op4_urls": op4_urls,
     "op6_language": op6_language,
     "op7_quality": op7_quality,
