@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from tidemill.llm.common import open_table, text_column, text_slices, words_of
 from tidemill.llm.lexicon import Lexicon, compile_lexicon
@@ -217,7 +217,7 @@ def encode(docs: DataFrame, text: str = "text", vocabulary_path: str | None = No
     """All columns of ``docs`` and ``ids`` (array of int); a column of that name is replaced."""
     codec = _codec(docs, text, vocabulary_path)
     rest = docs.drop("ids")
-    schema = StructType.fromJson(rest.schema.jsonValue()).add("ids", "array<int>")
+    schema = StructType([*rest.schema.fields, StructField("ids", ArrayType(IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec()

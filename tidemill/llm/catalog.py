@@ -7,6 +7,7 @@ from tidemill.llm.language import op6_language
 from tidemill.llm.mixing import op9_mix_sources
 from tidemill.llm.oracle import ORACLE
 from tidemill.llm.quality import op7_quality
+from tidemill.llm.substrings import op8_substrings
 from tidemill.llm.urls import op4_urls
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_urls": op4_urls,
     "op6_language": op6_language,
     "op7_quality": op7_quality,
+    "op8_substrings": op8_substrings,
     "op9_mix_sources": op9_mix_sources,
 }
 
