@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemill.llm.bpe import op2_bpe
 from tidemill.llm.language import op6_language
 from tidemill.llm.mixing import op9_mix_sources
+from tidemill.llm.neardup import op5_neardup
 from tidemill.llm.oracle import ORACLE
 from tidemill.llm.quality import op7_quality
 from tidemill.llm.substrings import op8_substrings
@@ -13,6 +14,7 @@ from tidemill.llm.urls import op4_urls
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op4_urls": op4_urls,
+    "op5_neardup": op5_neardup,
     "op6_language": op6_language,
     "op7_quality": op7_quality,
     "op8_substrings": op8_substrings,
