@@ -8,10 +8,12 @@ from tidemill.llm.mixing import op9_mix_sources
 from tidemill.llm.neardup import op5_neardup
 from tidemill.llm.oracle import ORACLE
 from tidemill.llm.quality import op7_quality
+from tidemill.llm.rules import op1_rules
 from tidemill.llm.substrings import op8_substrings
 from tidemill.llm.urls import op4_urls
 
 QUERIES = {
+    "op1_rules": op1_rules,
     "op2_bpe": op2_bpe,
     "op4_urls": op4_urls,
     "op5_neardup": op5_neardup,
