@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemill.llm.bpe import op2_bpe
 from tidemill.llm.language import op6_language
+from tidemill.llm.licences import op3_licences
 from tidemill.llm.mixing import op9_mix_sources
 from tidemill.llm.neardup import op5_neardup
 from tidemill.llm.oracle import ORACLE
@@ -15,6 +16,7 @@ from tidemill.llm.urls import op4_urls
 QUERIES = {
     "op1_rules": op1_rules,
     "op2_bpe": op2_bpe,
+    "op3_licences": op3_licences,
     "op4_urls": op4_urls,
     "op5_neardup": op5_neardup,
     "op6_language": op6_language,
