@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemill.llm.bpe import op2_bpe
+from tidemill.llm.fingerprints import op10_fingerprints
 from tidemill.llm.language import op6_language
 from tidemill.llm.licences import op3_licences
 from tidemill.llm.mixing import op9_mix_sources
@@ -23,6 +24,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_substrings": op8_substrings,
     "op9_mix_sources": op9_mix_sources,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
