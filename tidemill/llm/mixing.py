@@ -15,8 +15,7 @@ columns of the input are kept by ``mix_sources`` and never read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import open_table, stored, words_of
@@ -78,7 +77,13 @@ def _thresholds(sized: DataFrame, plan: DataFrame) -> DataFrame:
     return done
 
 
-def mix_sources(
+def _keys(source: str, doc_id: str, text: str) -> tuple:
+    """(m_key, m_hash): a key that tells a null source from any text, in code-point order with null last; the row's hash."""
+    key = F.when(F.col(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("a"), F.col(source).cast("string")))
+    return key.alias("m_key"), _hash(doc_id, text).alias("m_hash")
+
+
+def plan_mix(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -86,14 +91,10 @@ def mix_sources(
     weights: tuple[float, ...] = WEIGHTS,
     share: float = SHARE,
     passes: int = MAX_PASSES,
-) -> DataFrame:
-    """One row per document: id, m_size, m_source_size, m_target and m_copies (times the mix takes the document)."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sized rows, plan a source, threshold a source)."""
     spark = docs.sparkSession
-    # A key that tells a null source from any text, in code-point order with null last.
-    key = F.when(F.col(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("a"), F.col(source).cast("string")))
-    sized = docs.select(
-        F.col(doc_id).alias("m_id"), key.alias("m_key"), F.size(words_of(text)).cast("long").alias("m_size"), _hash(doc_id, text).alias("m_hash")
-    )
+    sized = docs.select(F.col(doc_id).alias("m_id"), F.size(words_of(text)).cast("long").alias("m_size"), *_keys(source, doc_id, text))
     sized = stored(sized, "mix-sizes")  # the whole texts are read once; every later step reads these narrow rows
     rows = sized.groupBy("m_key").agg(F.sum("m_size").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
@@ -105,11 +106,28 @@ def mix_sources(
     for (k, n), t in zip(rows, want, strict=True):
         whole = min(passes, int(t // n)) if n else 0
         plan_rows.append((k, n, t, whole, max(0.0, t - whole * n)))
-    plan = spark.createDataFrame(plan_rows, "m_key string, m_source_size long, m_target double, m_whole long, m_rest double")
-    thr = _thresholds(sized, plan)
+    plan = spark.createDataFrame(plan_rows, "m_key string, m_source_size long, m_target double, m_whole int, m_rest double")
+    return sized, plan, _thresholds(sized, plan)
+
+
+def _copies() -> Column:
+    return F.col("m_whole") + F.when(F.col("m_hash") <= F.col("m_thr"), 1).otherwise(0)
+
+
+def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """One row per document: id, m_size, m_source_size, m_target and m_copies (times the mix takes the document)."""
+    sized, plan, thr = plan_mix(docs, doc_id, text, source, **how)
     out = sized.join(plan, "m_key").join(thr, "m_key", "left")
-    extra = F.when(F.col("m_hash") <= F.col("m_thr"), 1).otherwise(0)
-    return out.select("m_id", "m_hash", "m_size", "m_source_size", "m_target", (F.col("m_whole") + extra).alias("m_copies"))
+    return out.select("m_id", "m_size", "m_source_size", "m_target", _copies().alias("m_copies"))
+
+
+def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it. Texts are not shuffled: a row meets its source's one plan row."""
+    _, plan, thr = plan_mix(docs, doc_id, text, source, **how)
+    short = F.broadcast(plan.join(thr, "m_key", "left").select("m_key", "m_whole", "m_thr"))  # at most MAX_SOURCES narrow rows
+    rows = docs.select(F.struct("*").alias("m_row"), *_keys(source, doc_id, text)).join(short, "m_key")
+    taken = rows.select("m_row", F.explode(F.array_repeat(F.lit(0), _copies())).alias("m_turn"))
+    return taken.select("m_row.*")
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

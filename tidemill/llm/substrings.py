@@ -229,35 +229,35 @@ def _with(batch: pa.RecordBatch, drop: tuple[str, ...], **more: pa.Array) -> pa.
 
 
 def _hit_blocks(width: int, ranges: int, digest: bool):
-    """texts and their repeated block hashes -> where those blocks start; a text without any is done."""
+    """texts and their repeated block hashes -> where those blocks start; a text without any needs no more than its digest."""
     size = (width + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = _text_array(batch.column(batch.schema.get_field_index("r_zip")).to_pylist())
+            zipped = batch.column(batch.schema.get_field_index("r_zip")).to_pylist()
+            texts = _text_array(zipped)
             lists = batch.column(batch.schema.get_field_index("r_vals")).to_pylist()
             for a, b in text_slices(texts):
                 w = split_words(texts.slice(a, b - a))
-                docs, n = w.docs(), len(w.start)
                 starts: list = [None] * (b - a)
                 some = [i for i in range(a, b) if lists[i]]
                 if some:
                     hashes = _ranged(_hasher(1).windows(_hasher(1).words(w), size), ranges).astype(np.int64)
                     for i in some:
                         at = np.arange(w.ends[i - a], w.ends[i - a + 1] - size + 1, size)
-                        starts[i - a] = at[np.isin(hashes[at], np.array(lists[i], np.int64))] - w.ends[i - a]
-                words = np.diff(w.ends)
-                kept = _kept(w, np.ones(n, bool))
-                touched = [s is not None and len(s) > 0 for s in starts]
-                part = batch.slice(a, b - a)
+                        at = at[np.isin(hashes[at], np.array(lists[i], np.int64))] - w.ends[i - a]
+                        starts[i - a] = at.astype(np.int32) if len(at) else None
+                shas: list = [None] * (b - a)
+                if digest:
+                    kept = _kept(w, np.ones(len(w.start), bool))
+                    shas = [hashlib.sha256(k).hexdigest() if s is None else None for k, s in zip(kept, starts, strict=True)]
                 yield _with(
-                    part,
+                    batch.slice(a, b - a),
                     ("r_zip", "r_vals", "r_key"),
-                    r_words=pa.array(words, pa.int64()),
-                    r_starts=pa.array([s.astype(np.int32) if t else None for s, t in zip(starts, touched, strict=True)], pa.list_(pa.int32())),
-                    r_zip=pa.array([packer.compress(k) if t or not digest else None for k, t in zip(kept, touched, strict=True)], pa.binary()),
-                    r_sha=pa.array([None if t or not digest else hashlib.sha256(k).hexdigest() for k, t in zip(kept, touched, strict=True)], pa.string()),
+                    r_words=pa.array(np.diff(w.ends), pa.int64()),
+                    r_starts=pa.array(starts, pa.list_(pa.int32())),
+                    r_zip=pa.array([z if h is None else None for z, h in zip(zipped[a:b], shas, strict=True)], pa.binary()),
+                    r_sha=pa.array(shas, pa.string()),
                 )
 
     return run
@@ -372,7 +372,8 @@ def _finish(width: int, digest: bool):
                 if digest:
                     last = {"r_out": pa.array([shas[a + i] or hashlib.sha256(k).hexdigest() for i, k in enumerate(kept)])}
                 else:
-                    last = {"r_out": pa.array([k.decode() for k in kept])}
+                    own = texts.slice(a, b - a).to_pylist()
+                    last = {"r_out": pa.array([k.decode() if n else t for k, n, t in zip(kept, np.diff(gone).tolist(), own, strict=True)], pa.string())}
                 yield _with(batch.slice(a, b - a), ("r_zip", "r_vals", "r_sha", "r_row", "r_starts", "r_key"), r_removed=pa.array(np.diff(gone), pa.int64()), **last)
 
     return run
@@ -393,7 +394,11 @@ def _schema(df: DataFrame, drop: tuple[str, ...], *more: tuple[str, str]) -> Str
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, digest: bool = False) -> DataFrame:
-    """All other columns of ``docs`` with n_words, n_removed and the kept words, joined by one space: as ``text``, or hashed as kept_sha256."""
+    """All other columns of ``docs`` with n_words, n_removed and what is kept: as ``text``, or hashed as kept_sha256.
+
+    A text that loses words is its kept words joined by one space, and so is what is hashed; as ``text``, one that loses
+    none stays as it is (null becomes empty).
+    """
     spark = docs.sparkSession
     rest = [f for f in docs.schema.fields if f.name not in (text, "n_words", "n_removed", "kept_sha256")]
     hashed = [F.col(f"`{f.name}`").cast("string") for f in rest if isinstance(f.dataType, AtomicType)]
