@@ -24,8 +24,11 @@ def lenient_int(c: Column | str) -> Column:
     blanks are ignored, exponents, words and overflow give NULL.
     """
     c = _col(c)
-    via_decimal = c.try_cast("decimal(38,18)").try_cast("int")
-    return F.when(c.rlike("[eE]"), F.lit(None).cast("int")).otherwise(via_decimal)
+    # The text is cut at the point before the cast: a decimal of any scale would round a long fraction up.
+    whole = F.regexp_replace(F.trim(c), r"\.[0-9]*$", "")
+    number = F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int"))
+    valid = c.try_cast("decimal(38,18)").isNotNull() & ~c.rlike("[eE]")
+    return F.when(valid, number)
 
 
 def to_decimal_money(c: Column | str) -> Column:
@@ -43,11 +46,6 @@ def to_timestamp_lenient(c: Column | str) -> Column:
     return F.try_to_timestamp(_col(c))
 
 
-def to_text(c: Column | str) -> Column:
-    """F8: any value -> its text; decimals keep their scale (``1.50``)."""
-    return _col(c).cast("string")
-
-
 def sales(c: Column | str) -> Column:
     """Pin a sum of money to decimal(20,2), the width Spark gives sum(decimal(10,2))."""
     return _col(c).cast(SALES)

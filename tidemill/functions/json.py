@@ -35,7 +35,7 @@ def json_fields(df: DataFrame, column: str, names: list[str], keep: tuple[str, .
     twice (it keeps the last, the path reader the first).
 
     One check per row decides whether the fast values can be used: the
-    number of times any quoted field name occurs in the text must equal the
+    number of times any field name occurs in quotes (either style) must equal the
     number of fields ``json_tuple`` found non-NULL, and the text must have no
     ``\\u`` escape (the only way to spell a key's letters differently). A
     found field's name occurs at least once, so equality means each found
@@ -48,7 +48,8 @@ def json_fields(df: DataFrame, column: str, names: list[str], keep: tuple[str, .
     parsed = df.select(
         *keep, F.col(column).alias("_json_text"), F.json_tuple(F.col(column), *names).alias(*tmp)
     )
-    quoted_names = '"(?:' + "|".join(r"\Q" + n + r"\E" for n in names) + ')"'
+    # Both quote styles are legal around a key, for both readers.
+    quoted_names = "[\"'](?:" + "|".join(r"\Q" + n + r"\E" for n in names) + ")[\"']"
     found = sum((F.col(t).isNotNull().cast("int") for t in tmp), F.lit(0))
     fast = (F.regexp_count(v, F.lit(quoted_names)) == found) & ~v.contains("\\u")
     # The flag is a generator output (one row in, one row out): a later filter on a

@@ -21,12 +21,6 @@ def jvm_trim(c: Column | str) -> Column:
     return F.trim(_col(c), F.lit(_JVM_BLANKS))
 
 
-def blank_to_null(c: Column | str) -> Column:
-    """trimmed text, or NULL when it is empty."""
-    t = jvm_trim(c)
-    return F.when(t != "", t)
-
-
 def reverse_text(c: Column | str) -> Column:
     """reversed string (row-key salting)."""
     return F.reverse(_col(c))

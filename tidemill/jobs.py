@@ -5,13 +5,14 @@ streaming queries (or writing files, for the export); ``main`` wraps them in a
 command line:
 
     python -m tidemill.jobs etl --source T1 --sink T2 --checkpoint C --ip-dim D
-    python -m tidemill.jobs reports --source T2 --store S --checkpoint C [--one-pass]
+    python -m tidemill.jobs reports --source T2 --store S --checkpoint C [--three-streams]
     python -m tidemill.jobs documents --source T2 --store S --checkpoint C
     python -m tidemill.jobs wide-rows --source T2 --store S --checkpoint C [--every "5 seconds"]
     python -m tidemill.jobs export --store S --out O [--day 2024-01-01] [--csv O2]
 
-Topics are Parquet folders by default (``--format kafka`` subscribes to a topic
-name where the connector is deployed). Without ``--every`` a job processes
+Topics are Parquet folders by default (``--format kafka --option
+kafka.bootstrap.servers=...`` subscribes to a topic where the connector is
+deployed; ``--sink-format`` and ``--sink-option`` are the same for the output). Without ``--every`` a job processes
 what is available and stops.
 """
 
@@ -39,54 +40,74 @@ def read_ip_dim(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(IP_DIM).parquet(path)
 
 
-def etl_job(spark, source, sink, checkpoint, ip_dim_path, every=None, max_per_trigger=None) -> list[StreamingQuery]:
+#: Keyed tables fold their micro-batches into a snapshot after so many of them.
+COMPACT_EVERY = 100
+
+
+def etl_job(
+    spark, source, sink, checkpoint, ip_dim_path, every=None, topics=P.FILES, sink_format="parquet", sink_options=None
+) -> list[StreamingQuery]:
     """Raw orders -> enriched orders (hop 1)."""
     dim = read_ip_dim(spark, ip_dim_path)
-    return [P.start_etl(spark, source, sink, checkpoint, dim, max_per_trigger, _trigger(every))]
+    trigger = _trigger(every)
+    return [
+        P.start_etl(spark, source, sink, checkpoint, dim, topics, trigger, sink_fmt=sink_format, sink_options=sink_options)
+    ]
+
 
+def reports_job(spark, source, store, checkpoint, cities=None, one_pass=True, every=None, topics=P.FILES):
+    """Daily totals, by province and by allow-listed city, kept in the hash store (hop 2).
 
-def reports_job(spark, source, store, checkpoint, cities=None, one_pass=False, every=None, max_per_trigger=None):
-    """Daily totals, by province and by allow-listed city, kept in the hash store (hop 2)."""
-    cities = cities or R.REFERENCE_CITIES
-    if one_pass:
-        return [P.start_reports_one_pass(spark, source, store, checkpoint, cities, max_per_trigger, _trigger(every))]
-    return P.start_reports(spark, source, store, checkpoint, cities, max_per_trigger, _trigger(every))
+    One grouping-sets stream by default; ``one_pass=False`` runs a stream for each report, as the reference does.
+    """
+    start = P.start_reports_one_pass if one_pass else P.start_reports
+    started = start(
+        spark, source, store, checkpoint, cities or R.REFERENCE_CITIES, topics, _trigger(every), compact_every=COMPACT_EVERY
+    )
+    return [started] if one_pass else started
 
 
-def documents_job(spark, source, store, checkpoint, every=None, max_per_trigger=None) -> list[StreamingQuery]:
+def documents_job(spark, source, store, checkpoint, every=None, topics=P.FILES) -> list[StreamingQuery]:
     """Enriched orders merged into documents keyed by order id."""
-    return [P.start_documents(spark, source, store, checkpoint, max_per_trigger, _trigger(every))]
+    return [P.start_documents(spark, source, store, checkpoint, topics, _trigger(every), COMPACT_EVERY)]
 
 
-def wide_rows_job(spark, source, store, checkpoint, every=None, max_per_trigger=None) -> list[StreamingQuery]:
+def wide_rows_job(spark, source, store, checkpoint, every=None, topics=P.FILES, columns=None) -> list[StreamingQuery]:
     """Enriched orders put as wide rows keyed by reverse(userId)_orderTime."""
-    return [P.start_wide_rows(spark, source, store, checkpoint, max_per_trigger, _trigger(every))]
-
-
-def store_cells(spark: SparkSession, store: str, one_pass: bool = False) -> DataFrame:
-    """All current cells of a report store written by ``reports_job``."""
-    if one_pass:
-        return P.cell_table(spark, store).read().select("key", "field", "value")
-    tables = P.report_tables(spark, store)
-    parts = [t.read() for t in tables.values()]
-    parts = [p for p in parts if p is not None]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    return [P.start_wide_rows(spark, source, store, checkpoint, topics, _trigger(every), columns, COMPACT_EVERY)]
+
+
+def store_cells(spark: SparkSession, store: str, one_pass: bool = True) -> DataFrame:
+    """All current cells of a report store written by ``reports_job``; none if nothing was written yet."""
+    tables = [P.cell_table(spark, store)] if one_pass else list(P.report_tables(spark, store).values())
+    out = spark.createDataFrame([], "key string, field string, value string")
+    for table in tables:
+        cells = table.read()
+        if cells is not None:
+            out = out.unionByName(cells.select("key", "field", "value"))
     return out
 
 
-def export_report(spark, store, out, day=None, csv=None, one_pass=False) -> None:
-    """The daily report documents (K5) and, optionally, the long table (K6), read from the store."""
+def export_report(spark, store, out, day=None, csv=None, one_pass=True) -> None:
+    """The daily report documents (K5) and, optionally, the long table (K6), read from the store.
+
+    A requested day always gives a document: total 0 and empty lists where it has no sales.
+    """
     sets = R.cells_to_sets(store_cells(spark, store, one_pass))
+    days = None
     if day:
+        days = spark.createDataFrame([(day,)], "date string").select(F.col("date").cast("date").alias("date"))
         sets = sets.filter(F.col("order_date") == F.lit(day).cast("date"))
-    write_report_json(R.report_document(sets), out)
+    write_report_json(R.report_document(sets, days), out)
     if csv:
         write_report_csv(R.report_long(sets), csv)
 
 
-def main(argv: list[str] | None = None) -> None:
+def _options(pairs: list[str] | None) -> dict[str, str]:
+    return dict(p.split("=", 1) for p in pairs or [])
+
+
+def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tidemill.jobs")
     sub = parser.add_subparsers(dest="job", required=True)
     for name in ("etl", "reports", "documents", "wide-rows"):
@@ -94,39 +115,57 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--source", required=True)
         p.add_argument("--checkpoint", required=True)
         p.add_argument("--every", help="processing-time trigger, e.g. '5 seconds'; default: available now")
-        p.add_argument("--max-per-trigger", type=int)
+        p.add_argument("--max-per-trigger", type=int, help="intake cap: files, or offsets with --format kafka")
+        p.add_argument("--format", default="parquet", help="format of the source topic: parquet or kafka")
+        p.add_argument("--option", action="append", metavar="NAME=VALUE", help="option of the source, may repeat")
         if name == "etl":
             p.add_argument("--sink", required=True)
+            p.add_argument("--sink-format", default="parquet")
+            p.add_argument("--sink-option", action="append", metavar="NAME=VALUE")
             p.add_argument("--ip-dim", required=True)
         else:
             p.add_argument("--store", required=True)
         if name == "reports":
-            p.add_argument("--one-pass", action="store_true")
+            p.add_argument("--three-streams", action="store_true", help="a stream for each report")
             p.add_argument("--cities", help="comma-separated allow-list")
+        if name == "wide-rows":
+            p.add_argument("--columns", help="comma-separated cells of a row")
     e = sub.add_parser("export")
     e.add_argument("--store", required=True)
     e.add_argument("--out", required=True)
     e.add_argument("--csv")
     e.add_argument("--day")
-    e.add_argument("--one-pass", action="store_true")
-    args = parser.parse_args(argv)
+    e.add_argument("--three-streams", action="store_true")
+    return parser
+
 
+def _listed(text: str | None) -> list[str] | None:
+    return text.split(",") if text else None
+
+
+def start_job(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+    """Start the streaming job the arguments name."""
+    topics = P.Topics(args.format, _options(args.option), args.max_per_trigger)
+    common = {"every": args.every, "topics": topics}
+    if args.job == "etl":
+        return etl_job(
+            spark, args.source, args.sink, args.checkpoint, args.ip_dim, **common,
+            sink_format=args.sink_format, sink_options=_options(args.sink_option),
+        )
+    if args.job == "reports":
+        return reports_job(spark, args.source, args.store, args.checkpoint, _listed(args.cities), not args.three_streams, **common)
+    if args.job == "documents":
+        return documents_job(spark, args.source, args.store, args.checkpoint, **common)
+    return wide_rows_job(spark, args.source, args.store, args.checkpoint, columns=_listed(args.columns), **common)
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = arguments().parse_args(argv)
     spark = prepare_session(SparkSession.builder.appName(f"tidemill-{args.job}").getOrCreate())
     if args.job == "export":
-        export_report(spark, args.store, args.out, args.day, args.csv, args.one_pass)
+        export_report(spark, args.store, args.out, args.day, args.csv, not args.three_streams)
         return
-    if args.job == "etl":
-        queries = etl_job(spark, args.source, args.sink, args.checkpoint, args.ip_dim, args.every, args.max_per_trigger)
-    elif args.job == "reports":
-        cities = args.cities.split(",") if args.cities else None
-        queries = reports_job(
-            spark, args.source, args.store, args.checkpoint, cities, args.one_pass, args.every, args.max_per_trigger
-        )
-    elif args.job == "documents":
-        queries = documents_job(spark, args.source, args.store, args.checkpoint, args.every, args.max_per_trigger)
-    else:
-        queries = wide_rows_job(spark, args.source, args.store, args.checkpoint, args.every, args.max_per_trigger)
-    P.run(queries)
+    P.run(start_job(spark, args))
 
 
 if __name__ == "__main__":

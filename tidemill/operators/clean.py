@@ -23,6 +23,11 @@ def message_text(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return messages.select(*keep, F.col("value").cast("string").alias("value"))
 
 
+def position_of(messages: DataFrame) -> tuple[str, ...]:
+    """The write-order column to carry along, where the messages have one."""
+    return ("position",) if "position" in messages.columns else ()
+
+
 def drop_junk(df: DataFrame, column: str = "value") -> DataFrame:
     """Drop NULL records and records that are only commas (and blanks)."""
     c = F.col(column)
@@ -38,10 +43,10 @@ def drop_empty(df: DataFrame, column: str = "value") -> DataFrame:
 _RAW_FIELDS = ["orderId", "userId", "orderTime", "ip", "orderMoney", "orderStatus"]
 
 
-def parse_raw_order(df: DataFrame, column: str = "value") -> DataFrame:
+def parse_raw_order(df: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Six order fields by JSON path (one parse per row); the status through the lenient int cast."""
-    fields = json_fields(df, column, _RAW_FIELDS)
-    return fields.select(*_RAW_FIELDS[:-1], lenient_int("orderStatus").alias("orderStatus"))
+    fields = json_fields(df, column, _RAW_FIELDS, keep)
+    return fields.select(*keep, *_RAW_FIELDS[:-1], lenient_int("orderStatus").alias("orderStatus"))
 
 
 def parse_report_input(df: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -57,7 +62,9 @@ def parse_report_input(df: DataFrame, column: str = "value", keep: tuple[str, ..
     )
 
 
-def parse_document(df: DataFrame, column: str = "value", skip_corrupt: bool = True) -> DataFrame:
+def parse_document(
+    df: DataFrame, column: str = "value", skip_corrupt: bool = True, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """P4 (+W5): typed parse into the eight text fields, then flatten.
 
     With ``skip_corrupt`` undecodable text (garbage, truncated, arrays,
@@ -65,8 +72,8 @@ def parse_document(df: DataFrame, column: str = "value", skip_corrupt: bool = Tr
     all-NULL documents.
     """
     if not skip_corrupt:
-        return df.select(parse_json_struct(column, DOCUMENT).alias("data")).select("data.*")
-    parsed = df.select(parse_json_struct(column, DOCUMENT_WITH_CORRUPT, "_corrupt_record").alias("data"))
+        return df.select(parse_json_struct(column, DOCUMENT).alias("data"), *keep).select("data.*", *keep)
+    parsed = df.select(*keep, parse_json_struct(column, DOCUMENT_WITH_CORRUPT, "_corrupt_record").alias("data"))
     return parsed.filter(
         F.col("data").isNotNull() & F.col("data._corrupt_record").isNull() & F.col("data.orderId").isNotNull()
-    ).select(*[F.col(f"data.{f.name}").alias(f.name) for f in DOCUMENT.fields])
+    ).select(*[F.col(f"data.{f.name}").alias(f.name) for f in DOCUMENT.fields], *keep)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.json import record_json
-from tidemill.operators.clean import drop_junk, message_text, parse_raw_order
+from tidemill.operators.clean import drop_junk, message_text, parse_raw_order, position_of
 from tidemill.operators.geo import locate
 from tidemill.schemas import ORDER_FIELDS
 
@@ -28,13 +28,16 @@ def enrich(orders: DataFrame, ip_dim: DataFrame, strategy: str = "auto") -> Data
 
 
 def etl_output(enriched: DataFrame) -> DataFrame:
-    """key = orderId, value = JSON of the eight fields (NULL fields left out)."""
-    return enriched.select(F.col("orderId").alias("key"), record_json(*ORDER_FIELDS).alias("value"))
+    """key = orderId, value = JSON of the eight fields (NULL fields left out); the write order goes along."""
+    return enriched.select(
+        F.col("orderId").alias("key"), record_json(*ORDER_FIELDS).alias("value"), *position_of(enriched)
+    )
 
 
 def enriched_orders(messages: DataFrame, ip_dim: DataFrame, strategy: str = "auto") -> DataFrame:
     """P1 -> W1 -> P2 -> W3 -> J: open orders with province and city, as columns."""
-    parsed = parse_raw_order(drop_junk(message_text(messages)))
+    keep = position_of(messages)
+    parsed = parse_raw_order(drop_junk(message_text(messages, keep)), keep=keep)
     return enrich(open_orders(parsed), ip_dim, strategy)
 
 

@@ -1,146 +1,150 @@
 """IP address -> (province, city): J1, J1b, and the broadcast guard.
 
 The reference looks each address up in a B-tree file inside a row-at-a-time
-UDF. Here the lookup is a real join against the dictionary table
+UDF. Here the lookup is a join against the dictionary table
 ``ip_dim(ip_lo, ip_hi, region)`` (disjoint, inclusive, unsigned ranges):
 
-* ``range`` (J1): left join on ``ip BETWEEN ip_lo AND ip_hi`` against the
-  broadcast dictionary. Spark has no range-join operator, so this plans as a
-  BroadcastNestedLoopJoin: cost is rows x ranges, only for tiny dictionaries.
-* ``prefix`` (J1b): each range is exploded into the /16 buckets it touches;
-  the join is an equi-join on the bucket plus the range predicate. With the
-  bucket table broadcast it plans as a BroadcastHashJoin: one hash probe per
-  row whatever the dictionary size. A range of 2^k addresses touches at most
-  max(1, 2^(k-16)) + 1 buckets, and disjoint ranges touch at most
-  ``ranges + 65536`` bucket rows in total.
-* ``shuffle``: the same bucket join without broadcast, for a dictionary
-  beyond the broadcast bound. Both sides are hash-partitioned on
-  (bucket, salt): the probe side's salt is a hash of the whole row, and the
-  bucket table is replicated once per salt, so one hot bucket (or the NULL
-  addresses) is spread over ``salts`` tasks instead of one. AQE's skew-join
-  split applies on top.
-
-``auto`` uses the broadcast bucket join when the bucket table is proven
-small (``limit(n + 1).count()`` reads at most n + 1 of its rows, so the
-check itself is bounded) and the salted shuffle join otherwise. The nested
-loop is never chosen automatically: even at 26 ranges it was no faster than
-the hash join, and its cost grows with the number of ranges.
+* each /16 bucket of the address space becomes one row holding the sorted
+  ranges that touch it (at most 65,536, the addresses of a bucket);
+* an order joins its bucket's row by equality, one hash probe, and finds its
+  range in the sorted array by binary search: the cost of an order is the
+  logarithm of the ranges in its bucket, and no pair of order and range is
+  ever formed.
+
+``broadcast`` (``range``, ``prefix``) joins against the broadcast buckets: a
+map-only stage. ``shuffle`` is the same join for a dictionary beyond the
+broadcast bound, hash-partitioned on (bucket, salt) with the buckets
+replicated once per salt, so one hot bucket is spread over as many tasks as
+its size asks for. Addresses that cannot match (NULL or malformed) do not
+enter that join. AQE's skew-join split applies on top.
+
+``auto`` broadcasts when the buckets' size in bytes is within the bound and
+shuffles otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.ip import ip_to_long
 from tidemill.functions.text import UNKNOWN, region_city, region_province
+from tidemill.session import checkpoint_root
 
 BUCKET_BITS = 16
-# Bucket rows (about 40 bytes each) up to this bound are broadcast: ~80 MB.
-BROADCAST_MAX_ROWS = 2_000_000
-DEFAULT_SALTS = 16
-
+# What is broadcast is measured first, in bytes of its rows.
+BROADCAST_MAX_BYTES = 64 << 20
+# Orders of one bucket a task of the salted join should see, and salts where the input cannot be counted (a stream).
+ROWS_PER_SALT = 1_000_000
+STREAM_SALTS = 16
 
-def row_bound_holds(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def _width(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 16
+    return F.lit(16)
 
-def guarded_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``F.broadcast(df)`` when its row count is proven <= ``max_rows``, else None.
 
-    For a side that is cheap to read (a table). A side derived by an
-    expensive plan should go through ``bounded_side`` so it is computed once.
-    """
-    return F.broadcast(df) if row_bound_holds(df, max_rows) else None
+def table_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows of ``df`` take in memory (16 a value, and the length of each text)."""
+    widths = [_width(f) for f in df.schema.fields]
+    return df.agg(F.coalesce(F.sum(reduce(lambda a, b: a + b, widths).cast("long")), F.lit(0))).first()[0]
 
 
-def bounded_side(df: DataFrame, max_rows: int) -> DataFrame:
-    """A derived join side, computed once, broadcast only if proven small.
+def bounded_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """A derived join side, computed once, broadcast only if measured small.
 
     The side is materialized with ``checkpoint()`` in the session's shared
-    checkpoint folder (which also cuts its lineage), so counting it and then
-    joining it does not run its plan twice; it is broadcast when its row count
-    is <= ``max_rows``, and joined by shuffle otherwise.
+    checkpoint folder (which also cuts its lineage), so measuring it and then
+    joining it does not run its plan twice; it is broadcast when its rows take
+    at most ``max_bytes``, and joined by shuffle otherwise.
     """
-    from tidemill.session import checkpoint_root
-
     checkpoint_root(df.sparkSession)  # make sure a checkpoint folder is registered
     saved = df.checkpoint(eager=True)
-    return F.broadcast(saved) if saved.count() <= max_rows else saved
+    return F.broadcast(saved) if table_bytes(saved) <= max_bytes else saved
 
 
-def _dim_cols(ip_dim: DataFrame) -> DataFrame:
+def bucket_table(ip_dim: DataFrame) -> DataFrame:
+    """One row per /16 bucket: its ranges sorted by their first address, region already split."""
     # F11 runs once per dictionary range here, not once per order after the join.
-    return ip_dim.select(
-        F.col("ip_lo").alias("_d_lo"),
-        F.col("ip_hi").alias("_d_hi"),
-        region_province("region").alias("_d_province"),
-        region_city("region").alias("_d_city"),
+    cut = ip_dim.select(
+        F.explode(F.sequence(F.shiftright("ip_lo", BUCKET_BITS), F.shiftright("ip_hi", BUCKET_BITS))).alias("_d_bucket"),
+        F.struct(
+            F.col("ip_lo").alias("lo"),
+            F.col("ip_hi").alias("hi"),
+            region_province("region").alias("province"),
+            region_city("region").alias("city"),
+        ).alias("r"),
     )
+    return cut.groupBy("_d_bucket").agg(F.sort_array(F.collect_list("r")).alias("_d_ranges"))
 
 
-def bucket_table(ip_dim: DataFrame) -> DataFrame:
-    """One row per (range, /16 bucket the range touches), region already split."""
-    return _dim_cols(ip_dim).select(
-        F.explode(
-            F.sequence(F.shiftright("_d_lo", BUCKET_BITS), F.shiftright("_d_hi", BUCKET_BITS))
-        ).alias("_d_bucket"),
-        "_d_lo",
-        "_d_hi",
-        "_d_province",
-        "_d_city",
-    )
+def _buckets_bytes(ip_dim: DataFrame) -> int:
+    """Size of the bucket table without building it: every range once for each bucket it touches."""
+    copies = F.shiftright("ip_hi", BUCKET_BITS) - F.shiftright("ip_lo", BUCKET_BITS) + 1
+    row = copies * (F.coalesce(F.octet_length("region"), F.lit(0)) + 64)
+    return ip_dim.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
-def _finish(joined: DataFrame, columns: list[str]) -> DataFrame:
+def _found(columns: list[str]) -> list[Column]:
+    """Output columns: the last range that starts at or before the address, if it reaches it."""
+    ranges, ip = F.col("_d_ranges"), F.col("_ip_num")
+    powers = F.transform(
+        F.sequence(F.floor(F.log2(F.size(ranges))).cast("int"), F.lit(0)),
+        lambda b: F.call_function("shiftleft", F.lit(1), b),
+    )
+    step = lambda n, p: F.when(F.get(ranges, n + p - 1)["lo"] <= ip, n + p).otherwise(n)
+    last = F.get(ranges, F.aggregate(powers, F.lit(0), step) - 1)
+    # Bound once per row: the two columns below read it.
+    hit = F.element_at(F.transform(F.array(last), lambda r: F.when(r["hi"] >= ip, r)), 1)
+    place = F.when(ranges.isNotNull(), hit)
     # No match (NULL, malformed or unknown address) -> Unknown, like a region with too few parts.
-    return joined.select(
-        *[F.col(c) for c in columns],
-        F.coalesce("_d_province", F.lit(UNKNOWN)).alias("province"),
-        F.coalesce("_d_city", F.lit(UNKNOWN)).alias("city"),
+    both = F.struct(
+        F.coalesce(place["province"], F.lit(UNKNOWN)).alias("province"), F.coalesce(place["city"], F.lit(UNKNOWN)).alias("city")
     )
+    return [*[F.col(c) for c in columns], both.alias("_place")]
+
 
+def _finish(joined: DataFrame, columns: list[str]) -> DataFrame:
+    return joined.select(*_found(columns)).select(*columns, "_place.province", "_place.city")
 
-def _in_range():
-    return (F.col("_ip_num") >= F.col("_d_lo")) & (F.col("_ip_num") <= F.col("_d_hi"))
 
+def _probe(df: DataFrame, ip_col: str) -> DataFrame:
+    return df.withColumn("_ip_num", ip_to_long(ip_col)).withColumn("_bucket", F.shiftright("_ip_num", BUCKET_BITS))
 
-def locate_range(df: DataFrame, ip_dim: DataFrame, ip_col: str = "ip") -> DataFrame:
-    """Broadcast nested-loop range join. Broadcasts ``ip_dim`` as is: call through
-    ``locate``, which checks its size first."""
-    columns = df.columns
-    probe = df.withColumn("_ip_num", ip_to_long(ip_col))
-    joined = probe.join(F.broadcast(_dim_cols(ip_dim)), _in_range(), "left")
-    return _finish(joined, columns)
 
+def locate_broadcast(df: DataFrame, ip_dim: DataFrame, ip_col: str = "ip") -> DataFrame:
+    """J1/J1b with the buckets broadcast. Call through ``locate``, which measures them first.
 
-def locate_prefix(df: DataFrame, ip_dim: DataFrame, ip_col: str = "ip", buckets: DataFrame | None = None) -> DataFrame:
-    """/16-bucket equi-join with the bucket table broadcast. Call through ``locate``,
-    which checks the bucket table's size first."""
-    columns = df.columns
-    table = F.broadcast(buckets if buckets is not None else bucket_table(ip_dim))
-    probe = df.withColumn("_ip_num", ip_to_long(ip_col)).withColumn(
-        "_bucket", F.shiftright("_ip_num", BUCKET_BITS)
-    )
-    joined = probe.join(table, (F.col("_bucket") == F.col("_d_bucket")) & _in_range(), "left")
-    return _finish(joined, columns)
+    The buckets are built once, into the shared checkpoint folder, also for a stream's many batches.
+    """
+    checkpoint_root(df.sparkSession)  # make sure a checkpoint folder is registered
+    buckets = bucket_table(ip_dim).checkpoint(eager=True)
+    joined = _probe(df, ip_col).join(F.broadcast(buckets), F.col("_bucket") == F.col("_d_bucket"), "left")
+    return _finish(joined, df.columns)
 
 
-def locate_shuffle(
-    df: DataFrame, ip_dim: DataFrame, ip_col: str = "ip", salts: int = DEFAULT_SALTS
-) -> DataFrame:
-    """J1b without broadcast: salted shuffle join on (bucket, salt)."""
+def _salts(probe: DataFrame) -> int:
+    """Enough salts that a task sees about ``ROWS_PER_SALT`` orders of the largest bucket."""
+    if probe.isStreaming:
+        return STREAM_SALTS
+    top = probe.filter("_bucket IS NOT NULL").groupBy("_bucket").count().agg(F.max("count")).first()[0] or 0
+    return max(1, -(-top // ROWS_PER_SALT))
+
+
+def locate_shuffle(df: DataFrame, ip_dim: DataFrame, ip_col: str = "ip", salts: int | None = None) -> DataFrame:
+    """J1b without broadcast: salted shuffle join on (bucket, salt); addresses that match nothing stay out of it."""
     columns = df.columns
-    probe = (
-        df.withColumn("_ip_num", ip_to_long(ip_col))
-        .withColumn("_bucket", F.shiftright("_ip_num", BUCKET_BITS))
-        .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)))
-    )
+    probe = _probe(df, ip_col)
+    salts = salts or _salts(probe)
+    salted = probe.filter("_bucket IS NOT NULL").withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)))
     table = bucket_table(ip_dim).withColumn("_d_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    cond = (F.col("_bucket") == F.col("_d_bucket")) & (F.col("_salt") == F.col("_d_salt")) & _in_range()
-    joined = probe.join(table, cond, "left")
-    return _finish(joined, columns)
+    joined = salted.join(table, (F.col("_bucket") == F.col("_d_bucket")) & (F.col("_salt") == F.col("_d_salt")), "left")
+    unknown = probe.filter("_bucket IS NULL").select(*columns, F.lit(UNKNOWN).alias("province"), F.lit(UNKNOWN).alias("city"))
+    return _finish(joined, columns).unionByName(unknown)
 
 
 def locate(
@@ -148,26 +152,19 @@ def locate(
     ip_dim: DataFrame,
     ip_col: str = "ip",
     strategy: str = "auto",
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-    salts: int = DEFAULT_SALTS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+    salts: int | None = None,
 ) -> DataFrame:
     """Add ``province`` and ``city`` for the address in ``ip_col``.
 
     NULL, blank, malformed and out-of-dictionary addresses, and regions with
     fewer than four parts, give ("Unknown", "Unknown"). Every input row is
-    kept exactly once (ranges are disjoint).
+    kept exactly once (ranges are disjoint). ``range`` and ``prefix`` name the
+    same join, J1's condition evaluated through J1b's buckets.
     """
     if strategy not in ("auto", "range", "prefix", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy == "shuffle":
-        return locate_shuffle(df, ip_dim, ip_col, salts)
-    # Every broadcast form is behind a proven bound; beyond it, the salted shuffle join
-    # gives the same rows.
-    if strategy == "range":
-        if row_bound_holds(ip_dim, broadcast_max_rows):
-            return locate_range(df, ip_dim, ip_col)
-        return locate_shuffle(df, ip_dim, ip_col, salts)
-    buckets = bucket_table(ip_dim)
-    if row_bound_holds(buckets, broadcast_max_rows):
-        return locate_prefix(df, ip_dim, ip_col, buckets)
+    # Every broadcast is behind a measured bound; beyond it, the salted shuffle join gives the same rows.
+    if strategy != "shuffle" and _buckets_bytes(ip_dim) <= broadcast_max_bytes:
+        return locate_broadcast(df, ip_dim, ip_col)
     return locate_shuffle(df, ip_dim, ip_col, salts)

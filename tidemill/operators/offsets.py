@@ -51,7 +51,9 @@ def number_log(records: DataFrame, topic: str, partition: str, order_col: str) -
     # The base table has at most parts x chunks rows: a bound known without another pass.
     small = F.broadcast(base) if parts * chunks <= BASE_MAX_ROWS else None
     within = Window.partitionBy(partition, "_chunk").orderBy(order_col)
-    numbered = keyed.join(small if small is not None else base, [partition, "_chunk"], "inner")
+    # A NULL partition or id numbers like any other value, so the base is matched null-safely.
+    side = (small if small is not None else base).select(F.col(partition).alias("_p"), F.col("_chunk").alias("_c"), "_base")
+    numbered = keyed.join(side, keyed[partition].eqNullSafe(F.col("_p")) & keyed["_chunk"].eqNullSafe(F.col("_c")), "inner")
     return numbered.select(
         F.lit(topic).alias("topic"),
         *[c for c in records.columns],
@@ -73,6 +75,6 @@ def save_offsets(ledger: DataFrame, consumed: DataFrame) -> DataFrame:
 
 def resume(log: DataFrame, ledger: DataFrame) -> DataFrame:
     """Records at or after each partition's resume point; a partition without one starts at 0."""
-    points = bounded_side(ledger.select("topic", "partition", "from_offset"), BASE_MAX_ROWS)
-    joined = log.join(points, ["topic", "partition"], "left")
-    return joined.filter(F.col("offset") >= F.coalesce(F.col("from_offset"), F.lit(0))).drop("from_offset")
+    points = bounded_side(ledger.select(F.col("topic").alias("_t"), F.col("partition").alias("_p"), "from_offset"))
+    joined = log.join(points, (log["topic"] == F.col("_t")) & log["partition"].eqNullSafe(F.col("_p")), "left")
+    return joined.filter(F.col("offset") >= F.coalesce(F.col("from_offset"), F.lit(0))).select(*log.columns)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.casts import sales
 from tidemill.schemas import SALES
 from tidemill.operators.clean import drop_empty, message_text, parse_report_input
-from tidemill.operators.geo import guarded_broadcast
+from tidemill.operators.geo import BROADCAST_MAX_BYTES, table_bytes
 
 # Hash-store key prefixes and the total's field name.
 PREFIX_TOTAL = "orders:money:total"
@@ -34,7 +34,6 @@ DIMENSION_CITY = "城市销售额"
 SERIES_TOTAL_LABEL = "Total"
 
 WATERMARK_DELAY = "10 minutes"
-ALLOW_LIST_MAX_ROWS = 100_000
 
 
 def report_input(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -66,11 +65,11 @@ def allow_cities(orders: DataFrame, cities: list[str]) -> DataFrame:
 def allow_cities_semi(orders: DataFrame, city_table: DataFrame) -> DataFrame:
     """The allow-list as a one-column table ``city``, applied as a left-semi join.
 
-    Broadcast when the table is proven small, a shuffled semi join otherwise.
+    Broadcast when the table is measured small, a shuffled semi join otherwise.
     """
     table = city_table.select("city").filter(F.col("city").isNotNull())
-    small = guarded_broadcast(table, ALLOW_LIST_MAX_ROWS)
-    return orders.join(small if small is not None else table.distinct(), "city", "left_semi")
+    small = table_bytes(table) <= BROADCAST_MAX_BYTES
+    return orders.join(F.broadcast(table) if small else table.distinct(), "city", "left_semi")
 
 
 def daily_total(orders: DataFrame, watermark: str | None = None) -> DataFrame:
@@ -182,8 +181,10 @@ def report_long(sets: DataFrame) -> DataFrame:
     )
 
 
-def report_document(sets: DataFrame) -> DataFrame:
-    """One nested document per day.
+def report_document(sets: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    """One nested document per day, or per requested day (``days``: a column ``date``).
+
+    A requested day without sales gets total 0 and empty lists.
 
     ``date, total_sales (0 when absent), province_sales array<struct<province, sales>>,
     city_sales array<struct<city, sales>>``; arrays sorted for stable output.
@@ -191,7 +192,7 @@ def report_document(sets: DataFrame) -> DataFrame:
     """
     g = F.col("grain")
     amount = sales("total_amt")
-    return sets.groupBy(F.col("order_date").alias("date")).agg(
+    found = sets.groupBy(F.col("order_date").alias("date")).agg(
         F.coalesce(F.max(F.when(g == "total", amount)), F.lit(0).cast("decimal(20,2)")).alias("total_sales"),
         F.sort_array(
             F.collect_list(
@@ -202,6 +203,15 @@ def report_document(sets: DataFrame) -> DataFrame:
             F.collect_list(F.when(g == "city", F.struct(F.col("category").alias("city"), amount.alias("sales"))))
         ).alias("city_sales"),
     )
+    if days is None:
+        return found
+    empty = {f.name: f.dataType for f in found.schema.fields if f.name.endswith("_sales") and f.name != "total_sales"}
+    asked = days.select("date").distinct().join(found, "date", "left")
+    return asked.select(
+        "date",
+        F.coalesce("total_sales", F.lit(0).cast(SALES)).alias("total_sales"),
+        *[F.coalesce(F.col(c), F.array().cast(t)).alias(c) for c, t in empty.items()],
+    )
 
 
 def flatten_document(doc: DataFrame) -> DataFrame:

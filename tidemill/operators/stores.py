@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions.json import parse_json_struct
 from tidemill.functions.text import default_to, reverse_text
-from tidemill.operators.clean import drop_empty, message_text, parse_document
+from tidemill.operators.clean import drop_empty, message_text, parse_document, position_of
 from tidemill.operators.geo import bounded_side
 from tidemill.schemas import ORDER_FIELDS
 
@@ -20,7 +20,6 @@ from tidemill.schemas import ORDER_FIELDS
 ROW_KEY_NO_USER = "unknown"
 ROW_KEY_NO_TIME = "null"
 DEFAULT_COUNT = "0"
-REQUESTS_MAX_ROWS = 1_000_000
 
 
 # ---------------------------------------------------------------- hash cells (K2)
@@ -45,7 +44,7 @@ def kv_get(kv: DataFrame, requests: DataFrame, default: str = DEFAULT_COUNT) ->
     the store is streamed past it (right outer join), otherwise both sides
     shuffle on (key, field).
     """
-    req = bounded_side(requests.select("key", "field"), REQUESTS_MAX_ROWS)
+    req = bounded_side(requests.select("key", "field"))
     cells = kv.select("key", "field", "value")
     joined = cells.join(req, ["key", "field"], "right")
     return joined.select("key", "field", default_to("value", default).alias("value"))
@@ -70,7 +69,8 @@ def kv_hashes(kv: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- documents (K3)
 def documents(messages: DataFrame) -> DataFrame:
     """P1 -> W2 -> P4 (+W5): enriched messages to eight-field text documents; no NULL ids."""
-    return parse_document(drop_empty(message_text(messages)), skip_corrupt=True)
+    keep = position_of(messages)
+    return parse_document(drop_empty(message_text(messages, keep)), skip_corrupt=True, keep=keep)
 
 
 # ---------------------------------------------------------------- wide rows (K4)
@@ -78,7 +78,8 @@ def wide_rows(messages: DataFrame, columns: list[str] | None = None) -> DataFram
     """P9/P10 (+W5, F9, F10, F17): row key ``reverse(userId)_orderTime`` and one text cell per column.
 
     A missing user gives ``unknown``, a missing time the text ``null``, a
-    missing cell ``""``. Undecodable messages are skipped.
+    missing cell ``""``. Undecodable messages are skipped. The messages' write order
+    (``position``) goes along where they have one.
     """
     columns = columns or ORDER_FIELDS
     names = list(dict.fromkeys(["userId", "orderTime", *columns]))
@@ -86,8 +87,9 @@ def wide_rows(messages: DataFrame, columns: list[str] | None = None) -> DataFram
         [T.StructField(n, T.StringType(), True) for n in names]
         + [T.StructField("_corrupt_record", T.StringType(), True)]
     )
-    parsed = drop_empty(message_text(messages)).select(
-        parse_json_struct("value", schema, "_corrupt_record").alias("d")
+    keep = position_of(messages)
+    parsed = drop_empty(message_text(messages, keep)).select(
+        *keep, parse_json_struct("value", schema, "_corrupt_record").alias("d")
     )
     ok = parsed.filter(F.col("d").isNotNull() & F.col("d._corrupt_record").isNull())
     row_key = F.concat(
@@ -95,4 +97,4 @@ def wide_rows(messages: DataFrame, columns: list[str] | None = None) -> DataFram
         F.lit("_"),
         default_to("d.orderTime", ROW_KEY_NO_TIME),
     )
-    return ok.select(row_key.alias("row_key"), *[default_to(f"d.{c}", "").alias(c) for c in columns])
+    return ok.select(row_key.alias("row_key"), *[default_to(f"d.{c}", "").alias(c) for c in columns], *keep)

@@ -21,7 +21,7 @@ from tidemill.operators import stores as S
 from tidemill.operators.clean import drop_junk, message_text, parse_raw_order
 from tidemill.operators.etl import open_orders
 from tidemill.operators.offsets import number_log, resume, save_offsets
-from tidemill.operators.upsert import latest_by_key, merge_by_key, numeric_text_order
+from tidemill.operators.upsert import latest_by_key, merge_by_key
 from tidemill.plans import scenarios as X
 from tidemill.schemas import ORDER_FIELDS
 from tidemill.session import scratch_path
@@ -109,6 +109,15 @@ def report_document(spark, sf_dir):
     return R.flatten_document(R.report_document(X.sets(spark, sf_dir)))
 
 
+def report_day_default(spark, sf_dir):
+    """Documents of requested days, one for a day without sales too (total 0, empty lists)."""
+    X.start(spark)
+    sets = X.sets(spark, sf_dir)
+    ends = sets.agg(F.date_sub(F.min("order_date"), 2).alias("lo"), F.date_add(F.max("order_date"), 2).alias("hi"))
+    days = ends.select(F.explode(F.sequence("lo", "hi")).alias("date"))
+    return R.flatten_document(R.report_document(sets, days))
+
+
 def report_series(spark, sf_dir):
     """Chart series per day."""
     X.start(spark)
@@ -167,27 +176,34 @@ def report_from_store(spark, sf_dir):
 def store_wide_rows(spark, sf_dir):
     """Wide rows of every enriched message."""
     X.start(spark)
-    return S.wide_rows(X.etl_messages(spark, sf_dir))
+    return S.wide_rows(X.etl_messages(spark, sf_dir)).drop("position")
+
+
+def store_wide_custom(spark, sf_dir):
+    """P10 K4: wide rows of a chosen column list, put in write order."""
+    X.start(spark)
+    rows = S.wide_rows(X.etl_messages(spark, sf_dir), columns=["ip", "city"])
+    return latest_by_key(rows, ["row_key"], ["position"]).drop("position")
 
 
 def store_wide_latest(spark, sf_dir):
-    """Wide rows after the puts; same user + same time overwrite."""
+    """Wide rows after the puts; same user + same time overwrite, in write order."""
     X.start(spark)
     rows = S.wide_rows(X.etl_messages(spark, sf_dir))
-    return latest_by_key(rows, ["row_key"], [numeric_text_order("orderId")])
+    return latest_by_key(rows, ["row_key"], ["position"]).drop("position")
 
 
 def store_documents(spark, sf_dir):
     """Typed documents of every enriched message."""
     X.start(spark)
-    return S.documents(X.etl_messages(spark, sf_dir))
+    return S.documents(X.etl_messages(spark, sf_dir)).drop("position")
 
 
 def store_documents_merged(spark, sf_dir):
-    """Documents merged field by field (a NULL never overwrites), several versions per id."""
+    """Documents merged field by field (a NULL never overwrites), three versions per order."""
     X.start(spark)
-    docs = X.rekey_documents(S.documents(X.etl_messages(spark, sf_dir)))
-    return merge_by_key(docs, ["doc_id"], [numeric_text_order("orderId")], ORDER_FIELDS)
+    docs = S.documents(X.order_versions(spark, sf_dir))
+    return merge_by_key(docs, ["orderId"], ["position"], [f for f in ORDER_FIELDS if f != "orderId"])
 
 
 # ---------------------------------------------------------------- streaming
@@ -268,20 +284,18 @@ def stream_wide(spark, sf_dir):
     """Wide rows upserted per micro-batch."""
     X.start(spark)
     topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-wide", "ckpt-wide"))
-    X.feed(topic, X.etl_arrivals(spark, sf_dir), lambda: P.run([P.start_wide_rows(spark, topic, store, ckpt)]))
+    run_once = lambda: P.run([P.start_wide_rows(spark, topic, store, ckpt)])
+    X.feed(topic, X.etl_arrivals(spark, sf_dir, ordered=True), run_once)
     return P.wide_row_table(spark, store).read()
 
 
 def stream_documents(spark, sf_dir):
-    """Documents merged per micro-batch (several versions per id)."""
+    """Documents merged per micro-batch, several versions of an order inside one."""
     X.start(spark)
     topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-docs", "ckpt-docs"))
 
-    def run_once():
-        P.run([P.start_documents(spark, topic, store, ckpt, rekey=X.rekey_documents, key="doc_id")])
-
-    X.feed(topic, X.etl_arrivals(spark, sf_dir), run_once)
-    return P.document_table(spark, store, "doc_id").read()
+    X.feed(topic, X.version_arrivals(spark, sf_dir), lambda: P.run([P.start_documents(spark, topic, store, ckpt)]))
+    return P.document_table(spark, store).read()
 
 
 def stream_daily_bounded(spark, sf_dir):
@@ -387,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "report_sets": report_sets,
     "report_long": report_long,
     "report_document": report_document,
+    "report_day_default": report_day_default,
     "report_series": report_series,
     "report_json_file": report_json_file,
     "report_csv_file": report_csv_file,
@@ -396,6 +411,7 @@ QUERIES: dict[str, Query] = {
     "report_from_store": report_from_store,
     "store_wide_rows": store_wide_rows,
     "store_wide_latest": store_wide_latest,
+    "store_wide_custom": store_wide_custom,
     "store_documents": store_documents,
     "store_documents_merged": store_documents_merged,
     "stream_etl": stream_etl,

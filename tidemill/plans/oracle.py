@@ -13,15 +13,18 @@ raw AS (
   SELECT o_orderkey, o_custkey, o_orderdate, c_nationkey,
          cast(o_orderkey AS varchar) AS orderId,
          lpad(cast(o_custkey AS varchar), 9, '0') AS userId,
-         cast(o_orderdate AS varchar) AS orderTime,
+         strftime(cast(o_orderdate AS timestamp) + to_milliseconds((o_orderkey % 3) * 28799877), '%Y-%m-%d %H:%M:%S.%g') AS orderTime,
          CASE WHEN o_orderkey % 50 = 0 THEN NULL
               WHEN o_orderkey % 49 = 0 THEN 'bad-ip'
               WHEN o_orderkey % 47 = 0 THEN '192.168.1.1'
+              WHEN o_orderkey % 43 = 0 THEN concat_ws('.', wide >> 24, (wide >> 16) & 255, (wide >> 8) & 255, wide & 255)
               ELSE concat('10.', c_nationkey, '.', o_orderkey % 256, '.', o_custkey % 256) END AS ip,
-         cast(cast(o_totalprice AS decimal(10,2)) AS varchar) AS orderMoney,
+         cast(cast(cast(o_totalprice AS decimal(10,2)) AS double) AS varchar) AS orderMoney,
          cast(o_totalprice AS decimal(10,2)) AS money,
          CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'P' THEN 1 ELSE 2 END AS orderStatus
-  FROM orders JOIN customer ON o_custkey = c_custkey
+  FROM (SELECT *, CAST(CASE (o_orderkey // 43) % 4 WHEN 0 THEN 184549376 WHEN 1 THEN 184849376 WHEN 2 THEN 184849377
+                       ELSE 184549376 + (o_orderkey * 31) % 300001 END AS BIGINT) AS wide FROM orders)
+  JOIN customer ON o_custkey = c_custkey
 )"""
 
 _JUNK = """
@@ -99,31 +102,33 @@ wide AS (
 
 _DOC_FIELDS = "orderId, userId, orderTime, ip, orderMoney, cast(orderStatus AS varchar) AS orderStatus, province, city"
 
+# Three versions an order, written one after the other; a field's last non-NULL value wins.
 _MERGED_DOCS = """
-versions AS (SELECT cast(o_orderkey % 997 AS varchar) AS doc_id, {seq} AS o_orderkey, orderId, userId, orderTime, ip,
-                    orderMoney, cast(orderStatus AS varchar) AS orderStatus, province, city FROM located)
-SELECT doc_id,
-       arg_max(orderId, o_orderkey) FILTER (WHERE orderId IS NOT NULL) AS orderId,
-       arg_max(userId, o_orderkey) FILTER (WHERE userId IS NOT NULL) AS userId,
-       arg_max(orderTime, o_orderkey) FILTER (WHERE orderTime IS NOT NULL) AS orderTime,
-       arg_max(ip, o_orderkey) FILTER (WHERE ip IS NOT NULL) AS ip,
-       arg_max(orderMoney, o_orderkey) FILTER (WHERE orderMoney IS NOT NULL) AS orderMoney,
-       arg_max(orderStatus, o_orderkey) FILTER (WHERE orderStatus IS NOT NULL) AS orderStatus,
-       arg_max(province, o_orderkey) FILTER (WHERE province IS NOT NULL) AS province,
-       arg_max(city, o_orderkey) FILTER (WHERE city IS NOT NULL) AS city
-FROM versions GROUP BY doc_id"""
+versions AS (
+  SELECT o_orderkey * 3 + v AS seq, orderId, userId, orderTime,
+         CASE WHEN v <> 1 THEN ip END AS ip,
+         CASE WHEN v = 0 THEN orderMoney WHEN v = 2 AND o_orderkey % 5 = 0 THEN '1.5' END AS orderMoney,
+         cast(v AS varchar) AS orderStatus,
+         CASE WHEN v = 0 THEN province WHEN v = 2 AND o_orderkey % 7 = 0 THEN 'MOVED' END AS province,
+         CASE WHEN v = 0 THEN city WHEN v = 1 AND o_orderkey % 11 = 0 THEN 'MOVED' END AS city
+  FROM located, (VALUES (0), (1), (2)) t(v))
+SELECT orderId,
+       arg_max(userId, seq) FILTER (WHERE userId IS NOT NULL) AS userId,
+       arg_max(orderTime, seq) FILTER (WHERE orderTime IS NOT NULL) AS orderTime,
+       arg_max(ip, seq) FILTER (WHERE ip IS NOT NULL) AS ip,
+       arg_max(orderMoney, seq) FILTER (WHERE orderMoney IS NOT NULL) AS orderMoney,
+       arg_max(orderStatus, seq) FILTER (WHERE orderStatus IS NOT NULL) AS orderStatus,
+       arg_max(province, seq) FILTER (WHERE province IS NOT NULL) AS province,
+       arg_max(city, seq) FILTER (WHERE city IS NOT NULL) AS city
+FROM versions GROUP BY orderId"""
 
 _ETL_FIELDS = f"""{_BASE}
 SELECT orderId AS key, {_DOC_FIELDS} FROM located"""
 
-_WIDE_LATEST = """{base},{wide}
+# A put overwrites the puts before it, in write order.
+_WIDE_LATEST = f"""{_BASE},{_WIDE}
 SELECT row_key, orderId, userId, orderTime, ip, orderMoney, orderStatus, province, city
-FROM (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY {order}) AS rn FROM wide) WHERE rn = 1"""
-
-# Write order: message position in batch; in a stream, micro-batch first (messages are
-# dealt to the three micro-batches by order key), then position.
-_SEQ_BATCH = "o_orderkey"
-_SEQ_STREAM = "(o_orderkey % 3) * 10000000000000 + o_orderkey"
+FROM (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY o_orderkey DESC) AS rn FROM wide) WHERE rn = 1"""
 
 _LOG = """
 log AS (
@@ -182,6 +187,19 @@ SELECT d AS date, 0 AS ordinal, 'Total' AS label, amt AS value FROM sets WHERE g
 UNION ALL
 SELECT d, CAST(row_number() OVER (PARTITION BY d ORDER BY category, amt) AS INTEGER), category, amt
 FROM sets WHERE grain = 'province'""",
+    "report_day_default": f"""{_BASE},{_SETS},
+days AS (
+  SELECT cast(t.d AS date) AS d FROM range((SELECT min(d) FROM sets) - INTERVAL 2 DAY, (SELECT max(d) FROM sets) + INTERVAL 3 DAY,
+                                    INTERVAL 1 DAY) t(d))
+SELECT days.d AS date,
+       coalesce(max(amt) FILTER (WHERE grain = 'total'), CAST(0 AS DECIMAL(20,2))) AS total_sales,
+       CAST(count(*) FILTER (WHERE grain = 'province') AS INTEGER) AS n_provinces,
+       coalesce(string_agg(category || '=' || cast(amt AS varchar), ';' ORDER BY category, amt)
+                FILTER (WHERE grain = 'province'), '') AS province_sales,
+       CAST(count(*) FILTER (WHERE grain = 'city') AS INTEGER) AS n_cities,
+       coalesce(string_agg(category || '=' || cast(amt AS varchar), ';' ORDER BY category, amt)
+                FILTER (WHERE grain = 'city'), '') AS city_sales
+FROM days LEFT JOIN sets ON sets.d = days.d GROUP BY days.d""",
     "report_json_file": None,
     "report_csv_file": None,
     "store_kv_latest": f"""{_BASE},{_KV}
@@ -199,21 +217,31 @@ SELECT key, CAST(count(*) AS INTEGER) AS n_fields, string_agg(field || '=' || va
 FROM kv GROUP BY key""",
     "store_wide_rows": f"""{_BASE},{_WIDE}
 SELECT row_key, orderId, userId, orderTime, ip, orderMoney, orderStatus, province, city FROM wide""",
-    "store_wide_latest": _WIDE_LATEST.format(base=_BASE, wide=_WIDE, order="o_orderkey DESC"),
+    "store_wide_latest": _WIDE_LATEST,
+    "store_wide_custom": f"SELECT row_key, ip, city FROM ({_WIDE_LATEST})",
     "store_documents": f"""{_BASE}
 SELECT {_DOC_FIELDS} FROM located""",
-    "store_documents_merged": f"{_BASE},{_MERGED_DOCS.format(seq=_SEQ_BATCH)}",
+    "store_documents_merged": f"{_BASE},{_MERGED_DOCS}",
     "stream_etl": _ETL_FIELDS,
     "stream_total": f"{_BASE}\n{_TOTAL}",
     "stream_province": f"{_BASE}\n{_PROVINCE}",
     "stream_city": f"{_BASE}\n{_CITY}",
     "stream_two_hop": f"{_BASE}\n{_PROVINCE}",
     "stream_restart": f"{_BASE}\n{_PROVINCE}",
-    "stream_wide": _WIDE_LATEST.format(base=_BASE, wide=_WIDE, order="o_orderkey % 3 DESC, o_orderkey DESC"),
-    "stream_documents": f"{_BASE},{_MERGED_DOCS.format(seq=_SEQ_STREAM)}",
+    "stream_wide": _WIDE_LATEST,
+    "stream_documents": f"{_BASE},{_MERGED_DOCS}",
+    # A row is dropped when its day had ended before the watermark that the arrivals before its own had reached.
     "stream_daily_bounded": """
+WITH e AS (
+  SELECT event_id, value, CASE WHEN event_id % 89 = 0 THEN ts - INTERVAL 5 DAY ELSE ts END AS ts,
+         (event_id - min(event_id) OVER ()) //
+           CAST(ceil((max(event_id) OVER () - min(event_id) OVER () + 1) / 3.0) AS BIGINT) AS slot
+  FROM events WHERE event_type = 'purchase'),
+w AS (
+  SELECT s.slot, (SELECT max(date_trunc('millisecond', e.ts)) - INTERVAL 10 MINUTE FROM e WHERE e.slot < s.slot) AS wm
+  FROM (SELECT DISTINCT slot FROM e) s)
 SELECT cast(ts AS date) AS order_date, cast(sum(cast(value AS decimal(10,2))) AS decimal(20,2)) AS total_amt
-FROM events WHERE event_type = 'purchase' GROUP BY 1""",
+FROM e JOIN w USING (slot) WHERE wm IS NULL OR cast(ts AS date) + INTERVAL 1 DAY > wm GROUP BY 1""",
     "scalar_ip_text": """
 WITH t AS (SELECT o_orderkey, ((o_orderkey * 65537 + o_custkey) % 4294967296) - 2147483648 AS ip_signed FROM orders)
 SELECT o_orderkey, ip_signed,

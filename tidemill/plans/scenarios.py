@@ -1,32 +1,30 @@
 """Shared building blocks of the registered queries: the pipeline stages over
-the supplied tables, the simulated micro-batch logs, and the streaming
-scenarios (topics written from the tables, streams run with availableNow
+the supplied tables and the streaming scenarios (topics written from the tables, streams run with availableNow
 into fresh folders under the shared checkpoint root).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators.etl import enriched_orders, etl_transform
+from tidemill.jobs import store_cells
+from tidemill.operators.etl import enriched_orders, etl_output, etl_transform
 from tidemill.operators.report import (
     daily_by_city,
     daily_by_province,
     daily_sets,
     daily_total,
     report_input,
-    sets_to_cells,
 )
-from tidemill.operators.upsert import latest_by_key
+from tidemill.operators.stores import documents
 from tidemill.session import checkpoint_root, prepare_session, scratch_path
 from tidemill.sources.fixtures import CITIES, ip_dim, raw_messages
 from tidemill.sources.tables import load_table
 from tidemill.sources.topics import write_topic
+from tidemill.streaming import pipeline as P
 
 MICRO_BATCHES = 3
-# Fixture documents are re-keyed onto this many ids to give each id several versions.
-DOCUMENT_IDS = 997
 
 
 def start(spark: SparkSession) -> SparkSession:
@@ -64,32 +62,12 @@ def sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_sets(report_rows(spark, sf_dir), CITIES)
 
 
-def update_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What three update-mode micro-batches emit, computed in batch.
-
-    Messages are dealt to micro-batches by order key; batch ``b`` emits, for
-    every cell it touches, the running total over batches ``0..b``. Result:
-    ``(batch_id, key, field, value)`` for all three reports.
-    """
-    msgs = etl_messages(spark, sf_dir)
-    batch = F.pmod(F.col("key").try_cast("bigint"), F.lit(MICRO_BATCHES)).cast("int")
-    rows = report_input(msgs.withColumn("batch_id", batch), keep=("batch_id",))
-    # One pass: per (batch, cell) sums for all three reports, then the running total
-    # per cell over the micro-batches (a cell's window holds one row per batch).
-    per_batch = daily_sets(rows, CITIES, by=("batch_id",))
-    running = (
-        Window.partitionBy("grain", "order_date", "category")
-        .orderBy("batch_id")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    totals = per_batch.withColumn("total_amt", F.sum("total_amt").over(running))
-    return sets_to_cells(totals, keep=("batch_id",)).drop("grain")
-
-
 def kv_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hash store after the three simulated micro-batches (U1 on (key, field))."""
-    log = update_log(spark, sf_dir).filter(F.col("field").isNotNull() & F.col("value").isNotNull())
-    return latest_by_key(log, ["key", "field"], [F.col("batch_id")]).drop("batch_id")
+    """The cells of the hash store that the three report streams filled over three arrivals."""
+    topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-kv", "ckpt-report"))
+    suffix = "-" + store.rsplit("-", 1)[-1]
+    feed(topic, etl_arrivals(spark, sf_dir), lambda: P.run(P.start_reports(spark, topic, store, ckpt, CITIES, query_suffix=suffix)))
+    return store_cells(spark, store, one_pass=False)
 
 
 def date_spine(rows: DataFrame) -> DataFrame:
@@ -98,38 +76,48 @@ def date_spine(rows: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.sequence("lo", "hi")).alias("order_date"))
 
 
-def rekey_documents(docs: DataFrame) -> DataFrame:
-    """Fixture: deal documents onto ``DOCUMENT_IDS`` ids so each id has several versions."""
-    return docs.withColumn(
-        "doc_id", F.pmod(F.col("orderId").try_cast("bigint"), F.lit(DOCUMENT_IDS)).cast("string")
-    ).select("doc_id", *docs.columns)
+def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three messages an order, in write order: the whole order, then two updates that set some of its fields."""
+    docs = documents(etl_messages(spark, sf_dir))
+    k, v = F.col("position"), F.col("_v")
+    rows = docs.withColumn("_v", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    told = rows.select(
+        "orderId",
+        "userId",
+        "orderTime",
+        F.when(v != 1, F.col("ip")).alias("ip"),
+        F.when(v == 0, F.col("orderMoney")).when((v == 2) & (k % 5 == 0), F.lit("1.5")).alias("orderMoney"),
+        v.cast("string").alias("orderStatus"),
+        F.when(v == 0, F.col("province")).when((v == 2) & (k % 7 == 0), F.lit("MOVED")).alias("province"),
+        F.when(v == 0, F.col("city")).when((v == 1) & (k % 11 == 0), F.lit("MOVED")).alias("city"),
+        (k * 3 + v).alias("position"),
+    )
+    return etl_output(told)
 
 
 # ---------------------------------------------------------------- streaming scenarios
-def chunks(messages: DataFrame, position: str, batches: int = MICRO_BATCHES, by_range: bool = False) -> list[DataFrame]:
-    """Split messages into ``batches`` arrivals: dealt by ``position`` modulo ``batches``, or,
-    with ``by_range``, cut into consecutive position ranges (event time then increases
-    from one arrival to the next). Every row lands in exactly one arrival.
+def chunks(messages: DataFrame, slot, batches: int = MICRO_BATCHES) -> list[DataFrame]:
+    """Split messages into ``batches`` arrivals by the number ``slot`` gives each of them.
 
     The messages are computed once and staged under the shared checkpoint folder,
     partitioned by arrival; each arrival then reads only its own partition.
     """
     spark = messages.sparkSession
-    pos = F.col(position)
-    if by_range:
-        b = messages.agg(F.min(position).alias("lo"), F.max(position).alias("hi")).first()
-        lo, hi = (int(b["lo"]), int(b["hi"])) if b["lo"] is not None else (0, 0)
-        width = max(1, -(-(hi - lo + 1) // batches))
-        slot = F.floor((pos - F.lit(lo)) / F.lit(width))
-    else:
-        slot = F.pmod(pos, F.lit(batches))
     staged = scratch_path(spark, "arrivals")
-    slotted = messages.withColumn("_slot", slot.cast("int")).drop(position)
+    slotted = messages.withColumn("_slot", slot.cast("int"))
     slotted.write.partitionBy("_slot").parquet(staged)
     reader = spark.read.schema(slotted.schema)
     return [reader.parquet(staged).filter(F.col("_slot") == i).drop("_slot") for i in range(batches)]
 
 
+def in_ranges(messages: DataFrame, by: str, batches: int = MICRO_BATCHES):
+    """Arrival number by consecutive ranges of ``by``: earlier positions never arrive later."""
+    b = messages.agg(F.min(by).alias("lo"), F.max(by).alias("hi")).first()
+    lo, hi = (int(b["lo"]), int(b["hi"])) if b["lo"] is not None else (0, 0)
+    width = max(1, -(-(hi - lo + 1) // batches))
+    return F.floor((F.col(by) - F.lit(lo)) / F.lit(width))
+
+
 def feed(topic: str, arrivals: list[DataFrame], run_once, only: list[int] | None = None) -> None:
     """Append each arrival to the topic and run the stream once (``availableNow``) before the next.
 
@@ -147,29 +135,41 @@ def feed(topic: str, arrivals: list[DataFrame], run_once, only: list[int] | None
 
 def raw_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The raw order topic's messages in three arrivals (dealt by order key)."""
-    return chunks(raw_messages(spark, sf_dir, with_position=True), "o_orderkey")
+    return chunks(raw_messages(spark, sf_dir), F.pmod("position", F.lit(MICRO_BATCHES)))
+
+
+def etl_arrivals(spark: SparkSession, sf_dir: str, ordered: bool = False) -> list[DataFrame]:
+    """Hop-1 output computed in batch, in three arrivals: dealt by order key, or ``ordered`` by it."""
+    msgs = etl_messages(spark, sf_dir)
+    return chunks(msgs, in_ranges(msgs, "position") if ordered else F.pmod("position", F.lit(MICRO_BATCHES)))
+
+
+def version_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """``order_versions`` in three arrivals: some orders' versions come in one, others' over two, always in order."""
+    order, version = F.floor(F.col("position") / 3), F.col("position") % 3
+    slot = F.least(F.pmod(order, F.lit(MICRO_BATCHES)) + F.when(version == 2, 1).otherwise(0), F.lit(MICRO_BATCHES - 1))
+    return chunks(order_versions(spark, sf_dir), slot)
 
 
-def etl_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Hop-1 output computed in batch, in three arrivals (dealt by order key)."""
-    msgs = etl_messages(spark, sf_dir).withColumn("_pos", F.col("key").try_cast("bigint"))
-    return chunks(msgs, "_pos")
+# Every so many purchases, one is told days after it happened.
+LATE_EVERY, LATE_DAYS = 89, 5
 
 
 def event_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Purchase events as enriched order messages, in three time-ordered arrivals."""
+    """Purchase events as enriched order messages, in three arrivals by event id, some of them days late."""
     events = load_table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    late = F.when(F.col("event_id") % LATE_EVERY == 0, F.col("ts") - F.expr(f"INTERVAL {LATE_DAYS} DAY")).otherwise(F.col("ts"))
     msgs = events.select(
-        F.col("event_id"),
+        F.col("event_id").alias("position"),
         F.col("event_id").cast("string").alias("key"),
         F.to_json(
             F.struct(
                 F.col("event_id").cast("string").alias("orderId"),
                 F.col("user_id").cast("string").alias("userId"),
-                F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSS").alias("orderTime"),
+                F.date_format(late, "yyyy-MM-dd HH:mm:ss.SSS").alias("orderTime"),
                 F.col("value").cast("decimal(10,2)").cast("string").alias("orderMoney"),
                 F.lit(0).alias("orderStatus"),
             )
         ).alias("value"),
     )
-    return chunks(msgs, "event_id", by_range=True)
+    return chunks(msgs, in_ranges(msgs, "position"))

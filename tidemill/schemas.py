@@ -7,23 +7,12 @@ from pyspark.sql import types as T
 # The eight order fields, in record order.
 ORDER_FIELDS = ["orderId", "userId", "orderTime", "ip", "orderMoney", "orderStatus", "province", "city"]
 
-# A message on a topic: key and value text (the value is what jobs read).
+# A message on a topic: key and value text (the value is what jobs read), and its place in the write order.
 MESSAGE = T.StructType(
     [
         T.StructField("key", T.StringType(), True),
         T.StructField("value", T.StringType(), True),
-    ]
-)
-
-# Parsed raw order (P2): five strings and the lenient int status.
-RAW_ORDER = T.StructType(
-    [
-        T.StructField("orderId", T.StringType(), True),
-        T.StructField("userId", T.StringType(), True),
-        T.StructField("orderTime", T.StringType(), True),
-        T.StructField("ip", T.StringType(), True),
-        T.StructField("orderMoney", T.StringType(), True),
-        T.StructField("orderStatus", T.IntegerType(), True),
+        T.StructField("position", T.LongType(), True),
     ]
 )
 
@@ -44,24 +33,4 @@ IP_DIM = T.StructType(
     ]
 )
 
-# Report input.
-REPORT_INPUT = T.StructType(
-    [
-        T.StructField("order_date", T.DateType(), True),
-        T.StructField("order_timestamp", T.TimestampType(), True),
-        T.StructField("money", T.DecimalType(10, 2), True),
-        T.StructField("province", T.StringType(), True),
-        T.StructField("city", T.StringType(), True),
-    ]
-)
-
-# Hash-store cell.
-KV_CELL = T.StructType(
-    [
-        T.StructField("key", T.StringType(), True),
-        T.StructField("field", T.StringType(), True),
-        T.StructField("value", T.StringType(), True),
-    ]
-)
-
 SALES = T.DecimalType(20, 2)

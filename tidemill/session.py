@@ -4,12 +4,13 @@ The caller owns the session. We only pin what results depend on (the
 session time zone: ``order_date`` is derived in it) and switch on adaptive
 execution where nobody has set it. Scratch data (streaming checkpoints,
 changelogs, topics written by tests) lives under the cluster's shared
-checkpoint folder; a private temp folder is created only when the session
-names none, which is the case in local tests.
+checkpoint folder. Only a local session that names none gets a private temp
+folder; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -48,8 +49,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
     Order: the SparkContext's checkpoint dir, then ``spark.checkpoint.dir``;
-    if neither is set (local tests) a fresh private folder is created and
-    registered, so later calls reuse it.
+    if neither is set, a local session gets a fresh private folder, registered
+    so that later calls reuse it, and any other session is refused: executors
+    on other machines could not see such a folder.
     """
     sc = None
     try:
@@ -69,6 +71,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master or ""):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tidemill-")
     if sc is not None:
         sc.setCheckpointDir(local)

@@ -20,7 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.ip import int_to_ip
 from tidemill.functions.json import record_json
+from tidemill.functions.time import RECORD_PATTERN, millis_to_text
 from tidemill.sources.tables import load_table, spread
 
 # Junk message texts, chosen per junk slot in this order.
@@ -31,12 +33,15 @@ JUNK_EVERY = 101
 # The wide dictionary range (11.0.0.0 onwards, crossing /16 borders).
 WIDE_RANGE = (184549376, 184849376, "X|0|WIDE|WIDE_CITY|isp")
 
+# Milliseconds between the fixture's times of a day.
+DAY_STEP_MS = 28_799_877
+
 # The nine allow-listed cities of the fixture dictionary.
 CITIES = ["NATION_0", "NATION_1", "NATION_2", "NATION_3", "NATION_4", "NATION_5", "NATION_6", "NATION_7", "NATION_8"]
 
 
 def raw_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orderId, userId, orderTime, ip, orderMoney (text) and orderStatus (int), plus the source key."""
+    """orderId, userId, orderTime, ip, orderMoney (double) and orderStatus (int), plus the write position."""
     orders = spread(
         load_table(spark, sf_dir, "orders").select(
             "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
@@ -44,10 +49,16 @@ def raw_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     k = F.col("o_orderkey")
+    lo, hi, _ = WIDE_RANGE
+    # Every 43rd order lies in the wide range: at its borders, just past it, or somewhere inside.
+    place = F.pmod(F.floor(k / 43), F.lit(4))
+    inside = F.lit(lo) + F.pmod(k * 31, F.lit(hi - lo + 1))
+    wide = F.when(place == 0, F.lit(lo)).when(place == 1, F.lit(hi)).when(place == 2, F.lit(hi + 1)).otherwise(inside)
     ip = (
         F.when(k % 50 == 0, F.lit(None).cast("string"))
         .when(k % 49 == 0, F.lit("bad-ip"))
         .when(k % 47 == 0, F.lit("192.168.1.1"))
+        .when(k % 43 == 0, int_to_ip(wide.cast("bigint")))
         .otherwise(
             F.concat(
                 F.lit("10."),
@@ -64,32 +75,32 @@ def raw_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "P", F.lit(1))
         .otherwise(F.lit(2))
     )
+    # One of three times of the day, to the millisecond.
+    at = F.unix_millis(F.col("o_orderdate").cast("timestamp")) + (k % 3) * F.lit(DAY_STEP_MS)
     return orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").select(
-        k.alias("o_orderkey"),
+        k.alias("position"),
         k.cast("string").alias("orderId"),
         F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("userId"),
-        F.col("o_orderdate").cast("string").alias("orderTime"),
+        millis_to_text(at, RECORD_PATTERN).alias("orderTime"),
         ip.alias("ip"),
-        F.col("o_totalprice").cast("decimal(10,2)").cast("string").alias("orderMoney"),
+        F.col("o_totalprice").cast("decimal(10,2)").cast("double").alias("orderMoney"),
         status.alias("orderStatus"),
     )
 
 
-def raw_messages(spark: SparkSession, sf_dir: str, with_position: bool = False) -> DataFrame:
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source topic: one JSON message per order, and a junk line after every ``JUNK_EVERY``-th.
 
     Both come from one scan of the orders (an ``explode`` of one or two
-    messages per order). ``with_position`` keeps ``o_orderkey`` for dealing
-    messages into micro-batches.
+    messages per order). The order key is the messages' ``position`` in the write order.
     """
     r = raw_order(spark, sf_dir)
-    k = F.col("o_orderkey")
+    k = F.col("position")
     text = record_json("orderId", "userId", "orderTime", "ip", "orderMoney", "orderStatus")
     slot = F.pmod(F.floor(k / JUNK_EVERY), F.lit(len(JUNK_TEXTS)))
     junk = F.element_at(F.array(*[F.lit(t).cast("string") for t in JUNK_TEXTS]), (slot + 1).cast("int"))
     values = F.when(k % JUNK_EVERY == 0, F.array(text, junk)).otherwise(F.array(text))
-    msgs = r.select("o_orderkey", F.lit(None).cast("string").alias("key"), F.explode(values).alias("value"))
-    return msgs if with_position else msgs.drop("o_orderkey")
+    return r.select(F.lit(None).cast("string").alias("key"), F.explode(values).alias("value"), "position")
 
 
 def ip_dim(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.upsert import latest_by_key, merge_by_key
@@ -54,21 +54,16 @@ class KeyedTable:
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         if self.prepare is not None:
             batch = self.prepare(batch)
-        # Two actions follow (the row count and the write): keep the batch so its
-        # plan, stateful operators included, runs once. Spills to disk if large.
-        batch.persist()
-        try:
-            rows = batch.count()
-            # Skip an empty micro-batch; the query's checkpoint still records its id.
-            if rows == 0:
-                return
-            # One file per ROWS_PER_FILE rows: a batch of a few changed cells is one file, not
-            # one per shuffle partition; a large batch is still written by many tasks.
-            files = max(1, -(-rows // ROWS_PER_FILE))
-            out = batch.coalesce(files) if files < batch.rdd.getNumPartitions() else batch
-            out.write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}")
-        finally:
-            batch.unpersist()
+        # One pass: the write counts its own rows.
+        seen = Observation()
+        target = f"{self.path}/batch_id={int(batch_id)}"
+        counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(target)
+        # An empty micro-batch leaves nothing; the query's checkpoint still records its id.
+        if seen.get.get("rows", 0) == 0:
+            jvm, fs, _ = self._fs()
+            fs.delete(jvm.org.apache.hadoop.fs.Path(target), True)
+            return
         # A replay of a batch already folded into a snapshot is ignored by reads
         # (they take batches after the snapshot only), and the snapshot holds its rows.
         if self.compact_every and (int(batch_id) + 1) % self.compact_every == 0:
@@ -108,11 +103,9 @@ class KeyedTable:
             snap = self.spark.read.parquet(f"{self.path}/{SNAPSHOT_PREFIX}{upto}")
             parts.append(snap.withColumn("batch_id", F.lit(-1)))
         if any(b > (upto if upto is not None else -1) for b in batches):
-            written = self.spark.read.option("basePath", self.path).parquet(f"{self.path}/batch_id=*")
-            written = written.withColumn("batch_id", F.col("batch_id").cast("int"))
-            if upto is not None:
-                written = written.filter(F.col("batch_id") > upto)
-            parts.append(written)
+            later = [f"{self.path}/batch_id={b}" for b in batches if upto is None or b > upto]
+            written = self.spark.read.option("basePath", self.path).parquet(*later)
+            parts.append(written.withColumn("batch_id", F.col("batch_id").cast("int")))
         if not parts:
             return None
         out = parts[0]
@@ -123,39 +116,49 @@ class KeyedTable:
     def _order(self) -> list[Column]:
         return [F.col("batch_id"), *[F.col(o) if isinstance(o, str) else o for o in self.order]]
 
-    def read(self) -> DataFrame | None:
-        """The table's current rows (keys + payload), or None before the first batch."""
+    def _own(self) -> list[str]:
+        """Columns that only order the writes."""
+        return ["batch_id", *[o for o in self.order if isinstance(o, str)]]
+
+    def read(self, keep_order: bool = False) -> DataFrame | None:
+        """The table's current rows (keys + payload), or None before the first batch.
+
+        ``keep_order`` leaves the in-batch order columns in, as NULLs: a
+        snapshot is older than every later batch, whatever its rows' places were.
+        """
         changes = self.changes()
         if changes is None:
             return None
         order = self._order()
         if self.mode == "merge":
-            fields = [c for c in changes.columns if c not in self.keys and c != "batch_id"]
-            return merge_by_key(changes, self.keys, order, fields)
-        return latest_by_key(changes, self.keys, order).drop("batch_id")
+            fields = [c for c in changes.columns if c not in self.keys and c not in self._own()]
+            out = merge_by_key(changes, self.keys, order, fields)
+        else:
+            out = latest_by_key(changes, self.keys, order).drop(*self._own())
+        if keep_order:
+            kinds = dict(changes.dtypes)
+            out = out.withColumns({o: F.lit(None).cast(kinds[o]) for o in self._own() if o != "batch_id"})
+        return out
 
     def compact(self) -> None:
         """Fold everything written so far into a snapshot so reads stop growing with batches.
 
         The snapshot ``_snapshot_upto=N`` counts only once its write has
-        committed (``_SUCCESS``); older batches and snapshots are removed
-        after that, so a failure at any point leaves a readable table.
+        committed (``_SUCCESS``). What the snapshot before it already held is
+        removed then, and what it holds itself stays until the next one: a
+        reader that planned on those files has a whole compaction interval to
+        finish.
         """
         batches, snapshots = self._entries()
-        if not batches:
+        if not batches or (snapshots and batches[-1] <= snapshots[-1]):
+            return  # nothing new since the newest snapshot
+        current = self.read(keep_order=True)
+        current.write.mode("overwrite").parquet(f"{self.path}/{SNAPSHOT_PREFIX}{batches[-1]}")
+        if not snapshots:
             return
-        upto = batches[-1]
         jvm, fs, root = self._fs()
-        if snapshots and upto <= snapshots[-1]:
-            # Only replays of batches the newest snapshot already holds: drop them.
-            for b in batches:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"batch_id={b}"), True)
-            return
-        current = self.read()
-        current.write.mode("overwrite").parquet(f"{self.path}/{SNAPSHOT_PREFIX}{upto}")
         for b in batches:
-            if b <= upto:
+            if b <= snapshots[-1]:
                 fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"batch_id={b}"), True)
-        for s_id in snapshots:
-            if s_id < upto:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{SNAPSHOT_PREFIX}{s_id}"), True)
+        for s_id in snapshots[:-1]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{SNAPSHOT_PREFIX}{s_id}"), True)

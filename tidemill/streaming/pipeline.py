@@ -9,11 +9,13 @@ started queries; ``run`` waits for them and surfaces failures.
 
 from __future__ import annotations
 
+import time
+from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemill.operators.etl import etl_transform
 from tidemill.operators.report import (
@@ -26,7 +28,6 @@ from tidemill.operators.report import (
     sets_to_cells,
 )
 from tidemill.operators.stores import documents, wide_rows, writable_cells
-from tidemill.operators.upsert import numeric_text_order
 from tidemill.sources.topics import read_topic
 from tidemill.streaming.changelog import KeyedTable
 
@@ -57,13 +58,57 @@ def run(queries: list[StreamingQuery]) -> list[StreamingQuery]:
     return queries
 
 
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """T5: rows the query's stateful operators dropped as too late, over all its batches."""
-    total = 0
-    for progress in query.recentProgress:
-        for op in progress.get("stateOperators", []) if isinstance(progress, dict) else []:
-            total += int(op.get("numRowsDroppedByWatermark", 0))
-    return total
+@dataclass
+class Topics:
+    """How topics are read: a file format or ``kafka``, its options, and the intake cap per micro-batch."""
+
+    fmt: str = "parquet"
+    options: dict | None = None
+    max_per_trigger: int | None = None
+
+    def read(self, spark: SparkSession, topic: str) -> DataFrame:
+        return read_topic(spark, topic, True, self.fmt, self.max_per_trigger, self.options)
+
+
+FILES = Topics()
+
+
+class LateRows(StreamingQueryListener):
+    """T5: adds up, batch by batch, the rows each run dropped as too late."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = defaultdict(int)
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.dropped[str(progress.runId)] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+
+def watch_late_rows(spark: SparkSession) -> LateRows:
+    """Start counting late rows; call before the queries start, and ``spark.streams.removeListener`` when done."""
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    return listener
+
+
+def dropped_by_watermark(watch: LateRows, query: StreamingQuery, wait_s: float = 30.0) -> int:
+    """T5: rows the ended query's stateful operators dropped as too late, over all batches of its run."""
+    until = time.monotonic() + wait_s
+    while str(query.runId) not in watch.ended:  # progress reports arrive on a bus of their own, the end after them
+        if time.monotonic() > until:
+            raise TimeoutError("the query's last progress report has not arrived")
+        time.sleep(0.05)
+    return watch.dropped[str(query.runId)]
 
 
 # ---------------------------------------------------------------- hop 1: ETL
@@ -73,19 +118,24 @@ def start_etl(
     etl_topic: str,
     checkpoint: str,
     ip_dim: DataFrame,
-    max_per_trigger: int | None = None,
+    topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
     strategy: str = "auto",
+    sink_fmt: str = "parquet",
+    sink_options: dict | None = None,
 ) -> StreamingQuery:
-    """Raw order topic -> enriched (key, value) topic, append mode, checkpointed."""
-    messages = read_topic(spark, source_topic, streaming=True, max_per_trigger=max_per_trigger)
-    out = etl_transform(messages, ip_dim, strategy)
-    writer = (
-        out.writeStream.outputMode("append")
-        .format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .option("path", etl_topic)
-    )
+    """Raw order topic -> enriched topic, append mode, checkpointed.
+
+    A Kafka sink takes key and value, and numbers the messages itself.
+    """
+    out = etl_transform(topics.read(spark, source_topic), ip_dim, strategy)
+    options = dict(sink_options or {})
+    if sink_fmt == "kafka":
+        out = out.drop("position")
+        options.setdefault("topic", etl_topic)
+    else:
+        options.setdefault("path", etl_topic)
+    writer = out.writeStream.outputMode("append").format(sink_fmt).options(**options).option("checkpointLocation", checkpoint)
     return trigger.apply(writer).start()
 
 
@@ -93,10 +143,12 @@ def start_etl(
 REPORTS = ("total", "province", "city")
 
 
-def report_tables(spark: SparkSession, store: str) -> dict[str, KeyedTable]:
+def report_tables(spark: SparkSession, store: str, compact_every: int | None = None) -> dict[str, KeyedTable]:
     """The hash-cell tables the three report queries maintain (K2: replace on (key, field))."""
     return {
-        name: KeyedTable(spark, f"{store}/{name}", ["key", "field"], mode="replace", prepare=writable_cells)
+        name: KeyedTable(
+            spark, f"{store}/{name}", ["key", "field"], mode="replace", prepare=writable_cells, compact_every=compact_every
+        )
         for name in REPORTS
     }
 
@@ -107,23 +159,24 @@ def start_reports(
     store: str,
     checkpoint_root: str,
     cities: list[str],
-    max_per_trigger: int | None = None,
+    topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
     which: tuple[str, ...] = REPORTS,
     query_suffix: str = "",
+    compact_every: int | None = None,
 ) -> list[StreamingQuery]:
     """Three update-mode aggregates over one parsed stream, each with its own checkpoint.
 
     Each micro-batch's changed cells (running totals) are upserted into the
     report's keyed table by ``foreachBatch``.
     """
-    orders = report_input(read_topic(spark, etl_topic, streaming=True, max_per_trigger=max_per_trigger))
+    orders = report_input(topics.read(spark, etl_topic))
     build = {
         "total": lambda: daily_total(orders, WATERMARK_DELAY),
         "province": lambda: daily_by_province(orders, WATERMARK_DELAY),
         "city": lambda: daily_by_city(orders, cities, WATERMARK_DELAY),
     }
-    tables = report_tables(spark, store)
+    tables = report_tables(spark, store, compact_every)
     started = []
     for name in which:
         writer = (
@@ -137,9 +190,9 @@ def start_reports(
     return started
 
 
-def cell_table(spark: SparkSession, store: str) -> KeyedTable:
+def cell_table(spark: SparkSession, store: str, compact_every: int | None = None) -> KeyedTable:
     """All report cells in one keyed table (grain, key, field, value); keys carry the report prefix."""
-    return KeyedTable(spark, store, ["key", "field"], mode="replace", prepare=writable_cells)
+    return KeyedTable(spark, store, ["key", "field"], mode="replace", prepare=writable_cells, compact_every=compact_every)
 
 
 def start_reports_one_pass(
@@ -148,8 +201,9 @@ def start_reports_one_pass(
     store: str,
     checkpoint: str,
     cities: list[str],
-    max_per_trigger: int | None = None,
+    topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """A4 as a stream: the three reports in one GROUPING SETS aggregation.
 
@@ -157,20 +211,20 @@ def start_reports_one_pass(
     micro-batch updates the total, province and city cells of the same input
     together, so a reader never sees them at different versions (D11).
     """
-    orders = report_input(read_topic(spark, etl_topic, streaming=True, max_per_trigger=max_per_trigger))
+    orders = report_input(topics.read(spark, etl_topic))
     cells = sets_to_cells(daily_sets(orders.withWatermark("order_timestamp", WATERMARK_DELAY), cities))
     writer = (
         cells.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(cell_table(spark, store).apply_batch)
+        .foreachBatch(cell_table(spark, store, compact_every).apply_batch)
     )
     return trigger.apply(writer).start()
 
 
 # ---------------------------------------------------------------- stores (S3, K3, K4)
-def wide_row_table(spark: SparkSession, store: str) -> KeyedTable:
-    """K4: row key -> 8 cells; a later put of the same key overwrites the whole row."""
-    return KeyedTable(spark, store, ["row_key"], order=[numeric_text_order("orderId")], mode="replace")
+def wide_row_table(spark: SparkSession, store: str, compact_every: int | None = None) -> KeyedTable:
+    """K4: row key -> cells; a later put (by write order) of the same key overwrites the whole row."""
+    return KeyedTable(spark, store, ["row_key"], order=["position"], mode="replace", compact_every=compact_every)
 
 
 def start_wide_rows(
@@ -178,20 +232,22 @@ def start_wide_rows(
     etl_topic: str,
     store: str,
     checkpoint: str,
-    max_per_trigger: int | None = None,
+    topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
+    columns: list[str] | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Enriched topic -> wide rows, upserted per micro-batch (every 5 s in the reference)."""
-    rows = wide_rows(read_topic(spark, etl_topic, streaming=True, max_per_trigger=max_per_trigger))
+    """Enriched topic -> wide rows of the listed columns (P10), upserted per micro-batch (every 5 s in the reference)."""
+    rows = wide_rows(topics.read(spark, etl_topic), columns)
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        wide_row_table(spark, store).apply_batch
+        wide_row_table(spark, store, compact_every).apply_batch
     )
     return trigger.apply(writer).start()
 
 
-def document_table(spark: SparkSession, store: str, key: str = "orderId", order=None) -> KeyedTable:
-    """K3: documents keyed by ``key``; fields merge (a NULL never overwrites)."""
-    return KeyedTable(spark, store, [key], order=order or [numeric_text_order("orderId")], mode="merge")
+def document_table(spark: SparkSession, store: str, compact_every: int | None = None) -> KeyedTable:
+    """K3: documents keyed by order id; fields merge in write order (a NULL never overwrites)."""
+    return KeyedTable(spark, store, ["orderId"], order=["position"], mode="merge", compact_every=compact_every)
 
 
 def start_documents(
@@ -199,18 +255,14 @@ def start_documents(
     etl_topic: str,
     store: str,
     checkpoint: str,
-    max_per_trigger: int | None = None,
+    topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
-    rekey=None,
-    key: str = "orderId",
-    order=None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Enriched topic -> documents merged on ``key``. ``rekey`` may derive the key column first."""
-    docs = documents(read_topic(spark, etl_topic, streaming=True, max_per_trigger=max_per_trigger))
-    if rekey is not None:
-        docs = rekey(docs)
+    """Enriched topic -> documents merged on the order id."""
+    docs = documents(topics.read(spark, etl_topic))
     writer = docs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        document_table(spark, store, key, order).apply_batch
+        document_table(spark, store, compact_every).apply_batch
     )
     return trigger.apply(writer).start()
 
@@ -240,10 +292,10 @@ def start_bounded_daily(
     etl_topic: str,
     store: str,
     checkpoint: str,
-    max_per_trigger: int | None = None,
+    topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
 ) -> tuple[StreamingQuery, KeyedTable]:
-    orders = report_input(read_topic(spark, etl_topic, streaming=True, max_per_trigger=max_per_trigger))
+    orders = report_input(topics.read(spark, etl_topic))
     table = bounded_table(spark, store)
     writer = (
         bounded_daily_total(orders)
