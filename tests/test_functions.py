@@ -132,7 +132,7 @@ def test_json_fields_equal_path_reader(spark):
     from tidemill.functions.json import json_fields
 
     texts = ['{"a":1,"b":"x"}', '{"a":1,"a":2,"b":"y"}', '{"a":"\\u0041","b":1.50}', '{"\\u0061":5,"a":6}',
-             '{"a":1, bad', "[1]", "", None, '{"b":{"a":1}}', '{"a":"has \\"a\\" inside","b":null}']
+             '{"a":1, bad', "{'a':'1','a':'2',\"b\":\"a\"}", "[1]", "", None, '{"b":{"a":1}}', '{"a":"has \\"a\\" inside","b":null}']
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
     fast = {r["i"]: (r["a"], r["b"]) for r in json_fields(df, "v", ["a", "b"], keep=("i",)).collect()}
     exact = {r["i"]: (r["a"], r["b"]) for r in
@@ -153,13 +153,15 @@ def test_json_fields_property(spark):
     names = ["a", "b", "ab"]
     value = st.one_of(st.integers(-5, 5), st.text("x\\\"0 ,", max_size=4), st.none(), st.booleans(),
                       st.floats(allow_nan=False, allow_infinity=False, width=16))
-    member = st.tuples(st.sampled_from(names + ["c"]), value, st.booleans())
+    value = st.one_of(value, st.fixed_dictionaries({"a": st.integers(0, 3)}))  # nested keys of the same name
+    member = st.tuples(st.sampled_from(names + ["c"]), value, st.sampled_from(["plain", "escaped", "single"]))
 
     def render(members):
         parts = []
         for k, v, escape in members:
-            key = "".join(f"\\u{ord(ch):04x}" for ch in k) if escape else k
-            parts.append(f'"{key}":{_json.dumps(v)}')
+            key = "".join(f"\\u{ord(ch):04x}" for ch in k) if escape == "escaped" else k
+            quote = "'" if escape == "single" else '"'
+            parts.append(f"{quote}{key}{quote}:{_json.dumps(v)}")
         return "{" + ",".join(parts) + "}"
 
     @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
@@ -172,3 +174,18 @@ def test_json_fields_property(spark):
         assert fast == exact
 
     check()
+
+
+def test_lenient_int_truncates_long_fractions(spark):
+    from tidemill.functions.casts import lenient_int
+
+    got = apply(spark, ["0.9999999999999999999", "-0.9999999999999999999", "1.9", " 7 ", ".5", "+", "1.2.3", "2147483648"], lenient_int)
+    assert got == {"0.9999999999999999999": 0, "-0.9999999999999999999": 0, "1.9": 1, " 7 ": 7, ".5": 0, "+": None, "1.2.3": None,
+                   "2147483648": None}
+
+
+def test_json_fields_single_quoted_duplicates(spark):
+    from tidemill.functions.json import json_fields
+
+    df = spark.createDataFrame([("{'ip':'1','ip':'2',\"x\":\"ip\"}",)], "v string")
+    assert json_fields(df, "v", ["ip"]).first()["ip"] == "1"

@@ -43,7 +43,34 @@ def test_command_line(spark, scratch):
     ip_dim(spark, SF_SMALL).write.parquet(dim_path)
     write_topic(X.raw_arrivals(spark, SF_SMALL)[0], raw)
     jobs.main(["etl", "--source", raw, "--sink", etl, "--checkpoint", f"{ckpt}/etl", "--ip-dim", dim_path])
-    jobs.main(["reports", "--source", etl, "--store", store, "--checkpoint", f"{ckpt}/rep", "--one-pass",
-               "--cities", ",".join(CITIES)])
-    jobs.main(["export", "--store", store, "--out", out, "--one-pass", "--csv", f"{out}-csv"])
+    jobs.main(["reports", "--source", etl, "--store", store, "--checkpoint", f"{ckpt}/rep", "--cities", ",".join(CITIES)])
+    jobs.main(["export", "--store", store, "--out", out, "--csv", f"{out}-csv"])
     assert read_report_json(spark, out).count() > 0
+
+
+def test_export_of_a_day_without_sales_and_of_an_empty_store(spark, scratch):
+    for one_pass in (True, False):
+        out = scratch("report")
+        jobs.export_report(spark, scratch("nothing"), out, day="2024-01-01", csv=f"{out}-csv", one_pass=one_pass)
+        (doc,) = read_report_json(spark, out).collect()
+        assert (str(doc["date"]), str(doc["total_sales"]), doc["province_sales"], doc["city_sales"]) == ("2024-01-01", "0.00", [], [])
+        jobs.export_report(spark, scratch("nothing"), f"{out}-all", one_pass=one_pass)
+        assert read_report_json(spark, f"{out}-all").count() == 0
+
+
+def test_job_options_reach_the_streams(spark, monkeypatch):
+    """Source and sink formats, their options, the intake cap and the column list are passed through (no broker here)."""
+    seen = {}
+    for name in ("start_etl", "start_documents", "start_wide_rows", "start_reports_one_pass"):
+        monkeypatch.setattr(P, name, lambda *a, _n=name, **k: seen.setdefault(_n, (a, k)))
+    monkeypatch.setattr(jobs, "read_ip_dim", lambda *_: None)
+    source = ["--source", "t", "--checkpoint", "c", "--format", "kafka", "--option", "kafka.bootstrap.servers=h:1", "--max-per-trigger", "7"]
+    parse = lambda *a: jobs.arguments().parse_args([*a, *source])
+    jobs.start_job(spark, parse("etl", "--sink", "o", "--ip-dim", "d", "--sink-format", "kafka", "--sink-option", "x=y"))
+    jobs.start_job(spark, parse("documents", "--store", "s"))
+    jobs.start_job(spark, parse("wide-rows", "--store", "s", "--columns", "ip,city"))
+    jobs.start_job(spark, parse("reports", "--store", "s"))
+    topics = P.Topics("kafka", {"kafka.bootstrap.servers": "h:1"}, 7)
+    assert all(topics in a for a, _ in seen.values()) and len(seen) == 4
+    assert seen["start_etl"][1] == {"sink_fmt": "kafka", "sink_options": {"x": "y"}}
+    assert ["ip", "city"] in seen["start_wide_rows"][0]

@@ -13,7 +13,7 @@ from tidemill.operators import geo
 from tidemill.operators import report as R
 from tidemill.operators.offsets import number_log, resume, save_offsets
 from tidemill.operators.stores import kv_get, wide_rows, writable_cells
-from tidemill.operators.upsert import latest_by_key, merge_by_key, numeric_text_order
+from tidemill.operators.upsert import latest_by_key, merge_by_key
 from tidemill.plans import scenarios as X
 from tidemill.sources.fixtures import CITIES
 
@@ -73,14 +73,14 @@ def test_range_strategies_agree_with_brute_force(spark, crafted_dim):
 def test_auto_strategy_falls_back_beyond_bounds(spark, crafted_dim):
     dim, ranges = crafted_dim
     orders = spark.createDataFrame([("1", "11.0.0.1"), ("2", None)], "orderId string, ip string")
-    got = geo.locate(orders, dim, strategy="auto", broadcast_max_rows=3).collect()
+    got = geo.locate(orders, dim, strategy="auto", broadcast_max_bytes=3).collect()
     assert {r["orderId"]: r["province"] for r in got} == {"1": "P3", "2": "Unknown"}
 
 
 def test_prefix_join_plans_as_hash_join(spark, crafted_dim):
     dim, _ = crafted_dim
     orders = spark.createDataFrame([("1", "10.0.0.1")], "orderId string, ip string")
-    plan = geo.locate_prefix(orders, dim)._jdf.queryExecution().executedPlan().toString()
+    plan = geo.locate_broadcast(orders, dim)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
 
 
@@ -150,7 +150,7 @@ def test_merge_upsert_keeps_last_non_null(spark):
     rows = [("d", "1", "a1", None), ("d", "2", None, "b2"), ("d", "10", None, None), ("e", "3", None, None)]
     df = spark.createDataFrame(rows, "id string, orderId string, a string, b string")
     got = {r["id"]: (r["orderId"], r["a"], r["b"]) for r in
-           merge_by_key(df, ["id"], [numeric_text_order("orderId")]).collect()}
+           merge_by_key(df, ["id"], [F.col("orderId").cast("int")]).collect()}
     assert got == {"d": ("10", "a1", "b2"), "e": ("3", None, None)}
 
 
@@ -173,6 +173,22 @@ def test_wide_row_edges(spark):
     assert len(rows) == 3
 
 
+def test_merge_ties_never_mix_versions(spark):
+    """Rows of equal order: one row wins every field that both of them set."""
+    rows = [("7", 1, "9", "A"), ("7", 1, "10", "B")]
+    for data in (rows, rows[::-1]):
+        df = spark.createDataFrame(data, "id string, seq int, ip string, city string")
+        got = merge_by_key(df, ["id"], ["seq"], ["ip", "city"]).collect()
+        assert [tuple(r)[1:] for r in got] in ([("9", "A")], [("10", "B")])
+
+
+def test_kv_get_all(spark):
+    from tidemill.operators.stores import kv_get_all
+
+    kv = spark.createDataFrame([("a", "x", "1"), ("a", "y", "2"), ("b", "x", "3")], "key string, field string, value string")
+    assert sorted(tuple(r) for r in kv_get_all(kv, "a").collect()) == [("x", "1"), ("y", "2")]
+
+
 def test_kv_get_default(spark):
     kv = spark.createDataFrame([("a", "global", "5.00")], "key string, field string, value string")
     req = spark.createDataFrame([("a", "global"), ("b", "global")], "key string, field string")
@@ -188,6 +204,8 @@ def test_offsets_numbering_matches_brute_force(spark):
         next_id += rnd.randint(1, 5)
         recs.append((next_id, 0 if rnd.random() < 0.7 else rnd.randint(1, 2)))
     df = spark.createDataFrame(recs, "id long, partition int")
+    unnumbered = spark.createDataFrame([(5, None), (None, 1)], "id long, partition int")
+    assert number_log(unnumbered, "t", "partition", "id").count() == 2  # NULLs are numbered too, not lost
     got = {r["id"]: r["offset"] for r in number_log(df, "t", "partition", "id").collect()}
     counters, want = {}, {}
     for i, p in recs:
@@ -214,7 +232,7 @@ def test_named_strategies_check_their_bound(spark, crafted_dim):
     dim, ranges = crafted_dim
     orders = spark.createDataFrame([("1", "11.0.0.1"), ("2", "10.0.0.9")], "orderId string, ip string")
     for strategy in ("range", "prefix"):
-        df = geo.locate(orders, dim, strategy=strategy, broadcast_max_rows=2)
+        df = geo.locate(orders, dim, strategy=strategy, broadcast_max_bytes=2)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Broadcast" not in plan, strategy  # over the bound: shuffled, not broadcast
         assert {r["orderId"]: r["province"] for r in df.collect()} == {"1": "P3", "2": "P0"}

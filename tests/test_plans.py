@@ -35,7 +35,7 @@ def test_etl_is_map_only_and_prunes_the_scan(spark, scratch):
     formatted = etl._jdf.queryExecution().explainString(
         etl.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
-    assert "ReadSchema: struct<value:string>" in formatted
+    assert "ReadSchema: struct<value:string,position:bigint>" in formatted
     assert "PushedFilters: [IsNotNull(value)]" in formatted
 
 
@@ -59,9 +59,57 @@ def test_spread_only_when_splits_are_fewer_than_cores(spark):
 
 def test_bounded_side_shuffles_beyond_its_bound(spark):
     side = spark.range(10).select(F.col("id").alias("k"))
-    small = geo.bounded_side(side, 100)
+    small = geo.bounded_side(side, 1000)
     large = geo.bounded_side(side, 5)
     probe = spark.range(1000).select((F.col("id") % 10).alias("k"))
     assert "BroadcastHashJoin" in executed(probe.join(small, "k"))
     with_large = probe.join(large, "k")
     assert with_large.count() == 1000
+
+
+def test_address_lookup_has_no_residual_range_test(spark, scratch):
+    """The join is an equality on the bucket; the range is found inside the matched row."""
+    raw = topic(spark, scratch)
+    plan = etl_transform(raw, ip_dim(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert len(joins) == 1 and not any(op in joins[0] for op in (">=", "<=", "cond="))
+
+
+def test_unmatchable_addresses_stay_out_of_the_shuffle(spark):
+    dim = ip_dim(spark, SF_SMALL)
+    orders = spark.createDataFrame([(str(i), None if i % 2 else "10.1.2.3") for i in range(100)], "orderId string, ip string")
+    located = geo.locate(orders, dim, strategy="shuffle")
+    plan = located._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "NestedLoop" not in executed(located)
+    assert located.filter("province = 'Unknown'").count() == 50
+
+
+def test_salts_follow_the_largest_bucket(spark, monkeypatch):
+    monkeypatch.setattr(geo, "ROWS_PER_SALT", 10)
+    probe = geo._probe(spark.createDataFrame([("10.0.0.1",)] * 95 + [("10.1.0.1",)] * 5 + [(None,)] * 500, "ip string"), "ip")
+    assert geo._salts(probe) == 10
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    import pytest
+
+    from tidemill.session import checkpoint_root
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

@@ -21,12 +21,6 @@ def _as_cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def numeric_text_order(c: Column | str) -> Column:
-    """Order of non-negative integer text by value: shorter first, then by text."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.struct(F.length(c).alias("len"), c.alias("text"))
-
-
 def latest_by_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Per key, the whole row of the last write replaces everything before it."""
     payload = [c for c in df.columns if c not in keys]
