@@ -35,6 +35,89 @@ SELECT doc_id, size, n AS source_size, target::DOUBLE AS target,
 FROM cum
 """
 
+REPEATS = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS ws FROM documents),
+win AS (SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS k FROM d, unnest(range(1, len(ws) - 33)) t(i)),
+twice AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, i + o AS p FROM win JOIN twice USING (k), range(35) t(o)),
+words AS (SELECT r, p, ws[p] AS w FROM d, unnest(range(1, len(ws) + 1)) t(p)),
+kept AS (SELECT r, count(*) AS n, string_agg(w, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
+def _urls(levels: int = 6, fan: int = 32, thin: float = 4.0) -> str:
+    """The template tree: one pair of expressions a level, then merging and purity."""
+    shaped = (
+        "CASE WHEN regexp_full_match(regexp_extract(x, '^([^.]*)', 1), '[0-9]+') "
+        "OR (regexp_full_match(regexp_extract(x, '^([^.]*)', 1), '[0-9a-fA-F-]{8,}') AND regexp_matches(regexp_extract(x, '^([^.]*)', 1), '[0-9]')) "
+        "THEN '*' || regexp_extract(x, '^[^.]*(.*)$', 1) ELSE x END"
+    )
+    shapes = f"list_transform(string_split(path, '/'), lambda x: {shaped})"
+    rules = [("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"), ("allow", "com", "/")]
+    rules.sort(key=lambda r: -len(r[1] + r[2]))
+    fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in rules]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, rules, strict=True)) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _, _) in zip(fits, rules, strict=True)) + " END"
+    parts = [
+        r"""
+WITH cut AS (
+  SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages)""",
+        f"""
+seen AS (
+  SELECT page_id, host, path, {rule} AS rule, {verdict} AS said, {shapes} AS all_parts FROM cut)""",
+        f"""
+seen2 AS (
+  SELECT *, CASE WHEN len(all_parts) > {levels + 1}
+                 THEN list_concat(all_parts[1:{levels}], [array_to_string(all_parts[{levels + 1}:], '/')]) ELSE all_parts END AS branch
+  FROM seen)""",
+        """
+b1 AS (SELECT host, branch, branch AS tpl, count(*) AS n, count(said) AS l, count(*) FILTER (WHERE said = 'block') AS b
+       FROM seen2 GROUP BY host, branch)""",
+    ]
+    for level in range(2, levels + 2):
+        prior, child = f"b{level - 1}", f"tpl[{level}]"
+        parent = f"array_to_string(tpl[1:{level - 1}], '/')"
+        parts.append(
+            f"""
+w{level} AS (
+  SELECT host, parent FROM (SELECT host, {parent} AS parent, {child} AS child, sum(n) AS n FROM {prior}
+                            WHERE {child} <> '' GROUP BY ALL)
+  GROUP BY host, parent HAVING count(*) > {fan} AND sum(n) < {thin} * count(*)),
+b{level} AS (
+  SELECT p.host, branch, CASE WHEN w.host IS NOT NULL AND {child} <> ''
+                              THEN list_concat(tpl[1:{level - 1}], list_concat(['*'], tpl[{level + 1}:])) ELSE tpl END AS tpl, n, l, b
+  FROM {prior} p LEFT JOIN w{level} w ON w.host = p.host AND w.parent = {parent})"""
+        )
+    parts.append(
+        f"""
+leaf AS (
+  SELECT host, tpl, sum(l) AS l, sum(b) AS b,
+         CASE WHEN len(tpl) > 2 THEN list_concat(tpl[1:1], list_concat([''], tpl[3:])) END AS kin
+  FROM b{levels + 1} GROUP BY host, tpl),
+pool AS (SELECT host, kin, sum(b) / sum(l) AS share, count(*) AS k FROM leaf WHERE kin IS NOT NULL AND l > 0 GROUP BY host, kin),
+alike AS (
+  SELECT f.*, coalesce(l > 0 AND k > 1 AND abs(b / l - share) <= 1.96 * sqrt(greatest(share * (1 - share), 1e-9) / l), false) AS same
+  FROM leaf f LEFT JOIN pool USING (host, kin)),
+merged AS (SELECT host, kin, sum(l) AS ml, sum(b) AS mb, '{{' || array_to_string(list_sort(list_distinct(list(tpl[2]))), '|') || '}}' AS firsts
+           FROM alike WHERE same GROUP BY host, kin),
+done AS (
+  SELECT a.host, a.tpl, array_to_string(CASE WHEN same THEN list_concat(a.tpl[1:1], list_concat([firsts], a.tpl[3:])) ELSE a.tpl END, '/') AS template,
+         (CASE WHEN same THEN mb ELSE b END + 1.0::DOUBLE) / (CASE WHEN same THEN ml ELSE l END + 2.0::DOUBLE) AS purity
+  FROM alike a LEFT JOIN merged USING (host, kin))
+SELECT page_id, s.host, path, rule, coalesce(said, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict, template, purity
+FROM seen2 s JOIN b{levels + 1} t ON s.host = t.host AND s.branch = t.branch JOIN done d ON d.host = t.host AND d.tpl = t.tpl
+"""
+    )
+    return ",".join(parts)
+
+
 ORACLE = {
+    "op4_urls": _urls(),
+    "op8_substrings": REPEATS,
     "op9_mix_sources": MIX,
 }
