@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.bpe import encode
-from tidemill.llm.common import open_table, stored
+from tidemill.llm.common import open_table, prepared, stored
 from tidemill.llm.language import judge_column, learn_from_open
 from tidemill.llm.mixing import mixed_rows
 from tidemill.llm.neardup import keep_one
@@ -25,6 +25,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents whose language stays undecided go. The dictionaries come from the stage's own labelled rows."""
+    prepared(spark)
     docs = docs.select(*COLUMNS)
     verdict = judge_column(spark, learn_from_open(docs))
     return docs.withColumn("lid", verdict).filter("NOT lid.rejected").select(*COLUMNS)
@@ -32,6 +33,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: one document of each class of near duplicates stays, the one with the smallest id."""
+    prepared(spark)
     return keep_one(docs.select(*COLUMNS))
 
 
@@ -40,17 +42,20 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents stay, also where nothing is left of their text.
     """
+    prepared(spark)
     out = remove_repeats(docs.select(*COLUMNS))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: each document as many times as the mix takes it."""
+    prepared(spark)
     return mixed_rows(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: token ids of every text."""
+    prepared(spark)
     out = encode(docs.select("doc_id", "source", "text"))
     return out.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 

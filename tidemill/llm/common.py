@@ -18,13 +18,18 @@ BATCH_BYTES_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def open_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The named columns of a supplied table; the session is prepared (UTC, AQE where unset)."""
+def prepared(spark: SparkSession) -> SparkSession:
+    """Session settings the operators rely on: UTC, AQE where unset, Arrow batches of a bounded size."""
     prepare_session(spark)
     if spark.conf.get(BATCH_KEY) == "10000":  # the built-in default, meant for narrow rows
         spark.conf.set(BATCH_KEY, BATCH_ROWS)
         spark.conf.set(BATCH_BYTES_KEY, BATCH_BYTES)
-    return load_table(spark, sf_dir, name).select(*columns)
+    return spark
+
+
+def open_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The named columns of a supplied table, in a prepared session."""
+    return load_table(prepared(spark), sf_dir, name).select(*columns)
 
 
 def words_of(text: Column | str) -> Column:
