@@ -81,34 +81,76 @@ def _ranged(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) % np.uint64(ranges)) << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF)
 
 
-def _by_owner(owner: np.ndarray, value: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Distinct values of each owner."""
-    if not len(owner):
-        return
-    order = np.lexsort((value, owner))
-    owner, value = owner[order], value[order]
-    keep = np.concatenate([[True], (np.diff(owner) != 0) | (np.diff(value) != 0)])
-    owner, value = owner[keep], value[keep]
-    cuts = np.flatnonzero(np.diff(owner)) + 1
-    for o, v in zip(owner[np.concatenate([[0], cuts])].tolist(), np.split(value, cuts), strict=True):
-        yield o, v
-
-
-_MESSAGE = "r_range int, r_blob binary, r_key long, r_vals array<long>"
+_MESSAGE = "r_range int, r_dest int, r_blob binary"
+_FOUND = "r_key long, r_vals array<long>"
 
 
-def _message(ranges: list[int], blobs: list, keys: list, vals: list) -> pa.RecordBatch:
+def _message(ranges: list[int], dests: list, blobs: list) -> pa.RecordBatch:
+    """Blobs for a hash range to work on (no dest), or findings it passes on to where a text's findings meet."""
     return pa.RecordBatch.from_arrays(
-        [pa.array(ranges, pa.int32()), pa.array(blobs, pa.binary()), pa.array(keys, pa.int64()), pa.array(vals, pa.list_(pa.int64()))],
-        names=["r_range", "r_blob", "r_key", "r_vals"],
+        [pa.array(ranges, pa.int32()), pa.array(dests, pa.int32()), pa.array(blobs, pa.binary())], names=["r_range", "r_dest", "r_blob"]
     )
 
 
+def _findings(owner: np.ndarray, value: np.ndarray, ranges: int) -> tuple[list[int], list[bytes]]:
+    """(dest, packed owners and values): one blob for each place where texts' findings meet."""
+    dest = owner % ranges
+    order = np.argsort(dest, kind="stable")
+    cut = np.searchsorted(dest[order], np.arange(ranges + 1))
+    some = np.flatnonzero(np.diff(cut)).tolist()
+    return some, [pack(owner[k], value[k].astype(np.int64)) for k in (order[cut[r] : cut[r + 1]] for r in some)]
+
+
 def _settled(owner: np.ndarray, value: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
-    rows = list(_by_owner(owner, value))
-    for at in range(0, len(rows), 5000):
-        part = rows[at : at + 5000]
-        yield _message([o % ranges for o, _ in part], [None] * len(part), [o for o, _ in part], [v for _, v in part])
+    if len(owner):
+        dests, blobs = _findings(owner, value, ranges)
+        yield _message(dests, dests, blobs)
+
+
+def _by_range(match, ranges: int):
+    """Messages of some hash ranges -> findings; ``match`` turns a range's blobs into (owners, values)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {}
+        for batch in batches:
+            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
+            on = []
+            for rng, dest, blob in rows:
+                if dest is None:
+                    held.setdefault(rng, []).append(blob)
+                else:
+                    on.append((rng, dest, blob))
+            if on:
+                yield _message(*map(list, zip(*on, strict=True)))
+        for rng in sorted(held):
+            dests, blobs = _findings(*match(rng, held.pop(rng)), ranges)
+            if dests:
+                yield _message([rng] * len(dests), dests, blobs)
+
+    return run
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All findings of some texts -> one row a text with its distinct values."""
+    owner, value = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for batch in batches:
+        for blob in batch.column(2).to_pylist():
+            o, v = unpack(blob, np.int64, np.int64)
+            owner.append(o)
+            value.append(v)
+    owners, values = np.concatenate(owner), np.concatenate(value)
+    if not len(owners):
+        return
+    order = np.lexsort((values, owners))
+    owners, values = owners[order], values[order]
+    keep = np.concatenate([[True], (np.diff(owners) != 0) | (np.diff(values) != 0)])
+    owners, values = owners[keep], values[keep]
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(owners)) + 1])
+    ends = np.append(starts[1:], len(owners))
+    for at in range(0, len(starts), 1000):
+        a, b = starts[at], ends[min(at + 1000, len(starts)) - 1]
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts[at : at + 1000], b) - a, pa.int32()), pa.array(values[a:b]))
+        yield pa.RecordBatch.from_arrays([pa.array(owners[starts[at : at + 1000]]), lists], names=["r_key", "r_vals"])
 
 
 def _probe_chunk(blocks: int, ranges: int, keys: list, found: list) -> Iterator[pa.RecordBatch]:
@@ -134,7 +176,7 @@ def _probe_chunk(blocks: int, ranges: int, keys: list, found: list) -> Iterator[
         a, b, c, d = cut[r], cut[r + 1], cut_b[r], cut_b[r + 1]
         told, name = np.unique(owner[c:d], return_inverse=True)
         out.append((r, pack(_steps(distinct[a:b].astype(np.uint32)), np.packbits(many[a:b]), _steps(block[c:d].astype(np.uint32)), name.astype(np.uint32), names[told])))
-    yield _message([r for r, _ in out], [x for _, x in out], [None] * len(out), [None] * len(out))
+    yield _message([r for r, _ in out], [None] * len(out), [x for _, x in out])
 
 
 def _probes(width: int, ranges: int):
@@ -168,26 +210,8 @@ def _probes(width: int, ranges: int):
     return run
 
 
-def _pass_on(table: pa.Table) -> tuple[list, list, list]:
-    """Blobs of a range's table, and the settled rows that only pass through it."""
-    blobs = [x for x in table.column("r_blob").to_pylist() if x is not None]
-    told = table.filter(pa.compute.is_valid(table.column("r_key")))
-    return blobs, told.column("r_key").to_pylist(), told.column("r_vals").to_pylist()
-
-
-_FOUND = "r_key long, r_vals array<long>"
-
-
-def _found(keys: list, vals: list) -> pa.Table:
-    return pa.table({"r_key": pa.array(keys, pa.int64()), "r_vals": pa.array(vals, pa.list_(pa.int64()))})
-
-
-def _match_blocks(table: pa.Table) -> pa.Table:
+def _match_blocks(rng: int, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """One hash range: index its blocks, probe them with all its windows, tell the texts whose blocks stand twice."""
-    import pyarrow.compute  # noqa: F401
-
-    blobs, keys, vals = _pass_on(table)
-    rng = table.column("r_range")[0].as_py()
     kinds = (np.uint32, np.uint8, np.uint32, np.uint32, np.int64)
     block, owner = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
     for blob in blobs:
@@ -205,10 +229,7 @@ def _match_blocks(table: pa.Table) -> pa.Table:
         hit = index[at] == probe
         count[at[hit]] += 1 + np.unpackbits(many, count=len(probe))[hit]
     twice = count[np.searchsorted(index, blocks)] > 1 if len(blocks) else np.zeros(0, bool)
-    for o, v in _by_owner(owners[twice], blocks[twice].astype(np.int64) | rng << 32):
-        keys.append(o)
-        vals.append(v)
-    return _found(keys, vals)
+    return owners[twice], blocks[twice].astype(np.int64) | rng << 32
 
 
 def _kept(w: Words, keep: np.ndarray) -> list[bytes]:
@@ -290,7 +311,7 @@ def _window_chunk(ranges: int, found: list) -> Iterator[pa.RecordBatch]:
         k = order[cut[r] : cut[r + 1]]
         told, name = np.unique(owner[k], return_inverse=True)
         out.append((r, pack(one[k], two[k], np.packbits(many[k]), name.astype(np.uint32), at[k].astype(np.uint32), told)))
-    yield _message([r for r, _ in out], [x for _, x in out], [None] * len(out), [None] * len(out))
+    yield _message([r for r, _ in out], [None] * len(out), [x for _, x in out])
 
 
 def _windows(width: int, ranges: int):
@@ -328,26 +349,19 @@ def _windows(width: int, ranges: int):
     return run
 
 
-def _match_windows(table: pa.Table) -> pa.Table:
+def _match_windows(rng: int, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """One hash range of exact windows: tell the texts whose windows stand elsewhere too."""
-    import pyarrow.compute  # noqa: F401
-
-    blobs, keys, vals = _pass_on(table)
-    if blobs:
-        got = []
-        for blob in blobs:
-            one, two, many, name, at, told = unpack(blob, np.uint64, np.uint64, np.uint8, np.uint32, np.uint32, np.int64)
-            got.append((one, two, np.unpackbits(many, count=len(one)).astype(bool), told[name], at.astype(np.int64)))
-        one, two, many, owner, at = (np.concatenate([g[i] for g in got]) for i in range(5))
-        order = np.lexsort((two, one))
-        one, two, many, owner, at = one[order], two[order], many[order], owner[order], at[order]
-        first = np.flatnonzero(np.concatenate([[True], (np.diff(one) != 0) | (np.diff(two) != 0)]))
-        size = np.diff(np.append(first, len(one)))
-        tell = np.repeat(size > 1, size) & ~many  # what stood twice in its chunk has been told there
-        for o, v in _by_owner(owner[tell], at[tell]):
-            keys.append(o)
-            vals.append(v)
-    return _found(keys, vals)
+    got = []
+    for blob in blobs:
+        one, two, many, name, at, told = unpack(blob, np.uint64, np.uint64, np.uint8, np.uint32, np.uint32, np.int64)
+        got.append((one, two, np.unpackbits(many, count=len(one)).astype(bool), told[name], at.astype(np.int64)))
+    one, two, many, owner, at = (np.concatenate([g[i] for g in got]) for i in range(5))
+    order = np.lexsort((two, one))
+    one, two, many, owner, at = one[order], two[order], many[order], owner[order], at[order]
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(one) != 0) | (np.diff(two) != 0)]))
+    size = np.diff(np.append(first, len(one)))
+    tell = np.repeat(size > 1, size) & ~many  # what stood twice in its chunk has been told there
+    return owner[tell], at[tell]
 
 
 def _finish(width: int, digest: bool):
@@ -393,6 +407,12 @@ def _schema(df: DataFrame, drop: tuple[str, ...], *more: tuple[str, str]) -> Str
     return out
 
 
+def _answered(messages: DataFrame, match, ranges: int) -> DataFrame:
+    """Send messages to their hash ranges, and what those find to where each text's findings meet."""
+    found = messages.repartitionById(ranges, "r_range").mapInArrow(_by_range(match, ranges), _MESSAGE)
+    return found.repartitionById(ranges, "r_dest").mapInArrow(_gather, _FOUND)
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, digest: bool = False) -> DataFrame:
     """All other columns of ``docs`` with n_words, n_removed and what is kept: as ``text``, or hashed as kept_sha256.
 
@@ -411,8 +431,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, dige
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
 
     told = rows.select("r_key", "r_text").mapInArrow(_probes(width, ranges), _MESSAGE)
-    hits = told.repartition(ranges, "r_range").groupBy("r_range").applyInArrow(_match_blocks, _FOUND)
-    hits = hits.groupBy("r_key").agg(F.flatten(F.collect_list("r_vals")).alias("r_vals"))  # at most a text's blocks
+    hits = _answered(told, _match_blocks, ranges)  # at most a text's blocks a row
     zipped = rows.mapInArrow(_zipped, _schema(rows, ("r_text",), ("r_zip", "binary")))
     both = zipped.join(hits, "r_key", "left").select("r_rest", "r_zip", "r_vals")
     step = both.mapInArrow(
@@ -425,8 +444,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, dige
     windows = hit.agg(F.sum(F.size("r_starts"))).first()[0] or 0
     ranges2 = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-windows * width // CHUNK))
     told = hit.mapInArrow(_windows(width, ranges2), _MESSAGE)
-    spans = told.repartition(ranges2, "r_range").groupBy("r_range").applyInArrow(_match_windows, _FOUND)
-    spans = spans.groupBy(F.col("r_key").alias("r_row")).agg(F.flatten(F.collect_list("r_vals")).alias("r_vals"))
+    spans = _answered(told, _match_windows, ranges2).withColumnRenamed("r_key", "r_row")
     both = step.join(spans, "r_row", "left").select("r_rest", "r_words", "r_zip", "r_sha", "r_vals")
     done = both.mapInArrow(_finish(width, digest), _schema(both, ("r_zip", "r_vals", "r_sha"), ("r_removed", "long"), ("r_out", "string")))
     return done.select(
