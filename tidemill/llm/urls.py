@@ -91,22 +91,29 @@ def branch_of(path: Column) -> Column:
 
 
 def _wildcards(branches: DataFrame) -> DataFrame:
-    """Level by level, replace the children of wide, thin levels by a wildcard; one row per branch stays one row."""
-    for level in range(2, LEVELS + 2):
+    """Level by level, replace the children of wide, thin levels by a wildcard; one row per branch stays one row.
+
+    A level that changes something is written out, so that the next one's plan starts from a table.
+    """
+    deepest = branches.agg(F.max(F.size("u_tpl"))).first()[0] or 0
+    for level in range(2, deepest + 1):
         child = F.get("u_tpl", F.lit(level - 1))
         parent = F.concat_ws("/", F.slice("u_tpl", 1, level - 1))
         here = branches.withColumn("u_parent", parent).withColumn("u_child", child)
-        kids = here.filter(F.col("u_child").isNotNull() & (F.col("u_child") != "")).groupBy("u_host", "u_parent", "u_child").agg(F.sum("u_n").alias("n"))
+        named = F.col("u_child").isNotNull() & (F.col("u_child") != "")
+        kids = here.filter(named).groupBy("u_host", "u_parent", "u_child").agg(F.sum("u_n").alias("n"))
         wide = (
             kids.groupBy("u_host", "u_parent")
             .agg(F.count("*").alias("k"), F.sum("n").alias("n"))
             .filter((F.col("k") > FAN) & (F.col("n") < THIN * F.col("k")))
             .select("u_host", "u_parent", F.lit(True).alias("u_wide"))
         )
+        wide = stored(wide, "url-wide")
+        if wide.isEmpty():
+            continue
         turned = F.concat(F.slice("u_tpl", 1, level - 1), F.array(F.lit(WILD)), F.slice("u_tpl", level + 1, LEVELS + 1))
-        branches = here.join(wide, ["u_host", "u_parent"], "left").withColumn(
-            "u_tpl", F.when(F.col("u_wide") & F.col("u_child").isNotNull() & (F.col("u_child") != ""), turned).otherwise(F.col("u_tpl"))
-        ).drop("u_parent", "u_child", "u_wide")
+        tpl = F.when(F.col("u_wide") & named, turned).otherwise(F.col("u_tpl"))
+        branches = stored(here.join(wide, ["u_host", "u_parent"], "left").withColumn("u_tpl", tpl).select(*branches.columns), "url-branches")
     return branches
 
 
