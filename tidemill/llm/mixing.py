@@ -56,7 +56,7 @@ def _thresholds(sized: DataFrame, plan: DataFrame) -> DataFrame:
     done = None
     for shift in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
         bucket = F.shiftright("m_hash", shift)
-        inside = sized.join(open_, "m_key")
+        inside = sized.join(F.broadcast(open_), "m_key")  # at most MAX_SOURCES narrow rows
         if shift < HASH_BITS - STEP_BITS:  # only the boundary bucket of the level above
             inside = inside.filter(F.shiftright("m_hash", shift + STEP_BITS) == F.shiftright("m_low", shift + STEP_BITS))
         hist = inside.groupBy("m_key", "m_rest", bucket.alias("m_bucket")).agg(
@@ -117,7 +117,7 @@ def _copies() -> Column:
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """One row per document: id, m_size, m_source_size, m_target and m_copies (times the mix takes the document)."""
     sized, plan, thr = plan_mix(docs, doc_id, text, source, **how)
-    out = sized.join(plan, "m_key").join(thr, "m_key", "left")
+    out = sized.join(F.broadcast(plan.join(thr, "m_key", "left")), "m_key")  # at most MAX_SOURCES narrow rows
     return out.select("m_id", "m_size", "m_source_size", "m_target", _copies().alias("m_copies"))
 
 
