@@ -12,11 +12,15 @@ order (the Jaccard similarity of five-word shingles, order kept). The
 alignment is restricted to the diagonals that a similarity of ``LIKE`` leaves
 open, which loses nothing at that threshold.
 
-Exact copies are folded first. In each bucket (equal sample) members are
-compared with one hub only, never with each other; after each round, buckets
-that still hold several classes get another hub, until a round links nothing.
-A group of any size costs its bucket one pair a member and round. Links are
-closed into classes by label propagation on tables.
+Exact copies are folded first. The members of a bucket (equal sample) of up
+to ``SMALL`` texts are all compared. In a larger one they are compared with
+its most central member, the one whose samples most other texts share: in a
+group of edited copies that is the text they come from. In each further round
+the next most central member is the hub, for those members whose class is not
+its own. Buckets leave as soon as they hold one class, and the rounds end when
+fewer than ``YIELD`` of the pairs compared are links. A group of any size so
+costs a pair or two a member, not all pairs. Links are closed into classes by
+label propagation on tables.
 
 Defined cases: null and empty texts and those without words have no k-mers;
 they are copies of each other if their texts are equal (null counts as
@@ -37,11 +41,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-from tidemill.llm.common import open_table, stored, text_column, text_slices
+from tidemill.llm.common import open_table, released, stored, text_column, text_slices
 from tidemill.llm.wordhash import Hasher, inside, mix, split_words
 
 SHINGLE, LIKE = 5, 0.8
-SAMPLES, MINIMA = 16, 3
+#: At similarity 0.8 a sample agrees with probability 0.8**5, and all of them fail once in 15,000. Texts that share no
+#: more than a passage, a third of their k-mers, seldom meet.
+SAMPLES, MINIMA = 24, 5
+SMALL = 8  # all pairs of a bucket this small are compared; members of a larger one meet its most central members in turn
+YIELD = 0.005  # rounds of hubs end when fewer of the pairs compared than this are links
 
 _C = np.uint64(0x9E3779B97F4A7C15)
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -114,12 +122,15 @@ def alignment(a: np.ndarray, b: np.ndarray, like: float = LIKE) -> float:
     band = max(n, m) - need  # a path further off the diagonal leaves too many k-mers unmatched
     if min(n, m) < need:
         return 0.0
-    _, at, to = np.intersect1d(a, b, return_indices=True)  # labelled k-mers occur once in a text
-    near = np.abs(at - to) <= band
-    at, to = at[near], to[near]
-    if len(at) < need:
+    order = np.argsort(b)
+    place = np.searchsorted(b, a, sorter=order)
+    place[place == m] = 0
+    to = order[place]  # labelled k-mers occur once in a text
+    at = np.flatnonzero(b[to] == a)
+    to = to[at]
+    to = to[np.abs(at - to) <= band]
+    if len(to) < need:
         return 0.0
-    to = to[np.argsort(at)]
     if (np.diff(to) > 0).all():
         same = len(to)
     else:
@@ -199,6 +210,19 @@ def components(links: DataFrame) -> DataFrame:
             return found
 
 
+def _merged(comps: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, comp) after further links between nodes: only classes that the links touch are worked on."""
+    if comps is None:
+        return components(links)
+    name = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
+    of = lambda c: F.coalesce(f"{c}_comp", c).alias(c)
+    joined = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(of("a"), of("b"))
+    moved = components(joined.union(links.select(F.col("a"), F.col("a").alias("b"))).union(links.select(F.col("b"), F.col("b").alias("a"))))
+    old = comps.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    fresh = moved.join(comps.select("node"), "node", "left_anti").select("node", "comp")
+    return stored(old.union(fresh), "labels")
+
+
 def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     """The sketched rows, and (n_md5, comp) for every different text."""
     rest = [f.name for f in docs.schema.fields if f.name != text]
@@ -209,37 +233,50 @@ def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     schema = StructType([rows.schema["n_rest"]])
     for name, kind in (("n_md5", "binary"), ("n_kmers", "long"), ("n_sigs", "array<long>"), ("n_zip", "binary")):
         schema = schema.add(name, DataType.fromDDL(kind))
-    table = stored(rows.mapInArrow(_sketched, schema).withColumn("n_row", F.monotonically_increasing_id()), "sketches")
+    table = stored(rows.mapInArrow(released(_sketched), schema).withColumn("n_row", F.monotonically_increasing_id()), "sketches")
 
     # Copies fold into one representative; a text's samples are the same in each copy.
     reps = table.groupBy("n_md5").agg(F.min("n_row").alias("rep"), F.max_by("n_sigs", "n_row").alias("sigs"), F.max("n_kmers").alias("n"))
     reps = stored(reps, "texts")
-    bands = reps.filter("n > 0").select("rep", F.posexplode("sigs").alias("j", "sig"))
-    shared = bands.groupBy("j", "sig").agg(F.count("*").alias("k")).filter("k > 1").select("j", "sig")
+    bands = reps.filter("n > 0").select("rep", "n", F.posexplode("sigs").alias("j", "sig"))
+    shared = bands.groupBy("j", "sig").agg(F.count("*").alias("k")).filter("k > 1")
     bands = stored(bands.join(shared, ["j", "sig"]), "buckets")
+    # How many others share its samples: in a group of edited copies the text they come from has the most.
+    central = bands.groupBy("rep").agg(F.sum("k").alias("central"))
+    bands = stored(bands.join(central, "rep"), "buckets")
     wanted = bands.select(F.col("rep").alias("n_row")).distinct()
-    sequences = stored(table.select("n_row", "n_zip").join(wanted, "n_row").mapInArrow(_sequences, "q_rep long, q_seq binary"), "sequences")
+    sequences = stored(table.select("n_row", "n_zip").join(wanted, "n_row").mapInArrow(released(_sequences), "q_rep long, q_seq binary"), "sequences")
 
-    links, comps, turn = None, None, 0
+    comps, turn, rank = None, 0, F.struct("central", "rep")
+    here = bands.withColumn("comp", F.col("rep")).withColumn("tried", F.lit(None).cast("struct<central: bigint, rep: bigint>"))
     while True:
-        if comps is None:
-            here = bands.withColumn("comp", F.col("rep"))
-        else:
-            here = bands.join(comps.select(F.col("node").alias("rep"), F.col("comp").alias("c")), "rep", "left").select(
-                "j", "sig", "rep", F.coalesce("c", "rep").alias("comp")
-            )
-        here = stored(here, "members") if comps is not None else here
-        hub = F.min(F.struct(F.xxhash64(F.col("rep"), F.lit(turn)).alias("p"), F.col("rep").alias("b"), F.col("comp").alias("hub_comp"))).alias("h")
-        hubs = here.groupBy("j", "sig").agg(hub, F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("j", "sig", "h.b", "h.hub_comp")
+        hub = F.max(F.struct("central", "rep", "n", "comp")).alias("h")
+        hubs = here.filter(F.col("tried").isNull() | (rank < F.col("tried"))).groupBy("j", "sig").agg(hub).select("j", "sig", "h.*")
+        hubs = hubs.select("j", "sig", rank.alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
+        if turn == 0:  # in a small bucket each member is a hub for those behind it
+            few = here.filter(F.col("k") <= SMALL).select("j", "sig", rank.alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp"))
+            large = here.filter(F.col("k") > SMALL).select("j", "sig").distinct()
+            hubs = hubs.join(large, ["j", "sig"], "left_semi").union(few)
         hubs = stored(hubs, "hubs")  # a table of its own: a bucket with many members may be split in the join
-        pairs = here.join(hubs, ["j", "sig"]).filter("comp <> hub_comp").select(F.col("rep").alias("a"), "b").distinct()
+        # A member before the hub was a hub itself, so a pair is compared once. Texts of too unlike length are never alike.
+        fits = (F.col("comp") != F.col("hub_comp")) & (rank < F.col("hub")) & (F.least("n", "hub_n") >= LIKE * F.greatest("n", "hub_n"))
+        pairs = stored(here.join(hubs, ["j", "sig"]).filter(fits).select(F.col("rep").alias("a"), F.col("hub.rep").alias("b")).distinct(), "pairs")
         with_b = pairs.join(sequences.select(F.col("q_rep").alias("b"), F.col("q_seq").alias("two")), "b")
         with_both = with_b.join(sequences.select(F.col("q_rep").alias("a"), F.col("q_seq").alias("one")), "a").select("a", "b", "one", "two")
-        new = stored(with_both.mapInArrow(_aligned, "a long, b long"), "found")
-        if new.isEmpty():
+        new = stored(with_both.mapInArrow(released(_aligned), "a long, b long"), "found")
+        found, compared = new.count(), pairs.count()
+        if found:
+            comps = _merged(comps, new)
+        if found < YIELD * compared or not compared:
             break
-        links = new if links is None else stored(links.union(new), "links")
-        comps = components(links)
+        # The next most central member is the next hub of a large bucket that still holds several classes.
+        here = here.filter(F.col("k") > SMALL)
+        if comps is not None:
+            named = comps.select(F.col("node").alias("rep"), F.col("comp").alias("now"))
+            here = here.join(named, "rep", "left").withColumn("comp", F.coalesce("now", "comp")).drop("now")
+        mixed = here.groupBy("j", "sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("j", "sig")
+        last = hubs.select("j", "sig", F.col("hub").alias("tried"))
+        here = stored(here.drop("tried").join(mixed, ["j", "sig"]).join(last, ["j", "sig"]), "members")
         turn += 1
     out = reps.select("n_md5", "rep")
     if comps is not None:
@@ -271,7 +308,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(1), _texts(batch.column(2).to_pylist())], names=["n_rest", "n_text"])
 
-    back = kept.mapInArrow(unzipped, StructType([table.schema["n_rest"]]).add("n_text", "string"))
+    back = kept.mapInArrow(released(unzipped), StructType([table.schema["n_rest"]]).add("n_text", "string"))
     return back.select(*[F.col("n_text").alias(text) if c == text else F.col(f"n_rest.`{c}`") for c in docs.columns])
 
 
