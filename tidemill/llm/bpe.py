@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from tidemill.llm.common import open_table, text_column, text_slices, words_of
+from tidemill.llm.common import open_table, released, text_column, text_slices, words_of
 from tidemill.llm.lexicon import Lexicon, compile_lexicon
 
 #: Bounds of the lexicon, and so of what is broadcast: words and bytes a word.
 WORDS, LONGEST = 1 << 18, 48
-CACHE = 200_000  # merged pieces remembered by a Python worker
+CACHE = 100_000  # merged pieces remembered by a Python worker
 
 _SIMPLE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 END = "</w>"
@@ -229,7 +229,7 @@ def encode(docs: DataFrame, text: str = "text", vocabulary_path: str | None = No
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "ids"])
 
-    return rest.mapInArrow(run, schema)
+    return rest.mapInArrow(released(run), schema)
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary_path: str | None = None) -> DataFrame:
@@ -252,7 +252,7 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabul
                     names=["b_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return rows.mapInArrow(run, f"b_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(released(run), f"b_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

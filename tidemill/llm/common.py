@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -61,6 +62,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(run):
+    """``run`` over batches; afterwards the worker, which lives on for other tasks, hands its freed memory back."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed array memory otherwise
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def text_slices(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a string array with about ``max_bytes`` of text each, one row at least."""
     import numpy as np

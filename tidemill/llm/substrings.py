@@ -34,11 +34,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, DataType, StructType
 
-from tidemill.llm.common import open_table, stored, text_column, text_slices
+from tidemill.llm.common import open_table, released, stored, text_column, text_slices
 from tidemill.llm.wordhash import Hasher, Words, inside, split_words
 
 WIDTH = 35
-CHUNK = 2_000_000  # windows gathered before a chunk is sent
+CHUNK = 1_000_000  # windows gathered before a chunk is sent; bounds a Python worker's memory
 RANGE_BYTES = 24 << 20  # text a hash range stands for
 
 _HASHERS: dict[int, Hasher] = {}
@@ -340,7 +340,7 @@ def _windows(width: int, ranges: int):
                 two = _hasher(3).windows(_hasher(3).words(w), width)[at]
                 found.append((one, two, own, at - w.ends[np.searchsorted(w.ends, at, side="right") - 1]))
                 held += len(at)
-                if held >= CHUNK // 4:
+                if held >= CHUNK // 2:
                     yield from _window_chunk(ranges, found)
                     found, held = [], 0
         if held:
@@ -409,8 +409,8 @@ def _schema(df: DataFrame, drop: tuple[str, ...], *more: tuple[str, str]) -> Str
 
 def _answered(messages: DataFrame, match, ranges: int) -> DataFrame:
     """Send messages to their hash ranges, and what those find to where each text's findings meet."""
-    found = messages.repartitionById(ranges, "r_range").mapInArrow(_by_range(match, ranges), _MESSAGE)
-    return found.repartitionById(ranges, "r_dest").mapInArrow(_gather, _FOUND)
+    found = messages.repartitionById(ranges, "r_range").mapInArrow(released(_by_range(match, ranges)), _MESSAGE)
+    return found.repartitionById(ranges, "r_dest").mapInArrow(released(_gather), _FOUND)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, digest: bool = False) -> DataFrame:
@@ -430,12 +430,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, dige
     total = rows.agg(F.sum(F.octet_length("r_text"))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
 
-    told = rows.select("r_key", "r_text").mapInArrow(_probes(width, ranges), _MESSAGE)
+    told = rows.select("r_key", "r_text").mapInArrow(released(_probes(width, ranges)), _MESSAGE)
     hits = _answered(told, _match_blocks, ranges)  # at most a text's blocks a row
-    zipped = rows.mapInArrow(_zipped, _schema(rows, ("r_text",), ("r_zip", "binary")))
+    zipped = rows.mapInArrow(released(_zipped), _schema(rows, ("r_text",), ("r_zip", "binary")))
     both = zipped.join(hits, "r_key", "left").select("r_rest", "r_zip", "r_vals")
     step = both.mapInArrow(
-        _hit_blocks(width, ranges, digest),
+        released(_hit_blocks(width, ranges, digest)),
         _schema(both, ("r_zip", "r_vals"), ("r_words", "long"), ("r_starts", "array<int>"), ("r_zip", "binary"), ("r_sha", "string")),
     )
     step = stored(step.withColumn("r_row", F.monotonically_increasing_id()), "repeats")
@@ -443,10 +443,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, dige
     hit = step.filter("r_starts IS NOT NULL").select("r_row", "r_zip", "r_starts")
     windows = hit.agg(F.sum(F.size("r_starts"))).first()[0] or 0
     ranges2 = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-windows * width // CHUNK))
-    told = hit.mapInArrow(_windows(width, ranges2), _MESSAGE)
+    told = hit.mapInArrow(released(_windows(width, ranges2)), _MESSAGE)
     spans = _answered(told, _match_windows, ranges2).withColumnRenamed("r_key", "r_row")
     both = step.join(spans, "r_row", "left").select("r_rest", "r_words", "r_zip", "r_sha", "r_vals")
-    done = both.mapInArrow(_finish(width, digest), _schema(both, ("r_zip", "r_vals", "r_sha"), ("r_removed", "long"), ("r_out", "string")))
+    done = both.mapInArrow(released(_finish(width, digest)), _schema(both, ("r_zip", "r_vals", "r_sha"), ("r_removed", "long"), ("r_out", "string")))
     return done.select(
         *[F.col(f"r_rest.`{f.name}`") for f in rest],
         F.col("r_words").alias("n_words"),

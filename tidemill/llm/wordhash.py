@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20  # bytes hashed at once; a word longer than this is hashed on its own
+BLOCK = 1 << 18  # bytes hashed at once; a word longer than this is hashed on its own
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
