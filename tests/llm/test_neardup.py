@@ -48,6 +48,21 @@ def test_groups_of_near_copies(spark):
     assert all(r["text"] == texts[r["doc_id"] - 100] for r in kept)
 
 
+def test_a_large_bucket_in_many_small_classes(spark):
+    """Pairs in one template: most of what a pair shares, all the others have too."""
+    rng = random.Random(8)
+    template = " ".join(f"t{i}" for i in range(178))
+    texts = []
+    for i in range(100):
+        both = " ".join(f"p{i}x{rng.random()}" for _ in range(6))
+        texts += [" ".join([template, both, *(f"o{rng.random()}" for _ in range(20))]) for _ in range(2)]
+    ids = list(range(len(texts)))
+    want = brute.classes(ids, texts)
+    assert len(set(want.values())) == 100
+    frame = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    assert {r["n_id"]: r["class_id"] for r in N.near_duplicates(frame).collect()} == want
+
+
 def test_alignment_is_exact_above_the_threshold():
     rng = random.Random(6)
     for _ in range(300):

@@ -17,10 +17,15 @@ to ``SMALL`` texts are all compared. In a larger one they are compared with
 its most central member, the one whose samples most other texts share: in a
 group of edited copies that is the text they come from. In each further round
 the next most central member is the hub, for those members whose class is not
-its own. Buckets leave as soon as they hold one class, and the rounds end when
-fewer than ``YIELD`` of the pairs compared are links. A group of any size so
-costs a pair or two a member, not all pairs. Links are closed into classes by
-label propagation on tables.
+its own. Buckets leave as soon as they hold one class. A group of edited copies
+so costs a pair or two a member, not all pairs.
+
+When hubs link little more, the members of the buckets that still hold several
+classes are joined exactly: each posts its ``n - ceil(LIKE * n) + 1`` first
+k-mers in an order that is the same for all texts, rare ones first. Two texts
+that are alike share a post, whatever the order is; rare ones first, texts that
+share a passage seldom do. Links are closed into classes by label propagation
+on tables.
 
 Defined cases: null and empty texts and those without words have no k-mers;
 they are copies of each other if their texts are equal (null counts as
@@ -49,7 +54,8 @@ SHINGLE, LIKE = 5, 0.8
 #: more than a passage, a third of their k-mers, seldom meet.
 SAMPLES, MINIMA = 24, 5
 SMALL = 8  # all pairs of a bucket this small are compared; members of a larger one meet its most central members in turn
-YIELD = 0.005  # rounds of hubs end when fewer of the pairs compared than this are links
+YIELD = 0.05  # when fewer of the pairs compared with hubs than this are links, posts find what is left
+CELLS = 1 << 18  # counters of the order in which k-mers are posted
 
 _C = np.uint64(0x9E3779B97F4A7C15)
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -186,6 +192,62 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, number of k-mers in it) of a task's sequences."""
+    total = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for x in batch.column(0):
+            total += np.bincount(np.frombuffer(x.as_buffer(), np.uint32) & np.uint32(CELLS - 1), minlength=CELLS)
+    some = np.flatnonzero(total)
+    for a in range(0, len(some), 10_000):
+        cell = some[a : a + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(total[cell])], names=["cell", "k"])
+
+
+def posts(hashes: np.ndarray, ends: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, k-mer): each text's first k-mers by their cell's count, as many as leave fewer than ``LIKE`` of it."""
+    size = np.diff(ends)
+    doc = np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((hashes, cells[(hashes & np.uint64(CELLS - 1)).astype(np.int64)], doc))
+    place = np.arange(len(order)) - np.repeat(ends[:-1], size)
+    first = place < np.repeat(size - np.ceil(LIKE * size - 1e-9).astype(np.int64) + 1, size)
+    return doc[first], place[first], hashes[order][first]
+
+
+def _joined(rest: DataFrame, table: DataFrame, sequences: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``rest`` (rep, comp) that may be alike and are of different classes: every alike pair is among them."""
+    spark = rest.sparkSession
+    counted = sequences.join(rest.select(F.col("rep").alias("q_rep")), "q_rep", "left_semi").select("q_seq").mapInArrow(released(_counted), "cell int, k long")
+    found = counted.groupBy("cell").agg(F.sum("k").alias("k")).toArrow()  # CELLS short rows at most
+    cells = np.zeros(CELLS, np.int64)
+    cells[found.column("cell").to_numpy()] = found.column("k").to_numpy()
+    shared = spark.sparkContext.broadcast(cells)
+
+    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = _texts(batch.column(1).to_pylist())
+            rep, comp = (batch.column(i).to_numpy() for i in (0, 2))
+            for a, b in text_slices(texts):
+                hashes, ends = kmers(texts.slice(a, b - a))
+                doc, place, post = posts(hashes, ends, shared.value)
+                arrays = [rep[a:b][doc], comp[a:b][doc], np.diff(ends)[doc], place, post.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["rep", "comp", "n", "place", "post"])
+
+    texts = table.select(F.col("n_row").alias("rep"), "n_zip").join(rest, "rep").select("rep", "n_zip", "comp")
+    all_posts = stored(texts.mapInArrow(released(posted), "rep long, comp long, n long, place long, post long"), "posts")
+    # Of a post's classes the largest is not joined with itself, nor a post that one class has to itself.
+    kinds = all_posts.groupBy("post", "comp").agg(F.count("*").alias("k")).groupBy("post")
+    kinds = kinds.agg(F.max(F.struct("k", "comp")).alias("t"), F.count("*").alias("kinds")).filter("kinds > 1").select("post", F.col("t.comp").alias("top"))
+    mixed = stored(all_posts.join(kinds, "post"), "mixed-posts")
+    one = stored(mixed.filter("comp <> top").select("post", *[F.col(c).alias(f"a_{c}") for c in ("rep", "comp", "n", "place")]), "other-posts")
+    # At a pair's first common post no more k-mers can agree than are left in either.
+    need = F.ceil((F.col("n") + F.col("a_n")) * (LIKE / (1 + LIKE)) - 1e-9)
+    fits = (F.col("n") - F.col("place") >= need) & (F.col("a_n") - F.col("a_place") >= need)
+    once = (F.col("comp") == F.col("top")) | (F.col("a_rep") < F.col("rep"))
+    pairs = mixed.join(one, "post").filter((F.col("comp") != F.col("a_comp")) & once & fits)
+    return stored(pairs.select(F.least("rep", "a_rep").alias("a"), F.greatest("rep", "a_rep").alias("b")).distinct(), "pairs")
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         one, two = (batch.column(i) for i in (2, 3))
@@ -247,6 +309,17 @@ def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     wanted = bands.select(F.col("rep").alias("n_row")).distinct()
     sequences = stored(table.select("n_row", "n_zip").join(wanted, "n_row").mapInArrow(released(_sequences), "q_rep long, q_seq binary"), "sequences")
 
+    def linked(pairs: DataFrame) -> DataFrame:
+        with_b = pairs.join(sequences.select(F.col("q_rep").alias("b"), F.col("q_seq").alias("two")), "b")
+        with_both = with_b.join(sequences.select(F.col("q_rep").alias("a"), F.col("q_seq").alias("one")), "a").select("a", "b", "one", "two")
+        return stored(with_both.mapInArrow(released(_aligned), "a long, b long"), "found")
+
+    def classed(members: DataFrame) -> DataFrame:
+        if comps is None:
+            return members
+        named = comps.select(F.col("node").alias("rep"), F.col("comp").alias("now"))
+        return members.join(named, "rep", "left").withColumn("comp", F.coalesce("now", "comp")).drop("now")
+
     comps, turn, rank = None, 0, F.struct("central", "rep")
     here = bands.withColumn("comp", F.col("rep")).withColumn("tried", F.lit(None).cast("struct<central: bigint, rep: bigint>"))
     while True:
@@ -261,23 +334,24 @@ def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
         # A member before the hub was a hub itself, so a pair is compared once. Texts of too unlike length are never alike.
         fits = (F.col("comp") != F.col("hub_comp")) & (rank < F.col("hub")) & (F.least("n", "hub_n") >= LIKE * F.greatest("n", "hub_n"))
         pairs = stored(here.join(hubs, ["j", "sig"]).filter(fits).select(F.col("rep").alias("a"), F.col("hub.rep").alias("b")).distinct(), "pairs")
-        with_b = pairs.join(sequences.select(F.col("q_rep").alias("b"), F.col("q_seq").alias("two")), "b")
-        with_both = with_b.join(sequences.select(F.col("q_rep").alias("a"), F.col("q_seq").alias("one")), "a").select("a", "b", "one", "two")
-        new = stored(with_both.mapInArrow(released(_aligned), "a long, b long"), "found")
+        new = linked(pairs)
         found, compared = new.count(), pairs.count()
         if found:
             comps = _merged(comps, new)
-        if found < YIELD * compared or not compared:
-            break
         # The next most central member is the next hub of a large bucket that still holds several classes.
-        here = here.filter(F.col("k") > SMALL)
-        if comps is not None:
-            named = comps.select(F.col("node").alias("rep"), F.col("comp").alias("now"))
-            here = here.join(named, "rep", "left").withColumn("comp", F.coalesce("now", "comp")).drop("now")
+        here = classed(here.filter(F.col("k") > SMALL))
         mixed = here.groupBy("j", "sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("j", "sig")
         last = hubs.select("j", "sig", F.col("hub").alias("tried"))
-        here = stored(here.drop("tried").join(mixed, ["j", "sig"]).join(last, ["j", "sig"]), "members")
+        here = here.drop("tried").join(mixed, ["j", "sig"])
+        if found < YIELD * compared or not compared:
+            break
+        here = stored(here.join(last, ["j", "sig"]), "members")
         turn += 1
+    rest = stored(here.select("rep", "comp").distinct(), "rest")
+    if not rest.isEmpty():
+        new = linked(_joined(rest, table, sequences))
+        if not new.isEmpty():
+            comps = _merged(comps, new)
     out = reps.select("n_md5", "rep")
     if comps is not None:
         out = out.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("n_md5", F.coalesce("comp", "rep").alias("comp"))
