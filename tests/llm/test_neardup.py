@@ -63,6 +63,22 @@ def test_a_large_bucket_in_many_small_classes(spark):
     assert {r["n_id"]: r["class_id"] for r in N.near_duplicates(frame).collect()} == want
 
 
+def test_short_texts(spark):
+    """A text of 6 to 60 words beside the same text with a word more, and others around."""
+    rng = random.Random(9)
+    texts = []
+    for i in range(6, 61):
+        for k in range(10 if i < 12 else 2):
+            words = [f"s{i}x{k}x{j}" for j in range(i)]
+            texts += [" ".join(words), " ".join([*words, "more"]), " ".join(edited(rng, words, 1))]
+    ids = list(range(len(texts)))
+    frame = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    got = {r["n_id"]: r["class_id"] for r in N.near_duplicates(frame).collect()}
+    assert got == brute.classes(ids, texts)
+    eight = texts.index(" ".join(f"s8x0x{j}" for j in range(8)))
+    assert got[eight] == got[eight + 1]
+
+
 def test_alignment_is_exact_above_the_threshold():
     rng = random.Random(6)
     for _ in range(300):

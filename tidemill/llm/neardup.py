@@ -24,8 +24,9 @@ When hubs link little more, the members of the buckets that still hold several
 classes are joined exactly: each posts its ``n - ceil(LIKE * n) + 1`` first
 k-mers in an order that is the same for all texts, rare ones first. Two texts
 that are alike share a post, whatever the order is; rare ones first, texts that
-share a passage seldom do. Links are closed into classes by label propagation
-on tables.
+share a passage seldom do. All texts of up to ``SHORT`` k-mers are joined so
+as well, since samples fail for short texts. Links are closed into classes by
+label propagation on tables.
 
 Defined cases: null and empty texts and those without words have no k-mers;
 they are copies of each other if their texts are equal (null counts as
@@ -50,9 +51,11 @@ from tidemill.llm.common import open_table, released, stored, text_column, text_
 from tidemill.llm.wordhash import Hasher, inside, mix, split_words
 
 SHINGLE, LIKE = 5, 0.8
-#: At similarity 0.8 a sample agrees with probability 0.8**5, and all of them fail once in 15,000. Texts that share no
-#: more than a passage, a third of their k-mers, seldom meet.
+#: Two texts at similarity 0.8 that share s of u k-mers agree in a sample with probability C(s, 5) / C(u, 5): all samples
+#: fail once in 7,500 pairs at u = 50, 10,200 at 100, 13,300 at 1,000. Texts that share no more than a passage, a third of their k-mers, seldom meet.
 SAMPLES, MINIMA = 24, 5
+#: Texts up to here are joined exactly. A text of 41 k-mers or more is the shorter one of any pair that crosses the border.
+SHORT = 50
 SMALL = 8  # all pairs of a bucket this small are compared; members of a larger one meet its most central members in turn
 YIELD = 0.05  # when fewer of the pairs compared with hubs than this are links, posts find what is left
 CELLS = 1 << 18  # counters of the order in which k-mers are posted
@@ -306,7 +309,8 @@ def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     # How many others share its samples: in a group of edited copies the text they come from has the most.
     central = bands.groupBy("rep").agg(F.sum("k").alias("central"))
     bands = stored(bands.join(central, "rep"), "buckets")
-    wanted = bands.select(F.col("rep").alias("n_row")).distinct()
+    short = reps.filter(f"n BETWEEN 1 AND {SHORT}").select("rep", F.col("rep").alias("comp"))
+    wanted = bands.select("rep").union(short.select("rep")).select(F.col("rep").alias("n_row")).distinct()
     sequences = stored(table.select("n_row", "n_zip").join(wanted, "n_row").mapInArrow(released(_sequences), "q_rep long, q_seq binary"), "sequences")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -347,7 +351,7 @@ def _classes(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
             break
         here = stored(here.join(last, ["j", "sig"]), "members")
         turn += 1
-    rest = stored(here.select("rep", "comp").distinct(), "rest")
+    rest = stored(here.select("rep", "comp").union(classed(short).select("rep", "comp")).distinct(), "rest")
     if not rest.isEmpty():
         new = linked(_joined(rest, table, sequences))
         if not new.isEmpty():
