@@ -47,3 +47,13 @@ def test_whole_texts_are_scored(spark):
     join = lambda lang: " ".join(table[table.lang == lang].text.head(30))
     en, de = join("en"), join("de")
     assert model.judge(en[:20_000] + " " + de[:60_000])[0] == "de"
+
+
+def test_copies_do_not_eat_the_sample(spark):
+    """A text copied thousands of times beside a thousand different ones: the dictionary is made of as many passages."""
+    from pyspark.sql import functions as F
+
+    copies = spark.range(400_000).select(F.lit("en").alias("lang"), F.lit("the same text again and again").alias("text"))
+    texts = spark.range(1000).select(F.lit("en"), F.concat(F.lit("number"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")))
+    words = set(L.learn(copies.union(texts))["en"].decode().split())
+    assert len([w for w in words if w.startswith("number")]) >= L.PASSAGES - 1

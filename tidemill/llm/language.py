@@ -54,15 +54,16 @@ def normal(text: str | None) -> bytes:
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """Dictionary bytes by language, from a bounded sample of passages drawn by the text's hash."""
     rows = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l")).filter("t IS NOT NULL AND t <> '' AND l IS NOT NULL")
-    counts = rows.groupBy("l").count().limit(MAX_LANGS + 1).collect()
+    # Copies of a text are drawn together, so shares are of the different texts.
+    counts = rows.groupBy("l").agg(F.approx_count_distinct(F.xxhash64("t")).alias("texts")).limit(MAX_LANGS + 1).collect()
     if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     if not counts:
         return {}
     spark = docs.sparkSession
     space = 1 << 40
-    # Four times the wanted number is drawn, so that copies of one text do not leave the sample short.
-    keep = [(r["l"], space if r["count"] <= 8 * PASSAGES else space * 4 * PASSAGES // r["count"]) for r in counts]
+    # Four times the wanted number is drawn, since the count is approximate.
+    keep = [(r["l"], space if r["texts"] <= 8 * PASSAGES else space * 4 * PASSAGES // r["texts"]) for r in counts]
     shares = spark.createDataFrame(keep, "l string, below long")
     drawn = (
         rows.withColumn("h", F.xxhash64("t"))
