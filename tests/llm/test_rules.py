@@ -80,3 +80,12 @@ def test_edges(spark, edge, empty):
     source = edge.select("doc_id", "text").withColumn("n", F.size(F.expr(r"regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 0)")))
     texts = source.orderBy("n", "doc_id").collect()
     check(rows, [t["text"] for t in texts], [t["doc_id"] == 7 for t in texts])
+
+
+def test_the_target_is_counted_on_every_trusted_row(spark, monkeypatch):
+    """With all rows trusted both multinomials are equal, at any number of rows and by either join."""
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit("one word").alias("text"))
+    for ids in (R.BROADCAST_IDS, 100):
+        monkeypatch.setattr(R, "BROADCAST_IDS", ids)
+        weights = R.log_ratios(docs, docs).first()["weights"]
+        assert len(weights) == R.BUCKETS and max(map(abs, weights)) < 1e-12

@@ -2,7 +2,7 @@
 
 The rules count words, symbols, repeated lines and words in repeated windows.
 The ratio compares two multinomials over hashed words and word pairs: one of
-a trusted target (a bounded sample of rows labelled good), one of the whole
+a trusted target (all rows labelled good), one of the whole
 raw corpus. A text's ratio is the sum of its n-grams' log ratios divided by
 their number, and a text is kept if it reaches a fixed threshold: the verdict
 on a text depends on the two multinomials and the text alone, with no draw.
@@ -30,7 +30,7 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 WINDOW = 8
 MIN_WORDS, MAX_REPEATED = 20, 30  # words at least; per cent of words in repeated windows at most
 BUCKETS = 1 << 14
-TRUSTED_ROWS = 20_000  # rows the target is counted on, about
+BROADCAST_IDS = 1_000_000  # a longer list of trusted ids is joined by a shuffle
 PRIOR = 1.0  # pseudo-count of each bucket
 THRESHOLD = -0.08  # nats an n-gram
 
@@ -89,11 +89,9 @@ def buckets_of(text: Column) -> Column:
 def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row with the array ``weights``: log target share minus log raw share of each bucket."""
     known = trusted.select(F.col(doc_id).alias("g_id")).filter("g_id IS NOT NULL").distinct()
-    total = known.count()
-    space = 1 << 40
-    drawn = known.filter(F.pmod(F.xxhash64("g_id"), F.lit(space)) < (space if total <= TRUSTED_ROWS else space * TRUSTED_ROWS // total))
+    good = known.withColumn("g_good", F.lit(1))
     rows = docs.select(F.col(doc_id).alias("g_id"), F.col(text).alias("g_text"))
-    flagged = rows.join(F.broadcast(drawn.withColumn("g_good", F.lit(1))), "g_id", "left")  # about TRUSTED_ROWS ids
+    flagged = rows.join(F.broadcast(good) if known.count() <= BROADCAST_IDS else good.hint("merge"), "g_id", "left")
     grams = flagged.select("g_good", F.explode(buckets_of(F.col("g_text"))).alias("b"))
     counts = grams.groupBy("b").agg(F.count("*").alias("raw"), F.count("g_good").alias("good"))
     counts = stored(counts, "ngram-counts")  # at most BUCKETS rows
