@@ -47,6 +47,46 @@ FROM d LEFT JOIN kept USING (r)
 """
 
 
+RANKED = r"""
+WITH words AS (
+  SELECT d, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS d, doc_id, text FROM documents)),
+tf AS (SELECT d, doc_id, term, count(*)::BIGINT AS tf FROM words GROUP BY ALL),
+size AS (SELECT d, sum(tf)::BIGINT AS n FROM tf GROUP BY d),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM size),
+weight AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1)))::BIGINT AS w
+           FROM (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term), total),
+gain AS (SELECT d, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))) AS g
+         FROM tf JOIN size USING (d) JOIN weight USING (term), total),
+mention AS (
+  SELECT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+score AS (SELECT item_id, text, d, doc_id, sum(g)::BIGINT AS score FROM mention JOIN gain USING (term) GROUP BY ALL HAVING sum(g) > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST, d) AS rank FROM score)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+NEGATIVES = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT DISTINCT id, label, v FROM e WHERE id % 100 = 0),
+s AS (SELECT a.id AS anchor_id, a.v AS av, a.label AS al, e.r, e.id, e.label, list_dot_product(a.v, e.v)::BIGINT AS score FROM a, e),
+p AS (SELECT * FROM s WHERE label = al AND id <> anchor_id
+      QUALIFY row_number() OVER (PARTITION BY anchor_id, av, al ORDER BY score DESC, id, r) <= 5),
+n AS (SELECT p.anchor_id, p.av, p.al, p.r AS pr, p.id AS positive_id, p.score AS positive_score, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.av, p.al, p.r ORDER BY s.score DESC, s.id, s.r) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.av = p.av AND s.al = p.al
+      WHERE s.label <> p.al AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
 def _urls(levels: int = 6, fan: int = 32, thin: float = 4.0) -> str:
     """The template tree: one pair of expressions a level, then merging and purity."""
     shaped = (
@@ -120,4 +160,6 @@ ORACLE = {
     "op4_urls": _urls(),
     "op8_substrings": REPEATS,
     "op9_mix_sources": MIX,
+    "op11_search": RANKED,
+    "op12_negatives": NEGATIVES,
 }
