@@ -1,9 +1,11 @@
-"""Streaming: batch = stream, late data (FIXTURES section 5), replay, compaction, restart."""
+"""Streaming: batch = stream, late data (FIXTURES section 5), replay, keyed tables, restart."""
 
 from __future__ import annotations
 
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -74,18 +76,6 @@ def test_replay_of_a_batch_changes_nothing(spark, scratch):
     assert sorted(table.read().collect()) == first == [("k", "f", "3.00"), ("k", "g", "2.00")]
 
 
-def test_compaction_keeps_results(spark, scratch):
-    table = KeyedTable(spark, scratch("kv"), ["key", "field"])
-    schema = "key string, field string, value string"
-    table.apply_batch(spark.createDataFrame([("k", "f", "1"), ("k", "g", "2")], schema), 0)
-    table.apply_batch(spark.createDataFrame([("k", "f", "3")], schema), 1)
-    before = sorted(table.read().collect())
-    table.compact()
-    assert sorted(table.read().collect()) == before
-    table.apply_batch(spark.createDataFrame([("k", "g", "9")], schema), 2)
-    assert sorted(table.read().collect()) == [("k", "f", "3"), ("k", "g", "9")]
-
-
 def test_stream_etl_equals_batch(spark, scratch):
     source, out, ckpt = scratch("raw"), scratch("etl"), scratch("ckpt")
     dim = ip_dim(spark, SF_SMALL)
@@ -155,41 +145,100 @@ def test_one_pass_report_stream_equals_batch_sets(spark, scratch):
     assert got == want and len(want) > 0
 
 
-def test_automatic_compaction_and_replay_after_it(spark, scratch):
-    schema = "key string, field string, value string"
-    table = KeyedTable(spark, scratch("kv"), ["key", "field"], compact_every=2)
-    batches = [[("k", "f", "1")], [("k", "g", "2")], [("k", "f", "3")]]
-    for i, rows in enumerate(batches):
-        table.apply_batch(spark.createDataFrame(rows, schema), i)
-    _, snapshots = table._entries()
-    assert snapshots == [1]
-    table.apply_batch(spark.createDataFrame(batches[1], schema), 1)  # replay of a compacted batch
-    assert sorted(table.read().collect()) == [("k", "f", "3"), ("k", "g", "2")]
-
-
-def test_replay_of_the_last_compacted_batch(spark, scratch):
-    schema = "key string, field string, value string"
-    table = KeyedTable(spark, scratch("kv"), ["key", "field"], compact_every=2)
-    table.apply_batch(spark.createDataFrame([("k", "f", "1")], schema), 0)
-    table.apply_batch(spark.createDataFrame([("k", "f", "2")], schema), 1)  # compacts up to 1
-    table.apply_batch(spark.createDataFrame([("k", "f", "2")], schema), 1)  # replay: nothing to fold
-    assert table._entries()[1] == [1]
-    assert table.read().collect() == [("k", "f", "2")]
-
-
-def test_compaction_leaves_a_reader_its_files(spark, scratch):
-    """A read planned before a compaction still finds its files after it; they go with the next one."""
-    schema = "key string, field string, value string"
-    table = KeyedTable(spark, scratch("kv"), ["key", "field"])
-    table.apply_batch(spark.createDataFrame([("k", "f", "1")], schema), 0)
-    table.apply_batch(spark.createDataFrame([("k", "g", "2")], schema), 1)
+CELLS = "key string, field string, value string"
+
+
+def kept(table):
+    return sorted(tuple(r) for r in table.read().select("key", "field", "value").collect())
+
+
+def test_a_batch_rewrites_only_the_buckets_it_touches(spark, scratch):
+    table = KeyedTable(spark, scratch("kv"), ["key", "field"], buckets=8)
+    table.apply_batch(spark.createDataFrame([(f"k{i}", "f", "1") for i in range(100)], CELLS), 0)
+    assert set(table.versions()) == set(range(8)) and {v for _, v in table.versions().values()} == {0}
+    table.apply_batch(spark.createDataFrame([("k7", "f", "2")], CELLS), 1)
+    versions = table.versions()
+    assert sorted(v for _, v in versions.values()) == [0] * 7 + [1]
+    assert sorted(s for s, _ in versions.values()) == [0] * 7 + [1]
+    assert dict((k, v) for k, _, v in kept(table))["k7"] == "2" and len(kept(table)) == 100
+
+
+def test_many_batches_replayed_by_a_new_writer(spark, scratch):
+    """Every batch once by one writer, then again by another that knows nothing but the files."""
+    rng = random.Random(1)
+    path, want = scratch("kv"), {}
+    batches = [[(f"k{rng.randint(0, 30)}", "f", f"{b}-{i}") for i in range(rng.randint(1, 8))] for b in range(5)]
+    batches = [list({k: (k, f, v) for k, f, v in rows}.values()) for rows in batches]
+    for b, rows in enumerate(batches):
+        KeyedTable(spark, path, ["key", "field"], buckets=4).apply_batch(spark.createDataFrame(rows, CELLS), b)
+        want |= {k: (k, f, v) for k, f, v in rows}
+        again = KeyedTable(spark, path, ["key", "field"], buckets=4)
+        before = again.versions()
+        again.apply_batch(spark.createDataFrame(rows, CELLS), b)
+        assert again.versions() == before and kept(again) == sorted(want.values())
+
+
+def test_a_half_written_batch_is_finished_by_its_replay(spark, scratch):
+    """A batch that reached some of its buckets only: the replay writes the others and leaves those alone."""
+    table = KeyedTable(spark, scratch("kv"), ["key", "field"], buckets=4)
+    rows = [(f"k{i}", "f", "1") for i in range(40)]
+    table.apply_batch(spark.createDataFrame(rows, CELLS), 0)
+    second = spark.createDataFrame([(k, f, "2") for k, f, _ in rows], CELLS)
+    part = second.filter(table._bucket_of() < 2)
+    KeyedTable(spark, table.path, ["key", "field"], buckets=4).apply_batch(part, 1)
+    assert len({v for _, v in table.versions().values()}) == 2
+    KeyedTable(spark, table.path, ["key", "field"], buckets=4).apply_batch(second, 1)
+    assert {v for _, v in table.versions().values()} == {1} and {v for _, _, v in kept(table)} == {"2"}
+
+
+def test_a_failed_write_leaves_the_newest_version(spark, scratch):
+    table = KeyedTable(spark, scratch("kv"), ["key", "field"], buckets=2)
+    table.apply_batch(spark.createDataFrame([(f"k{i}", "f", "1") for i in range(10)], CELLS), 0)
+    before = kept(table)
+    broken = spark.createDataFrame([("k1", "f", "x")], CELLS).withColumn("value", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        table.apply_batch(broken, 1)
+    assert kept(table) == before
+    table.apply_batch(spark.createDataFrame([("k1", "f", "2")], CELLS), 1)
+    assert dict((k, v) for k, _, v in kept(table))["k1"] == "2"
+
+
+def test_a_planned_read_keeps_its_files(spark, scratch):
+    """A read planned before a batch still finds its files after it."""
+    table = KeyedTable(spark, scratch("kv"), ["key", "field"], buckets=1)
+    table.apply_batch(spark.createDataFrame([("k", "f", "1")], CELLS), 0)
     planned = table.read()
-    table.compact()
-    assert sorted(planned.collect()) == [("k", "f", "1"), ("k", "g", "2")]
-    table.apply_batch(spark.createDataFrame([("k", "f", "3")], schema), 2)
-    table.compact()
-    assert table._entries() == ([2], [1, 2])
-    assert sorted(table.read().collect()) == [("k", "f", "3"), ("k", "g", "2")]
+    table.apply_batch(spark.createDataFrame([("k", "f", "2")], CELLS), 1)
+    assert [r["value"] for r in planned.collect()] == ["1"] and kept(table) == [("k", "f", "2")]
+
+
+def test_a_read_opens_only_the_buckets_asked_for(spark, scratch):
+    table = KeyedTable(spark, scratch("kv"), ["key", "field"], buckets=16, bucket_by=["key"])
+    table.apply_batch(spark.createDataFrame([(f"k{i}", f, "1") for i in range(200) for f in "ab"], CELLS), 0)
+    asked = spark.createDataFrame([("k3",), ("nowhere",)], "key string")
+    buckets = {r[0] for r in asked.select(table._bucket_of()).collect()}
+    found = table.read_for(asked)
+    opened = {int(f.split("_bucket=")[1].split("/")[0]) for f in found.inputFiles()}
+    assert opened <= buckets and len(table.read().inputFiles()) == 16
+    assert sorted(r["field"] for r in found.filter("key = 'k3'").collect()) == ["a", "b"]
+    assert table.read([]).count() == 0
+
+
+def test_another_number_of_buckets_is_refused(spark, scratch):
+    table = KeyedTable(spark, scratch("kv"), ["key", "field"], buckets=4)
+    assert table.read() is None and table.read_for(spark.createDataFrame([("a", "b")], "key string, field string")) is None
+    table.apply_batch(spark.createDataFrame([("k", "f", "1")], CELLS), 0)
+    with pytest.raises(ValueError, match="4 buckets"):
+        KeyedTable(spark, table.path, ["key", "field"], buckets=8).apply_batch(spark.createDataFrame([("k", "f", "2")], CELLS), 1)
+    assert kept(KeyedTable(spark, table.path, ["key", "field"], buckets=8)) == [("k", "f", "1")]
+
+
+def test_merge_mode_over_buckets(spark, scratch):
+    table = KeyedTable(spark, scratch("docs"), ["id"], order=["position"], mode="merge", buckets=2)
+    schema = "id string, a string, b string, position long"
+    table.apply_batch(spark.createDataFrame([("1", "x", None, 5), ("1", None, "y", 6), ("2", "p", "q", 7)], schema), 0)
+    table.apply_batch(spark.createDataFrame([("1", None, "z", 1), ("1", "w", None, 0)], schema), 1)  # a later batch wins, whatever its places
+    assert sorted(tuple(r) for r in table.read().select("id", "a", "b").collect()) == [("1", "w", "z"), ("2", "p", "q")]
 
 
 def test_a_batch_plan_runs_once(spark, scratch):

@@ -40,10 +40,6 @@ def read_ip_dim(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(IP_DIM).parquet(path)
 
 
-#: Keyed tables fold their micro-batches into a snapshot after so many of them.
-COMPACT_EVERY = 100
-
-
 def etl_job(
     spark, source, sink, checkpoint, ip_dim_path, every=None, topics=P.FILES, sink_format="parquet", sink_options=None
 ) -> list[StreamingQuery]:
@@ -55,26 +51,26 @@ def etl_job(
     ]
 
 
-def reports_job(spark, source, store, checkpoint, cities=None, one_pass=True, every=None, topics=P.FILES):
+def reports_job(spark, source, store, checkpoint, cities=None, one_pass=True, every=None, topics=P.FILES, buckets=P.BUCKETS):
     """Daily totals, by province and by allow-listed city, kept in the hash store (hop 2).
 
     One grouping-sets stream by default; ``one_pass=False`` runs a stream for each report, as the reference does.
     """
     start = P.start_reports_one_pass if one_pass else P.start_reports
     started = start(
-        spark, source, store, checkpoint, cities or R.REFERENCE_CITIES, topics, _trigger(every), compact_every=COMPACT_EVERY
+        spark, source, store, checkpoint, cities or R.REFERENCE_CITIES, topics, _trigger(every), buckets=buckets
     )
     return [started] if one_pass else started
 
 
-def documents_job(spark, source, store, checkpoint, every=None, topics=P.FILES) -> list[StreamingQuery]:
+def documents_job(spark, source, store, checkpoint, every=None, topics=P.FILES, buckets=P.BUCKETS) -> list[StreamingQuery]:
     """Enriched orders merged into documents keyed by order id."""
-    return [P.start_documents(spark, source, store, checkpoint, topics, _trigger(every), COMPACT_EVERY)]
+    return [P.start_documents(spark, source, store, checkpoint, topics, _trigger(every), buckets)]
 
 
-def wide_rows_job(spark, source, store, checkpoint, every=None, topics=P.FILES, columns=None) -> list[StreamingQuery]:
+def wide_rows_job(spark, source, store, checkpoint, every=None, topics=P.FILES, columns=None, buckets=P.BUCKETS) -> list[StreamingQuery]:
     """Enriched orders put as wide rows keyed by reverse(userId)_orderTime."""
-    return [P.start_wide_rows(spark, source, store, checkpoint, topics, _trigger(every), columns, COMPACT_EVERY)]
+    return [P.start_wide_rows(spark, source, store, checkpoint, topics, _trigger(every), columns, buckets)]
 
 
 def store_cells(spark: SparkSession, store: str, one_pass: bool = True) -> DataFrame:
@@ -125,6 +121,7 @@ def arguments() -> argparse.ArgumentParser:
             p.add_argument("--ip-dim", required=True)
         else:
             p.add_argument("--store", required=True)
+            p.add_argument("--buckets", type=int, default=P.BUCKETS, help="key buckets of the store's tables, fixed by the first batch")
         if name == "reports":
             p.add_argument("--three-streams", action="store_true", help="a stream for each report")
             p.add_argument("--cities", help="comma-separated allow-list")
@@ -153,10 +150,14 @@ def start_job(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQu
             sink_format=args.sink_format, sink_options=_options(args.sink_option),
         )
     if args.job == "reports":
-        return reports_job(spark, args.source, args.store, args.checkpoint, _listed(args.cities), not args.three_streams, **common)
+        return reports_job(
+            spark, args.source, args.store, args.checkpoint, _listed(args.cities), not args.three_streams, **common, buckets=args.buckets
+        )
     if args.job == "documents":
-        return documents_job(spark, args.source, args.store, args.checkpoint, **common)
-    return wide_rows_job(spark, args.source, args.store, args.checkpoint, columns=_listed(args.columns), **common)
+        return documents_job(spark, args.source, args.store, args.checkpoint, **common, buckets=args.buckets)
+    return wide_rows_job(
+        spark, args.source, args.store, args.checkpoint, columns=_listed(args.columns), **common, buckets=args.buckets
+    )
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -150,13 +150,13 @@ def store_kv_latest(spark, sf_dir):
 def store_kv_get(spark, sf_dir):
     """The daily total for every day in the order-date range; missing days read '0'."""
     X.start(spark)
-    kv = X.kv_store(spark, sf_dir)
+    store = X.kv_tables(spark, sf_dir)
     days = X.date_spine(X.report_rows(spark, sf_dir).filter(F.col("order_date").isNotNull()))
     requests = days.select(
         F.concat_ws(":", F.lit(R.PREFIX_TOTAL), F.col("order_date").cast("string")).alias("key"),
         F.lit(R.FIELD_GLOBAL).alias("field"),
     )
-    return S.kv_get(kv, requests)
+    return S.kv_get(P.report_tables(spark, store)["total"].read_for(requests), requests)
 
 
 def store_kv_getall(spark, sf_dir):

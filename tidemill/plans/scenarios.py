@@ -62,12 +62,17 @@ def sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_sets(report_rows(spark, sf_dir), CITIES)
 
 
-def kv_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cells of the hash store that the three report streams filled over three arrivals."""
+def kv_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the hash store that the three report streams fill over three arrivals."""
     topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-kv", "ckpt-report"))
     suffix = "-" + store.rsplit("-", 1)[-1]
     feed(topic, etl_arrivals(spark, sf_dir), lambda: P.run(P.start_reports(spark, topic, store, ckpt, CITIES, query_suffix=suffix)))
-    return store_cells(spark, store, one_pass=False)
+    return store
+
+
+def kv_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of that store."""
+    return store_cells(spark, kv_tables(spark, sf_dir), one_pass=False)
 
 
 def date_spine(rows: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Streaming jobs and the keyed tables they maintain."""
 
-from tidemill.streaming.changelog import KeyedTable
+from tidemill.streaming.keyed import KeyedTable
 from tidemill.streaming.pipeline import (
     AVAILABLE_NOW,
     Trigger,

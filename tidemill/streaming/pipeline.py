@@ -29,7 +29,7 @@ from tidemill.operators.report import (
 )
 from tidemill.operators.stores import documents, wide_rows, writable_cells
 from tidemill.sources.topics import read_topic
-from tidemill.streaming.changelog import KeyedTable
+from tidemill.streaming.keyed import BUCKETS, KeyedTable
 
 
 @dataclass
@@ -143,11 +143,11 @@ def start_etl(
 REPORTS = ("total", "province", "city")
 
 
-def report_tables(spark: SparkSession, store: str, compact_every: int | None = None) -> dict[str, KeyedTable]:
-    """The hash-cell tables the three report queries maintain (K2: replace on (key, field))."""
+def report_tables(spark: SparkSession, store: str, buckets: int = BUCKETS) -> dict[str, KeyedTable]:
+    """The hash-cell tables the three report queries maintain (K2: replace on (key, field)); a hash lies in one bucket."""
     return {
         name: KeyedTable(
-            spark, f"{store}/{name}", ["key", "field"], mode="replace", prepare=writable_cells, compact_every=compact_every
+            spark, f"{store}/{name}", ["key", "field"], prepare=writable_cells, buckets=buckets, bucket_by=["key"]
         )
         for name in REPORTS
     }
@@ -163,7 +163,7 @@ def start_reports(
     trigger: Trigger = AVAILABLE_NOW,
     which: tuple[str, ...] = REPORTS,
     query_suffix: str = "",
-    compact_every: int | None = None,
+    buckets: int = BUCKETS,
 ) -> list[StreamingQuery]:
     """Three update-mode aggregates over one parsed stream, each with its own checkpoint.
 
@@ -176,7 +176,7 @@ def start_reports(
         "province": lambda: daily_by_province(orders, WATERMARK_DELAY),
         "city": lambda: daily_by_city(orders, cities, WATERMARK_DELAY),
     }
-    tables = report_tables(spark, store, compact_every)
+    tables = report_tables(spark, store, buckets)
     started = []
     for name in which:
         writer = (
@@ -190,9 +190,9 @@ def start_reports(
     return started
 
 
-def cell_table(spark: SparkSession, store: str, compact_every: int | None = None) -> KeyedTable:
+def cell_table(spark: SparkSession, store: str, buckets: int = BUCKETS) -> KeyedTable:
     """All report cells in one keyed table (grain, key, field, value); keys carry the report prefix."""
-    return KeyedTable(spark, store, ["key", "field"], mode="replace", prepare=writable_cells, compact_every=compact_every)
+    return KeyedTable(spark, store, ["key", "field"], prepare=writable_cells, buckets=buckets, bucket_by=["key"])
 
 
 def start_reports_one_pass(
@@ -203,7 +203,7 @@ def start_reports_one_pass(
     cities: list[str],
     topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
-    compact_every: int | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """A4 as a stream: the three reports in one GROUPING SETS aggregation.
 
@@ -216,15 +216,15 @@ def start_reports_one_pass(
     writer = (
         cells.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(cell_table(spark, store, compact_every).apply_batch)
+        .foreachBatch(cell_table(spark, store, buckets).apply_batch)
     )
     return trigger.apply(writer).start()
 
 
 # ---------------------------------------------------------------- stores (S3, K3, K4)
-def wide_row_table(spark: SparkSession, store: str, compact_every: int | None = None) -> KeyedTable:
+def wide_row_table(spark: SparkSession, store: str, buckets: int = BUCKETS) -> KeyedTable:
     """K4: row key -> cells; a later put (by write order) of the same key overwrites the whole row."""
-    return KeyedTable(spark, store, ["row_key"], order=["position"], mode="replace", compact_every=compact_every)
+    return KeyedTable(spark, store, ["row_key"], order=["position"], mode="replace", buckets=buckets)
 
 
 def start_wide_rows(
@@ -235,19 +235,19 @@ def start_wide_rows(
     topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
     columns: list[str] | None = None,
-    compact_every: int | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Enriched topic -> wide rows of the listed columns (P10), upserted per micro-batch (every 5 s in the reference)."""
     rows = wide_rows(topics.read(spark, etl_topic), columns)
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        wide_row_table(spark, store, compact_every).apply_batch
+        wide_row_table(spark, store, buckets).apply_batch
     )
     return trigger.apply(writer).start()
 
 
-def document_table(spark: SparkSession, store: str, compact_every: int | None = None) -> KeyedTable:
+def document_table(spark: SparkSession, store: str, buckets: int = BUCKETS) -> KeyedTable:
     """K3: documents keyed by order id; fields merge in write order (a NULL never overwrites)."""
-    return KeyedTable(spark, store, ["orderId"], order=["position"], mode="merge", compact_every=compact_every)
+    return KeyedTable(spark, store, ["orderId"], order=["position"], mode="merge", buckets=buckets)
 
 
 def start_documents(
@@ -257,12 +257,12 @@ def start_documents(
     checkpoint: str,
     topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
-    compact_every: int | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Enriched topic -> documents merged on the order id."""
     docs = documents(topics.read(spark, etl_topic))
     writer = docs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        document_table(spark, store, compact_every).apply_batch
+        document_table(spark, store, buckets).apply_batch
     )
     return trigger.apply(writer).start()
 
