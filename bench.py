@@ -31,6 +31,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tidemill import prepare_session, scratch_path  # noqa: E402
 from tidemill.operators import report as R  # noqa: E402
 from tidemill.operators.etl import enriched_orders, etl_transform  # noqa: E402
+from tidemill.operators.geo import build_dictionary  # noqa: E402
 from tidemill.plans.catalog import QUERIES  # noqa: E402
 from tidemill.sources.fixtures import CITIES, ip_dim, raw_messages  # noqa: E402
 from tidemill.sources.tables import load_table  # noqa: E402
@@ -91,10 +92,9 @@ def main() -> None:
     # A topic with one partition per core, as a bus would hold it.
     parts = int(cpus)
     write_topic(raw_messages(spark, sf_dir), raw_topic, files=parts)
-    dim = ip_dim(spark, sf_dir).cache()
-    dim.count()
-    big = fine_dim(spark, sf_dir).cache()
-    n_big = big.count()
+    # Dictionaries are built once, as a job would keep them.
+    n_big = fine_dim(spark, sf_dir).count()
+    dim, big = build_dictionary(ip_dim(spark, sf_dir)), build_dictionary(fine_dim(spark, sf_dir))
     write_topic(etl_transform(read_topic(spark, raw_topic), dim), etl_topic_path, files=parts)
     n_orders = load_table(spark, sf_dir, "orders").count()
 

@@ -42,6 +42,34 @@ def test_junk_filter_truth_table(spark):
     assert out == {k for k, v in kept.items() if v}
 
 
+def test_junk_filter_looks_at_the_whole_text(spark):
+    """JVM trim and split: line ends above U+0020 are text, so these records have a part."""
+    texts = [f",,{end}" for end in "\u0085\u2028\u2029"] + [f"{end},," for end in "\u0085\u2028\u2029"]
+    df = one_col(spark, [*texts, ",,\r\n", ",\x0b"]).withColumnRenamed("x", "value")
+    assert sorted(r["value"] for r in drop_junk(df).collect()) == sorted(texts)
+
+
+def test_lenient_int_equals_the_lenient_cast(spark):
+    ends = ["", " ", "\t", " \n", "\x00", "\x7f", "\u0085", "\u00a0"]
+    bodies = ["1.5", ".", "+.", "-.", "-", "+", "", "1.", ".5", "-0.9", "1e3", "1.5.2", "++1", "2147483647", "2147483648.1", "-2147483648", "1 2",
+              "00000000000000000007", "1.x", "1,5", "0x1", "٣"]
+    values = [a + b + c for b in bodies for a in ends for c in ends]
+    got = apply(spark, values, lenient_int)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        want = apply(spark, values, lambda x: x.cast("int"))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got == want and sum(v is not None for v in got.values()) > 300
+
+
+def test_patterns_end_at_the_end(spark):
+    for end in "\u0085\u2028\u2029":
+        assert apply(spark, [f"1.2.3.4{end}"], ip_to_long)[f"1.2.3.4{end}"] is None
+        assert apply(spark, [f"a|b|c||{end}"], region_city)[f"a|b|c||{end}"] == ""
+
+
 def test_drop_empty(spark):
     df = one_col(spark, [None, "", " ", "{}"]).withColumnRenamed("x", "value")
     assert sorted(r["value"] for r in drop_empty(df).collect()) == [" ", "{}"]

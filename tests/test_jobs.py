@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import glob
+import os
+
 from tests.conftest import SF_SMALL
 from tidemill import jobs
 from tidemill.operators import report as R
@@ -58,6 +61,34 @@ def test_export_of_a_day_without_sales_and_of_an_empty_store(spark, scratch):
         assert read_report_json(spark, f"{out}-all").count() == 0
 
 
+def folders(path):
+    """Write time of every day's folder of an export by day."""
+    files = glob.glob(f"{path.removeprefix('file:')}/date=*/*.json")
+    return {f.split("date=")[1].split("/")[0]: os.stat(f).st_mtime_ns for f in files}
+
+
+def test_export_of_changed_days_only(spark, scratch):
+    store, out = scratch("kv"), scratch("report")
+    table, cells = P.cell_table(spark, store), "grain string, key string, field string, value string"
+    day = lambda d, total, province: [("total", f"orders:money:total:{d}", "global", total), ("province", f"orders:money:province:{d}", "P", province)]
+    assert jobs.export_changes(spark, store, out) is None
+    table.apply_batch(spark.createDataFrame(day("2024-01-01", "1.00", "1.00") + day("2024-01-02", "2.00", "2.00"), cells), 0)
+    assert jobs.export_changes(spark, store, out).count() == 2
+    first = folders(out)
+    table.apply_batch(spark.createDataFrame(day("2024-01-02", "5.00", "3.00")[:1] + day("2024-01-03", "7.00", "7.00"), cells), 1)
+    assert sorted(str(r["order_date"]) for r in jobs.export_changes(spark, store, out).collect()) == ["2024-01-02", "2024-01-03"]
+    second = folders(out)
+    assert set(second) == {"2024-01-01", "2024-01-02", "2024-01-03"}
+    assert second["2024-01-01"] == first["2024-01-01"] and second["2024-01-02"] != first["2024-01-02"]
+    full = scratch("full")
+    jobs.export_report(spark, store, full)
+    as_rows = lambda p: sorted(R.flatten_document(read_report_json(spark, p)).collect())
+    assert as_rows(out) == as_rows(full) and len(as_rows(full)) == 3
+    assert jobs.export_changes(spark, store, out) is None and folders(out) == second
+    jobs.main(["export", "--store", store, "--out", out, "--changes"])
+    assert jobs.exported_upto(spark, out) == {"cells": 1}
+
+
 def test_job_options_reach_the_streams(spark, monkeypatch):
     """Source and sink formats, their options, the intake cap and the column list are passed through (no broker here)."""
     seen = {}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from tidemill.operators import geo
 from tidemill.operators import report as R
+from tidemill.operators.dictionary import normalised
 from tidemill.operators.offsets import number_log, resume, save_offsets
 from tidemill.operators.stores import kv_get, wide_rows, writable_cells
 from tidemill.operators.upsert import latest_by_key, merge_by_key
@@ -259,3 +260,71 @@ def test_range_join_property(spark):
             assert {r["orderId"]: (r["province"], r["city"]) for r in got} == want, strategy
 
     check()
+
+
+# ---------------------------------------------------------------- dictionary normalisation
+def disjoint(rows):
+    """Narrowest range first, point by point."""
+    top = (1 << 32) - 1
+    sound = [(max(0, a), min(top, b), r) for a, b, r in rows if a is not None and b is not None]
+    sound = [x for x in sound if x[0] <= x[1]]
+    points = sorted({a for a, _, _ in sound} | {b + 1 for _, b, _ in sound})
+    out = []
+    for p, q in zip(points, points[1:]):
+        holders = [(b - a, a, r is not None, r or "", r) for a, b, r in sound if a <= p <= b]
+        if not holders:
+            continue
+        region = min(holders)[-1]
+        if out and out[-1][1] + 1 == p and out[-1][2] == region:
+            out[-1] = (out[-1][0], q - 1, region)
+        else:
+            out.append((p, q - 1, region))
+    return out
+
+
+def dictionary(spark, rows):
+    return spark.createDataFrame(rows, "ip_lo long, ip_hi long, region string")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_normalised_dictionary_equals_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(50):
+        start = rng.choice([rng.randrange(200_000), rng.randrange(1 << 22), (1 << 32) - rng.randrange(1, 100_000)])
+        rows.append((start, start + rng.randint(0, rng.choice([0, 1, 5, 300, 65536, 70000, 1 << 20])), rng.choice(["A", "B", "C", None])))
+    rows += [(5, 3, "backwards"), (None, 4, "open"), (-5, 2, "below"), rows[0], (rows[1][0], rows[1][1], "Z")]
+    assert sorted(tuple(r) for r in normalised(dictionary(spark, rows)).collect()) == disjoint(rows)
+
+
+def test_normalised_nested_range_and_the_whole_space(spark):
+    rows = [(0, 1000, "outer"), (100, 200, "inner"), (201, 300, "inner"), (0, (1 << 32) + 9, "world")]
+    want = [(0, 99, "outer"), (100, 300, "inner"), (301, 1000, "outer"), (1001, (1 << 32) - 1, "world")]
+    assert sorted(tuple(r) for r in normalised(dictionary(spark, rows)).collect()) == want == disjoint(rows)
+    assert normalised(dictionary(spark, [])).count() == 0
+
+
+def test_lookup_through_a_nested_dictionary(spark):
+    dim = dictionary(spark, [(0, 1000, "c|0|Outer|O|i"), (100, 200, "c|0|Inner|I|i")])
+    orders = spark.createDataFrame([("0.0.0.99",), ("0.0.0.100",), ("0.0.0.200",), ("0.0.0.201",), ("0.0.1.0",), ("0.0.4.0",)], "ip string")
+    got = {r["ip"]: r["province"] for r in geo.locate(orders, normalised(dim)).collect()}
+    assert got == {"0.0.0.99": "Outer", "0.0.0.100": "Inner", "0.0.0.200": "Inner", "0.0.0.201": "Outer", "0.0.1.0": "Outer", "0.0.4.0": "Unknown"}
+
+
+def test_stored_dictionaries_give_the_same_places(spark, scratch, crafted_dim):
+    dim, ranges = crafted_dim
+    rng = random.Random(8)
+    texts = [ip_text(rng.choice([lo, hi, lo - 1, hi + 1, rng.randint(lo, hi)]) % (1 << 32)) for lo, hi, _ in ranges for _ in range(20)]
+    orders = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, "bad", ""])], "n int, ip string")
+    want = sorted(geo.locate(orders, dim).collect())
+    built = geo.build_dictionary(dim)
+    assert built.size > 0 and sorted(geo.locate(orders, built).collect()) == want
+    assert sorted(geo.locate(orders, built, strategy="shuffle").collect()) == want
+    assert sorted(geo.locate(orders, built, broadcast_max_bytes=0).collect()) == want  # too large by its measure
+    path = scratch("dictionary")
+    table = geo.save_dictionary_table(dim, "crafted_dictionary", path, parts=4, salts=3)
+    assert sorted(geo.locate(orders, table).collect()) == want
+    again = geo.register_dictionary_table(spark, "crafted_dictionary_again", path, parts=4, salts=3)
+    assert sorted(geo.locate(orders, again).collect()) == want
+    for name in ("crafted_dictionary", "crafted_dictionary_again"):
+        spark.sql(f"DROP TABLE {name}")

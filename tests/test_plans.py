@@ -113,3 +113,42 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_stored_dictionary_is_neither_exploded_nor_shuffled(spark, scratch):
+    """A bucketed dictionary joins as it lies: the one exchange moves the orders."""
+    table = geo.save_dictionary_table(ip_dim(spark, SF_SMALL), "plan_dictionary", scratch("dictionary"), parts=4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        plan = executed(geo.locate(raw_orders(spark), table))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sql("DROP TABLE plan_dictionary")
+    assert plan.count("Exchange hashpartitioning") == 1 and "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan, plan
+    assert "Bucketed: true" in plan and "explode(sequence" not in plan, plan
+
+
+def raw_orders(spark):
+    from tidemill.operators.clean import parse_raw_order
+
+    return parse_raw_order(spark.createDataFrame([('{"orderId":"1","ip":"10.0.0.1"}',), ('{"orderId":"2"}',)], "value string").repartition(3))
+
+
+def test_a_built_dictionary_adds_no_job(spark):
+    built = geo.build_dictionary(ip_dim(spark, SF_SMALL))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookup", "lookup")
+    try:
+        geo.locate(raw_orders(spark), built)
+        assert tracker.getJobIdsForGroup("lookup") == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_normalising_broadcasts_the_large_blocks_only(spark):
+    from tidemill.operators.dictionary import normalised
+    from tidemill.sources.fixtures import nested_ip_dim
+
+    plan = normalised(nested_ip_dim(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in plan and plan.count("strategy=broadcast") == 2  # the pieces are read twice, from one exchange

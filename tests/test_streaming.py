@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tidemill.operators import report as R
+from tidemill.operators.clean import judge_document
+from tidemill.operators.stores import wide_rows
+from tidemill.operators.upsert import latest_by_key
 from tidemill.plans import scenarios as X
 from tidemill.sources.fixtures import CITIES, ip_dim
 from tidemill.sources.topics import read_topic, write_topic
@@ -285,3 +288,130 @@ def test_wide_rows_of_chosen_columns(spark, scratch):
                                       "key string, value string, position long"), topic)
     P.run([P.start_wide_rows(spark, topic, store, scratch("ckpt"), columns=["ip"])])
     assert [tuple(r) for r in P.wide_row_table(spark, store).read().select("row_key", "ip").collect()] == [("21_t", "b")]
+
+
+# ---------------------------------------------------------------- latest by key as state
+def test_state_keeps_the_last_write_in_any_arrival_order(spark, scratch):
+    schema = "key string, value string, position long"
+    topic, store, ckpt = scratch("wide"), scratch("store"), scratch("ckpt")
+
+    def run(*messages):
+        write_topic(spark.createDataFrame(list(messages), schema).coalesce(1), topic)
+        query = P.start_wide_rows_state(spark, topic, store, ckpt)  # every run is a restart from the checkpoint
+        P.run([query])
+        return sorted((r["row_key"], r["orderId"], r["ip"]) for r in P.wide_state_table(spark, store).read().collect())
+
+    assert run(put("1", "12", "t", 5, "a"), put("2", "12", "t", 9, "b")) == [("21_t", "2", "b")]
+    assert run(put("3", "12", "t", 7, "late")) == [("21_t", "2", "b")]  # an earlier write told later
+    assert run(put("4", "12", "t", 10, None), put("5", "34", "u", 1, "c")) == [("21_t", "4", ""), ("43_u", "5", "c")]
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+    state = P.state_table(spark, ckpt)
+    assert {r["key"]["row_key"] for r in state.collect()} == {"21_t", "43_u"}
+
+
+# ---------------------------------------------------------------- state as a table
+def test_state_rows_of_the_late_data_stream(spark, scratch):
+    """FIXTURES section 5, read from the state store batch by batch."""
+    topic = late_data_topic(spark, scratch, ["2024-01-01 10:00:00", "2024-01-05 10:00:00", "2024-01-05 11:00:00", "2024-01-01 11:00:00"])
+    ckpt = scratch("ckpt")
+    P.run([P.start_bounded_daily(spark, topic, scratch("bounded"), f"{ckpt}/bounded", ONE)[0]])
+    P.run(P.start_reports(spark, topic, scratch("kv"), ckpt, CITIES, ONE, which=("total",), query_suffix="-state"))
+    rows = lambda path, b: P.state_table(spark, path, b).count()
+    assert [rows(f"{ckpt}/bounded", b) for b in range(4)] == [1, 2, 1, 1]
+    assert [rows(f"{ckpt}/amt-total", b) for b in range(4)] == [1, 2, 2, 2]
+    assert P.last_state_batch(spark, f"{ckpt}/amt-total") >= 3
+
+
+# ---------------------------------------------------------------- late rows (T5)
+def test_late_rows_by_batch_equal_the_listener(spark, scratch):
+    """A day of its own for each late row, so that the stream's count, taken after partial sums, counts rows."""
+    batches = [["2024-01-20 10:00:00", "2024-01-19 10:00:00"], ["2024-01-01 10:00:00", "2024-01-25 00:05:00"],
+               ["2024-01-02 10:00:00", "2024-01-24 23:59:59.999", "2024-01-24 10:00:00"], ["2024-01-03 10:00:00", "2024-01-04 10:00:00", "2024-01-24 11:00:00", "2024-01-26 10:00:00"]]
+    topic, ckpt = scratch("late"), scratch("ckpt")
+    for times in batches:
+        frame = spark.createDataFrame([(None, json.dumps({"orderId": "1", "orderTime": t, "orderMoney": "1"})) for t in times], "key string, value string")
+        write_topic(frame.coalesce(1), topic)
+    watch = P.watch_late_rows(spark)
+    query, _ = P.start_bounded_daily(spark, topic, scratch("bounded"), ckpt, ONE)
+    P.run([query])
+    rows = spark.createDataFrame([(i, t) for i, times in enumerate(batches) for t in [*times, None]], "batch int, t string")
+    judged = P.late_by_batch(rows.withColumn("at", F.to_timestamp("t")), "batch", "at")
+    got = {r["batch"]: (r["kept"], r["dropped"], r["untimed"]) for r in judged.collect()}
+    # Batch 1 has its grace; 2024-01-25 00:05 less ten minutes is still the 24th, so batch 3 keeps that day.
+    assert got == {0: (2, 0, 1), 1: (2, 0, 1), 2: (2, 1, 1), 3: (2, 2, 1)}
+    assert sum(d for _, d, _ in got.values()) == P.dropped_by_watermark(watch, query)
+    spark.streams.removeListener(watch)
+
+
+# ---------------------------------------------------------------- one read, several stores
+def test_one_read_feeds_three_stores_through_a_failure(spark, scratch):
+    topic, store, ckpt = scratch("etl"), scratch("all"), scratch("ckpt")
+    tables = P.store_tables(spark, store)
+    tables["wide"] = X.LostOnce(tables["wide"], 1)
+    arrivals = X.etl_arrivals(spark, SF_SMALL, ordered=True)
+    X.feed(topic, arrivals, lambda: P.run([P.start_stores(spark, topic, store, ckpt, CITIES, tables=tables)]), only=[0])
+    write_topic(arrivals[1], topic)
+    with pytest.raises(Exception, match="the store is gone"):
+        P.run([P.start_stores(spark, topic, store, ckpt, CITIES, tables=tables)])
+    X.feed(topic, arrivals, lambda: P.run([P.start_stores(spark, topic, store, ckpt, CITIES)]), only=[2])
+    held = P.store_tables(spark, store)
+    cells = sorted((r["key"], r["field"], str(r["value"])) for r in held["cells"].read().collect())
+    assert cells == sorted(tuple(r) for r in R.sets_to_cells(X.sets(spark, SF_SMALL)).select("key", "field", "value").collect())
+    assert held["documents"].read().count() == X.etl_messages(spark, SF_SMALL).count()
+    wide = latest_by_key(wide_rows(X.etl_messages(spark, SF_SMALL)), ["row_key"], ["position"]).drop("position")
+    assert sorted(held["wide"].read().select(wide.columns).collect()) == sorted(wide.collect())
+
+
+def test_added_sums_count_a_batch_once(spark, scratch):
+    table = KeyedTable(spark, scratch("sums"), ["k"], mode="add", buckets=2)
+    schema = "k string, n decimal(20,2)"
+    one = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "k string, n int").withColumn("n", F.col("n").cast("decimal(20,2)"))
+    for batch_id in (0, 0, 1, 1):
+        table.apply_batch(one, batch_id)
+    assert sorted((r["k"], str(r["n"])) for r in table.read().collect()) == [("a", "8.00"), ("b", "4.00")]
+    assert table.read().select("k", "n").schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+
+
+# ---------------------------------------------------------------- quarantine (W5), intake caps
+def test_quarantine_keeps_what_is_no_document(spark, scratch):
+    topic, store, aside, ckpt = (scratch(n) for n in ("raw", "docs", "aside", "ckpt"))
+    values = ['{"orderId":"1","ip":"a"}', None, "", "garbage", '{"ip":"b"}', "[1]", "{}", '{"orderId":"2"}', '{"orderId":"2","ip"', "null"]
+    write_topic(spark.createDataFrame([(None, v, i) for i, v in enumerate(values)], "key string, value string, position long").coalesce(1), topic)
+    P.run([P.start_documents(spark, topic, store, ckpt, quarantine=aside)])
+    kept = P.Quarantine(P.document_table(spark, store), aside)
+    why = {r["position"]: (r["value"], r["reason"]) for r in kept.rejected().collect()}
+    assert {i: r for i, (_, r) in why.items()} == {1: "no value", 2: "empty", 3: "undecodable", 4: "no order id", 5: "undecodable", 6: "no order id",
+                                                   8: "undecodable", 9: "undecodable"}
+    assert all(v == values[i] for i, (v, _) in why.items())
+    assert [tuple(r) for r in kept.counts().collect()] == [(0, 10, 2, 8)]
+    # A replay replaces its own rows.
+    judged = judge_document(read_topic(spark, topic), ("position",))
+    kept(judged, 0)
+    assert kept.rejected().count() == 8 and [tuple(r) for r in kept.counts().collect()] == [(0, 10, 2, 8)]
+    assert sorted(r["orderId"] for r in kept.table.read().collect()) == ["1", "2"]
+
+
+def test_intake_is_capped_under_a_backlog(spark, scratch):
+    topic, store, aside = scratch("backlog"), scratch("docs"), scratch("aside")
+    for i in range(5):
+        write_topic(spark.createDataFrame([(None, json.dumps({"orderId": f"{i}-{j}"}), j) for j in range(i + 1)], "key string, value string, position long").coalesce(1), topic)
+    P.run([P.start_documents(spark, topic, store, scratch("ckpt"), P.Topics(max_per_trigger=2), quarantine=aside)])
+    counts = P.Quarantine(P.document_table(spark, store), aside).counts()
+    assert sorted((r["batch"], r["read"]) for r in counts.collect()) == [(0, 3), (1, 7), (2, 5)]
+
+
+# ---------------------------------------------------------------- interval jobs (S3)
+def test_an_interval_job_takes_in_what_arrives_while_it_runs(spark, scratch):
+    topic, store = scratch("wide"), scratch("store")
+    schema = "key string, value string, position long"
+    write_topic(spark.createDataFrame([put("1", "12", "t", 0, "a")], schema).coalesce(1), topic)
+    query = P.start_wide_rows(spark, topic, store, scratch("ckpt"), trigger=P.Trigger(processing_time="1 second"))
+    try:
+        query.processAllAvailable()
+        assert [r["orderId"] for r in P.wide_row_table(spark, store).read().collect()] == ["1"]
+        write_topic(spark.createDataFrame([put("2", "12", "t", 1, "b")], schema).coalesce(1), topic)
+        query.processAllAvailable()
+        assert [r["orderId"] for r in P.wide_row_table(spark, store).read().collect()] == ["2"]
+        assert query.isActive and len(query.recentProgress) >= 2
+    finally:
+        query.stop()

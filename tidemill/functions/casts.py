@@ -17,17 +17,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# What a non-ANSI cast strips from both ends: blanks and control characters.
+_CAST_BLANKS = "".join(chr(i) for i in [*range(0x21), 0x7F])
+
+
 def lenient_int(c: Column | str) -> Column:
     """text -> int like a non-ANSI cast.
 
-    Fractions truncate toward zero (``'1.9'`` -> 1, ``'-0.5'`` -> 0), surrounding
-    blanks are ignored, exponents, words and overflow give NULL.
+    An optional sign, digits, and a fraction that is cut off (``'1.9'`` -> 1,
+    ``'-0.5'`` -> 0); either side of the point may be empty, both too (``'.'`` ->
+    0). Blanks and control characters around it are ignored; a bare sign,
+    exponents, words and overflow give NULL.
     """
-    c = _col(c)
-    # The text is cut at the point before the cast: a decimal of any scale would round a long fraction up.
-    whole = F.regexp_replace(F.trim(c), r"\.[0-9]*$", "")
+    text = F.trim(_col(c), F.lit(_CAST_BLANKS))
+    whole = F.regexp_extract(text, r"^([+-]?[0-9]*)", 1)
     number = F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int"))
-    valid = c.try_cast("decimal(38,18)").isNotNull() & ~c.rlike("[eE]")
+    valid = text.rlike(r"^[+-]?[0-9]*(\.[0-9]*)?\z") & ~text.isin("", "+", "-")
     return F.when(valid, number)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.text import jvm_trim
 
 _OCTET = "(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-_DOTTED = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}$"
+_DOTTED = rf"^{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}\z"
 
 
 def _col(c: Column | str) -> Column:

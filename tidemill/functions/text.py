@@ -33,7 +33,7 @@ def default_to(c: Column | str, value) -> Column:
 
 def _region_parts(region: Column | str) -> Column:
     # JVM split drops trailing empty strings; strip trailing separators first.
-    return F.split(F.regexp_replace(_col(region), r"\|+$", ""), r"\|")
+    return F.split(F.regexp_replace(_col(region), r"\|+\z", ""), r"\|")
 
 
 def _region_part(region: Column | str, position: int) -> Column:

@@ -8,7 +8,7 @@ command line:
     python -m tidemill.jobs reports --source T2 --store S --checkpoint C [--three-streams]
     python -m tidemill.jobs documents --source T2 --store S --checkpoint C
     python -m tidemill.jobs wide-rows --source T2 --store S --checkpoint C [--every "5 seconds"]
-    python -m tidemill.jobs export --store S --out O [--day 2024-01-01] [--csv O2]
+    python -m tidemill.jobs export --store S --out O [--day 2024-01-01] [--csv O2] [--changes]
 
 Topics are Parquet folders by default (``--format kafka --option
 kafka.bootstrap.servers=...`` subscribes to a topic where the connector is
@@ -25,19 +25,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.operators import report as R
+from tidemill.operators.dictionary import normalised
 from tidemill.schemas import IP_DIM
-from tidemill.session import prepare_session
-from tidemill.sinks.files import write_report_csv, write_report_json
+from tidemill.session import checkpoint_root, path_exists, prepare_session
+from tidemill.sinks.files import write_report_csv, write_report_days, write_report_json
 from tidemill.streaming import pipeline as P
 
 
+_UPTO = "table string, batch long"
+
+
 def _trigger(every: str | None) -> P.Trigger:
     return P.Trigger(processing_time=every) if every else P.AVAILABLE_NOW
 
 
 def read_ip_dim(spark: SparkSession, path: str) -> DataFrame:
-    """The IP dictionary table (ip_lo, ip_hi, region) from Parquet."""
-    return spark.read.schema(IP_DIM).parquet(path)
+    """The IP dictionary table (ip_lo, ip_hi, region) from Parquet, its ranges made disjoint (the narrowest first)."""
+    return normalised(spark.read.schema(IP_DIM).parquet(path))
 
 
 def etl_job(
@@ -63,9 +67,9 @@ def reports_job(spark, source, store, checkpoint, cities=None, one_pass=True, ev
     return [started] if one_pass else started
 
 
-def documents_job(spark, source, store, checkpoint, every=None, topics=P.FILES, buckets=P.BUCKETS) -> list[StreamingQuery]:
+def documents_job(spark, source, store, checkpoint, every=None, topics=P.FILES, buckets=P.BUCKETS, quarantine=None) -> list[StreamingQuery]:
     """Enriched orders merged into documents keyed by order id."""
-    return [P.start_documents(spark, source, store, checkpoint, topics, _trigger(every), buckets)]
+    return [P.start_documents(spark, source, store, checkpoint, topics, _trigger(every), buckets, quarantine)]
 
 
 def wide_rows_job(spark, source, store, checkpoint, every=None, topics=P.FILES, columns=None, buckets=P.BUCKETS) -> list[StreamingQuery]:
@@ -75,9 +79,8 @@ def wide_rows_job(spark, source, store, checkpoint, every=None, topics=P.FILES,
 
 def store_cells(spark: SparkSession, store: str, one_pass: bool = True) -> DataFrame:
     """All current cells of a report store written by ``reports_job``; none if nothing was written yet."""
-    tables = [P.cell_table(spark, store)] if one_pass else list(P.report_tables(spark, store).values())
     out = spark.createDataFrame([], "key string, field string, value string")
-    for table in tables:
+    for table in _cell_tables(spark, store, one_pass).values():
         cells = table.read()
         if cells is not None:
             out = out.unionByName(cells.select("key", "field", "value"))
@@ -99,6 +102,43 @@ def export_report(spark, store, out, day=None, csv=None, one_pass=True) -> None:
         write_report_csv(R.report_long(sets), csv)
 
 
+def _cell_tables(spark: SparkSession, store: str, one_pass: bool) -> dict:
+    return {"cells": P.cell_table(spark, store)} if one_pass else P.report_tables(spark, store)
+
+
+def exported_upto(spark: SparkSession, out: str) -> dict[str, int]:
+    """Per report table the last batch that the export at ``out`` covers; empty before the first."""
+    if not path_exists(spark, f"{out}/_upto"):
+        return {}
+    return {r["table"]: r["batch"] for r in spark.read.schema(_UPTO).parquet(f"{out}/_upto").collect()}  # a row a table
+
+
+def export_changes(spark: SparkSession, store: str, out: str, one_pass: bool = True) -> DataFrame | None:
+    """Bring the report documents at ``out`` up to date: only days with a cell written since the last export.
+
+    A changed day's document is made from all of the day's cells, and takes
+    the place of the day's folder. What the export covers is noted after
+    that; an export that ends in between is repeated, with equal documents.
+    Returns the days written, or None if nothing was new.
+    """
+    checkpoint_root(spark)
+    before, after, changed = exported_upto(spark, out), {}, None
+    tables = _cell_tables(spark, store, one_pass)
+    for name, table in tables.items():
+        rows, after[name] = table.changed_after(before.get(name, -1))
+        if rows is not None:
+            keys = rows.select("key", "field", "value")
+            changed = keys if changed is None else changed.unionByName(keys)
+    if changed is None:
+        return None
+    days = R.cells_to_sets(changed).select("order_date").distinct().checkpoint()
+    sets = R.cells_to_sets(store_cells(spark, store, one_pass))
+    part = sets.join(days.withColumnRenamed("order_date", "_day"), F.col("order_date").eqNullSafe(F.col("_day")), "left_semi")
+    write_report_days(R.report_document(part), out)
+    spark.createDataFrame(list(after.items()), _UPTO).coalesce(1).write.mode("overwrite").parquet(f"{out}/_upto")
+    return days
+
+
 def _options(pairs: list[str] | None) -> dict[str, str]:
     return dict(p.split("=", 1) for p in pairs or [])
 
@@ -111,6 +151,8 @@ def arguments() -> argparse.ArgumentParser:
         p.add_argument("--source", required=True)
         p.add_argument("--checkpoint", required=True)
         p.add_argument("--every", help="processing-time trigger, e.g. '5 seconds'; default: available now")
+        if name == "documents":
+            p.add_argument("--quarantine", help="folder for the messages that are no documents, with batch and reason")
         p.add_argument("--max-per-trigger", type=int, help="intake cap: files, or offsets with --format kafka")
         p.add_argument("--format", default="parquet", help="format of the source topic: parquet or kafka")
         p.add_argument("--option", action="append", metavar="NAME=VALUE", help="option of the source, may repeat")
@@ -132,6 +174,7 @@ def arguments() -> argparse.ArgumentParser:
     e.add_argument("--out", required=True)
     e.add_argument("--csv")
     e.add_argument("--day")
+    e.add_argument("--changes", action="store_true", help="write the days changed since the last such export, a folder each")
     e.add_argument("--three-streams", action="store_true")
     return parser
 
@@ -154,7 +197,7 @@ def start_job(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQu
             spark, args.source, args.store, args.checkpoint, _listed(args.cities), not args.three_streams, **common, buckets=args.buckets
         )
     if args.job == "documents":
-        return documents_job(spark, args.source, args.store, args.checkpoint, **common, buckets=args.buckets)
+        return documents_job(spark, args.source, args.store, args.checkpoint, **common, buckets=args.buckets, quarantine=args.quarantine)
     return wide_rows_job(
         spark, args.source, args.store, args.checkpoint, columns=_listed(args.columns), **common, buckets=args.buckets
     )
@@ -163,6 +206,9 @@ def start_job(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQu
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
     spark = prepare_session(SparkSession.builder.appName(f"tidemill-{args.job}").getOrCreate())
+    if args.job == "export" and args.changes:
+        export_changes(spark, args.store, args.out, not args.three_streams)
+        return
     if args.job == "export":
         export_report(spark, args.store, args.out, args.day, args.csv, not args.three_streams)
         return

@@ -15,7 +15,7 @@ from tidemill.schemas import DOCUMENT, DOCUMENT_WITH_CORRUPT
 
 # A record is junk when, trimmed like String.trim, it is one or more commas and
 # nothing else (a JVM split on "," then has no parts). The empty string is not junk.
-_COMMAS_ONLY = r"^[\x00-\x20]*,+[\x00-\x20]*$"
+_COMMAS_ONLY = r"^[\x00-\x20]*,+[\x00-\x20]*\z"  # not $, which also matches before a final line end
 
 
 def message_text(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -77,3 +77,20 @@ def parse_document(
     return parsed.filter(
         F.col("data").isNotNull() & F.col("data._corrupt_record").isNull() & F.col("data.orderId").isNotNull()
     ).select(*[F.col(f"data.{f.name}").alias(f.name) for f in DOCUMENT.fields], *keep)
+
+
+#: Why a message is no document, in the order of the checks.
+NO_VALUE, EMPTY, UNDECODABLE, NO_ID = "no value", "empty", "undecodable", "no order id"
+
+
+def judge_document(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """P4 W2 W5 in one pass: the eight text fields, the message's ``value`` and ``reason``, NULL where it is a document."""
+    text = message_text(messages, keep)
+    parsed = text.select("*", parse_json_struct("value", DOCUMENT_WITH_CORRUPT, "_corrupt_record").alias("data"))
+    reason = (
+        F.when(F.col("value").isNull(), NO_VALUE)
+        .when(F.col("value") == "", EMPTY)
+        .when(F.col("data").isNull() | F.col("data._corrupt_record").isNotNull(), UNDECODABLE)
+        .when(F.col("data.orderId").isNull(), NO_ID)
+    )
+    return parsed.select(*[F.col(f"data.{f.name}").alias(f.name) for f in DOCUMENT.fields], *keep, "value", reason.alias("reason"))

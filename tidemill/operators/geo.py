@@ -20,19 +20,29 @@ enter that join. AQE's skew-join split applies on top.
 
 ``auto`` broadcasts when the buckets' size in bytes is within the bound and
 shuffles otherwise.
+
+A dictionary that serves more than one query is built once
+(``build_dictionary``): its buckets and their size are then at hand, and a
+lookup adds no job of its own. One that is too large to broadcast is kept as
+a table bucketed by (bucket, salt) (``save_dictionary_table``): the lookup
+(``locate_table``) then moves orders only, and never explodes or shuffles the
+dictionary again.
+
+Ranges that nest or cross are made disjoint first (``dictionary.normalised``).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.ip import ip_to_long
 from tidemill.functions.text import UNKNOWN, region_city, region_province
-from tidemill.session import checkpoint_root
+from tidemill.session import checkpoint_root, scratch_path
 
 BUCKET_BITS = 16
 # What is broadcast is measured first, in bytes of its rows.
@@ -42,6 +52,9 @@ ROWS_PER_SALT = 1_000_000
 STREAM_SALTS = 16
 
 
+_BUCKETS = "_d_bucket bigint, _d_ranges array<struct<lo: bigint, hi: bigint, province: string, city: string>>"
+
+
 def _width(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.StringType | T.BinaryType):
         return F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 16
@@ -89,6 +102,34 @@ def _buckets_bytes(ip_dim: DataFrame) -> int:
     return ip_dim.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
+@dataclass(frozen=True)
+class Dictionary:
+    """A dictionary's buckets, built and measured."""
+
+    buckets: DataFrame
+    size: int  # bytes, about
+
+
+def open_dictionary(spark: SparkSession, path: str) -> Dictionary:
+    """The buckets that ``build_dictionary`` wrote, measured by one scan of them."""
+    buckets = spark.read.schema(_BUCKETS).parquet(path)
+    one = F.transform("_d_ranges", lambda r: 64 + F.coalesce(F.octet_length(r["province"]), F.lit(0)) + F.coalesce(F.octet_length(r["city"]), F.lit(0)))
+    row = F.aggregate(one, F.lit(64).cast("long"), lambda a, x: a + x)
+    return Dictionary(buckets, buckets.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0])
+
+
+def _built(ip_dim: DataFrame, path: str | None = None) -> str:
+    """Write the buckets as Parquet at ``path``, or under the shared checkpoint folder."""
+    path = path or scratch_path(ip_dim.sparkSession, "dictionary")
+    bucket_table(ip_dim).write.mode("overwrite").parquet(path)
+    return path
+
+
+def build_dictionary(ip_dim: DataFrame, path: str | None = None) -> Dictionary:
+    """Build the buckets once, for any number of lookups and for a stream's many batches."""
+    return open_dictionary(ip_dim.sparkSession, _built(ip_dim, path))
+
+
 def _found(columns: list[str]) -> list[Column]:
     """Output columns: the last range that starts at or before the address, if it reaches it."""
     ranges, ip = F.col("_d_ranges"), F.col("_ip_num")
@@ -116,13 +157,13 @@ def _probe(df: DataFrame, ip_col: str) -> DataFrame:
     return df.withColumn("_ip_num", ip_to_long(ip_col)).withColumn("_bucket", F.shiftright("_ip_num", BUCKET_BITS))
 
 
-def locate_broadcast(df: DataFrame, ip_dim: DataFrame, ip_col: str = "ip") -> DataFrame:
+def locate_broadcast(df: DataFrame, ip_dim: DataFrame | Dictionary, ip_col: str = "ip") -> DataFrame:
     """J1/J1b with the buckets broadcast. Call through ``locate``, which measures them first.
 
-    The buckets are built once, into the shared checkpoint folder, also for a stream's many batches.
+    A plain dictionary's buckets are written first, once also for a stream's many batches.
     """
-    checkpoint_root(df.sparkSession)  # make sure a checkpoint folder is registered
-    buckets = bucket_table(ip_dim).checkpoint(eager=True)
+    spark = df.sparkSession
+    buckets = ip_dim.buckets if isinstance(ip_dim, Dictionary) else spark.read.schema(_BUCKETS).parquet(_built(ip_dim))
     joined = _probe(df, ip_col).join(F.broadcast(buckets), F.col("_bucket") == F.col("_d_bucket"), "left")
     return _finish(joined, df.columns)
 
@@ -135,21 +176,65 @@ def _salts(probe: DataFrame) -> int:
     return max(1, -(-top // ROWS_PER_SALT))
 
 
-def locate_shuffle(df: DataFrame, ip_dim: DataFrame, ip_col: str = "ip", salts: int | None = None) -> DataFrame:
+def locate_shuffle(df: DataFrame, ip_dim: DataFrame | Dictionary, ip_col: str = "ip", salts: int | None = None) -> DataFrame:
     """J1b without broadcast: salted shuffle join on (bucket, salt); addresses that match nothing stay out of it."""
     columns = df.columns
     probe = _probe(df, ip_col)
     salts = salts or _salts(probe)
     salted = probe.filter("_bucket IS NOT NULL").withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)))
-    table = bucket_table(ip_dim).withColumn("_d_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    buckets = ip_dim.buckets if isinstance(ip_dim, Dictionary) else bucket_table(ip_dim)
+    table = buckets.withColumn("_d_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     joined = salted.join(table, (F.col("_bucket") == F.col("_d_bucket")) & (F.col("_salt") == F.col("_d_salt")), "left")
     unknown = probe.filter("_bucket IS NULL").select(*columns, F.lit(UNKNOWN).alias("province"), F.lit(UNKNOWN).alias("city"))
     return _finish(joined, columns).unionByName(unknown)
 
 
+@dataclass(frozen=True)
+class DictionaryTable:
+    """A dictionary kept as a table bucketed by (bucket, salt)."""
+
+    spark: SparkSession
+    name: str
+    salts: int
+
+
+def save_dictionary_table(ip_dim: DataFrame, name: str, path: str, parts: int, salts: int = STREAM_SALTS) -> DictionaryTable:
+    """Write the buckets, once for each salt, as table ``name`` at ``path``, bucketed into ``parts`` files by (bucket, salt).
+
+    ``salts`` is how many tasks the orders of one bucket are dealt to;
+    ``parts`` is the number of shuffle partitions of the lookups.
+    """
+    spark = ip_dim.sparkSession
+    salted = bucket_table(ip_dim).withColumn("_d_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    keyed = salted.select((F.col("_d_bucket") * salts + F.col("_d_salt")).alias("_d_key"), "_d_ranges")
+    writer = keyed.repartition(parts, "_d_key").write.mode("overwrite").option("path", path)
+    writer.bucketBy(parts, "_d_key").sortBy("_d_key").saveAsTable(name)
+    return DictionaryTable(spark, name, salts)
+
+
+def register_dictionary_table(spark: SparkSession, name: str, path: str, parts: int, salts: int = STREAM_SALTS) -> DictionaryTable:
+    """Make known to this session a table that another one has written with the same ``parts`` and ``salts``."""
+    columns = _BUCKETS.replace("_d_bucket", "_d_key")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (_d_key) SORTED BY (_d_key) INTO {parts} BUCKETS LOCATION '{path}'")
+    return DictionaryTable(spark, name, salts)
+
+
+def locate_table(df: DataFrame, table: DictionaryTable, ip_col: str = "ip") -> DataFrame:
+    """J1b against a stored dictionary: one shuffle, of the orders with a well-formed address, on (bucket, salt)."""
+    columns = df.columns
+    probe = _probe(df, ip_col)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(table.salts))
+    keyed = probe.filter("_bucket IS NOT NULL").withColumn("_key", F.col("_bucket") * table.salts + salt)
+    # The hash side is a table file of one partition; orders are neither sorted nor collected.
+    stored = table.spark.table(table.name).hint("shuffle_hash")
+    joined = keyed.join(stored, F.col("_key") == F.col("_d_key"), "left")
+    unknown = probe.filter("_bucket IS NULL").select(*columns, F.lit(UNKNOWN).alias("province"), F.lit(UNKNOWN).alias("city"))
+    return _finish(joined, columns).unionByName(unknown)
+
+
 def locate(
     df: DataFrame,
-    ip_dim: DataFrame,
+    ip_dim: DataFrame | Dictionary | DictionaryTable,
     ip_col: str = "ip",
     strategy: str = "auto",
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
@@ -160,11 +245,15 @@ def locate(
     NULL, blank, malformed and out-of-dictionary addresses, and regions with
     fewer than four parts, give ("Unknown", "Unknown"). Every input row is
     kept exactly once (ranges are disjoint). ``range`` and ``prefix`` name the
-    same join, J1's condition evaluated through J1b's buckets.
+    same join, J1's condition evaluated through J1b's buckets. A dictionary
+    may be its plain table, built (``Dictionary``) or stored (``DictionaryTable``).
     """
     if strategy not in ("auto", "range", "prefix", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
+    if isinstance(ip_dim, DictionaryTable):
+        return locate_table(df, ip_dim, ip_col)
     # Every broadcast is behind a measured bound; beyond it, the salted shuffle join gives the same rows.
-    if strategy != "shuffle" and _buckets_bytes(ip_dim) <= broadcast_max_bytes:
+    size = ip_dim.size if isinstance(ip_dim, Dictionary) else None if strategy == "shuffle" else _buckets_bytes(ip_dim)
+    if strategy != "shuffle" and size <= broadcast_max_bytes:
         return locate_broadcast(df, ip_dim, ip_col)
     return locate_shuffle(df, ip_dim, ip_col, salts)

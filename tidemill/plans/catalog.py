@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,17 +17,20 @@ from tidemill.functions.casts import lenient_int, to_decimal_money
 from tidemill.functions.ip import int_to_ip, ip_to_long
 from tidemill.functions.json import json_field
 from tidemill.functions.time import RECORD_PATTERN, millis_to_text, order_id_text, user_id_text
+from tidemill.jobs import export_changes
 from tidemill.operators import report as R
 from tidemill.operators import stores as S
 from tidemill.operators.clean import drop_junk, message_text, parse_raw_order
+from tidemill.operators.dictionary import normalised
 from tidemill.operators.etl import open_orders
+from tidemill.operators.geo import locate, save_dictionary_table
 from tidemill.operators.offsets import number_log, resume, save_offsets
 from tidemill.operators.upsert import latest_by_key, merge_by_key
 from tidemill.plans import scenarios as X
 from tidemill.schemas import ORDER_FIELDS
 from tidemill.session import scratch_path
 from tidemill.sinks.files import read_report_csv, read_report_json, write_report_csv, write_report_json
-from tidemill.sources.fixtures import CITIES, raw_messages
+from tidemill.sources.fixtures import CITIES, nested_ip_dim, raw_messages
 from tidemill.sources.tables import load_table
 from tidemill.sources.topics import read_topic
 from tidemill.streaming import pipeline as P
@@ -64,6 +68,30 @@ def _located(strategy):
     return query
 
 
+def etl_ip_stored_join(spark, sf_dir):
+    """Open orders located through a dictionary stored as a bucketed table."""
+    X.start(spark)
+    path = scratch_path(spark, "dictionary-table")
+    name = "ip_dictionary_" + path.rsplit("-", 1)[-1]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = save_dictionary_table(X.ip_dim(spark, sf_dir), name, path, parts)
+    orders = open_orders(parse_raw_order(drop_junk(message_text(raw_messages(spark, sf_dir)))))
+    return locate(orders, table).select("orderId", "ip", "province", "city")
+
+
+def dictionary_normalised(spark, sf_dir):
+    """A dictionary of nested and crossing ranges made disjoint, the narrowest range first."""
+    X.start(spark)
+    return normalised(nested_ip_dim(spark, sf_dir))
+
+
+def etl_ip_nested(spark, sf_dir):
+    """Open orders located through that dictionary."""
+    X.start(spark)
+    orders = open_orders(parse_raw_order(drop_junk(message_text(raw_messages(spark, sf_dir)))))
+    return locate(orders, normalised(nested_ip_dim(spark, sf_dir))).select("orderId", "ip", "province", "city")
+
+
 def etl_output_fields(spark, sf_dir):
     """The ETL output messages parsed back into their key and eight fields."""
     X.start(spark)
@@ -307,6 +335,96 @@ def stream_daily_bounded(spark, sf_dir):
     return table.read().select("order_date", F.col("total_amt").cast("decimal(20,2)").alias("total_amt"))
 
 
+def stream_wide_state(spark, sf_dir):
+    """The latest wide row of each key as streaming state, from arrivals in no order."""
+    X.start(spark)
+    topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-wide", "ckpt-wide"))
+    X.feed(topic, X.etl_arrivals(spark, sf_dir), lambda: P.run([P.start_wide_rows_state(spark, topic, store, ckpt)]))
+    return P.wide_state_table(spark, store).read()
+
+
+def stream_state_rows(spark, sf_dir):
+    """Rows, first and last day of the state after every micro-batch, parity and bounded form, read from the state store.
+
+    Each arrival makes two batches: its rows, then one without rows that moves the watermark on.
+    """
+    X.start(spark)
+    topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-events", "store-state", "ckpt-state"))
+
+    def run_once():
+        P.run([P.start_bounded_daily(spark, topic, f"{store}/bounded", f"{ckpt}/bounded")[0]])
+        P.run(P.start_reports(spark, topic, f"{store}/kv", ckpt, CITIES, which=("total",), query_suffix=_suffix(store)))
+
+    X.feed(topic, X.event_arrivals(spark, sf_dir), run_once)
+    out = None
+    for form, path, day in (("parity", f"{ckpt}/amt-total", "key.order_date"), ("bounded", f"{ckpt}/bounded", "key.window.start")):
+        for batch in range(P.last_state_batch(spark, path) + 1):
+            state = P.state_table(spark, path, batch).select(F.col(day).cast("date").alias("day"))
+            rows = state.agg(F.count("*").alias("state_rows"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+            rows = rows.select(F.lit(form).alias("form"), F.lit(batch).alias("batch"), "*")
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def stream_late_rows(spark, sf_dir):
+    """T5: rows each micro-batch of the bounded form keeps and drops, by the running watermark."""
+    X.start(spark)
+    return P.late_by_batch(X.event_batches(spark, sf_dir), "batch", "order_timestamp")
+
+
+def stream_stores(spark, sf_dir):
+    """One stream feeds cells, documents and wide rows; it fails between two stores and goes on."""
+    X.start(spark)
+    topic, store, ckpt = (scratch_path(spark, n) for n in ("topic-etl", "store-all", "ckpt-all"))
+    tables = P.store_tables(spark, store)
+    tables["documents"] = X.LostOnce(tables["documents"], 1)
+
+    def run_once():
+        try:
+            P.run([P.start_stores(spark, topic, store, ckpt, CITIES, tables=tables)])
+        except StreamingQueryException:
+            P.run([P.start_stores(spark, topic, store, ckpt, CITIES)])
+
+    X.feed(topic, X.etl_arrivals(spark, sf_dir, ordered=True), run_once)
+    held = {name: table.read() for name, table in P.store_tables(spark, store).items()}
+    cells = held["cells"].select(F.lit("cells").alias("store"), "key", "field", F.col("value").cast("string").alias("value"))
+    docs = X.cells_of(held["documents"], "documents", "orderId", ORDER_FIELDS)
+    return cells.unionByName(docs).unionByName(X.cells_of(held["wide"], "wide", "row_key", ORDER_FIELDS))
+
+
+def stream_quarantine(spark, sf_dir):
+    """Per micro-batch, messages read, kept as documents, and rejected by reason."""
+    X.start(spark)
+    topic, store, ckpt, aside = (scratch_path(spark, n) for n in ("topic-raw", "store-docs", "ckpt-docs", "quarantine"))
+    X.feed(topic, X.damaged_arrivals(spark, sf_dir), lambda: P.run([P.start_documents(spark, topic, store, ckpt, quarantine=aside)]))
+    kept_aside = P.Quarantine(P.document_table(spark, store), aside)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("outcome"), F.col(c).alias("messages")) for c in ("read", "kept")]))
+    counts = kept_aside.counts().select("batch", pairs.alias("p")).select("batch", "p.outcome", "p.messages")
+    return counts.unionByName(kept_aside.rejected().groupBy("batch", F.col("reason").alias("outcome")).agg(F.count("*").alias("messages")))
+
+
+def stream_intake(spark, sf_dir):
+    """A backlog of eight files taken in three at a time; messages of every micro-batch, as the sink counted them."""
+    X.start(spark)
+    topic, store, ckpt, aside = (scratch_path(spark, n) for n in ("topic-etl", "store-docs", "ckpt-docs", "quarantine"))
+    X.backlog(spark, sf_dir, topic)
+    P.run([P.start_documents(spark, topic, store, ckpt, P.Topics(max_per_trigger=X.FILES_A_BATCH), quarantine=aside)])
+    return P.Quarantine(P.document_table(spark, store), aside).counts().select("batch", F.col("read").alias("messages"))
+
+
+def report_export_changes(spark, sf_dir):
+    """The report documents after an export for each arrival, each writing the days that changed."""
+    X.start(spark)
+    topic, store, ckpt, out = (scratch_path(spark, n) for n in ("topic-etl", "store-cells", "ckpt-sets", "report-days"))
+
+    def run_once():
+        P.run([P.start_reports_one_pass(spark, topic, store, ckpt, CITIES)])
+        export_changes(spark, store, out)
+
+    X.feed(topic, X.day_arrivals(spark, sf_dir), run_once)
+    return R.flatten_document(read_report_json(spark, out))
+
+
 # ---------------------------------------------------------------- scalar functions
 def scalar_ip_text(spark, sf_dir):
     """A signed 32-bit address per order -> dotted text -> unsigned number."""
@@ -393,6 +511,9 @@ QUERIES: dict[str, Query] = {
     "etl_ip_range_join": _located("range"),
     "etl_ip_prefix_join": _located("prefix"),
     "etl_ip_salted_join": _located("shuffle"),
+    "etl_ip_stored_join": etl_ip_stored_join,
+    "dictionary_normalised": dictionary_normalised,
+    "etl_ip_nested": etl_ip_nested,
     "etl_output_fields": etl_output_fields,
     "report_total": _cells("total"),
     "report_province": _cells("province"),
@@ -424,6 +545,13 @@ QUERIES: dict[str, Query] = {
     "stream_wide": stream_wide,
     "stream_documents": stream_documents,
     "stream_daily_bounded": stream_daily_bounded,
+    "stream_wide_state": stream_wide_state,
+    "stream_state_rows": stream_state_rows,
+    "stream_late_rows": stream_late_rows,
+    "stream_stores": stream_stores,
+    "stream_quarantine": stream_quarantine,
+    "stream_intake": stream_intake,
+    "report_export_changes": report_export_changes,
     "scalar_ip_text": scalar_ip_text,
     "scalar_date_text": scalar_date_text,
     "scalar_ids": scalar_ids,

@@ -59,6 +59,18 @@ located AS (
 )"""
 
 _BASE = f"WITH {_RAW},{_LOCATED}"
+
+# The nested dictionary; the narrowest range that holds an address owns it.
+_NESTED = """
+nested AS (
+  SELECT DISTINCT * FROM (
+    SELECT * FROM ipdim
+    UNION ALL
+    SELECT 167772160 + s_nationkey * 65536 + (s_suppkey * 37) % 256 * 256 + 100,
+           167772160 + s_nationkey * 65536 + (s_suppkey * 37) % 256 * 256 + 400 + s_suppkey % 200,
+           concat('X|0|', r_name, '|', s_name, '|isp')
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    UNION ALL SELECT 167772160, 184549375, 'X|0|NET10|NET10_CITY|isp'))"""
 _BASE_JUNK = f"WITH {_RAW},{_JUNK}"
 
 _CITIES = "('NATION_0','NATION_1','NATION_2','NATION_3','NATION_4','NATION_5','NATION_6','NATION_7','NATION_8')"
@@ -148,6 +160,22 @@ pending AS (
 _LOCATED_COLS = f"""{_BASE}
 SELECT orderId, ip, province, city FROM located"""
 
+# Purchases in three arrivals, some told late; the watermark each arrival is judged by, and the one it leaves.
+_EVENTS = """
+WITH e AS (
+  SELECT event_id, value, CASE WHEN event_id % 89 = 0 THEN ts - INTERVAL 5 DAY ELSE ts END AS ts,
+         (event_id - min(event_id) OVER ()) //
+           CAST(ceil((max(event_id) OVER () - min(event_id) OVER () + 1) / 3.0) AS BIGINT) AS slot
+  FROM events WHERE event_type = 'purchase'),
+w AS (
+  SELECT s.slot, (SELECT max(date_trunc('millisecond', e.ts)) - INTERVAL 10 MINUTE FROM e WHERE e.slot < s.slot) AS wm,
+         (SELECT max(date_trunc('millisecond', e.ts)) - INTERVAL 10 MINUTE FROM e WHERE e.slot = s.slot) AS own
+  FROM (SELECT DISTINCT slot FROM e) s)"""
+
+_FIELDS = "(VALUES ('orderId'), ('userId'), ('orderTime'), ('ip'), ('orderMoney'), ('orderStatus'), ('province'), ('city'))"
+_OF_FIELD = """CASE f WHEN 'orderId' THEN orderId WHEN 'userId' THEN userId WHEN 'orderTime' THEN orderTime WHEN 'ip' THEN ip
+  WHEN 'orderMoney' THEN orderMoney WHEN 'orderStatus' THEN orderStatus WHEN 'province' THEN province ELSE city END"""
+
 ORACLE: dict[str, str] = {
     "etl_clean": f"""{_BASE_JUNK}
 SELECT orderId, CAST(NULL AS varchar) AS junk FROM raw
@@ -160,6 +188,23 @@ SELECT orderId, userId, orderTime, ip, orderMoney, orderStatus FROM raw WHERE or
     "etl_ip_range_join": _LOCATED_COLS,
     "etl_ip_prefix_join": _LOCATED_COLS,
     "etl_ip_salted_join": _LOCATED_COLS,
+    "etl_ip_stored_join": _LOCATED_COLS,
+    "dictionary_normalised": f"""{_BASE},{_NESTED},
+edges AS (SELECT ip_lo AS p FROM nested UNION SELECT ip_hi + 1 FROM nested),
+parts AS (SELECT p, lead(p) OVER (ORDER BY p) - 1 AS q FROM edges),
+owned AS (
+  SELECT p, q, region FROM parts JOIN nested ON p BETWEEN ip_lo AND ip_hi
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY ip_hi - ip_lo, ip_lo, region) = 1),
+flagged AS (
+  SELECT *, CASE WHEN lag(region) OVER (ORDER BY p) = region AND lag(q) OVER (ORDER BY p) + 1 = p THEN 0 ELSE 1 END AS fresh FROM owned),
+runs AS (SELECT *, sum(fresh) OVER (ORDER BY p) AS run FROM flagged)
+SELECT CAST(min(p) AS BIGINT) AS ip_lo, CAST(max(q) AS BIGINT) AS ip_hi, any_value(region) AS region FROM runs GROUP BY run""",
+    "etl_ip_nested": f"""{_BASE},{_NESTED},
+owner AS (
+  SELECT o_orderkey, region FROM open_orders JOIN nested ON ip_num BETWEEN ip_lo AND ip_hi
+  QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY ip_hi - ip_lo, ip_lo, region) = 1)
+SELECT orderId, ip, coalesce(split_part(region, '|', 3), 'Unknown') AS province, coalesce(split_part(region, '|', 4), 'Unknown') AS city
+FROM open_orders LEFT JOIN owner USING (o_orderkey)""",
     "etl_output_fields": _ETL_FIELDS,
     "report_total": f"{_BASE}\n{_TOTAL}",
     "report_province": f"{_BASE}\n{_PROVINCE}",
@@ -230,6 +275,38 @@ SELECT {_DOC_FIELDS} FROM located""",
     "stream_restart": f"{_BASE}\n{_PROVINCE}",
     "stream_wide": _WIDE_LATEST,
     "stream_documents": f"{_BASE},{_MERGED_DOCS}",
+    "stream_wide_state": _WIDE_LATEST,
+    # Arrival a makes batch 2a, under the watermark of the arrivals before it, and 2a + 1, under its own too.
+    "stream_state_rows": f"""{_EVENTS},
+batches AS (SELECT 2 * slot + b AS batch, slot, CASE WHEN b = 0 THEN wm ELSE greatest(wm, own) END AS wm FROM w, (VALUES (0), (1)) t(b)),
+days AS (SELECT b.batch, b.wm, cast(e.ts AS date) AS d FROM batches b JOIN e ON e.slot <= b.slot GROUP BY ALL)
+SELECT 'parity' AS form, CAST(batch AS INTEGER) AS batch, count(*) AS state_rows, min(d) AS first_day, max(d) AS last_day
+FROM days GROUP BY batch
+UNION ALL
+SELECT 'bounded', CAST(batch AS INTEGER), count(d) FILTER (WHERE wm IS NULL OR d + INTERVAL 1 DAY > wm),
+       min(d) FILTER (WHERE wm IS NULL OR d + INTERVAL 1 DAY > wm), max(d) FILTER (WHERE wm IS NULL OR d + INTERVAL 1 DAY > wm)
+FROM days GROUP BY batch""",
+    "stream_late_rows": f"""{_EVENTS}
+SELECT CAST(2 * slot AS INTEGER) AS batch, count(*) FILTER (WHERE wm IS NULL OR cast(ts AS date) + INTERVAL 1 DAY > wm) AS kept,
+       count(*) FILTER (WHERE NOT (wm IS NULL OR cast(ts AS date) + INTERVAL 1 DAY > wm)) AS dropped, CAST(0 AS BIGINT) AS untimed
+FROM e JOIN w USING (slot) GROUP BY slot""",
+    "stream_stores": f"""{_BASE},{_KV},
+docs AS (SELECT {_DOC_FIELDS} FROM located),
+puts AS ({_WIDE_LATEST})
+SELECT 'cells' AS store, key, field, value FROM kv
+UNION ALL SELECT 'documents', orderId, f, {_OF_FIELD} FROM docs, {_FIELDS} t(f)
+UNION ALL SELECT 'wide', row_key, f, {_OF_FIELD} FROM puts, {_FIELDS} t(f)""",
+    "stream_quarantine": f"""{_BASE_JUNK},
+told AS (
+  SELECT o_orderkey AS k, CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 THEN 'undecodable'
+                               WHEN o_orderkey % 83 = 0 THEN 'no order id' ELSE 'kept' END AS outcome FROM raw
+  UNION ALL
+  SELECT o_orderkey, CASE WHEN txt IS NULL THEN 'no value' WHEN txt = '' THEN 'empty' ELSE 'undecodable' END FROM junk),
+batched AS (SELECT CAST(k % 3 AS INTEGER) AS batch, outcome FROM told)
+SELECT batch, outcome, count(*) AS messages FROM batched GROUP BY batch, outcome
+UNION ALL SELECT batch, 'read', count(*) FROM batched GROUP BY batch""",
+    "stream_intake": f"""{_BASE}
+SELECT CAST((o_orderkey % 8) // 3 AS INTEGER) AS batch, count(*) AS messages FROM located GROUP BY 1""",
     # A row is dropped when its day had ended before the watermark that the arrivals before its own had reached.
     "stream_daily_bounded": """
 WITH e AS (
@@ -276,4 +353,5 @@ SELECT topic, partition, max(from_offset) AS from_offset FROM merged GROUP BY to
 ORACLE["report_json_file"] = ORACLE["report_document"]
 ORACLE["report_csv_file"] = ORACLE["report_long"]
 ORACLE["stream_sets"] = ORACLE["report_sets"]
+ORACLE["report_export_changes"] = ORACLE["report_document"]
 ORACLE["report_from_store"] = ORACLE["report_document"]

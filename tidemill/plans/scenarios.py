@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.functions.casts import to_date_lenient
+from tidemill.functions.json import json_field
 from tidemill.jobs import store_cells
 from tidemill.operators.etl import enriched_orders, etl_output, etl_transform
 from tidemill.operators.report import (
@@ -178,3 +180,62 @@ def event_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         ).alias("value"),
     )
     return chunks(msgs, in_ranges(msgs, "position"))
+
+
+def event_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The purchase messages of ``event_arrivals`` parsed for the reports, with the id of their micro-batch.
+
+    A run over an arrival makes two batches, the second without rows.
+    """
+    out = None
+    for i, arrival in enumerate(event_arrivals(spark, sf_dir)):
+        rows = report_input(arrival).withColumn("batch", F.lit(2 * i))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+class LostOnce:
+    """A store that the stream loses once, before the given micro-batch reaches it."""
+
+    def __init__(self, table, batch_id: int):
+        self.table, self.batch_id, self.lost = table, batch_id, False
+
+    def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
+        if batch_id == self.batch_id and not self.lost:
+            self.lost = True
+            raise ConnectionError("the store is gone")
+        self.table.apply_batch(batch, batch_id)
+
+
+def cells_of(rows: DataFrame, store: str, key: str, fields: list[str]) -> DataFrame:
+    """Rows spelled out as (store, key, field, value), a row for each field."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields]))
+    return rows.select(F.lit(store).alias("store"), F.col(key).alias("key"), pairs.alias("p")).select("store", "key", "p.field", "p.value")
+
+
+def day_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Hop-1 output in three arrivals by the orders' days: each tells of days of its own."""
+    msgs = etl_messages(spark, sf_dir).withColumn("day", F.unix_date(to_date_lenient(json_field("value", "orderTime"))))
+    return chunks(msgs, in_ranges(msgs, "day"))
+
+
+def damaged_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The raw topic with its junk lines and, at fixed positions, texts cut short, lists, and records without their id."""
+    k, value = F.col("position"), F.col("value")
+    is_order = value.startswith("{")
+    text = (
+        F.when(is_order & (k % 97 == 0), F.substring(value, 1, 20))
+        .when(is_order & (k % 89 == 0), F.concat(F.lit("["), value, F.lit("]")))
+        .when(is_order & (k % 83 == 0), F.regexp_replace(value, '"orderId":"[0-9]*",', ""))
+        .otherwise(value)
+    )
+    return chunks(raw_messages(spark, sf_dir).withColumn("value", text), F.pmod("position", F.lit(MICRO_BATCHES)))
+
+
+BACKLOG_FILES, FILES_A_BATCH = 8, 3
+
+
+def backlog(spark: SparkSession, sf_dir: str, topic: str) -> None:
+    """Hop-1 output written as a backlog of files, one after the other, dealt by position."""
+    for part in chunks(etl_messages(spark, sf_dir), F.pmod("position", F.lit(BACKLOG_FILES)), BACKLOG_FILES):
+        write_topic(part.coalesce(1), topic)

@@ -3,7 +3,8 @@
 The reference exports one day's report as a pretty-printed JSON file and
 keeps a CSV of the long table; here every day is written at once, by the
 executors, one JSON object per line / one CSV row per cell. Nothing is
-gathered on the driver.
+gathered on the driver. An export by day replaces the days it is given and
+no others; ``read_report_json`` reads both forms.
 """
 
 from __future__ import annotations
@@ -43,6 +44,14 @@ def write_report_json(doc: DataFrame, path: str) -> None:
     doc.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").json(path)
 
 
+def write_report_days(doc: DataFrame, path: str) -> None:
+    """K5 by day: a folder for each document's day; days not among them are left as they are."""
+    # As many writers as a shuffle has tasks: each day is a file of its own, however small.
+    tasks = int(doc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = doc.repartition(tasks, "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("dateFormat", "yyyy-MM-dd")
+    writer.partitionBy("date").json(path)
+
+
 def read_report_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REPORT_DOCUMENT).option("dateFormat", "yyyy-MM-dd").json(path)
 

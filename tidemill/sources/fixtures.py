@@ -33,6 +33,9 @@ JUNK_EVERY = 101
 # The wide dictionary range (11.0.0.0 onwards, crossing /16 borders).
 WIDE_RANGE = (184549376, 184849376, "X|0|WIDE|WIDE_CITY|isp")
 
+# The range around all nations' ranges (10.0.0.0/8), which the narrower ones take their addresses from.
+AROUND_RANGE = (167772160, 184549375, "X|0|NET10|NET10_CITY|isp")
+
 # Milliseconds between the fixture's times of a day.
 DAY_STEP_MS = 28_799_877
 
@@ -118,3 +121,24 @@ def ip_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(lo).cast("bigint").alias("ip_lo"), F.lit(hi).cast("bigint").alias("ip_hi"), F.lit(text).alias("region")
     )
     return per_nation.unionByName(wide)
+
+
+def nested_ip_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary as address registries give it: ranges inside ranges and across each other's borders.
+
+    Around ``ip_dim`` lies one wide range; inside it every supplier has a
+    range of some hundred addresses in its nation's /16, which crosses its
+    neighbours' and at times the nation's border.
+    """
+    nation = load_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = load_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    supplier = load_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    k = F.col("s_suppkey").cast("bigint")
+    base = F.lit(AROUND_RANGE[0]).cast("bigint") + F.col("n_nationkey").cast("bigint") * F.lit(65536)
+    lo = base + F.pmod(k * 37, F.lit(256)) * 256 + 100
+    text = F.concat(F.lit("X|0|"), F.col("r_name"), F.lit("|"), F.col("s_name"), F.lit("|isp"))
+    placed = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).join(region, nation.n_regionkey == region.r_regionkey)
+    own = placed.select(lo.alias("ip_lo"), (lo + 300 + F.pmod(k, F.lit(200))).alias("ip_hi"), text.alias("region"))
+    first, last, name = AROUND_RANGE
+    around = spark.range(1).select(F.lit(first).cast("bigint").alias("ip_lo"), F.lit(last).cast("bigint").alias("ip_hi"), F.lit(name).alias("region"))
+    return ip_dim(spark, sf_dir).unionByName(own).unionByName(around)

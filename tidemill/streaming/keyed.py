@@ -5,7 +5,8 @@ A table is plain Parquet partitioned by ``bucket``, a hash of the keys (or of
 0 or 1. A micro-batch is first reduced to one row a key; then only the
 buckets it touches are read, folded with it and written again, by one
 dynamic partition overwrite. Every row of a bucket carries the id of the
-batch that wrote it (``version``).
+batch that wrote it (``version``), and every row the id of the batch that wrote it last
+(``_since``), by which ``changed_after`` finds what is new.
 
 * A bucket is written into the slot that does not hold its newest version.
   Overwriting never takes away what a reader sees: a failed write leaves the
@@ -17,8 +18,8 @@ batch that wrote it (``version``).
 * A read takes one version of every bucket: one file listing and one scan of
   the version column, then a scan that never grows with the number of
   batches. ``read_for`` opens only the buckets of the keys asked for.
-* Update-mode aggregates emit running totals, so the rule is *replace* (U1),
-  never add; documents merge field by field (U2).
+* Update-mode aggregates emit running totals, so their rule is *replace* (U1),
+  never add; documents merge field by field (U2); a batch's own sums *add*.
 
 The cost of a batch is the size of the buckets it touches. Choose as many
 buckets as keep one bucket's rewrite small (it is one task's work), and a
@@ -31,17 +32,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.operators.upsert import latest_by_key, merge_by_key
+from tidemill.session import path_exists
 
 BUCKETS = 16
 ROWS_PER_FILE = 1_000_000
-BUCKET, SLOT, VERSION, COUNT, AGE = "_bucket", "_slot", "_version", "_buckets", "_age"
-_OWN = {BUCKET, SLOT, VERSION, COUNT}
+BUCKET, SLOT, VERSION, COUNT, AGE, SINCE = "_bucket", "_slot", "_version", "_buckets", "_age", "_since"
+_OWN = {BUCKET, SLOT, VERSION, COUNT, SINCE}
 _PLACE = [T.StructField(BUCKET, T.IntegerType()), T.StructField(SLOT, T.IntegerType())]
 
 
@@ -49,8 +50,9 @@ _PLACE = [T.StructField(BUCKET, T.IntegerType()), T.StructField(SLOT, T.IntegerT
 class KeyedTable:
     """A keyed table fed by ``apply_batch`` (usable directly as a ``foreachBatch`` function).
 
-    ``mode`` is ``"replace"`` (U1: last row wins) or ``"merge"`` (U2: last
-    non-NULL value per field wins). ``order`` orders rows inside one batch;
+    ``mode`` is ``"replace"`` (U1: last row wins), ``"merge"`` (U2: last
+    non-NULL value per field wins) or ``"add"`` (the columns of the batch are
+    added to the row's; a batch counts once, by the bucket's version). ``order`` orders rows inside one batch;
     across batches the batch id decides. One writer at a time.
     """
 
@@ -62,7 +64,9 @@ class KeyedTable:
     prepare: object = None  # optional DataFrame -> DataFrame applied to each batch
     buckets: int = BUCKETS
     bucket_by: list[str] | None = None  # key columns that choose the bucket; all of them by default
-    _live: dict[int, tuple[int, int]] | None = field(default=None, repr=False)  # the writer's own view: bucket -> (slot, version)
+    # The writer's own view (bucket -> (slot, version)) after the batch it applied last; batches in a row need no other look.
+    _live: dict[int, tuple[int, int]] | None = field(default=None, repr=False)
+    _last: int | None = field(default=None, repr=False)
 
     # ------------------------------------------------------------ write
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
@@ -70,14 +74,13 @@ class KeyedTable:
         if self.prepare is not None:
             batch = self.prepare(batch)
         spark = batch.sparkSession
-        fresh = self._fold(batch, self.keys, self.order).withColumn(BUCKET, self._bucket_of()).persist()
+        own = {BUCKET: self._bucket_of(), SINCE: F.lit(int(batch_id)).cast("long")}
+        fresh = self._fold(batch, self.keys, self.order).withColumns(own).persist()
         try:
             touched = [r[BUCKET] for r in fresh.select(BUCKET).distinct().collect()]  # as many numbers as buckets at most
-            if not touched:
-                return
-            if self._live is None:
-                self._live = self.versions(spark, known=True)
-            live = self._live
+            if self._live is None or int(batch_id) - self._last not in (0, 1):
+                self._live = self.versions(spark, known=True)  # another writer may have come between
+            live, self._last = self._live, int(batch_id)
             todo = sorted(b for b in touched if b not in live or live[b][1] < int(batch_id))
             if not todo:
                 return
@@ -110,6 +113,11 @@ class KeyedTable:
     def _fold(self, rows: DataFrame, keys: list[str], order: list) -> DataFrame:
         """One row a key by the table's rule, without the columns that order the writes."""
         own = [o for o in order if isinstance(o, str)]
+        if self.mode == "add":
+            kinds = dict(rows.dtypes)
+            added = [c for c in rows.columns if c not in keys and c not in own]
+            sums = [(F.max(c) if c == SINCE else F.sum(c).cast(kinds[c])).alias(c) for c in added]
+            return rows.groupBy(*keys).agg(*sums)
         if self.mode == "merge":
             return merge_by_key(rows, keys, order, [c for c in rows.columns if c not in keys and c not in own])
         return latest_by_key(rows, keys, order).drop(*own)
@@ -121,12 +129,9 @@ class KeyedTable:
         ``known`` asks for a table of as many buckets as this one is declared with.
         """
         own = T.StructType([T.StructField(VERSION, T.LongType()), T.StructField(COUNT, T.IntegerType()), *_PLACE])
-        try:
-            frame = (spark or self.spark).read.schema(own).parquet(self.path)
-        except AnalysisException as exc:
-            if exc.getCondition() == "PATH_NOT_FOUND":
-                return {}
-            raise
+        if not path_exists(self.spark, self.path):
+            return {}
+        frame = (spark or self.spark).read.schema(own).parquet(self.path)
         found: dict[int, tuple[int, int]] = {}
         for r in frame.groupBy(BUCKET, SLOT).agg(F.max(VERSION).alias("v"), F.max(COUNT).alias("n")).collect():  # two rows a bucket
             if known and r["n"] != self.buckets:
@@ -152,6 +157,18 @@ class KeyedTable:
             return self._scan(self.spark, {b: s}).drop(*_OWN).limit(0)
         return self._scan(self.spark, wanted).drop(*_OWN)
 
+    def changed_after(self, batch_id: int) -> tuple[DataFrame | None, int]:
+        """Rows written by batches after the given one (None: no such batch), and the id of the newest batch seen.
+
+        Only buckets written since are opened.
+        """
+        live = self.versions()
+        newest = max((v for _, v in live.values()), default=batch_id)
+        wanted = {b: s for b, (s, v) in live.items() if v > batch_id}
+        if not wanted:
+            return None, newest
+        return self._scan(self.spark, wanted).filter(F.col(SINCE) > batch_id).drop(*_OWN), newest
+
     def read_for(self, requests: DataFrame) -> DataFrame | None:
         """The current rows of the buckets that ``requests`` (with the columns that choose the bucket) lie in."""
         asked = requests.select(self._bucket_of().alias(BUCKET)).distinct()
