@@ -36,7 +36,6 @@ from tidemill.plans.catalog import QUERIES  # noqa: E402
 from tidemill.sources.fixtures import CITIES, ip_dim, raw_messages  # noqa: E402
 from tidemill.sources.tables import load_table  # noqa: E402
 from tidemill.sources.topics import read_topic, write_topic  # noqa: E402
-from tidemill.streaming import KeyedTable  # noqa: E402
 from tidemill.streaming import pipeline as P  # noqa: E402
 
 
@@ -123,7 +122,7 @@ def main() -> None:
     # Keyed upsert: 100 micro-batches of province cells (running totals), then one read.
     cells = R.daily_by_province(R.report_input(etl)).cache()
     cells.count()
-    table = KeyedTable(spark, f"{scratch}/upsert", ["key", "field"])
+    table = P.cell_table(spark, f"{scratch}/upsert")
     batch_times = []
     for b in range(100):
         slice_ = cells.filter(F.pmod(F.xxhash64("key", "field"), F.lit(100)) == b)

@@ -55,7 +55,7 @@ def etl_job(
     ]
 
 
-def reports_job(spark, source, store, checkpoint, cities=None, one_pass=True, every=None, topics=P.FILES, buckets=P.BUCKETS):
+def reports_job(spark, source, store, checkpoint, cities=None, one_pass=True, every=None, topics=P.FILES, buckets=P.CELL_BUCKETS):
     """Daily totals, by province and by allow-listed city, kept in the hash store (hop 2).
 
     One grouping-sets stream by default; ``one_pass=False`` runs a stream for each report, as the reference does.
@@ -163,7 +163,8 @@ def arguments() -> argparse.ArgumentParser:
             p.add_argument("--ip-dim", required=True)
         else:
             p.add_argument("--store", required=True)
-            p.add_argument("--buckets", type=int, default=P.BUCKETS, help="key buckets of the store's tables, fixed by the first batch")
+            few = P.CELL_BUCKETS if name == "reports" else P.BUCKETS
+            p.add_argument("--buckets", type=int, default=few, help="key buckets of the store's tables, fixed by the first batch")
         if name == "reports":
             p.add_argument("--three-streams", action="store_true", help="a stream for each report")
             p.add_argument("--cities", help="comma-separated allow-list")

@@ -39,7 +39,8 @@ from pyspark.sql import types as T
 from tidemill.operators.upsert import latest_by_key, merge_by_key
 from tidemill.session import path_exists
 
-BUCKETS = 16
+#: Buckets by default: of tables that grow with the orders, and of report cells, a few thousand rows a year.
+BUCKETS, CELL_BUCKETS = 16, 4
 ROWS_PER_FILE = 1_000_000
 BUCKET, SLOT, VERSION, COUNT, AGE, SINCE = "_bucket", "_slot", "_version", "_buckets", "_age", "_since"
 _OWN = {BUCKET, SLOT, VERSION, COUNT, SINCE}

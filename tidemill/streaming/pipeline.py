@@ -31,7 +31,7 @@ from tidemill.operators.report import (
 )
 from tidemill.operators.stores import documents, wide_rows, writable_cells
 from tidemill.sources.topics import read_topic
-from tidemill.streaming.keyed import BUCKETS, KeyedTable
+from tidemill.streaming.keyed import BUCKETS, CELL_BUCKETS, KeyedTable
 
 
 @dataclass
@@ -145,7 +145,7 @@ def start_etl(
 REPORTS = ("total", "province", "city")
 
 
-def report_tables(spark: SparkSession, store: str, buckets: int = BUCKETS) -> dict[str, KeyedTable]:
+def report_tables(spark: SparkSession, store: str, buckets: int = CELL_BUCKETS) -> dict[str, KeyedTable]:
     """The hash-cell tables the three report queries maintain (K2: replace on (key, field)); a hash lies in one bucket."""
     return {
         name: KeyedTable(
@@ -165,7 +165,7 @@ def start_reports(
     trigger: Trigger = AVAILABLE_NOW,
     which: tuple[str, ...] = REPORTS,
     query_suffix: str = "",
-    buckets: int = BUCKETS,
+    buckets: int = CELL_BUCKETS,
 ) -> list[StreamingQuery]:
     """Three update-mode aggregates over one parsed stream, each with its own checkpoint.
 
@@ -192,7 +192,7 @@ def start_reports(
     return started
 
 
-def cell_table(spark: SparkSession, store: str, buckets: int = BUCKETS) -> KeyedTable:
+def cell_table(spark: SparkSession, store: str, buckets: int = CELL_BUCKETS) -> KeyedTable:
     """All report cells in one keyed table (grain, key, field, value); keys carry the report prefix."""
     return KeyedTable(spark, store, ["key", "field"], prepare=writable_cells, buckets=buckets, bucket_by=["key"])
 
@@ -205,7 +205,7 @@ def start_reports_one_pass(
     cities: list[str],
     topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
-    buckets: int = BUCKETS,
+    buckets: int = CELL_BUCKETS,
 ) -> StreamingQuery:
     """A4 as a stream: the three reports in one GROUPING SETS aggregation.
 
@@ -389,7 +389,7 @@ def store_tables(spark: SparkSession, store: str, buckets: int = BUCKETS) -> dic
     def sums(cells: DataFrame) -> DataFrame:
         return writable_cells(cells).select("key", "field", F.col("value").cast("decimal(20,2)").alias("value"))
 
-    cells = KeyedTable(spark, f"{store}/cells", ["key", "field"], mode="add", prepare=sums, buckets=buckets, bucket_by=["key"])
+    cells = KeyedTable(spark, f"{store}/cells", ["key", "field"], mode="add", prepare=sums, buckets=CELL_BUCKETS, bucket_by=["key"])
     return {
         "cells": cells,
         "documents": document_table(spark, f"{store}/documents", buckets),
@@ -492,7 +492,7 @@ def bounded_daily_total(orders: DataFrame, delay: str = WATERMARK_DELAY) -> Data
 
 def bounded_table(spark: SparkSession, store: str) -> KeyedTable:
     """Daily totals of the bounded form, replaced per day."""
-    return KeyedTable(spark, store, ["order_date"], mode="replace")
+    return KeyedTable(spark, store, ["order_date"], buckets=CELL_BUCKETS)
 
 
 def start_bounded_daily(
