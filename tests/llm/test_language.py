@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import random
+
+import pytest
+import zstandard
+
 from tests.llm import brute
 from tidemill.llm import language as L
 
@@ -57,3 +62,82 @@ def test_copies_do_not_eat_the_sample(spark):
     texts = spark.range(1000).select(F.lit("en"), F.concat(F.lit("number"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")))
     words = set(L.learn(copies.union(texts))["en"].decode().split())
     assert len([w for w in words if w.startswith("number")]) >= L.PASSAGES - 1
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщ", "".join(map(chr, range(0x4E00, 0x4F00)))])
+def test_every_script_keeps_all_its_passages(spark, letters):
+    """One, two and three bytes a letter: as many passages of as many letters, and the first of them still helps."""
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice(letters) for _ in range(7))
+    texts = [" ".join(word() for _ in range(70)) for _ in range(900)]
+    taught = L.learn(spark.createDataFrame([("xx", t) for t in texts], "lang string, text string"))
+    data = taught["xx"].decode()
+    assert L.PASSAGES * (L.PASSAGE_CHARS - 2) <= len(data) <= L.PASSAGES * (L.PASSAGE_CHARS + 1)
+    every = set(" ".join(texts).split())
+    assert len(every & set(data.split())) > 0.9 * L.PASSAGES * L.PASSAGE_CHARS / 8
+    model = L.Model(taught)
+    plain = zstandard.ZstdCompressor(level=L.LEVEL)
+    for at in (8, len(data) // 2, len(data) - 300):
+        part = data[at : at + 250].encode()
+        assert len(model.compressors[0].compress(part)) < len(plain.compress(part)) / 4
+
+
+def judged(dictionaries, text):
+    """The verdict from the method's description, with compressors of its own."""
+    data = L.normal(text)
+    if not data or not dictionaries:
+        return "und", 0.0, 0.0, True
+    names = sorted(dictionaries)
+
+    def cost(name, block):
+        raw = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw.precompute_compress(level=L.LEVEL)
+        return len(zstandard.ZstdCompressor(level=L.LEVEL, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False).compress(block))
+
+    blocks = [data[i : i + L.BLOCK] for i in range(0, len(data), L.BLOCK)]
+    sizes = {n: sum(cost(n, b) for b in blocks) for n in names}
+    if sorted(sizes.values())[1:2] == [min(sizes.values())]:
+        fill = {n: dictionaries[n][len(dictionaries[n]) // 2 :][: L.FILLER] for n in names}
+        sizes = {n: sum(cost(n, fill[n] + b) - cost(n, fill[n]) for b in blocks) for n in names}
+        least = min(sizes.values())
+        sizes = {n: s + max(0, 1 - least) for n, s in sizes.items()}
+    order = sorted(names, key=lambda n: (sizes[n], n))
+    best = sizes[order[0]]
+    margin = ((sizes[order[1]] if len(names) > 1 else 2 * best) - best) / best
+    return order[0], 1 / sum(2.0 ** -min(60, s - best) for s in sizes.values()), margin, margin < L.MARGIN
+
+
+def test_every_verdict_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{brute.SMALL}/documents.parquet")
+    taught = L.learn_from_open(docs)
+    rows = {r["doc_id"]: r for r in L.op6_language(spark, brute.SMALL).collect()}
+    table = brute.table("documents")
+    some = table.sample(60, random_state=1)  # the plain form builds its compressors for each block
+    extra = [None, "", "a", "the", "1234", "the der die le la"]
+    found = [r[0] for r in spark.createDataFrame([(t,) for t in extra], "text string").select(L.judge_column(spark, taught)).collect()]
+    for text, r in zip(extra, found, strict=True):
+        name, score, margin, rejected = judged(taught, text)
+        assert (r["lang"], r["rejected"]) == (name, rejected) and r["score"] == pytest.approx(score) and r["margin"] == pytest.approx(margin)
+    for i, text in zip(some.doc_id, some.text, strict=True):
+        name, score, _, rejected = judged(taught, text)
+        assert (rows[i]["lang_pred"], rows[i]["rejected"]) == (name, rejected) and rows[i]["score"] == pytest.approx(score)
+
+
+def test_ties_of_long_texts_follow_the_same_rule():
+    """Dictionaries alike but for what the filler shows: a text of several blocks is measured again too."""
+    same = b"the same passage here"
+    model = L.Model({"aa": same, "bb": same})
+    for text in ("the same passage", "the same passage " * 2000):
+        name, score, margin = model.judge(text)
+        assert (name, score, margin < L.MARGIN) == ("aa", 0.5, True)
+    calls = []
+    model.fillers = [(b"first", 1), (b"other", 1)]
+
+    class Spy:
+        def compress(self, block):
+            calls.append(block)
+            return b"0123456789"
+
+    model.compressors = [Spy(), Spy()]
+    model.judge("ab " * 4000)
+    assert sum(c.startswith((b"first", b"other")) for c in calls) == len(calls) // 2 == 2 * -(-11_999 // L.BLOCK)

@@ -10,9 +10,11 @@ blocks, so a long text is scored whole, at the same cost per character, and
 its own earlier parts do not drown the dictionary.
 
 Defined cases: a null text, an empty one and one without a letter is ``und``
-with score 0, rejected; sizes that tie go to the language first in code-point
-order and are rejected; with no labelled row at all every text is ``und``;
-rows with a null language are never learned from; other columns are untouched.
+with score 0, rejected; sizes that tie are measured again behind a filler, for
+texts of any length, and sizes that still tie go to the language first in
+code-point order and are rejected; with no labelled row at all every text is
+``und``; rows with a null language are never learned from; other columns are
+untouched.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import re
 
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import held_out, open_table
@@ -30,8 +32,8 @@ from tidemill.llm.common import held_out, open_table
 UNDEFINED = "und"
 #: Bound of the sample the dictionaries are made of: passages a language, code points a passage.
 PASSAGES, PASSAGE_CHARS = 400, 400
-#: Bytes of a dictionary at most, and languages at most: together they bound what is broadcast (256 MB).
-DICT_BYTES, MAX_LANGS = 1 << 17, 2048
+#: Languages at most; more are an error, never a cut. With the bound above, at most 41 million code points are collected and broadcast.
+MAX_LANGS = 256
 BLOCK = 4096
 LEVEL = 5
 FILLER = 32
@@ -74,10 +76,12 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
         .select("l", "h", F.expr(f"substring(t, cast(at as int) + 1, {PASSAGE_CHARS})").alias("p"))
         .dropDuplicates(["l", "h"])
     )
+    by_hash = Window.partitionBy("l").orderBy("h")  # at most about 8 * PASSAGES short passages a language
+    first = drawn.withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= PASSAGES)
     passages: dict[str, list[tuple[int, str]]] = {}
-    for r in drawn.collect():  # about 4 * PASSAGES short passages a language
-        passages.setdefault(r["l"], []).append((r["h"], r["p"]))
-    return {k: b" ".join(normal(p) for _, p in sorted(v)[:PASSAGES])[-DICT_BYTES:] for k, v in sorted(passages.items())}
+    for r in first.select("l", "n", "p").collect():  # at most MAX_LANGS * PASSAGES passages
+        passages.setdefault(r["l"], []).append((r["n"], r["p"]))
+    return {k: b" ".join(normal(p) for _, p in sorted(v)) for k, v in sorted(passages.items())}
 
 
 class Model:
@@ -107,10 +111,10 @@ class Model:
         blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
         sizes = [sum(len(c.compress(b)) for b in blocks) for c in self.compressors]
         best = min(sizes)
-        if sizes.count(best) > 1 and len(data) < BLOCK:
+        if sizes.count(best) > 1:
             # zstandard stores a text of a few words as it is. Behind a passage of the dictionary's own, which makes the
             # block worth compressing, even a few words show their cost.
-            sizes = [len(c.compress(f + data)) - n for c, (f, n) in zip(self.compressors, self.fillers, strict=True)]
+            sizes = [sum(len(c.compress(f + b)) - n for b in blocks) for c, (f, n) in zip(self.compressors, self.fillers, strict=True)]
             sizes = [s + max(0, 1 - min(sizes)) for s in sizes]
             best = min(sizes)
         at = sizes.index(best)
@@ -121,7 +125,7 @@ class Model:
 
 def judge_column(spark: SparkSession, dictionaries: dict[str, bytes], text: str = "text") -> Column:
     """struct(lang, score, margin, rejected) of a text column; every text is read whole."""
-    shared = spark.sparkContext.broadcast(dictionaries)  # at most MAX_LANGS * DICT_BYTES
+    shared = spark.sparkContext.broadcast(dictionaries)  # at most MAX_LANGS * PASSAGES passages
     key = hashlib.md5(repr(sorted(dictionaries.items())).encode()).hexdigest()
 
     @F.pandas_udf("lang string, score double, margin double, rejected boolean")
