@@ -25,11 +25,12 @@ tgt AS (
   FROM src),
 plan AS (
   SELECT *, CASE WHEN n = 0 THEN 0 ELSE least(2, floor(target / n)) END::BIGINT AS whole FROM tgt),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source, h) AS i FROM sized),
 cum AS (
   SELECT s.doc_id, s.size, p.n, p.target, p.whole, s.h, p.target - p.whole * p.n AS rest,
-         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h) AS c,
-         sum(s.size) OVER (PARTITION BY s.source, s.h) AS own
-  FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source)
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY s.h, s.i) AS c,
+         s.size AS own
+  FROM numbered s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, n AS source_size, target::DOUBLE AS target,
        (size * (whole + CASE WHEN rest > 0 AND (c < rest OR (c - own < rest AND c - rest <= rest - (c - own))) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM cum
