@@ -37,3 +37,17 @@ def test_edges(spark, edge, empty):
     assert empty.select(Q.score_column(model)).count() == 0
     assert Q.features(None) == Q.features("") == [0.0] * len(Q.FEATURES)
     assert all(np.isfinite(Q.features(t)).all() for t in ("   ", "\n\n", "a", "é" * 1000, "!" * 100_000, "\ud800"))
+
+
+def test_an_id_that_repeats_gives_one_training_row(spark, monkeypatch):
+    """A third of all rows share one labelled id: one of them is learned from, the same one in any order."""
+    seen = []
+    fit = Q.Gam.fit
+    monkeypatch.setattr(Q.Gam, "fit", lambda self, x, y: seen.append((x.tolist(), y.tolist())) or fit(self, x, y))
+    docs = spark.range(1500).selectExpr("IF(id < 500, 7, id) AS doc_id", "concat('some words of text number ', id, repeat(' more', CAST(id % 9 AS INT))) AS text")
+    labels = spark.range(0, 1500, 3).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality").union(spark.sql("SELECT 7L, 1"))
+    Q.learn(docs, labels)
+    Q.learn(docs.repartition(5), labels)
+    assert seen[0] == seen[1]
+    ids = {7} | {i for i in range(500, 1500) if i % 3 == 0}
+    assert len(seen[0][1]) == len(ids)

@@ -197,7 +197,7 @@ class Gam:
 
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Gam:
-    """Fit on about ``SAMPLE_ROWS`` labelled rows, drawn by the id's hash."""
+    """Fit on about ``SAMPLE_ROWS`` labelled rows, drawn by the id's hash; one row an id, whatever the number of its rows."""
     known = labels.select(F.col(doc_id).alias("i"), F.col(label).cast("int").alias("y")).filter("i IS NOT NULL AND y IS NOT NULL")
     known = known.groupBy("i").agg(F.max("y").alias("y"))
     total = known.count()
@@ -211,11 +211,13 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t"))
         .join(F.broadcast(drawn), "i")  # about SAMPLE_ROWS pairs of numbers
         .select("i", "y", measure("t").alias("x"))
+        .groupBy("i", "y")  # of an id's rows the one with the smallest features, combined before the shuffle
+        .agg(F.min("x").alias("x"))
         .toPandas()
     )
     if not len(rows):
         return Gam()
-    rows = rows.assign(k=[tuple(v) for v in rows["x"]]).sort_values(["i", "k"])
+    rows = rows.sort_values("i")
     return Gam().fit(np.array(rows["x"].tolist()), rows["y"].to_numpy(float))
 
 
