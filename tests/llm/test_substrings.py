@@ -53,6 +53,54 @@ def test_small_chunks_and_texts_over_several_slices(spark):
         check(frame.repartition(parts), texts, 35)
 
 
+def messages_of(batches):
+    """One message a batch, so that those of a range can be put together."""
+    return [b.slice(i, 1) for b in batches for i in range(b.num_rows)]
+
+
+@pytest.mark.parametrize("least, places", [(S.CHUNK // 2, 20_000), (3 * S.CHUNK // 4, 20_000), (S.CHUNK, 3)])
+def test_dealt_by_groups_of_ranges(spark, monkeypatch, least, places):
+    """Two levels of dealing, and several ranges a partition, remove the same words."""
+    monkeypatch.setattr(S, "LEAST", least)
+    monkeypatch.setattr(S, "PLACES", places)
+    assert S._fan(int(spark.conf.get("spark.sql.shuffle.partitions"))) > 1
+    rng = random.Random(least)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 60))) for _ in range(150)] + ["", None]
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6), texts, 5)
+
+
+def sent(ranges, chunks):
+    """(bytes a window: to the groups, to the ranges, blobs that merger 0's group sends) for chunks of random windows."""
+    rng, fan = np.random.default_rng(ranges), S._fan(ranges)
+    size, inbox, total = 0, [], 0
+    for _ in range(chunks):
+        hashes = S._ranged(rng.integers(0, 1 << 63, S.CHUNK, dtype=np.uint64), ranges)
+        total += len(hashes)
+        for batch in S._probe_chunk(ranges, fan, 0, [7], [(hashes, np.zeros(S.CHUNK // 18, int), hashes[:: 18][: S.CHUNK // 18])]):
+            for group, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                size += len(blob)
+                if group == 0:
+                    inbox.append(blob)
+    if fan == 1:
+        return size / total, 0.0
+    # As many chunks as a merger meets in a table of this size; their blobs are alike, so a few of them are met again, shifted.
+    wanted, blobs = ranges * S.RANGE_BYTES // 6 // S.CHUNK // fan, []
+    for i in range(wanted):
+        steps, *rest = S.unpack(inbox[i % len(inbox)], np.uint64, np.uint8, np.uint64, np.uint32, np.int64)
+        at = np.sort((np.cumsum(steps, dtype=np.uint64) + np.uint64(i * 0x9E3779B9F7)) % np.uint64(fan << 32))
+        blobs.append(S.pack(S._steps(at), rest[0], S._steps(at[::18]), np.zeros(len(at[::18]), np.uint32), rest[3]))
+    out = [b for m in S._merge_blocks(ranges, fan)(0, blobs) for b in m.column(2).to_pylist()]
+    return size / total, sum(map(len, out)) / (wanted * S.CHUNK * fan // ranges)
+
+
+def test_bytes_a_window_at_any_number_of_ranges():
+    """A window costs a few bytes a hop, however many ranges there are; only the length of its hash grows, by bits."""
+    few, many, most = sent(100, 1), sent(100_000, 2), sent(1_000_000, 2)
+    assert few[0] < 3.5 and few[1] == 0
+    assert many[0] < 5 and many[1] < 4, many
+    assert most[0] < 6 and most[1] < 4.5, most
+
+
 def test_chunks_settle_and_tell_each_other():
     """Driver-side: several tiny chunks of windows give the ranges the same findings as one."""
     texts = pa.array(["a b c d e f g h", "x c d e f y", "c d e f", "q r s t"])
@@ -68,9 +116,9 @@ def test_chunks_settle_and_tell_each_other():
         for g in groups:
             inside = ok & np.isin(docs, g)
             found = [(ranged[inside], docs[block & inside], ranged[block & inside])]
-            messages += list(S._probe_chunk(2, 3, list(range(100, 104)), found))
+            messages += list(S._probe_chunk(3, 1, 0, list(range(100, 104)), found))
         found = set()
-        for batch in S._by_range(S._match_blocks, 3)(iter(messages)):
+        for batch in S._by_range(S._matched(S._match_blocks, 3))(iter(sorted(messages_of(messages), key=lambda m: m.column(0)[0].as_py()))):
             for blob in batch.column(2).to_pylist():
                 found |= set(zip(*(x.tolist() for x in S.unpack(blob, np.int64, np.int64))))
         answers.append(found)

@@ -14,7 +14,10 @@ sends, for each hash range, its distinct window hashes as one packed blob,
 about two bytes a window, and its blocks with the text to tell. What is
 already repeated inside a chunk is settled there and only reported once to
 the others, so a passage shared by a third of all texts costs a range one
-entry a chunk. Ranges grow in number with the input, not in size.
+entry a chunk. Ranges grow in number with the input, not in size. Where there
+are so many that a chunk would leave a range a few windows only, it deals to
+groups of neighbouring ranges; what many chunks send to a group is merged, and
+dealt to its ranges from there.
 
 Defined cases: null and empty texts have no words; texts shorter than a
 window lose nothing; fully equal rows count as two places; an empty table
@@ -30,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, DataType, StructType
@@ -40,6 +44,9 @@ from tidemill.llm.wordhash import Hasher, Words, inside, split_words
 WIDTH = 35
 CHUNK = 1_000_000  # windows gathered before a chunk is sent; bounds a Python worker's memory
 RANGE_BYTES = 24 << 20  # text a hash range stands for
+LEAST = 1_000  # windows a chunk's blob holds on average; a chunk deals to groups of ranges where single ranges would get fewer
+MERGED = 4 * CHUNK  # windows merged at once before they go on from a group to its ranges
+PLACES = 20_000  # shuffle partitions at most; beyond, a partition holds several ranges, one after another
 
 _HASHERS: dict[int, Hasher] = {}
 
@@ -51,27 +58,46 @@ def _hasher(seed: int) -> Hasher:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as compressed byte planes; small numbers and small steps cost few bytes."""
+    """Arrays as byte planes, compressed where that is shorter; small numbers and small steps cost few bytes."""
     out = zstandard.ZstdCompressor(level=1)
     parts = []
     for a in arrays:
         planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
-        data = out.compress(planes)
-        parts.append(len(a).to_bytes(8, "little") + len(data).to_bytes(8, "little") + data)
+        data = min(planes, out.compress(planes), key=len)
+        parts.append(len(a).to_bytes(4, "little") + len(data).to_bytes(4, "little") + data)
     return b"".join(parts)
 
 
 def unpack(data: bytes, *kinds: type) -> list[np.ndarray]:
     back, at, out = zstandard.ZstdDecompressor(), 0, []
     for kind in kinds:
-        n, size = int.from_bytes(data[at : at + 8], "little"), int.from_bytes(data[at + 8 : at + 16], "little")
+        n, size = int.from_bytes(data[at : at + 4], "little"), int.from_bytes(data[at + 4 : at + 8], "little")
         width = np.dtype(kind).itemsize
-        planes = back.decompress(data[at + 16 : at + 16 + size], max_output_size=max(1, n * width))
+        planes = data[at + 8 : at + 8 + size]
+        if size < n * width:
+            planes = back.decompress(planes, max_output_size=n * width)
         out.append(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, n).T).reshape(-1).view(kind))
-        at += 16 + size
+        at += 8 + size
     return out
 
 
+def _runs(ids: np.ndarray) -> list[tuple[int, int, int]]:
+    """(id, start, stop) of each run of equal ids."""
+    at = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])[: len(ids)])
+    return list(zip(ids[at].tolist(), at.tolist(), np.append(at, len(ids))[1:].tolist(), strict=True))
+
+
+def _fan(ranges: int) -> int:
+    """Neighbouring ranges that a chunk deals to as one group; 1 while single ranges get enough windows."""
+    return -(-ranges * LEAST // CHUNK)
+
+
+def _part(chunk: int, fan: int) -> int:
+    """Which of a group's ``fan`` mergers a chunk of this task sends to."""
+    task = TaskContext.get()
+    return ((task.partitionId() if task else 0) + chunk) % fan
+
+
 def _steps(sorted_: np.ndarray) -> np.ndarray:
     return np.diff(sorted_, prepend=sorted_.dtype.type(0))
 
@@ -96,9 +122,8 @@ def _findings(owner: np.ndarray, value: np.ndarray, ranges: int) -> tuple[list[i
     """(dest, packed owners and values): one blob for each place where texts' findings meet."""
     dest = owner % ranges
     order = np.argsort(dest, kind="stable")
-    cut = np.searchsorted(dest[order], np.arange(ranges + 1))
-    some = np.flatnonzero(np.diff(cut)).tolist()
-    return some, [pack(owner[k], value[k].astype(np.int64)) for k in (order[cut[r] : cut[r + 1]] for r in some)]
+    some = _runs(dest[order])
+    return [r for r, _, _ in some], [pack(owner[k], value[k].astype(np.int64)) for k in (order[a:b] for _, a, b in some)]
 
 
 def _settled(owner: np.ndarray, value: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
@@ -107,40 +132,58 @@ def _settled(owner: np.ndarray, value: np.ndarray, ranges: int) -> Iterator[pa.R
         yield _message(dests, dests, blobs)
 
 
-def _by_range(match, ranges: int):
-    """Messages of some hash ranges -> findings; ``match`` turns a range's blobs into (owners, values)."""
+def _by_range(work):
+    """``work`` on each range's (or group's) blobs, which stand together; findings under way are passed on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
+        now, held = None, []
         for batch in batches:
-            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
             on = []
-            for rng, dest, blob in rows:
-                if dest is None:
-                    held.setdefault(rng, []).append(blob)
-                else:
+            for rng, dest, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if dest is not None:
                     on.append((rng, dest, blob))
+                    continue
+                if rng != now and held:
+                    yield from work(now, held)
+                    held = []
+                now = rng
+                held.append(blob)
             if on:
                 yield _message(*map(list, zip(*on, strict=True)))
-        for rng in sorted(held):
-            dests, blobs = _findings(*match(rng, held.pop(rng)), ranges)
-            if dests:
-                yield _message([rng] * len(dests), dests, blobs)
+        if held:
+            yield from work(now, held)
 
     return run
 
 
+def _matched(match, ranges: int):
+    """Work of one hash range: ``match`` turns its blobs into (owners, values), which go where a text's findings meet."""
+
+    def work(rng: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        dests, found = _findings(*match(rng, blobs), ranges)
+        if dests:
+            yield _message([rng] * len(dests), dests, found)
+
+    return work
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All findings of some texts -> one row a text with its distinct values."""
-    owner, value = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    """All findings of some texts -> one row a text with its distinct values; the blobs of a place stand together."""
+    now, held = None, []
     for batch in batches:
-        for blob in batch.column(2).to_pylist():
-            o, v = unpack(blob, np.int64, np.int64)
-            owner.append(o)
-            value.append(v)
+        for dest, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            if dest != now and held:
+                yield from _gathered(held)
+                held = []
+            now = dest
+            held.append(blob)
+    if held:
+        yield from _gathered(held)
+
+
+def _gathered(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    owner, value = zip(*(unpack(blob, np.int64, np.int64) for blob in blobs), strict=True)
     owners, values = np.concatenate(owner), np.concatenate(value)
-    if not len(owners):
-        return
     order = np.lexsort((values, owners))
     owners, values = owners[order], values[order]
     keep = np.concatenate([[True], (np.diff(owners) != 0) | (np.diff(values) != 0)])
@@ -153,40 +196,68 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(owners[starts[at : at + 1000]]), lists], names=["r_key", "r_vals"])
 
 
-def _probe_chunk(blocks: int, ranges: int, keys: list, found: list) -> Iterator[pa.RecordBatch]:
+def _probe_chunk(ranges: int, fan: int, part: int, keys: list, found: list) -> Iterator[pa.RecordBatch]:
     """Messages of one chunk. ``found``: (ranged hash of each window, text of each block, ranged hash of each block)."""
     windows = np.concatenate([f[0] for f in found])
     block, owner = np.concatenate([f[2] for f in found]), np.concatenate([f[1] for f in found])
-    names = np.array(keys, np.int64)
-    windows.sort()
-    first = np.concatenate([[True], np.diff(windows) != 0]) if len(windows) else np.zeros(0, bool)
-    at = np.flatnonzero(first)
-    distinct = windows[at]
-    many = np.diff(np.append(at, len(windows))) > 1
+    yield from _deal_blocks(windows, np.zeros(len(windows), bool), block, np.array(keys, np.int64)[owner], ranges, fan, part)
+
+
+def _deal_blocks(
+    windows: np.ndarray, many: np.ndarray, block: np.ndarray, owner: np.ndarray, ranges: int, fan: int, part: int
+) -> Iterator[pa.RecordBatch]:
+    """Windows (``many``: known to stand twice) and blocks with their texts -> what is settled here, and one blob a group of ``fan`` ranges."""
+    if not len(windows):
+        return
+    order = np.argsort(windows) if many.any() else None
+    windows = np.sort(windows) if order is None else windows[order]
+    at = np.flatnonzero(np.concatenate([[True], windows[1:] != windows[:-1]]))
+    distinct, twice = windows[at], np.diff(np.append(at, len(windows))) > 1
+    many = twice if order is None else twice | np.logical_or.reduceat(many[order], at)
     here = many[np.searchsorted(distinct, block)] if len(block) else np.zeros(0, bool)
-    yield from _settled(names[owner[here]], block[here].astype(np.int64), ranges)
+    yield from _settled(owner[here], block[here].astype(np.int64), ranges)
     block, owner = block[~here], owner[~here]
     order = np.argsort(block, kind="stable")
     block, owner = block[order], owner[order]
-    low = np.uint64(32)
-    cut = np.searchsorted(distinct, np.arange(ranges + 1, dtype=np.uint64) << low)
-    cut_b = np.searchsorted(block, np.arange(ranges + 1, dtype=np.uint64) << low)
-    out: list[tuple[int, bytes]] = []
-    for r in np.flatnonzero(np.diff(cut)).tolist():
-        a, b, c, d = cut[r], cut[r + 1], cut_b[r], cut_b[r + 1]
+    span = np.uint64(fan << 32)
+    kind = np.uint32 if fan == 1 else np.uint64
+    ids, blobs = [], []
+    for group, a, b in _runs(distinct // span):
+        base = np.uint64(group) * span
+        c, d = np.searchsorted(block, np.array([base, base + span], np.uint64)).tolist()
         told, name = np.unique(owner[c:d], return_inverse=True)
-        out.append((r, pack(_steps(distinct[a:b].astype(np.uint32)), np.packbits(many[a:b]), _steps(block[c:d].astype(np.uint32)), name.astype(np.uint32), names[told])))
-    yield _message([r for r, _ in out], [None] * len(out), [x for _, x in out])
+        ids.append(group * fan + part)
+        blobs.append(pack(_steps((distinct[a:b] - base).astype(kind)), np.packbits(many[a:b]), _steps((block[c:d] - base).astype(kind)), name.astype(np.uint32), told))
+    yield _message(ids, [None] * len(ids), blobs)
+
+
+def _merge_blocks(ranges: int, fan: int):
+    """Work of one merger: what many chunks sent to a group of ranges, as if they were one chunk, dealt to the ranges."""
+    kinds = (np.uint64, np.uint8, np.uint64, np.uint32, np.int64)
+
+    def work(merger: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        base = np.uint64((merger // fan * fan) << 32)
+        got, held = [], 0
+        for i, blob in enumerate(blobs):
+            steps, many, block, name, told = unpack(blob, *kinds)
+            windows = base + np.cumsum(steps, dtype=np.uint64)
+            got.append((windows, np.unpackbits(many, count=len(windows)).astype(bool), base + np.cumsum(block, dtype=np.uint64), told[name]))
+            held += len(windows)
+            if held >= MERGED or i == len(blobs) - 1:
+                yield from _deal_blocks(*(np.concatenate([g[k] for g in got]) for k in range(4)), ranges, 1, 0)
+                got, held = [], 0
 
+    return work
 
-def _probes(width: int, ranges: int):
+
+def _probes(width: int, ranges: int, fan: int):
     """texts -> messages: every rolling window of block length, and the blocks."""
     size = (width + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list = []
         found: list = []
-        held = 0
+        held = chunk = 0
         for batch in batches:
             texts, names = text_column(batch, "r_text"), batch.column(batch.schema.get_field_index("r_key"))
             for a, b in text_slices(texts):
@@ -202,10 +273,10 @@ def _probes(width: int, ranges: int):
                 keys += names.slice(a, b - a).to_pylist()
                 held += int(ok.sum())
                 if held >= CHUNK:
-                    yield from _probe_chunk(size, ranges, keys, found)
-                    keys, found, held = [], [], 0
+                    yield from _probe_chunk(ranges, fan, _part(chunk, fan), keys, found)
+                    keys, found, held, chunk = [], [], 0, chunk + 1
         if held:
-            yield from _probe_chunk(size, ranges, keys, found)
+            yield from _probe_chunk(ranges, fan, _part(chunk, fan), keys, found)
 
     return run
 
@@ -290,37 +361,58 @@ def _text_array(zipped: list) -> pa.Array:
     return pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)
 
 
-def _window_chunk(ranges: int, found: list) -> Iterator[pa.RecordBatch]:
-    one, two, owner, at = (np.concatenate([f[i] for f in found]) for i in range(4))
+def _window_chunk(ranges: int, fan: int, part: int, found: list) -> Iterator[pa.RecordBatch]:
+    """``found``: (two hashes of each window, its text, its place, known to stand twice) -> what is settled here, and one blob a group of ranges."""
+    one, two, owner, at, many = (np.concatenate([f[i] for f in found]) for i in range(5))
     if not len(one):
         return
     order = np.lexsort((two, one))
-    one, two, owner, at = one[order], two[order], owner[order], at[order]
+    one, two, owner, at, many = one[order], two[order], owner[order], at[order], many[order]
     new = np.concatenate([[True], (np.diff(one) != 0) | (np.diff(two) != 0)])
     first = np.flatnonzero(new)
     size = np.diff(np.append(first, len(one)))
-    many = np.repeat(size > 1, size)
-    yield from _settled(owner[many], at[many], ranges)
+    tell = np.repeat(size > 1, size) & ~many
+    yield from _settled(owner[tell], at[tell], ranges)
     # One entry a distinct window; it needs an address only if it stood once here.
-    one, two, owner, at, many = one[first], two[first], owner[first], at[first], many[first]
-    rng = (one % np.uint64(ranges)).astype(np.int64)
-    order = np.argsort(rng, kind="stable")
-    cut = np.searchsorted(rng[order], np.arange(ranges + 1))
-    out: list[tuple[int, bytes]] = []
-    for r in np.flatnonzero(np.diff(cut)).tolist():
-        k = order[cut[r] : cut[r + 1]]
+    one, two, owner, at, many = one[first], two[first], owner[first], at[first], np.logical_or.reduceat(many, first) | (size > 1)
+    group = (one % np.uint64(ranges)).astype(np.int64) // fan
+    order = np.argsort(group, kind="stable")
+    ids, blobs = [], []
+    for g, a, b in _runs(group[order]):
+        k = order[a:b]
         told, name = np.unique(owner[k], return_inverse=True)
-        out.append((r, pack(one[k], two[k], np.packbits(many[k]), name.astype(np.uint32), at[k].astype(np.uint32), told)))
-    yield _message([r for r, _ in out], [None] * len(out), [x for _, x in out])
+        ids.append(g * fan + part)
+        blobs.append(pack(one[k], two[k], np.packbits(many[k]), name.astype(np.uint32), at[k].astype(np.uint32), told))
+    yield _message(ids, [None] * len(ids), blobs)
+
+
+def _read_windows(blob: bytes) -> tuple[np.ndarray, ...]:
+    one, two, many, name, at, told = unpack(blob, np.uint64, np.uint64, np.uint8, np.uint32, np.uint32, np.int64)
+    return one, two, told[name], at.astype(np.int64), np.unpackbits(many, count=len(one)).astype(bool)
 
 
-def _windows(width: int, ranges: int):
+def _merge_windows(ranges: int, fan: int):
+    """Work of one merger of exact windows: as if the chunks that sent them were one."""
+
+    def work(merger: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        got, held = [], 0
+        for i, blob in enumerate(blobs):
+            got.append(_read_windows(blob))
+            held += len(got[-1][0])
+            if held >= MERGED // 2 or i == len(blobs) - 1:
+                yield from _window_chunk(ranges, 1, 0, got)
+                got, held = [], 0
+
+    return work
+
+
+def _windows(width: int, ranges: int, fan: int):
     """texts with hit blocks -> messages: the exact windows over each hit."""
     size = (width + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list = []
-        held = 0
+        held = chunk = 0
         for batch in batches:
             texts = _text_array(batch.column(batch.schema.get_field_index("r_zip")).to_pylist())
             lists = batch.column(batch.schema.get_field_index("r_starts")).to_pylist()
@@ -338,24 +430,21 @@ def _windows(width: int, ranges: int):
                 at, own = np.concatenate(take), np.concatenate(owner)
                 one = _hasher(2).windows(_hasher(2).words(w), width)[at]
                 two = _hasher(3).windows(_hasher(3).words(w), width)[at]
-                found.append((one, two, own, at - w.ends[np.searchsorted(w.ends, at, side="right") - 1]))
+                found.append((one, two, own, at - w.ends[np.searchsorted(w.ends, at, side="right") - 1], np.zeros(len(at), bool)))
                 held += len(at)
                 if held >= CHUNK // 2:
-                    yield from _window_chunk(ranges, found)
-                    found, held = [], 0
+                    yield from _window_chunk(ranges, fan, _part(chunk, fan), found)
+                    found, held, chunk = [], 0, chunk + 1
         if held:
-            yield from _window_chunk(ranges, found)
+            yield from _window_chunk(ranges, fan, _part(chunk, fan), found)
 
     return run
 
 
 def _match_windows(rng: int, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """One hash range of exact windows: tell the texts whose windows stand elsewhere too."""
-    got = []
-    for blob in blobs:
-        one, two, many, name, at, told = unpack(blob, np.uint64, np.uint64, np.uint8, np.uint32, np.uint32, np.int64)
-        got.append((one, two, np.unpackbits(many, count=len(one)).astype(bool), told[name], at.astype(np.int64)))
-    one, two, many, owner, at = (np.concatenate([g[i] for g in got]) for i in range(5))
+    got = [_read_windows(blob) for blob in blobs]
+    one, two, owner, at, many = (np.concatenate([g[i] for g in got]) for i in range(5))
     order = np.lexsort((two, one))
     one, two, many, owner, at = one[order], two[order], many[order], owner[order], at[order]
     first = np.flatnonzero(np.concatenate([[True], (np.diff(one) != 0) | (np.diff(two) != 0)]))
@@ -407,10 +496,20 @@ def _schema(df: DataFrame, drop: tuple[str, ...], *more: tuple[str, str]) -> Str
     return out
 
 
-def _answered(messages: DataFrame, match, ranges: int) -> DataFrame:
-    """Send messages to their hash ranges, and what those find to where each text's findings meet."""
-    found = messages.repartitionById(ranges, "r_range").mapInArrow(released(_by_range(match, ranges)), _MESSAGE)
-    return found.repartitionById(ranges, "r_dest").mapInArrow(released(_gather), _FOUND)
+def _answered(messages: DataFrame, merge, match, ranges: int) -> DataFrame:
+    """Send messages to their hash ranges, by way of their groups if a chunk dealt to groups, and what those find to where each text's findings meet."""
+
+    def dealt(df: DataFrame, to: str, ids: int) -> DataFrame:
+        places = min(ids, PLACES)
+        df = df.repartitionById(places, F.col(to) % places)
+        return df.sortWithinPartitions(to) if places < ids else df
+
+    fan = _fan(ranges)
+    if fan > 1:
+        mergers = -(-ranges // fan) * fan
+        messages = dealt(messages, "r_range", mergers).mapInArrow(released(_by_range(merge(ranges, fan))), _MESSAGE)
+    found = dealt(messages, "r_range", ranges).mapInArrow(released(_by_range(_matched(match, ranges))), _MESSAGE)
+    return dealt(found, "r_dest", ranges).mapInArrow(released(_gather), _FOUND)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, digest: bool = False) -> DataFrame:
@@ -430,8 +529,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, dige
     total = rows.agg(F.sum(F.octet_length("r_text"))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
 
-    told = rows.select("r_key", "r_text").mapInArrow(released(_probes(width, ranges)), _MESSAGE)
-    hits = _answered(told, _match_blocks, ranges)  # at most a text's blocks a row
+    told = rows.select("r_key", "r_text").mapInArrow(released(_probes(width, ranges, _fan(ranges))), _MESSAGE)
+    hits = _answered(told, _merge_blocks, _match_blocks, ranges)  # at most a text's blocks a row
     zipped = rows.mapInArrow(released(_zipped), _schema(rows, ("r_text",), ("r_zip", "binary")))
     both = zipped.join(hits, "r_key", "left").select("r_rest", "r_zip", "r_vals")
     step = both.mapInArrow(
@@ -443,8 +542,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, dige
     hit = step.filter("r_starts IS NOT NULL").select("r_row", "r_zip", "r_starts")
     windows = hit.agg(F.sum(F.size("r_starts"))).first()[0] or 0
     ranges2 = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-windows * width // CHUNK))
-    told = hit.mapInArrow(released(_windows(width, ranges2)), _MESSAGE)
-    spans = _answered(told, _match_windows, ranges2).withColumnRenamed("r_key", "r_row")
+    told = hit.mapInArrow(released(_windows(width, ranges2, _fan(ranges2))), _MESSAGE)
+    spans = _answered(told, _merge_windows, _match_windows, ranges2).withColumnRenamed("r_key", "r_row")
     both = step.join(spans, "r_row", "left").select("r_rest", "r_words", "r_zip", "r_sha", "r_vals")
     done = both.mapInArrow(released(_finish(width, digest)), _schema(both, ("r_zip", "r_vals", "r_sha"), ("r_removed", "long"), ("r_out", "string")))
     return done.select(
