@@ -415,3 +415,21 @@ def test_an_interval_job_takes_in_what_arrives_while_it_runs(spark, scratch):
         assert query.isActive and len(query.recentProgress) >= 2
     finally:
         query.stop()
+
+
+def test_report_state_does_not_follow_the_shuffle_partitions(spark, scratch):
+    """A batch pays for every partition of the state; the reports' rows do not grow with the orders."""
+    topic, ckpt, key = scratch("etl"), scratch("ckpt"), "spark.sql.shuffle.partitions"
+    write_topic(X.etl_messages(spark, SF_SMALL), topic)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "24")
+    try:
+        P.run(P.start_reports(spark, topic, scratch("kv"), ckpt, CITIES, which=("total",), query_suffix="-few"))
+        P.run([P.start_reports_one_pass(spark, topic, scratch("cells"), f"{ckpt}/sets", CITIES, partitions=3)])
+        P.run([P.start_bounded_daily(spark, topic, scratch("bounded"), f"{ckpt}/bounded")[0]])
+        assert spark.conf.get(key) == "24"
+    finally:
+        spark.conf.set(key, before)
+    for name, n in (("amt-total", P.STATE_PARTITIONS), ("sets", 3), ("bounded", P.STATE_PARTITIONS)):
+        states = spark.read.format("state-metadata").load(f"{ckpt}/{name}").collect()
+        assert states and {r["numPartitions"] for r in states} == {n}

@@ -113,6 +113,39 @@ def dropped_by_watermark(watch: LateRows, query: StreamingQuery, wait_s: float =
     return watch.dropped[str(query.runId)]
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]):
+    """Queries started inside take these settings with them; the session has its own back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+#: Partitions of a report's state by default: it holds a row a day and province (or city), a few thousand a year.
+STATE_PARTITIONS = 8
+
+
+def report_state(spark: SparkSession, partitions: int = STATE_PARTITIONS):
+    """Report queries started inside keep their state in at most so many partitions.
+
+    A batch opens, writes and commits every partition of the state, also an
+    empty one. The session's shuffle partitions follow the orders, the
+    reports' state does not: orders are added up before they are shuffled. A
+    query notes the number in its checkpoint with its first batch; a restart
+    finds it there.
+    """
+    key = "spark.sql.shuffle.partitions"
+    return settings(spark, {key: str(min(partitions, int(spark.conf.get(key))))})
+
+
 # ---------------------------------------------------------------- hop 1: ETL
 def start_etl(
     spark: SparkSession,
@@ -166,6 +199,7 @@ def start_reports(
     which: tuple[str, ...] = REPORTS,
     query_suffix: str = "",
     buckets: int = CELL_BUCKETS,
+    partitions: int = STATE_PARTITIONS,
 ) -> list[StreamingQuery]:
     """Three update-mode aggregates over one parsed stream, each with its own checkpoint.
 
@@ -188,7 +222,8 @@ def start_reports(
             .option("checkpointLocation", f"{checkpoint_root}/amt-{name}")
             .foreachBatch(tables[name].apply_batch)
         )
-        started.append(trigger.apply(writer).start())
+        with report_state(spark, partitions):
+            started.append(trigger.apply(writer).start())
     return started
 
 
@@ -206,6 +241,7 @@ def start_reports_one_pass(
     topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
     buckets: int = CELL_BUCKETS,
+    partitions: int = STATE_PARTITIONS,
 ) -> StreamingQuery:
     """A4 as a stream: the three reports in one GROUPING SETS aggregation.
 
@@ -220,7 +256,8 @@ def start_reports_one_pass(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(cell_table(spark, store, buckets).apply_batch)
     )
-    return trigger.apply(writer).start()
+    with report_state(spark, partitions):
+        return trigger.apply(writer).start()
 
 
 # ---------------------------------------------------------------- stores (S3, K3, K4)
@@ -247,7 +284,6 @@ def start_wide_rows(
     return trigger.apply(writer).start()
 
 
-@contextmanager
 def rocksdb_state(spark: SparkSession):
     """Queries started inside keep their state in RocksDB, checkpointed as changes, so that it may outgrow memory.
 
@@ -257,17 +293,7 @@ def rocksdb_state(spark: SparkSession):
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    return settings(spark, wanted)
 
 
 def latest_by_state(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -502,6 +528,7 @@ def start_bounded_daily(
     checkpoint: str,
     topics: Topics = FILES,
     trigger: Trigger = AVAILABLE_NOW,
+    partitions: int = STATE_PARTITIONS,
 ) -> tuple[StreamingQuery, KeyedTable]:
     orders = report_input(topics.read(spark, etl_topic))
     table = bounded_table(spark, store)
@@ -511,4 +538,5 @@ def start_bounded_daily(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(table.apply_batch)
     )
-    return trigger.apply(writer).start(), table
+    with report_state(spark, partitions):
+        return trigger.apply(writer).start(), table
