@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 from tidemill.operators import report as R
 from tidemill.operators.clean import judge_document
 from tidemill.operators.stores import wide_rows
-from tidemill.operators.upsert import latest_by_key
+from tidemill.operators.upsert import latest_by_key, merge_by_key
 from tidemill.plans import scenarios as X
 from tidemill.sources.fixtures import CITIES, ip_dim
 from tidemill.sources.topics import read_topic, write_topic
@@ -433,3 +433,24 @@ def test_report_state_does_not_follow_the_shuffle_partitions(spark, scratch):
     for name, n in (("amt-total", P.STATE_PARTITIONS), ("sets", 3), ("bounded", P.STATE_PARTITIONS)):
         states = spark.read.format("state-metadata").load(f"{ckpt}/{name}").collect()
         assert states and {r["numPartitions"] for r in states} == {n}
+
+
+def test_ordered_arrivals_take_their_bounds_from_the_staged_messages(spark, monkeypatch):
+    """The messages are computed once: what is measured for the ranges has been staged."""
+    measured, in_ranges = [], X.in_ranges
+    monkeypatch.setattr(X, "in_ranges", lambda messages, *a: (measured.append(messages.inputFiles()), in_ranges(messages, *a))[1])
+    arrivals = X.etl_arrivals(spark, SF_SMALL, ordered=True)
+    assert measured and all("/arrivals-" in f for files in measured for f in files)
+    ids = [[r["position"] for r in a.collect()] for a in arrivals]
+    assert sorted(sum(ids, [])) == sorted(r["position"] for r in X.etl_messages(spark, SF_SMALL).collect())
+    assert all(ids) and max(ids[0]) < min(ids[1]) and max(ids[1]) < min(ids[2])
+
+
+def test_fold_with_the_table_carries_no_tie_break(spark):
+    """Of a key's old and new row none are equal in age: without the tie-break the merge is the same."""
+    rows = spark.createDataFrame(
+        [(1, 0, "a", None), (1, 1, None, "b"), (2, 0, "c", "d"), (2, 1, "C", None), (None, 0, "n", None), (None, 1, "N", "m")],
+        "k int, age int, x string, y string",
+    )
+    merged = [sorted(merge_by_key(rows, ["k"], ["age"], ["x", "y"], ties).collect(), key=str) for ties in (True, False)]
+    assert merged[0] == merged[1] == sorted([(1, "a", "b"), (2, "C", "d"), (None, "N", "m")], key=str)

@@ -29,15 +29,18 @@ def latest_by_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in payload])
 
 
-def merge_by_key(df: DataFrame, keys: list[str], order: list, fields: list[str] | None = None) -> DataFrame:
+def merge_by_key(df: DataFrame, keys: list[str], order: list, fields: list[str] | None = None, ties: bool = True) -> DataFrame:
     """Per key and field, the last non-NULL value; a NULL never overwrites.
 
     Rows of equal order are told apart by their fields taken together, one
     tie-break for all of them: where two such rows both set a field, the same
-    row wins it as wins every other.
+    row wins it as wins every other. Where a key's rows all differ in their
+    order, ``ties=False`` leaves that out, and each field's candidate carries
+    its own value only.
     """
     fields = fields or [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(_as_cols(order))], F.struct(*fields).alias("_tie"))
+    tie = [F.struct(*fields).alias("_tie")] if ties else []
+    ordering = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(_as_cols(order))], *tie)
     aggs = [
         F.max(F.when(F.col(f).isNotNull(), F.struct(ordering.alias("_ord"), F.col(f).alias("v")))).alias(f)
         for f in fields

@@ -125,6 +125,19 @@ def in_ranges(messages: DataFrame, by: str, batches: int = MICRO_BATCHES):
     return F.floor((F.col(by) - F.lit(lo)) / F.lit(width))
 
 
+def range_chunks(messages: DataFrame, by: str, batches: int = MICRO_BATCHES) -> list[DataFrame]:
+    """Split messages into arrivals by consecutive ranges of ``by``.
+
+    The messages are computed once and staged; the ranges' bounds and the arrivals are read from there.
+    """
+    spark = messages.sparkSession
+    staged = scratch_path(spark, "arrivals")
+    messages.write.parquet(staged)
+    held = spark.read.schema(messages.schema).parquet(staged)
+    slot = in_ranges(held, by, batches)
+    return [held.filter(slot == i) for i in range(batches)]
+
+
 def feed(topic: str, arrivals: list[DataFrame], run_once, only: list[int] | None = None) -> None:
     """Append each arrival to the topic and run the stream once (``availableNow``) before the next.
 
@@ -148,7 +161,7 @@ def raw_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 def etl_arrivals(spark: SparkSession, sf_dir: str, ordered: bool = False) -> list[DataFrame]:
     """Hop-1 output computed in batch, in three arrivals: dealt by order key, or ``ordered`` by it."""
     msgs = etl_messages(spark, sf_dir)
-    return chunks(msgs, in_ranges(msgs, "position") if ordered else F.pmod("position", F.lit(MICRO_BATCHES)))
+    return range_chunks(msgs, "position") if ordered else chunks(msgs, F.pmod("position", F.lit(MICRO_BATCHES)))
 
 
 def version_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -179,7 +192,7 @@ def event_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             )
         ).alias("value"),
     )
-    return chunks(msgs, in_ranges(msgs, "position"))
+    return range_chunks(msgs, "position")
 
 
 def event_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +229,7 @@ def cells_of(rows: DataFrame, store: str, key: str, fields: list[str]) -> DataFr
 def day_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Hop-1 output in three arrivals by the orders' days: each tells of days of its own."""
     msgs = etl_messages(spark, sf_dir).withColumn("day", F.unix_date(to_date_lenient(json_field("value", "orderTime"))))
-    return chunks(msgs, in_ranges(msgs, "day"))
+    return range_chunks(msgs, "day")
 
 
 def damaged_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:

@@ -91,7 +91,7 @@ class KeyedTable:
                 old = self._scan(spark, kept, T.StructType([*fresh.drop(BUCKET).schema.fields, *_PLACE]))
                 rows = old.drop(SLOT).withColumn(AGE, F.lit(0)).unionByName(rows)
             # One shuffle, by bucket: its task folds the bucket and writes it.
-            folded = self._fold(rows.repartition(BUCKET), [BUCKET, *self.keys], [AGE])
+            folded = self._fold(rows.repartition(BUCKET), [BUCKET, *self.keys], [AGE], ties=False)  # a row a key and age
             slots = {b: 1 - kept[b] if b in kept else 0 for b in todo}
             second = [b for b, s in slots.items() if s == 1]
             slot = F.when(F.col(BUCKET).isin(second), 1).otherwise(0) if second else F.lit(0)
@@ -111,8 +111,8 @@ class KeyedTable:
     def _bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(*(self.bucket_by or self.keys)), F.lit(self.buckets)).cast("int")
 
-    def _fold(self, rows: DataFrame, keys: list[str], order: list) -> DataFrame:
-        """One row a key by the table's rule, without the columns that order the writes."""
+    def _fold(self, rows: DataFrame, keys: list[str], order: list, ties: bool = True) -> DataFrame:
+        """One row a key by the table's rule, without the columns that order the writes; ``ties``: rows of a key may be equal in them."""
         own = [o for o in order if isinstance(o, str)]
         if self.mode == "add":
             kinds = dict(rows.dtypes)
@@ -120,7 +120,7 @@ class KeyedTable:
             sums = [(F.max(c) if c == SINCE else F.sum(c).cast(kinds[c])).alias(c) for c in added]
             return rows.groupBy(*keys).agg(*sums)
         if self.mode == "merge":
-            return merge_by_key(rows, keys, order, [c for c in rows.columns if c not in keys and c not in own])
+            return merge_by_key(rows, keys, order, [c for c in rows.columns if c not in keys and c not in own], ties)
         return latest_by_key(rows, keys, order).drop(*own)
 
     # ------------------------------------------------------------ read
