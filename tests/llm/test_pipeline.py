@@ -2,12 +2,13 @@ from __future__ import annotations
 
 import collections
 
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
 import corpus_pipeline as C
 from tests.llm import brute
-from tidemill.llm import bpe, mixing
+from tidemill.llm import bpe, common, mixing
 from tidemill.llm.common import stored
 
 
@@ -55,3 +56,24 @@ def test_registered():
     assert "pipeline" in queries
     for n in range(1, 11):
         assert sum(q.startswith(f"op{n}_") for q in queries) == 1
+
+
+def test_worker_keeps_one_operators_things():
+    """A worker that goes on to another operator drops what the last one kept, be that a codec or hash tables."""
+    common.kept("tidemill.llm.bpe")["key"] = "a codec"
+
+    def run(batches):
+        yield from batches
+
+    run.__module__ = "tidemill.llm.bpe"
+    assert [*common.released(run)(iter([1]))] == [1] and common.kept("tidemill.llm.bpe") == {"key": "a codec"}
+    run.__module__ = "tidemill.llm.substrings"
+    assert [*common.released(run)(iter([1]))] == [1] and common.kept("tidemill.llm.bpe") == {}
+
+
+def test_texts_are_worked_on_in_small_slices():
+    """A slice, whose arrays are many times its size, is a megabyte of text; a longer text is one of its own."""
+    texts = pa.array(["x" * 300_000] * 10 + ["y" * 3_000_000] + [""] * 5)
+    parts = [texts.slice(a, b - a).to_pylist() for a, b in common.text_slices(texts)]
+    assert [t for part in parts for t in part] == texts.to_pylist()
+    assert all(len(part) == 1 or sum(map(len, part)) <= 1 << 20 for part in parts)

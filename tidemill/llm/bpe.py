@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from tidemill.llm.common import open_table, released, text_column, text_slices, words_of
+from tidemill.llm.common import hand_back, kept, open_table, released, text_column, text_slices, words_of
 from tidemill.llm.lexicon import Lexicon, compile_lexicon
 
 #: Bounds of the lexicon, and so of what is broadcast: words and bytes a word.
@@ -134,8 +134,6 @@ class Merger:
 class Codec:
     """Encoder and decoder of batches of texts: lexicon first, exact merges for the rest."""
 
-    _made: dict[str, Codec] = {}
-
     def __init__(self, vocabulary: str, lexicon: bytes):
         self.merger, self.lexicon = Merger(vocabulary), Lexicon(lexicon)
         names = [(n + " ").encode() for n in self.merger.names]
@@ -144,10 +142,12 @@ class Codec:
 
     @classmethod
     def of(cls, key: str, vocabulary: str, lexicon: bytes) -> Codec:
-        if key not in cls._made:
-            cls._made.clear()
-            cls._made[key] = cls(vocabulary, lexicon)
-        return cls._made[key]
+        made = kept(__name__)
+        if key not in made:
+            made.clear()
+            made[key] = cls(vocabulary, lexicon)
+            hand_back()  # what reading the vocabulary took
+        return made[key]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, ends): text i has ids[ends[i]:ends[i + 1]]."""

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import held_out, open_table
+from tidemill.llm.common import held_out, kept, open_table
 
 UNDEFINED = "und"
 #: Bound of the sample the dictionaries are made of: passages a language, code points a passage.
@@ -87,8 +87,6 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str,
 class Model:
     """Compressors by language, made once a Python worker."""
 
-    _made: dict[str, Model] = {}
-
     def __init__(self, dictionaries: dict[str, bytes]):
         self.names = sorted(dictionaries)
         self.compressors, self.fillers = [], []
@@ -130,10 +128,11 @@ def judge_column(spark: SparkSession, dictionaries: dict[str, bytes], text: str
 
     @F.pandas_udf("lang string, score double, margin double, rejected boolean")
     def judge(texts: pd.Series) -> pd.DataFrame:
-        made = Model._made.get(key)
+        own = kept(__name__)
+        made = own.get(key)
         if made is None:
-            Model._made.clear()
-            made = Model._made[key] = Model(shared.value)
+            own.clear()
+            made = own[key] = Model(shared.value)
         out = [made.judge(t) for t in texts]
         frame = pd.DataFrame(out, columns=["lang", "score", "margin"])
         frame["rejected"] = (frame["lang"] == UNDEFINED) | (frame["margin"] < MARGIN)

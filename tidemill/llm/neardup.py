@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-from tidemill.llm.common import open_table, released, stored, text_column, text_slices
+from tidemill.llm.common import kept, open_table, released, stored, text_column, text_slices
 from tidemill.llm.wordhash import Hasher, inside, mix, split_words
 
 SHINGLE, LIKE = 5, 0.8
@@ -62,13 +62,13 @@ CELLS = 1 << 18  # counters of the order in which k-mers are posted
 
 _C = np.uint64(0x9E3779B97F4A7C15)
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
-_HASHERS: list[Hasher] = []
 
 
 def _hasher() -> Hasher:
-    if not _HASHERS:
-        _HASHERS.append(Hasher(11))
-    return _HASHERS[0]
+    made = kept(__name__)
+    if not made:
+        made[11] = Hasher(11)
+    return made[11]
 
 
 def kmers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

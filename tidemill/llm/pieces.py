@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from tidemill.llm.common import open_table, released, text_column, text_slices
+from tidemill.llm.common import kept, open_table, released, text_column, text_slices
 
 MARK = "▁"
 #: Merged words a Python worker remembers: distinct words, and their ids in all.
@@ -205,8 +205,6 @@ class Pairs:
 class Codec:
     """Encoder and decoder of batches of texts for one model file."""
 
-    _made: dict[str, Codec] = {}
-
     def __init__(self, raw: bytes):
         from sentencepiece import sentencepiece_model_pb2 as proto
 
@@ -253,10 +251,11 @@ class Codec:
     @classmethod
     def of(cls, raw: bytes) -> Codec:
         key = hashlib.md5(raw).hexdigest()
-        if key not in cls._made:
-            cls._made.clear()
-            cls._made[key] = cls(raw)
-        return cls._made[key]
+        made = kept(__name__)
+        if key not in made:
+            made.clear()
+            made[key] = cls(raw)
+        return made[key]
 
     # Merging.
 

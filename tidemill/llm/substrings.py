@@ -38,23 +38,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, DataType, StructType
 
-from tidemill.llm.common import open_table, released, stored, text_column, text_slices
+from tidemill.llm.common import kept, open_table, released, stored, text_column, text_slices
 from tidemill.llm.wordhash import Hasher, Words, inside, split_words
 
 WIDTH = 35
-CHUNK = 1_000_000  # windows gathered before a chunk is sent; bounds a Python worker's memory
+CHUNK = 500_000  # windows gathered before a chunk is sent; bounds a Python worker's memory
 RANGE_BYTES = 24 << 20  # text a hash range stands for
 LEAST = 1_000  # windows a chunk's blob holds on average; a chunk deals to groups of ranges where single ranges would get fewer
-MERGED = 4 * CHUNK  # windows merged at once before they go on from a group to its ranges
+MERGED = 8 * CHUNK  # windows merged at once before they go on from a group to its ranges
 PLACES = 20_000  # shuffle partitions at most; beyond, a partition holds several ranges, one after another
 
-_HASHERS: dict[int, Hasher] = {}
-
 
 def _hasher(seed: int) -> Hasher:
-    if seed not in _HASHERS:
-        _HASHERS[seed] = Hasher(seed)
-    return _HASHERS[seed]
+    made = kept(__name__)
+    if seed not in made:
+        made[seed] = Hasher(seed)
+    return made[seed]
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -541,7 +540,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH, dige
 
     hit = step.filter("r_starts IS NOT NULL").select("r_row", "r_zip", "r_starts")
     windows = hit.agg(F.sum(F.size("r_starts"))).first()[0] or 0
-    ranges2 = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-windows * width // CHUNK))
+    ranges2 = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-windows * width // (2 * CHUNK)))
     told = hit.mapInArrow(released(_windows(width, ranges2, _fan(ranges2))), _MESSAGE)
     spans = _answered(told, _merge_windows, _match_windows, ranges2).withColumnRenamed("r_key", "r_row")
     both = step.join(spans, "r_row", "left").select("r_rest", "r_words", "r_zip", "r_sha", "r_vals")
